@@ -58,7 +58,7 @@ def parse_wall_clock(text: Column) -> Column:
 def recent(ts: Column, as_of, max_days: int = V.MAX_JOB_AGE_DAYS) -> Column:
     """Keep when the age in whole days (floored) is at most ``max_days``; a missing
     or unparseable date (null ``ts``) is kept."""
-    age_days = F.floor((F.unix_micros(as_timestamp(as_of)) - F.unix_micros(ts)) / 86_400_000_000)
+    age_days = F.floor((F.unix_micros(as_timestamp(as_of)) - F.unix_micros(ts.cast("timestamp"))) / 86_400_000_000)
     return ts.isNull() | (age_days <= max_days)
 
 

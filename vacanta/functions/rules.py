@@ -190,15 +190,52 @@ def ingest_attributes(low_text: Column, preset: str, contract: Column | None = N
     )
 
 
-def ingest_attributes_by_source(low_text: Column, source: Column, contract: Column | None = None) -> Column:
-    """Per-row preset chosen from the ``source`` column."""
-    expr = None
+def _chosen(low_text: Column, source: Column, field: str) -> Column:
+    """Word test of ``field`` with the list of the row's source preset; presets that
+    share a list share one test (keeps generated code small)."""
+    groups: dict[tuple, list[str]] = {}
     for name, preset in SOURCE_PRESET.items():
-        value = ingest_attributes(low_text, preset, contract)
-        expr = F.when(source == name, value) if expr is None else expr.when(source == name, value)
+        groups.setdefault(tuple(INGEST_PRESETS[preset][field]), []).append(name)
+    expr = None
+    for words, names in groups.items():
+        value = has_words(low_text, list(words))
+        expr = F.when(source.isin(*names), value) if expr is None else expr.when(source.isin(*names), value)
     return expr
 
 
+def ingest_type_by_source(low_text: Column, source: Column, contract: Column | None = None) -> Column:
+    api_sources = [n for n, p in SOURCE_PRESET.items() if INGEST_PRESETS[p]["contract_intern"]]
+    stage = _chosen(low_text, source, "stage")
+    if contract is not None and api_sources:
+        stage = stage | (source.isin(*api_sources) & F.coalesce(F.lower(contract).contains("intern"), F.lit(False)))
+    kind = label_by_rules([("STAGE_PFE", _chosen(low_text, source, "pfe")), ("STAGE", stage),
+                           ("ALTERNANCE", _chosen(low_text, source, "alternance"))], "CDI_OR_OTHER")
+    return F.when(source.isin(*SOURCE_PRESET), kind)
+
+
+def ingest_internship_by_source(low_text: Column, source: Column, contract: Column | None = None) -> Column:
+    return ingest_type_by_source(low_text, source, contract) != F.lit("CDI_OR_OTHER")
+
+
+def ingest_attributes_by_source(low_text: Column, source: Column, contract: Column | None = None) -> Column:
+    """The ``analytics_metadata`` struct with the word lists of the row's source."""
+    kind = ingest_type_by_source(low_text, source, contract)
+    pay = label_by_rules([(True, _chosen(low_text, source, "paid")), (False, has_words(low_text, V.UNPAID_WORDS))],
+                         F.lit(None).cast("boolean"))
+    mode = label_by_rules([
+        ("FULL_REMOTE", has_words(low_text, V.FULL_REMOTE_WORDS)),
+        ("HYBRID", _chosen(low_text, source, "hybrid")),
+        ("REMOTE_POSSIBLE", has_words(low_text, V.REMOTE_WORDS)),
+    ], "SUR_SITE")
+    return F.struct(
+        (kind != F.lit("CDI_OR_OTHER")).alias("is_internship"),
+        kind.alias("internship_type"),
+        duration_text(low_text).alias("internship_duration"),
+        pay.alias("is_remunerated"),
+        mode.alias("work_mode"),
+    )
+
+
 # --------------------------------------------------------------------------
 # facts parsed out of free text
 # --------------------------------------------------------------------------

@@ -12,10 +12,10 @@ capital marks the left boundary, the blank the right one. Starting the probe
 with a capital letter (rare) instead of a blank (every word) also makes each
 substring scan several times cheaper.
 
-Each keyword test is a plain ``contains`` inside one codegen'd projection: no
-shuffle, no Python, no higher-order function (those fall back to interpreted
-evaluation), one pass of the text per keyword, and overlapping keywords all
-count (a longer keyword does not hide a shorter one).
+All keywords are found in one regex pass (:func:`matched_probes`): no shuffle,
+no Python, no higher-order function (those fall back to interpreted
+evaluation), small generated code, and overlapping keywords all count (a longer
+keyword does not hide a shorter one).
 """
 
 from __future__ import annotations
@@ -65,23 +65,71 @@ def _as_array(joined: Column) -> Column:
     return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, SEP))
 
 
-def keyword_hits(norm_text: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> dict[str, Column]:
-    return {k: norm_text.contains(probe(k)) for k in keywords_in_order(taxonomy)}
-
-
-def matched_roles(hits: dict[str, Column]) -> Column:
+def trie_pattern(probes: list[str]) -> str:
+    """One regex matching any probe, as a character trie: at every node the
+    alternatives differ in their first character, so a position is rejected after
+    one comparison per branch; longer continuations come before the end of a
+    shorter probe, so the longest probe starting at a position is the one captured.
+    Probes are made of ASCII letters and blanks (no escaping needed)."""
+    trie: dict = {}
+    for p in probes:
+        node = trie
+        for ch in p:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        branches = [ch + emit(child) for ch, child in sorted(node.items()) if ch]
+        if "" in node:
+            branches.append("")
+        if len(branches) == 1:
+            return branches[0]
+        return "(?:" + "|".join(branches) + ")"
+
+    return emit(trie)
+
+
+def implied_by_longer(keywords: list[str]) -> dict[str, list[str]]:
+    """Keywords that are word-prefixes of longer keywords (both match at one start)."""
+    out = {}
+    for p in keywords:
+        longer = [k for k in keywords if k != p and (k + " ").startswith(p + " ")]
+        if longer:
+            out[p] = longer
+    return out
+
+
+def _lit_array(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def matched_probes(norm_text: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
+    """Probes found in the normalised text, distinct, in taxonomy order.
+
+    ``regexp_extract_all`` with a look-ahead reports the longest probe at every
+    word start (zero-width matches, so overlapping keywords are all seen); keywords
+    that are word-prefixes of a found longer keyword are added; ``array_intersect``
+    with the taxonomy-ordered literal puts the result in taxonomy order."""
+    kws = keywords_in_order(taxonomy)
+    found = F.regexp_extract_all(norm_text, F.lit("(?=(" + "(?=[A-Z])" + trie_pattern([probe(k) for k in kws]) + "))"),
+                                 F.lit(1))
+    for short, longer in implied_by_longer(kws).items():
+        found = F.array_union(found, F.when(F.arrays_overlap(found, _lit_array([probe(k) for k in longer])),
+                                            _lit_array([probe(short)]))
+                              .otherwise(F.array().cast("array<string>")))
+    return F.array_intersect(_lit_array([probe(k) for k in kws]), found)
+
+
+def matched_roles(probes: Column) -> Column:
     """array<string> of keywords found, in taxonomy order, each once."""
-    return _as_array(F.concat_ws(SEP, *[F.when(h, F.lit(k)) for k, h in hits.items()]))
+    joined = F.lower(F.array_join(probes, SEP))
+    return _as_array(F.rtrim(F.replace(joined, F.lit(" " + SEP), F.lit(SEP))))
 
 
-def matched_domains(hits: dict[str, Column], taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
+def matched_domains(probes: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
     """array<string> of domains with at least one matched keyword, in taxonomy order."""
-    parts = []
-    for domain, words in taxonomy.items():
-        any_hit = hits[words[0]]
-        for w in words[1:]:
-            any_hit = any_hit | hits[w]
-        parts.append(F.when(any_hit, F.lit(domain)))
+    parts = [F.when(F.arrays_overlap(probes, _lit_array([probe(k) for k in words])), F.lit(domain))
+             for domain, words in taxonomy.items()]
     return _as_array(F.concat_ws(SEP, *parts))
 
 
@@ -96,7 +144,7 @@ def tag_keywords(df: DataFrame, text_cols: list[str], taxonomy: dict[str, list[s
     ``text_cols`` (title first, as at capture time)."""
     check_taxonomy(taxonomy)
     text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
-    # One projection: the normalised text and every keyword test are common
-    # subexpressions of both arrays, so each is evaluated once per row.
-    hits = keyword_hits(normalise(text), taxonomy)
-    return df.select("*", matched_roles(hits).alias(roles_col), matched_domains(hits, taxonomy).alias(domains_col))
+    found = df.select("*", matched_probes(normalise(text), taxonomy).alias("_probes"))
+    return found.select(*[F.col(c) for c in df.columns],
+                        matched_roles(F.col("_probes")).alias(roles_col),
+                        matched_domains(F.col("_probes"), taxonomy).alias(domains_col))

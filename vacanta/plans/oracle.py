@@ -46,6 +46,23 @@ def has(text: str, words) -> str:
     return f"regexp_matches({text}, {q(bounded(words))})"
 
 
+def parse_ts(s: str) -> str:
+    """ISO text to a UTC timestamp: an explicit offset or Z is applied, text without
+    one is read as UTC (independent of the DuckDB session time zone)."""
+    return (f"CASE WHEN regexp_matches({s}, '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$') "
+            f"THEN CAST(timezone('UTC', TRY_CAST({s} AS TIMESTAMPTZ)) AS TIMESTAMP) "
+            f"ELSE TRY_CAST({s} AS TIMESTAMP) END")
+
+
+def parse_wall_clock(s: str) -> str:
+    head = f"replace(split_part({s}, '.', 1), 'Z', '')"
+    return f"TRY_CAST(regexp_replace({head}, '[+-][0-9]{{2}}:[0-9]{{2}}$', '') AS TIMESTAMP)"
+
+
+def recent(ts: str, as_of: str, days: int = 60) -> str:
+    return (f"({ts} IS NULL OR floor((epoch_us(TIMESTAMP '{as_of}') - epoch_us({ts})) / 86400000000.0) <= {days})")
+
+
 def pick(values, index_sql: str) -> str:
     return f"{lst(values)}[({index_sql}) + 1]"
 
@@ -98,16 +115,19 @@ normed AS (
 roled AS (
   SELECT *, list_filter({lst(keywords())}, lambda k: contains(norm, ' ' || k || ' ')) AS roles FROM normed
 ),
+tagged AS (
+  SELECT *, list_filter([{domain_hits}], lambda x: x IS NOT NULL) AS domains FROM roled
+),
 postings AS (
   SELECT doc_id, source, source_job_id, raw_title,
     coalesce(company, {q(V.UNSPECIFIED)}) AS company_name,
     location_country,
     coalesce(city, {q(V.UNSPECIFIED)}) AS location_city,
-    CAST(timezone('UTC', TRY_CAST(created AS TIMESTAMPTZ)) AS TIMESTAMP) AS publication_date,
+    {parse_ts('created')} AS publication_date,
     created, raw_description, raw_contract,
-    list_filter([{domain_hits}], lambda x: x IS NOT NULL) AS matched_domains,
+    domains AS matched_domains,
     roles AS matched_roles
-  FROM roled
+  FROM tagged
 )"""
 
 
@@ -157,11 +177,11 @@ def pay_sql(low: str, paid=V.PAID_WORDS) -> str:
             f"WHEN {has(low, V.UNPAID_WORDS)} THEN false ELSE NULL END")
 
 
-def enriched_cte() -> str:
+def enriched_cte(src: str = "postings") -> str:
     """Derived attributes (before de-duplication)."""
     return f"""
 lowered AS (
-  SELECT *, lower(concat_ws(' ', raw_title, raw_description, raw_contract)) AS low FROM postings
+  SELECT *, lower(concat_ws(' ', raw_title, raw_description, raw_contract)) AS low FROM {src}
 ),
 flagged AS (
   SELECT *,
@@ -207,8 +227,8 @@ silver AS (
 )"""
 
 
-def with_silver(body: str) -> str:
-    return "WITH " + postings_cte() + "," + enriched_cte() + "," + silver_cte() + "\n" + body
+def with_silver(body: str, extra: str = "", src: str = "postings") -> str:
+    return "WITH " + postings_cte() + "," + extra + enriched_cte(src) + "," + silver_cte() + "\n" + body
 
 
 def with_postings(body: str) -> str:
@@ -217,3 +237,83 @@ def with_postings(body: str) -> str:
 
 def with_enriched(body: str) -> str:
     return "WITH " + postings_cte() + "," + enriched_cte() + "\n" + body
+
+ORDERS_AS_OF = "1998-08-01 00:00:00"
+EVENTS_AS_OF = "2024-03-10"
+EVENTS_CUTOFF = "2024-01-20 00:00:00"
+
+
+# ---------------------------------------------------------------------------
+# ingest-time rules
+# ---------------------------------------------------------------------------
+
+INGEST = {
+    "api": dict(pfe=V.INGEST_PFE_WORDS_API, stage=V.INGEST_STAGE_WORDS_API, alt=V.INGEST_ALTERNANCE_WORDS_API,
+                paid=V.INGEST_PAID_WORDS_API, hybrid=V.INGEST_HYBRID_WORDS_API, contract=True),
+    "page_a": dict(pfe=V.INGEST_PFE_WORDS_API, stage=V.INGEST_STAGE_WORDS_PAGES, alt=V.INGEST_ALTERNANCE_WORDS_PAGES,
+                   paid=V.INGEST_PAID_WORDS_PAGES, hybrid=V.HYBRID_WORDS, contract=False),
+    "page_b": dict(pfe=V.INGEST_PFE_WORDS_PAGES, stage=V.INGEST_STAGE_WORDS_PAGES, alt=V.INGEST_ALTERNANCE_WORDS_PAGES,
+                   paid=V.INGEST_PAID_WORDS_PAGES, hybrid=V.HYBRID_WORDS, contract=False),
+}
+INGEST["page_c"] = INGEST["page_b"]
+SOURCE_PRESET = dict(zip(V.SOURCES, ["api", "page_a", "page_b", "page_c"]))
+
+
+def _per_source(fn) -> str:
+    return "CASE source " + " ".join(f"WHEN {q(src)} THEN {fn(INGEST[p])}" for src, p in SOURCE_PRESET.items()) + " END"
+
+
+def ingest_type_sql(low: str, contract: str) -> str:
+    def one(p):
+        stage = has(low, p["stage"])
+        if p["contract"]:
+            stage = f"({stage} OR coalesce(contains(lower({contract}), 'intern'), false))"
+        return (f"CASE WHEN {has(low, p['pfe'])} THEN 'STAGE_PFE' WHEN {stage} THEN 'STAGE' "
+                f"WHEN {has(low, p['alt'])} THEN 'ALTERNANCE' ELSE 'CDI_OR_OTHER' END")
+    return _per_source(one)
+
+
+def ingest_pay_sql(low: str) -> str:
+    return _per_source(lambda p: pay_sql(low, p["paid"]))
+
+
+def ingest_mode_sql(low: str) -> str:
+    return _per_source(lambda p: work_mode_sql(low, p["hybrid"]))
+
+
+def ingest_cte(src: str = "raw_postings") -> str:
+    low = "lower(concat_ws(' ', coalesce(raw_title, ''), coalesce(raw_description, '')))"
+    return f"""
+ingest_low AS (SELECT *, {low} AS ilow FROM {src}),
+ingest AS (
+  SELECT *, {ingest_type_sql('ilow', 'raw_contract')} AS internship_type,
+    {ingest_pay_sql('ilow')} AS ingest_pay,
+    {ingest_mode_sql('ilow')} AS ingest_mode,
+    nullif(regexp_extract(ilow, {q(DURATION_TEXT)}, 0), '') AS internship_duration
+  FROM ingest_low
+)"""
+
+
+# ---------------------------------------------------------------------------
+# facts parsed out of free text
+# ---------------------------------------------------------------------------
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{S}+|{S}+$', '', 'g')"
+
+
+COMPANY = (r"(?i)" + alt(V.COMPANY_VERBS) + S + r"+(?:chez" + S + r"+)?([A-Za-z0-9\s\x{0B}\x{85}\p{Z}&]+?)"
+           r"(?:" + "|".join(S + "+" + w for w in V.COMPANY_STOPS) + "|" + S + r"*-|" + S + r"*:|$)")
+
+
+def company_sql(t: str) -> str:
+    name = strip_sql(f"regexp_extract({strip_sql(t)}, {q(COMPANY)}, 1)")
+    return f"CASE WHEN length({name}) > 2 AND length({name}) < 40 THEN {name} ELSE {q(V.UNSPECIFIED)} END"
+
+
+def city_sql(t: str) -> str:
+    whens = " ".join(
+        f"WHEN regexp_matches({t}, {q('(?i)(?:^|[^' + W + '])' + rx_escape(c) + '(?:[^' + W + ']|$)')}) THEN {q(c)}"
+        for c in V.TEXT_CITIES)
+    return f"CASE {whens} ELSE {q(V.MOROCCO)} END"
+EVENTS_FUTURE_AS_OF = "2024-01-15"

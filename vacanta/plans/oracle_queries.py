@@ -45,3 +45,193 @@ FROM (SELECT DISTINCT domain, coalesce(role_keyword, 'Generaliste') AS role_keyw
       FROM (SELECT primary_domain AS domain, unnest(CASE WHEN len(matched_roles) = 0 OR matched_roles IS NULL
                    THEN [NULL] ELSE matched_roles END) AS role_keyword FROM silver))"""),
 }
+
+# ---------------------------------------------------------------------------
+# the rest of the inventory
+# ---------------------------------------------------------------------------
+
+from .oracle import (AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS,  # noqa: E402
+                     city_sql, company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, q, recent)
+from ..functions import vocab as V  # noqa: E402
+
+_DIMS = """
+dimc AS (SELECT row_number() OVER (ORDER BY company_name NULLS FIRST) AS company_id, company_name
+         FROM (SELECT DISTINCT company_name FROM silver)),
+diml AS (SELECT row_number() OVER (ORDER BY location_country NULLS FIRST, location_city NULLS FIRST) AS location_id,
+                location_country, location_city
+         FROM (SELECT DISTINCT location_country, location_city FROM silver))
+"""
+
+
+SQL["fact_postings"] = with_silver(f"""
+, {_DIMS.strip()}
+SELECT s.job_fingerprint, s.source, s.source_job_id AS job_url, s.job_title_clean AS job_title,
+  CAST(c.company_id AS BIGINT) AS company_id, CAST(l.location_id AS BIGINT) AS location_id,
+  CAST(s.publication_date AS DATE) AS publication_date, s.contract_type, s.work_mode, s.is_internship,
+  s.is_remunerated, s.primary_domain, s.year, s.month
+FROM silver s LEFT JOIN dimc c ON s.company_name = c.company_name
+  LEFT JOIN diml l ON s.location_country = l.location_country AND s.location_city = l.location_city""")
+
+SQL["fact_internships"] = with_silver(f"""
+, {_DIMS.strip()}
+SELECT s.job_fingerprint, s.source, s.source_job_id AS job_url, s.job_title_clean AS job_title,
+  CAST(c.company_id AS BIGINT) AS company_id, CAST(l.location_id AS BIGINT) AS location_id,
+  CAST(s.publication_date AS DATE) AS publication_date, s.internship_category, s.duration_months,
+  s.duration_bracket, s.is_remunerated, s.work_mode, s.primary_domain, s.year, s.month
+FROM silver s LEFT JOIN dimc c ON s.company_name = c.company_name
+  LEFT JOIN diml l ON s.location_country = l.location_country AND s.location_city = l.location_city
+WHERE s.is_internship""")
+
+SQL["layer_summary"] = with_silver("""
+SELECT 'dim_company' AS "table", CAST(count(DISTINCT company_name) AS BIGINT) AS "rows" FROM silver
+UNION ALL SELECT 'dim_location', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT location_country, location_city FROM silver)
+UNION ALL SELECT 'fact_job_postings', CAST(count(*) AS BIGINT) FROM silver
+UNION ALL SELECT 'fact_internships_pfe', CAST(count(*) AS BIGINT) FROM silver WHERE is_internship""")
+
+_ALLOWED = "(" + ", ".join(q(d) for d in V.ALLOWED_DOMAINS) + ")"
+
+SQL["quality_report"] = with_silver(f"""
+, stats AS (
+  SELECT CAST(count(*) AS BIGINT) AS total,
+    CAST(count(*) FILTER (WHERE job_fingerprint IS NULL OR source_job_id IS NULL) AS BIGINT) AS null_keys,
+    CAST(count(DISTINCT job_fingerprint) + coalesce(max(CASE WHEN job_fingerprint IS NULL THEN 1 ELSE 0 END), 0)
+         AS BIGINT) AS distinct_keys,
+    CAST(count(*) FILTER (WHERE publication_date > CAST(DATE '{AS_OF}' AS TIMESTAMP)) AS BIGINT) AS future_dates
+  FROM silver),
+bad AS (SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT primary_domain FROM silver)
+        WHERE primary_domain IS NULL OR primary_domain NOT IN {_ALLOWED})
+SELECT 'non_empty' AS "check", 'critical' AS severity, total AS observed, total > 0 AS passed FROM stats
+UNION ALL SELECT 'key_completeness', 'critical', null_keys, null_keys = 0 FROM stats
+UNION ALL SELECT 'key_uniqueness', 'critical', total - distinct_keys, total - distinct_keys = 0 FROM stats
+UNION ALL SELECT 'domain_validity', 'critical', n, n = 0 FROM bad
+UNION ALL SELECT 'future_dates', 'warning', future_dates, future_dates = 0 FROM stats""")
+
+SQL["duplicate_keys"] = with_enriched("""
+SELECT job_fingerprint, CAST(count(*) AS BIGINT) AS n_rows FROM enriched GROUP BY job_fingerprint HAVING count(*) > 1""")
+
+SQL["invalid_domains"] = with_silver(f"""
+SELECT domain FROM (SELECT DISTINCT primary_domain AS domain FROM silver)
+WHERE domain IS NULL OR domain NOT IN {_ALLOWED}""")
+
+SQL["ingest_attributes"] = "WITH " + postings_cte() + "," + ingest_cte() + """
+SELECT doc_id, source, internship_type <> 'CDI_OR_OTHER' AS is_internship, internship_type,
+  ingest_pay AS is_remunerated, ingest_mode AS work_mode FROM ingest"""
+
+SQL["duration_text"] = "WITH " + postings_cte() + "," + ingest_cte() + """
+SELECT doc_id, internship_duration FROM ingest"""
+
+SQL["city_from_text"] = with_postings(f"""
+SELECT doc_id, {city_sql("concat_ws(' ', raw_title, raw_description)")} AS location_city FROM raw_postings""")
+
+SQL["company_from_text"] = with_postings(f"""
+SELECT doc_id, {company_sql("concat_ws(' ', raw_title, raw_description)")} AS company FROM raw_postings""")
+
+_ORDER_DATES = """
+order_dates AS (
+  SELECT o_orderkey, CASE o_orderkey % 11
+      WHEN 0 THEN NULL WHEN 1 THEN 'n/a'
+      WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z'
+      WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.250+02:00'
+      WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-05:00'
+      ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS created
+  FROM orders)"""
+
+SQL["recency_filter"] = f"""WITH {_ORDER_DATES}
+SELECT o_orderkey, created FROM order_dates WHERE {recent(parse_wall_clock('created'), ORDERS_AS_OF)}"""
+
+SQL["partition_counts"] = f"""WITH {_ORDER_DATES}
+SELECT CAST(coalesce(year(ts), {V.DEFAULT_YEAR}) AS INTEGER) AS year,
+  CAST(coalesce(month(ts), {V.DEFAULT_MONTH}) AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT {parse_ts('created')} AS ts FROM order_dates) GROUP BY ALL"""
+
+SQL["future_dates"] = f"""
+SELECT event_type, CAST(count(*) FILTER (WHERE ts > CAST(DATE '{EVENTS_FUTURE_AS_OF}' AS TIMESTAMP)) AS BIGINT) AS n_future,
+  CAST(count(*) AS BIGINT) AS n_rows
+FROM events GROUP BY event_type"""
+
+_RELEVANT = (f"CASE WHEN source = {q(V.SOURCES[0])} THEN len(matched_domains) > 0 "
+             f"ELSE len(matched_domains) > 0 OR internship_type <> 'CDI_OR_OTHER' END")
+
+SQL["relevance_filter"] = "WITH " + postings_cte() + "," + ingest_cte("postings") + f"""
+SELECT doc_id, source FROM ingest WHERE {_RELEVANT}"""
+
+_EVENTS = f"""
+e AS (SELECT *, concat_ws(':', event_type, CAST(user_id AS VARCHAR),
+                  CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 AS VARCHAR)) AS capture_key FROM events),
+kept AS (SELECT * FROM e WHERE {recent('ts', EVENTS_AS_OF)} AND event_type <> 'error')"""
+
+SQL["incremental_capture"] = f"""WITH {_EVENTS},
+seen AS (SELECT DISTINCT capture_key FROM e WHERE ts < TIMESTAMP '{EVENTS_CUTOFF}'),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn
+           FROM kept WHERE ts >= TIMESTAMP '{EVENTS_CUTOFF}')
+SELECT capture_key, event_id, user_id, event_type, ts FROM firsts
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.capture_key = firsts.capture_key)"""
+
+SQL["capture_history"] = f"""WITH {_EVENTS},
+firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key
+             ORDER BY CAST(ts AS DATE) NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM kept)
+SELECT CAST(ts AS DATE) AS run_date, CAST(count(*) AS BIGINT) AS new_records_count FROM firsts WHERE rn = 1 GROUP BY 1"""
+
+SQL["batch_summary"] = "WITH " + postings_cte() + "," + ingest_cte("postings") + f""",
+firsts AS (SELECT *, row_number() OVER (PARTITION BY source, source_job_id ORDER BY doc_id) AS rn
+           FROM ingest WHERE {_RELEVANT})
+SELECT source, 'bronze_delta' AS pipeline_stage, strftime(TIMESTAMP '{RUN_TS}', '%Y-%m-%d') AS run_date,
+  strftime(TIMESTAMP '{RUN_TS}', '%H%M%S') AS run_time, CAST(count(*) AS BIGINT) AS new_records_count,
+  CAST(count(*) FILTER (WHERE internship_type <> 'CDI_OR_OTHER') AS BIGINT) AS internships_count,
+  CAST({len(V.TAXONOMY)} AS INTEGER) AS n_domains_covered
+FROM firsts WHERE rn = 1 GROUP BY source"""
+
+SQL["canonical_union"] = f"""
+SELECT 'documents_api' AS source, CAST(doc_id AS VARCHAR) AS source_job_id, split_part(text, chr(10), 1) AS raw_title,
+  coalesce(CASE WHEN n_chars % 20 = 0 THEN NULL ELSE lang END, {q(V.UNSPECIFIED)}) AS company_name,
+  coalesce(CASE WHEN doc_id % 9 = 0 THEN NULL ELSE upper(lang) END, {q(V.API_DEFAULT_COUNTRY)}) AS location_country,
+  coalesce(CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END, {q(V.UNSPECIFIED)}) AS location_city,
+  {parse_ts(__import__('vacanta.plans.oracle', fromlist=['publication_text_sql']).publication_text_sql())} AS publication_date,
+  coalesce(text, '') AS raw_description,
+  coalesce(CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END, '') AS raw_contract
+FROM documents
+UNION ALL
+SELECT 'conversations_page', concat_ws('/', 'conv', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)), role,
+  coalesce(CASE WHEN turn % 3 = 0 THEN NULL ELSE 'C' || CAST(conv_id AS VARCHAR) END, {q(V.UNSPECIFIED)}),
+  {q(V.MOROCCO)}, coalesce(CASE WHEN conv_id % 2 = 0 THEN NULL ELSE 'Rabat' END, {q(V.MOROCCO)}),
+  CAST(NULL AS TIMESTAMP),
+  concat_ws(' ', coalesce(text, ''), coalesce(CASE WHEN turn % 4 = 0 THEN NULL ELSE role END, '')),
+  coalesce(CASE WHEN turn % 4 = 0 THEN NULL ELSE role END, '')
+FROM conversations
+UNION ALL
+SELECT 'conversations_flat', concat_ws('/', 'conv', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)), role,
+  coalesce(CASE WHEN turn % 3 = 0 THEN NULL ELSE 'C' || CAST(conv_id AS VARCHAR) END, {q(V.UNSPECIFIED)}),
+  {q(V.MOROCCO)}, {q(V.MOROCCO)},
+  CAST(NULL AS TIMESTAMP),
+  concat_ws(' ', coalesce(text, ''), coalesce(CASE WHEN turn % 4 = 0 THEN NULL ELSE role END, '')),
+  coalesce(CASE WHEN turn % 4 = 0 THEN NULL ELSE role END, '')
+FROM conversations"""
+
+_CANON = f"""
+canon AS (
+  SELECT doc_id, source, source_job_id, raw_title,
+    coalesce(company, {q(V.UNSPECIFIED)}) AS company_name,
+    CASE WHEN source = {q(V.SOURCES[0])} THEN coalesce(location_country, {q(V.API_DEFAULT_COUNTRY)})
+         ELSE {q(V.MOROCCO)} END AS location_country,
+    CASE WHEN source = {q(V.SOURCES[0])} THEN coalesce(city, {q(V.UNSPECIFIED)})
+         WHEN source = {q(V.SOURCES[1])} THEN {q(V.MOROCCO)}
+         ELSE coalesce(city, {q(V.MOROCCO)}) END AS location_city,
+    {parse_ts('created')} AS publication_date,
+    CASE WHEN source = {q(V.SOURCES[0])} THEN coalesce(raw_description, '')
+         ELSE concat_ws(' ', coalesce(raw_description, ''), coalesce(raw_contract, '')) END AS raw_description,
+    coalesce(raw_contract, '') AS raw_contract,
+    domains AS matched_domains, roles AS matched_roles
+  FROM tagged
+),"""
+
+SQL["bronze_silver"] = with_silver("""
+SELECT job_fingerprint, source, source_job_id, job_title_clean, company_name, location_country, location_city,
+  publication_date, contract_type, is_internship, internship_category, duration_months, duration_bracket,
+  is_remunerated, work_mode, primary_domain, ingested_at, year, month,
+  array_to_string(matched_domains, '|') AS matched_domains, array_to_string(matched_roles, '|') AS matched_roles
+FROM silver""", extra=_CANON, src="canon")
+
+SQL["bronze_envelopes"] = "WITH " + postings_cte() + "," + ingest_cte() + """
+SELECT source, CAST(count(*) AS BIGINT) AS new_records_count,
+  CAST(count(*) FILTER (WHERE internship_type <> 'CDI_OR_OTHER') AS BIGINT) AS internships_count
+FROM ingest GROUP BY source"""

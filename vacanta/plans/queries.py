@@ -6,14 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions import rules as R
 from ..functions import tagging as T
-from ..operators import star
-from ..operators.dedup import dedupe_postings
+from ..functions import vocab as V
+from ..operators import capture, mapping, quality, star
+from ..session import scratch_path
+from ..sources.batches import read_batches
 from ..sources.tables import table, text_table
+from . import bronze as B
 from . import postings as P
 from . import silver as S
-from .oracle import AS_OF, RUN_TS
+from .oracle import AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS
 
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +114,231 @@ def dim_taxonomy(spark, sf_dir):
     return star.dim_taxonomy(_silver(spark, sf_dir))
 
 
+def _gold(spark, sf_dir):
+    return star.build_gold(_silver(spark, sf_dir))
+
+
+def fact_postings(spark, sf_dir):
+    return _gold(spark, sf_dir)["fact_job_postings"]
+
+
+def fact_internships(spark, sf_dir):
+    return _gold(spark, sf_dir)["fact_internships_pfe"]
+
+
+def layer_summary(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return star.layer_summary({k: g[k] for k in ("dim_company", "dim_location", "fact_job_postings",
+                                                 "fact_internships_pfe")})
+
+
+# --- Q1-Q6, U2 -----------------------------------------------------------------
+
+def quality_report(spark, sf_dir):
+    return quality.run_checks(_silver(spark, sf_dir), AS_OF)
+
+
+def duplicate_keys(spark, sf_dir):
+    """Offending keys of the enriched rows before de-duplication."""
+    return quality.duplicate_keys(_enriched(spark, sf_dir))
+
+
+def invalid_domains(spark, sf_dir):
+    """Primary domains of the silver table outside the allow-list (null-safe)."""
+    return quality.invalid_domains(_silver(spark, sf_dir), quality.allowed_domains(spark))
+
+
+# --- C9-C12 ------------------------------------------------------------------
+
+def _ingest(spark, sf_dir):
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
+    return raw.select("doc_id", "source", "raw_title", "raw_description",
+                      R.ingest_attributes_by_source(low, F.col("source"), F.col("raw_contract")).alias("m"))
+
+
+def ingest_attributes(spark, sf_dir):
+    return _ingest(spark, sf_dir).select(
+        "doc_id", "source", "m.is_internship", "m.internship_type", "m.is_remunerated", "m.work_mode")
+
+
+def duration_text(spark, sf_dir):
+    return _ingest(spark, sf_dir).select("doc_id", F.col("m.internship_duration").alias("internship_duration"))
+
+
+# --- C13 -----------------------------------------------------------------------
+
+def _card_text(spark, sf_dir):
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    return raw.select("doc_id", F.concat_ws(" ", "raw_title", "raw_description").alias("t"))
+
+
+def city_from_text(spark, sf_dir):
+    return _card_text(spark, sf_dir).select("doc_id", R.first_listed(F.col("t")).alias("location_city"))
+
+
+def company_from_text(spark, sf_dir):
+    return _card_text(spark, sf_dir).select("doc_id", R.company_from_text(F.col("t")).alias("company"))
+
+
+# --- F1, F6, P11-P13 -------------------------------------------------------------
+
+def _order_dates(spark, sf_dir):
+    """Order dates as capture-time text in several ISO shapes, some malformed."""
+    o = table(spark, sf_dir, "orders")
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    r = F.col("o_orderkey") % 11
+    text = (F.when(r == 0, F.lit(None).cast("string"))
+             .when(r == 1, F.lit("n/a"))
+             .when(r == 2, F.concat(stamp, F.lit("Z")))
+             .when(r == 3, F.concat(stamp, F.lit(".250+02:00")))
+             .when(r == 4, F.concat(stamp, F.lit("-05:00")))
+             .otherwise(stamp))
+    return o.select("o_orderkey", text.alias("created"))
+
+
+def recency_filter(spark, sf_dir):
+    d = _order_dates(spark, sf_dir)
+    ts = C.parse_wall_clock(F.col("created"))
+    return d.filter(C.recent(ts, ORDERS_AS_OF)).select("o_orderkey", "created")
+
+
+def partition_counts(spark, sf_dir):
+    d = _order_dates(spark, sf_dir)
+    year, month = C.partition_parts(C.parse_timestamp(F.col("created")))
+    return d.select(year, month).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def future_dates(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy("event_type").agg(
+        F.count_if(C.in_future(F.col("ts"), EVENTS_FUTURE_AS_OF)).alias("n_future"),
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- F2, F3 --------------------------------------------------------------------
+
+def _relevant(source, domains, internship):
+    """API postings need a domain; page postings a domain or an internship."""
+    page = source != F.lit(V.SOURCES[0])
+    return C.relevant(domains, F.coalesce(page, F.lit(False)) & F.coalesce(internship, F.lit(False)))
+
+
+def relevance_filter(spark, sf_dir):
+    p = _postings(spark, sf_dir)
+    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
+    intern = R.ingest_internship_by_source(low, F.col("source"), F.col("raw_contract"))
+    # any matched keyword implies a domain; testing the roles array keeps the pushed-down
+    # filter from inlining the per-domain expressions
+    return p.filter(_relevant(F.col("source"), F.col("matched_roles"), intern)).select(
+        "doc_id", "source")
+
+
+# --- D-3, J3, S8, U3 -------------------------------------------------------------
+
+def _event_keys(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    bucket = (F.get_json_object("props", "$.k").try_cast("int") % 7).cast("string")
+    return e.withColumn("capture_key", F.concat_ws(":", F.col("event_type"), F.col("user_id").cast("string"), bucket))
+
+
+def _event_keep():
+    return C.recent(F.col("ts"), EVENTS_AS_OF) & (F.col("event_type") != F.lit("error"))
+
+
+def incremental_capture(spark, sf_dir):
+    """Today's candidates (events from the cut-off on) against the keys seen before."""
+    e = _event_keys(spark, sf_dir)
+    seen = e.filter(F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp")).select("capture_key")
+    cand = e.filter(F.col("ts") >= F.lit(EVENTS_CUTOFF).cast("timestamp"))
+    new = capture.capture_new(cand, seen, ["capture_key"], [F.col("ts"), F.col("event_id")], keep=_event_keep())
+    return new.select("capture_key", "event_id", "user_id", "event_type", "ts")
+
+
+def capture_history(spark, sf_dir):
+    """Daily runs replayed at once: rows captured per day."""
+    e = _event_keys(spark, sf_dir).withColumn("run_date", F.to_date("ts"))
+    first = capture.first_capture_history(e, ["capture_key"], "run_date", [F.col("ts"), F.col("event_id")],
+                                          keep=_event_keep())
+    return first.groupBy("run_date").agg(F.count(F.lit(1)).alias("new_records_count"))
+
+
+def batch_summary(spark, sf_dir):
+    """One capture run over the postings view (empty state), summarised per source."""
+    p = _postings(spark, sf_dir)
+    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
+    p = p.withColumn("m", R.ingest_attributes_by_source(low, F.col("source"), F.col("raw_contract")))
+    keep = _relevant(F.col("source"), F.col("matched_domains"), F.col("m.is_internship"))
+    new = capture.capture_new(p, None, ["source", "source_job_id"], [F.col("doc_id")], keep=keep)
+    s = capture.batch_summary(new, C.as_timestamp(RUN_TS), internship=F.col("m.is_internship"),
+                              domains=list(V.TAXONOMY))
+    return s.select("source", "pipeline_stage", "run_date", "run_time", "new_records_count", "internships_count",
+                    F.size("domains_covered").alias("n_domains_covered"))
+
+
+# --- P1-P5, S2, U1: canonical mapping of two differently shaped tables -----------
+
+def canonical_union(spark, sf_dir):
+    docs = text_table(spark, sf_dir, "documents")
+    convs = text_table(spark, sf_dir, "conversations")
+    api = docs.select(F.struct(
+        F.col("doc_id").alias("id"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.col("text").alias("description"),
+        P.publication_text(F.col("doc_id")).alias("created"),
+        F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(F.col("source")).alias("contract_type"),
+        F.struct(F.when(F.col("n_chars") % 20 == 0, F.lit(None)).otherwise(F.col("lang")).alias("display_name"))
+        .alias("company"),
+        F.struct(F.when(F.col("doc_id") % 9 == 0, F.array().cast("array<string>"))
+                  .otherwise(F.array(F.upper("lang"))).alias("area"),
+                 F.when(F.col("doc_id") % 6 == 0, F.lit(None)).otherwise(F.col("source")).alias("display_name"))
+        .alias("location"),
+        F.array().cast("array<string>").alias("matched_domains"),
+        F.array().cast("array<string>").alias("matched_roles")).alias("r"))
+    page = convs.select(F.struct(
+        F.concat_ws("/", F.lit("conv"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("job_url"),
+        F.col("role").alias("title"),
+        F.when(F.col("turn") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), F.col("conv_id").cast("string")))
+        .alias("company"),
+        F.col("text").alias("summary"),
+        F.when(F.col("turn") % 4 == 0, F.lit(None)).otherwise(F.col("role")).alias("raw_metadata"),
+        F.when(F.col("conv_id") % 2 == 0, F.lit(None)).otherwise(F.lit("Rabat")).alias("location_city"),
+        F.lit(None).cast("string").alias("scraped_at"),
+        F.array().cast("array<string>").alias("matched_domains"),
+        F.array().cast("array<string>").alias("matched_roles")).alias("r"))
+    mapped = mapping.union_sources([
+        mapping.map_to_canonical(api, mapping.api_spec("documents_api")),
+        mapping.map_to_canonical(page, mapping.page_spec("conversations_page", city_field=True)),
+        mapping.map_to_canonical(page, mapping.page_spec("conversations_flat", city_field=False)),
+    ])
+    return mapped.drop("matched_domains", "matched_roles")
+
+
+# --- S1-S9, X4: landed bronze batches read back into silver ------------------------
+
+def bronze_silver(spark, sf_dir):
+    root = scratch_path(spark, "bronze")
+    B.land_bronze(text_table(spark, sf_dir, "documents"), root, C.as_timestamp(RUN_TS), chunk_rows=100)
+    unified, _rejects, _skipped = read_batches(spark, root)
+    s = S.build_silver(unified, RUN_TS)
+    cols = [c for c in S.SILVER_COLUMNS if c not in ("matched_domains", "matched_roles")]
+    return s.select(*cols, _joined("matched_domains").alias("matched_domains"),
+                    _joined("matched_roles").alias("matched_roles"))
+
+
+def bronze_envelopes(spark, sf_dir):
+    """Envelope metadata of the landed batches, summed per source."""
+    root = scratch_path(spark, "bronze")
+    B.land_bronze(text_table(spark, sf_dir, "documents"), root, C.as_timestamp(RUN_TS), chunk_rows=100)
+    from ..sources.batches import RECORD_SCHEMAS, read_envelopes, source_path
+    parts = [read_envelopes(spark, source_path(root, name), schema).select("metadata")
+             for name, schema in RECORD_SCHEMAS.items()]
+    env = mapping.union_sources(parts)
+    return env.groupBy(F.col("metadata.source").alias("source")).agg(
+        F.sum("metadata.new_records_count").alias("new_records_count"),
+        F.sum("metadata.internships_count").alias("internships_count"))
+
+
 QUERIES = {
     "tag_keywords": tag_keywords,
     "fingerprint": fingerprint,
@@ -125,6 +354,24 @@ QUERIES = {
     "dim_company": dim_company,
     "dim_location": dim_location,
     "dim_taxonomy": dim_taxonomy,
+    "fact_postings": fact_postings,
+    "fact_internships": fact_internships,
+    "layer_summary": layer_summary,
+    "quality_report": quality_report,
+    "duplicate_keys": duplicate_keys,
+    "invalid_domains": invalid_domains,
+    "ingest_attributes": ingest_attributes,
+    "duration_text": duration_text,
+    "city_from_text": city_from_text,
+    "company_from_text": company_from_text,
+    "recency_filter": recency_filter,
+    "partition_counts": partition_counts,
+    "future_dates": future_dates,
+    "relevance_filter": relevance_filter,
+    "incremental_capture": incremental_capture,
+    "capture_history": capture_history,
+    "batch_summary": batch_summary,
+    "canonical_union": canonical_union,
+    "bronze_silver": bronze_silver,
+    "bronze_envelopes": bronze_envelopes,
 }
-
-__all__ = ["QUERIES", "AS_OF", "R"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint_dir
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -16,15 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread CPU-heavy text rows over the cluster when the scan yields too few splits.
 
-    A parquet file is split by row groups; a table stored as one large row group
-    reaches the text rules as a single task. When the scan has fewer partitions
-    than the default parallelism, rows are redistributed round-robin (no key, so
-    no skew); at scale, where inputs have many splits, this is a no-op and no
-    shuffle is added."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    A parquet file is split by row groups (and a multi-line JSON file not at all);
+    such an input reaches the text rules as a single task. When the scan has fewer
+    partitions than the default parallelism, rows are redistributed round-robin (no
+    key, so no skew) and the result is checkpointed into the shared checkpoint
+    folder: later filters on derived columns cannot be pushed back below the
+    redistribution, and a lost executor does not re-read the unsplittable input. At
+    scale, where inputs have many splits, this is a no-op: no shuffle, no copy."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    checkpoint_dir(spark)
+    return df.repartition(target).checkpoint(eager=True)
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
