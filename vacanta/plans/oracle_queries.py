@@ -235,3 +235,22 @@ SQL["bronze_envelopes"] = "WITH " + postings_cte() + "," + ingest_cte() + """
 SELECT source, CAST(count(*) AS BIGINT) AS new_records_count,
   CAST(count(*) FILTER (WHERE internship_type <> 'CDI_OR_OTHER') AS BIGINT) AS internships_count
 FROM ingest GROUP BY source"""
+
+from .oracle import city_sql as _city, company_sql as _company  # noqa: E402
+
+SQL["page_cards"] = f"""
+WITH anchors AS (
+  SELECT page_id, url, unnest(l) AS a, generate_subscripts(l, 1) AS i
+  FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') AS l FROM pages)),
+cards AS (
+  SELECT page_id, CAST(i - 1 AS INTEGER) AS card_pos,
+    regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || regexp_extract(a, 'href="([^"]*)"', 1) AS job_url,
+    trim(regexp_extract(a, '>([^<]*)</a>', 1)) AS title,
+    trim(regexp_extract(a, '>([^<]*)</a>', 1)) AS card_text
+  FROM anchors),
+kept AS (SELECT * FROM cards WHERE length(title) >= 5),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY page_id, card_pos) AS rn FROM kept)
+SELECT page_id, card_pos, job_url, title, substr(card_text, 1, 500) AS summary,
+  {_company("concat_ws(' ', title, card_text)")} AS company,
+  {_city("concat_ws(' ', title, card_text)")} AS location_city
+FROM firsts WHERE rn = 1"""

@@ -10,7 +10,8 @@ from ..functions import columns as C
 from ..functions import rules as R
 from ..functions import tagging as T
 from ..functions import vocab as V
-from ..operators import capture, mapping, quality, star
+from ..operators import capture, cards, mapping, quality, star
+from ..operators.dedup import first_arrival
 from ..session import scratch_path
 from ..sources.batches import read_batches
 from ..sources.tables import table, text_table
@@ -339,6 +340,25 @@ def bronze_envelopes(spark, sf_dir):
         F.sum("metadata.internships_count").alias("internships_count"))
 
 
+# --- S10, P17, P18, F7, C13: cards of the stored pages ------------------------------
+
+# The supplied pages list their links as ``nav li`` items; the third source's card
+# rules (title of at least 5 characters, summary = first 500 characters of the card
+# text, company and city parsed from the text) are applied to them.
+NAV_CARDS = cards.CardSpec(card="nav li")
+
+
+def page_cards(spark, sf_dir):
+    pages = text_table(spark, sf_dir, "pages")
+    raw = cards.extract_cards(pages, NAV_CARDS)
+    c = cards.card_fields(raw, min_title=V.MIN_TITLE_CHARS, summary_chars=V.SUMMARY_CHARS)
+    text = F.concat_ws(" ", "title", "card_text")
+    firsts = first_arrival(c, ["job_url"], [F.col("page_id"), F.col("card_pos")])  # D-2 within the run
+    return firsts.select("page_id", "card_pos", "job_url", "title", "summary",
+                         R.company_from_text(text).alias("company"),
+                         R.first_listed(text).alias("location_city"))
+
+
 QUERIES = {
     "tag_keywords": tag_keywords,
     "fingerprint": fingerprint,
@@ -374,4 +394,5 @@ QUERIES = {
     "canonical_union": canonical_union,
     "bronze_silver": bronze_silver,
     "bronze_envelopes": bronze_envelopes,
+    "page_cards": page_cards,
 }
