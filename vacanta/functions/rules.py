@@ -36,9 +36,77 @@ def word_pattern(words: Sequence[str], left: bool = True, right: bool = True, fl
     return f"(?{flags})" + (r"\b" if left else "") + alternation(words) + (r"\b" if right else "")
 
 
-def has_words(text: Column, words: Sequence[str]) -> Column:
-    """True when any word occurs in ``text`` between word boundaries."""
-    return text.rlike(word_pattern(words))
+def char_trie(words: Sequence[str]) -> str:
+    """Alternation of ``words`` as a character trie: alternatives at a node differ in
+    their first character (cheap rejection), and continuations come before the end
+    of a shorter word, so the longest word at a position is tried first."""
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        branches = [escape(ch) + emit(child) for ch, child in sorted(node.items()) if ch]
+        if "" in node:
+            branches.append("")
+        return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+    return emit(trie)
+
+
+def _is_word_char(ch: str) -> bool:
+    return ch.isalnum() or ch == "_"
+
+
+def with_implying(words: Sequence[str], vocabulary: Sequence[str]) -> list[str]:
+    """``words`` plus the longer vocabulary words that start with one of them followed
+    by a non-word character (finding the longer word at a position implies the
+    shorter one matches there too)."""
+    extra = [v for v in vocabulary if v not in words and any(
+        v.startswith(w) and len(v) > len(w) and not _is_word_char(v[len(w)]) for w in words)]
+    return list(words) + extra
+
+
+def word_index(low_text: Column, vocabulary: Sequence[str]) -> Column:
+    """All vocabulary words found in ``low_text`` in one regex pass: a look-ahead at
+    every word boundary captures the longest vocabulary word starting there (zero
+    width, so words inside or overlapping other words are found at their own
+    start). Rules then test this small array instead of re-scanning the text."""
+    pattern = r"(?U)(?=\b(" + char_trie(list(dict.fromkeys(vocabulary))) + r")\b)"
+    return F.regexp_extract_all(low_text, F.lit(pattern), F.lit(1))
+
+
+class Words:
+    """Word tests over one lower-cased text. With an index column (see
+    :func:`word_index`), a test of words from ``vocabulary`` is an
+    ``arrays_overlap`` on the index; other words fall back to a regex scan."""
+
+    def __init__(self, low: Column, found: Column | None = None, vocabulary: Sequence[str] | None = None):
+        self.low = low
+        self.vocabulary = list(dict.fromkeys(vocabulary or RULE_VOCABULARY))
+        self.found = found if found is not None else word_index(low, self.vocabulary)
+
+
+def with_words(df, low: Column, name: str = "_low"):
+    """``df`` with the lower-cased text and its word index as columns, and the
+    :class:`Words` reading them (drop ``name`` and ``name + '_found'`` afterwards)."""
+    out = df.withColumn(name, low).withColumn(name + "_found", word_index(F.col(name), RULE_VOCABULARY))
+    return out, Words(F.col(name), F.col(name + "_found"))
+
+
+def _text(t) -> Column:
+    return t.low if isinstance(t, Words) else t
+
+
+def has_words(text, words: Sequence[str]) -> Column:
+    """True when any word occurs in ``text`` between word boundaries (``text`` is a
+    lower-cased Column, or a :class:`Words`)."""
+    if isinstance(text, Words) and all(w in text.vocabulary for w in words):
+        probe = with_implying(words, text.vocabulary)
+        return F.arrays_overlap(text.found, F.array(*[F.lit(w) for w in probe]))
+    return _text(text).rlike(word_pattern(words))
 
 
 def label_by_rules(rules: Sequence[tuple[object, Column]], default: object = None) -> Column:
@@ -56,6 +124,16 @@ def _int_group(text: Column, pattern: str, group: int, typ: str = "int") -> Colu
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast(typ)
 
 
+# Every word list of the silver and capture-time rules; one index serves them all.
+RULE_VOCABULARY = list(dict.fromkeys(
+    V.INTERNSHIP_WORDS + V.ALTERNANCE_CONTRACT_WORDS + V.CDI_WORDS + V.CDD_WORDS + V.FREELANCE_WORDS
+    + V.PAID_WORDS + V.UNPAID_WORDS + V.FULL_REMOTE_WORDS + V.HYBRID_WORDS + V.REMOTE_WORDS + V.PFE_WORDS
+    + V.CATEGORY_ALTERNANCE_WORDS + V.INITIATION_WORDS + V.APPLICATION_WORDS + V.INGEST_PFE_WORDS_API
+    + V.INGEST_PFE_WORDS_PAGES + V.INGEST_STAGE_WORDS_API + V.INGEST_STAGE_WORDS_PAGES
+    + V.INGEST_ALTERNANCE_WORDS_API + V.INGEST_ALTERNANCE_WORDS_PAGES + V.INGEST_PAID_WORDS_API
+    + V.INGEST_PAID_WORDS_PAGES + V.INGEST_HYBRID_WORDS_API))
+
+
 # --------------------------------------------------------------------------
 # silver-layer rules
 # --------------------------------------------------------------------------
@@ -127,8 +205,8 @@ def duration_bracket(months: Column) -> Column:
     ], b[4])
 
 
-def internship_category(internship: Column, months: Column, low_corpus: Column) -> Column:
-    text = F.coalesce(low_corpus, F.lit(""))
+def internship_category(internship: Column, months: Column, low_corpus) -> Column:
+    text = low_corpus if isinstance(low_corpus, Words) else F.coalesce(low_corpus, F.lit(""))
     chain = label_by_rules([
         ("PFE", has_words(text, V.PFE_WORDS)),
         ("ALTERNANCE", has_words(text, V.CATEGORY_ALTERNANCE_WORDS)),
@@ -184,7 +262,7 @@ def ingest_attributes(low_text: Column, preset: str, contract: Column | None = N
     return F.struct(
         (kind != F.lit("CDI_OR_OTHER")).alias("is_internship"),
         kind.alias("internship_type"),
-        duration_text(low_text).alias("internship_duration"),
+        duration_text(_text(low_text)).alias("internship_duration"),
         remuneration(low_text, p["paid"], V.UNPAID_WORDS).alias("is_remunerated"),
         work_mode(low_text, p["hybrid"]).alias("work_mode"),
     )
@@ -230,7 +308,7 @@ def ingest_attributes_by_source(low_text: Column, source: Column, contract: Colu
     return F.struct(
         (kind != F.lit("CDI_OR_OTHER")).alias("is_internship"),
         kind.alias("internship_type"),
-        duration_text(low_text).alias("internship_duration"),
+        duration_text(_text(low_text)).alias("internship_duration"),
         pay.alias("is_remunerated"),
         mode.alias("work_mode"),
     )

@@ -23,8 +23,10 @@ def tagged_raw_postings(documents: DataFrame) -> DataFrame:
     raw = P.raw_postings(documents)
     tagged = T.tag_keywords(raw, ["raw_title", "raw_description"])
     low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
-    return tagged.withColumn("analytics_metadata",
-                             R.ingest_attributes_by_source(low, F.col("source"), F.col("raw_contract")))
+    tagged, w = R.with_words(tagged, low)
+    return (tagged.withColumn("analytics_metadata",
+                              R.ingest_attributes_by_source(w, F.col("source"), F.col("raw_contract")))
+                  .drop("_low", "_low_found"))
 
 
 def api_records(tagged: DataFrame) -> DataFrame:

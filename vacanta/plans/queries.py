@@ -12,7 +12,7 @@ from ..functions import tagging as T
 from ..functions import vocab as V
 from ..operators import capture, cards, mapping, quality, star
 from ..operators.dedup import first_arrival
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
 from ..sources.batches import read_batches
 from ..sources.tables import table, text_table
 from . import bronze as B
@@ -115,8 +115,15 @@ def dim_taxonomy(spark, sf_dir):
     return star.dim_taxonomy(_silver(spark, sf_dir))
 
 
+def _silver_table(spark, sf_dir):
+    """Silver as a materialised table (as the gold job reads it): one evaluation of
+    the text rules, lineage cut in the shared checkpoint folder."""
+    checkpoint_dir(spark)
+    return _silver(spark, sf_dir).checkpoint(eager=True)
+
+
 def _gold(spark, sf_dir):
-    return star.build_gold(_silver(spark, sf_dir))
+    return star.build_gold(_silver_table(spark, sf_dir))
 
 
 def fact_postings(spark, sf_dir):
@@ -153,9 +160,13 @@ def invalid_domains(spark, sf_dir):
 
 def _ingest(spark, sf_dir):
     raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
-    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
+    raw, w = R.with_words(raw, _capture_text())
     return raw.select("doc_id", "source", "raw_title", "raw_description",
-                      R.ingest_attributes_by_source(low, F.col("source"), F.col("raw_contract")).alias("m"))
+                      R.ingest_attributes_by_source(w, F.col("source"), F.col("raw_contract")).alias("m"))
+
+
+def _capture_text():
+    return F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
 
 
 def ingest_attributes(spark, sf_dir):
@@ -226,9 +237,8 @@ def _relevant(source, domains, internship):
 
 
 def relevance_filter(spark, sf_dir):
-    p = _postings(spark, sf_dir)
-    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
-    intern = R.ingest_internship_by_source(low, F.col("source"), F.col("raw_contract"))
+    p, w = R.with_words(_postings(spark, sf_dir), _capture_text())
+    intern = R.ingest_internship_by_source(w, F.col("source"), F.col("raw_contract"))
     # any matched keyword implies a domain; testing the roles array keeps the pushed-down
     # filter from inlining the per-domain expressions
     return p.filter(_relevant(F.col("source"), F.col("matched_roles"), intern)).select(
@@ -266,9 +276,8 @@ def capture_history(spark, sf_dir):
 
 def batch_summary(spark, sf_dir):
     """One capture run over the postings view (empty state), summarised per source."""
-    p = _postings(spark, sf_dir)
-    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
-    p = p.withColumn("m", R.ingest_attributes_by_source(low, F.col("source"), F.col("raw_contract")))
+    p, w = R.with_words(_postings(spark, sf_dir), _capture_text())
+    p = p.withColumn("m", R.ingest_attributes_by_source(w, F.col("source"), F.col("raw_contract")))
     keep = _relevant(F.col("source"), F.col("matched_domains"), F.col("m.is_internship"))
     new = capture.capture_new(p, None, ["source", "source_job_id"], [F.col("doc_id")], keep=keep)
     s = capture.batch_summary(new, C.as_timestamp(RUN_TS), internship=F.col("m.is_internship"),

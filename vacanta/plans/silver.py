@@ -26,23 +26,26 @@ def derive_attributes(unified: DataFrame, run_ts=None) -> DataFrame:
     native expression, so the whole derivation is one codegen'd projection."""
     low = F.lower(R.corpus(F.col("raw_title"), F.col("raw_description"), F.col("raw_contract")))
     df = unified.withColumn("_low", low)
-    intern = R.is_internship(F.col("_low"), F.lower(F.col("raw_contract")))
+    # one regex pass collects every rule word of the text; rules test that array
+    df = df.withColumn("_found", R.word_index(F.col("_low"), R.RULE_VOCABULARY))
+    w = R.Words(F.col("_low"), F.col("_found"))
+    intern = R.is_internship(w, F.lower(F.col("raw_contract")))
     df = (df.withColumn("is_internship", intern)
             .withColumn("duration_months", R.duration_months(F.col("_low"))))
     return (df.select(
                 "*",
-                R.contract_type(F.col("_low"), F.col("is_internship")).alias("contract_type"),
+                R.contract_type(w, F.col("is_internship")).alias("contract_type"),
                 R.duration_bracket(F.col("duration_months")).alias("duration_bracket"),
-                R.internship_category(F.col("is_internship"), F.col("duration_months"), F.col("_low"))
+                R.internship_category(F.col("is_internship"), F.col("duration_months"), w)
                 .alias("internship_category"),
-                R.remuneration(F.col("_low")).alias("is_remunerated"),
-                R.work_mode(F.col("_low")).alias("work_mode"),
+                R.remuneration(w).alias("is_remunerated"),
+                R.work_mode(w).alias("work_mode"),
                 F.lower(F.col("raw_title")).alias("job_title_clean"),
                 C.fingerprint(F.col("raw_title"), F.col("company_name"), F.col("location_city"))
                 .alias("job_fingerprint"),
                 T.primary_domain(F.col("matched_domains")).alias("primary_domain"),
                 C.run_timestamp(run_ts).alias("ingested_at"))
-            .drop("_low"))
+            .drop("_low", "_found"))
 
 
 def build_silver(unified: DataFrame, run_ts=None, default_year: int = V.DEFAULT_YEAR,
