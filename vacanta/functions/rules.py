@@ -89,11 +89,15 @@ class Words:
         self.found = found if found is not None else word_index(low, self.vocabulary)
 
 
-def with_words(df, low: Column, name: str = "_low"):
+SEP = "\u001f"
+
+
+def with_words(df, low: Column, name: str = "_low", vocabulary: Sequence[str] | None = None):
     """``df`` with the lower-cased text and its word index as columns, and the
     :class:`Words` reading them (drop ``name`` and ``name + '_found'`` afterwards)."""
-    out = df.withColumn(name, low).withColumn(name + "_found", word_index(F.col(name), RULE_VOCABULARY))
-    return out, Words(F.col(name), F.col(name + "_found"))
+    vocab = list(dict.fromkeys(vocabulary or RULE_VOCABULARY))
+    out = df.withColumn(name, low).withColumn(name + "_found", word_index(F.col(name), vocab))
+    return out, Words(F.col(name), F.col(name + "_found"), vocab)
 
 
 def _text(t) -> Column:

@@ -1,21 +1,17 @@
-"""Multi-label keyword tagging (text x taxonomy) without a join and without regexes.
+"""Multi-label keyword tagging (text x taxonomy) in one regex pass, without a join.
 
 A keyword matches when it occurs in the lower-cased text with a word boundary on
-both sides. All taxonomy keywords are made of lower-case letters and single
-blanks, so instead of one regex per keyword the text is normalised once:
-every character that is neither a word character nor a blank becomes
-`` \\x01 `` (so punctuation, hyphens and tabs never join words), the text is
-padded with blanks and ``initcap`` upper-cases the first letter of every word.
-Upper-case letters then occur only at word starts, so keyword ``k`` matches
-exactly when ``title(k) + ' '`` is a substring (``"Data Engineer "``): the
-capital marks the left boundary, the blank the right one. Starting the probe
-with a capital letter (rare) instead of a blank (every word) also makes each
-substring scan several times cheaper.
-
-All keywords are found in one regex pass (:func:`matched_probes`): no shuffle,
-no Python, no higher-order function (those fall back to interpreted
-evaluation), small generated code, and overlapping keywords all count (a longer
-keyword does not hide a shorter one).
+both sides (``\\bdata engineer\\b``); overlapping keywords all count, a longer
+keyword does not hide a shorter one. All keywords are found together by the
+word index of :mod:`vacanta.functions.rules`: a zero-width look-ahead at every
+word boundary captures the longest keyword starting there (the alternation is a
+character trie, so non-matching positions are rejected after a few character
+comparisons). Keywords that are word-prefixes of a found longer keyword are
+implied. ``array_intersect`` with the taxonomy-ordered keyword literal yields the
+roles in taxonomy order; a domain is present when its keyword list overlaps.
+
+Everything is a built-in expression in one projection: no shuffle, no Python,
+no higher-order function, small generated code.
 """
 
 from __future__ import annotations
@@ -25,22 +21,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import rules as R
 from . import vocab as V
 
-# Characters that are not word characters (Unicode letters, marks, decimal
-# digits, connector punctuation) and not a blank.
-NON_WORD = r"[^\p{L}\p{M}\p{Nd}\p{Pc} ]"
-MARK = " \u0001 "
-
-_KEYWORD_SHAPE = re.compile(r"^[a-z0-9]+( [a-z0-9]+)*$")
-
-
-def normalise(low_text: Column) -> Column:
-    return F.initcap(F.concat(F.lit(" "), F.regexp_replace(low_text, NON_WORD, MARK), F.lit(" ")))
-
-
-def probe(keyword: str) -> str:
-    return keyword.title() + " "
+_KEYWORD_SHAPE = re.compile(r"^[^\s]+( [^\s]+)*$")
 
 
 def keywords_in_order(taxonomy: dict[str, list[str]]) -> list[str]:
@@ -53,84 +37,39 @@ def keywords_in_order(taxonomy: dict[str, list[str]]) -> list[str]:
 
 
 def check_taxonomy(taxonomy: dict[str, list[str]]) -> None:
-    bad = [w for w in keywords_in_order(taxonomy) if not _KEYWORD_SHAPE.match(w)]
+    bad = [w for w in keywords_in_order(taxonomy) if not _KEYWORD_SHAPE.match(w) or w != w.lower()]
     if bad:
         raise ValueError(f"keywords must be lower-case words separated by single blanks: {bad[:5]}")
 
 
-SEP = "\u001f"
-
-
-def _as_array(joined: Column) -> Column:
-    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, SEP))
-
-
-def trie_pattern(probes: list[str]) -> str:
-    """One regex matching any probe, as a character trie: at every node the
-    alternatives differ in their first character, so a position is rejected after
-    one comparison per branch; longer continuations come before the end of a
-    shorter probe, so the longest probe starting at a position is the one captured.
-    Probes are made of ASCII letters and blanks (no escaping needed)."""
-    trie: dict = {}
-    for p in probes:
-        node = trie
-        for ch in p:
-            node = node.setdefault(ch, {})
-        node[""] = {}
-
-    def emit(node: dict) -> str:
-        branches = [ch + emit(child) for ch, child in sorted(node.items()) if ch]
-        if "" in node:
-            branches.append("")
-        if len(branches) == 1:
-            return branches[0]
-        return "(?:" + "|".join(branches) + ")"
-
-    return emit(trie)
+def _lit_array(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
-def implied_by_longer(keywords: list[str]) -> dict[str, list[str]]:
-    """Keywords that are word-prefixes of longer keywords (both match at one start)."""
+def implied_by_longer(keywords: list[str], vocabulary: list[str]) -> dict[str, list[str]]:
     out = {}
-    for p in keywords:
-        longer = [k for k in keywords if k != p and (k + " ").startswith(p + " ")]
+    for k in keywords:
+        longer = R.with_implying([k], vocabulary)[1:]
         if longer:
-            out[p] = longer
+            out[k] = longer
     return out
 
 
-def _lit_array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
-def matched_probes(norm_text: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
-    """Probes found in the normalised text, distinct, in taxonomy order.
-
-    ``regexp_extract_all`` with a look-ahead reports the longest probe at every
-    word start (zero-width matches, so overlapping keywords are all seen); keywords
-    that are word-prefixes of a found longer keyword are added; ``array_intersect``
-    with the taxonomy-ordered literal puts the result in taxonomy order."""
+def matched_roles(words: R.Words, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
+    """array<string> of keywords found, in taxonomy order, each once."""
     kws = keywords_in_order(taxonomy)
-    found = F.regexp_extract_all(norm_text, F.lit("(?=(" + "(?=[A-Z])" + trie_pattern([probe(k) for k in kws]) + "))"),
-                                 F.lit(1))
-    for short, longer in implied_by_longer(kws).items():
-        found = F.array_union(found, F.when(F.arrays_overlap(found, _lit_array([probe(k) for k in longer])),
-                                            _lit_array([probe(short)]))
+    found = words.found
+    for short, longer in implied_by_longer(kws, words.vocabulary).items():
+        found = F.array_union(found, F.when(F.arrays_overlap(found, _lit_array(longer)), _lit_array([short]))
                               .otherwise(F.array().cast("array<string>")))
-    return F.array_intersect(_lit_array([probe(k) for k in kws]), found)
+    return F.array_intersect(_lit_array(kws), found)
 
 
-def matched_roles(probes: Column) -> Column:
-    """array<string> of keywords found, in taxonomy order, each once."""
-    joined = F.lower(F.array_join(probes, SEP))
-    return _as_array(F.rtrim(F.replace(joined, F.lit(" " + SEP), F.lit(SEP))))
-
-
-def matched_domains(probes: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
+def matched_domains(roles: Column, taxonomy: dict[str, list[str]] = V.TAXONOMY) -> Column:
     """array<string> of domains with at least one matched keyword, in taxonomy order."""
-    parts = [F.when(F.arrays_overlap(probes, _lit_array([probe(k) for k in words])), F.lit(domain))
-             for domain, words in taxonomy.items()]
-    return _as_array(F.concat_ws(SEP, *parts))
+    parts = [F.when(F.arrays_overlap(roles, _lit_array(words)), F.lit(domain)) for domain, words in taxonomy.items()]
+    joined = F.concat_ws(R.SEP, *parts)
+    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, R.SEP))
 
 
 def primary_domain(domains: Column, default: str = V.UNCLASSIFIED_DOMAIN) -> Column:
@@ -138,13 +77,22 @@ def primary_domain(domains: Column, default: str = V.UNCLASSIFIED_DOMAIN) -> Col
     return F.coalesce(F.get(domains, 0), F.lit(default))
 
 
+def capture_text(text_cols: list[str]) -> Column:
+    """Lower-cased blank-joined text of the columns (nulls as empty strings)."""
+    return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
+
+
 def tag_keywords(df: DataFrame, text_cols: list[str], taxonomy: dict[str, list[str]] = V.TAXONOMY,
-                 roles_col: str = "matched_roles", domains_col: str = "matched_domains") -> DataFrame:
+                 roles_col: str = "matched_roles", domains_col: str = "matched_domains",
+                 words: R.Words | None = None) -> DataFrame:
     """Add ``matched_roles`` and ``matched_domains`` computed over the blank-joined
-    ``text_cols`` (title first, as at capture time)."""
+    ``text_cols`` (title first, as at capture time). Pass ``words`` to reuse a word
+    index that already covers the taxonomy keywords (one text pass for tags and rules)."""
     check_taxonomy(taxonomy)
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
-    found = df.select("*", matched_probes(normalise(text), taxonomy).alias("_probes"))
-    return found.select(*[F.col(c) for c in df.columns],
-                        matched_roles(F.col("_probes")).alias(roles_col),
-                        matched_domains(F.col("_probes"), taxonomy).alias(domains_col))
+    kws = keywords_in_order(taxonomy)
+    own = words is None or not all(k in words.vocabulary for k in kws)
+    if own:
+        df, words = R.with_words(df, capture_text(text_cols), name="_tag", vocabulary=kws)
+    out = df.withColumn(roles_col, matched_roles(words, taxonomy))
+    out = out.withColumn(domains_col, matched_domains(F.col(roles_col), taxonomy))
+    return out.drop("_tag", "_tag_found") if own else out

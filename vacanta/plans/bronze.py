@@ -21,9 +21,10 @@ API_SOURCE = V.SOURCES[0]
 
 def tagged_raw_postings(documents: DataFrame) -> DataFrame:
     raw = P.raw_postings(documents)
-    tagged = T.tag_keywords(raw, ["raw_title", "raw_description"])
-    low = F.lower(F.concat_ws(" ", F.coalesce("raw_title", F.lit("")), F.coalesce("raw_description", F.lit(""))))
-    tagged, w = R.with_words(tagged, low)
+    # one pass of the capture text finds the taxonomy keywords and the rule words
+    vocab = R.RULE_VOCABULARY + T.keywords_in_order(V.TAXONOMY)
+    indexed, w = R.with_words(raw, T.capture_text(["raw_title", "raw_description"]), vocabulary=vocab)
+    tagged = T.tag_keywords(indexed, ["raw_title", "raw_description"], words=w)
     return (tagged.withColumn("analytics_metadata",
                               R.ingest_attributes_by_source(w, F.col("source"), F.col("raw_contract")))
                   .drop("_low", "_low_found"))
