@@ -1,0 +1 @@
+from compare import compare  # noqa: F401

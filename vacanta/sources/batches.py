@@ -5,9 +5,9 @@ per line, so files stay splittable), under
 ``<root>/source=<name>/ingest_date=<yyyy-MM-dd>/run=<HHmmss>/``. Nothing is
 written for an empty batch.
 
-Scan: per source a declared schema (no inference job, no drift), ``PERMISSIVE``
-parsing with a corrupt-record column whose rows go to a reject table, all files
-beneath the source folder at any depth. A source whose folder is missing is
+Scan: per source a declared schema (no inference job, no drift), permissive
+``from_json`` parsing with a corrupt-record column whose rows go to a reject
+table, all files beneath the source folder at any depth. A source whose folder is missing is
 skipped; the load fails only when no source loads.
 """
 
@@ -127,12 +127,17 @@ def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: i
 # ---------------------------------------------------------------------------
 
 def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = False) -> DataFrame:
-    return (spark.read.schema(envelope_schema(record))
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("multiLine", multi_line)
-            .option("recursiveFileLookup", True)
-            .json(path))
+    """Envelopes under ``path`` (any depth) with the declared schema.
+
+    Files are read as text — one envelope per line, or with ``multi_line`` one per
+    file (pretty-printed documents) — and parsed with ``from_json`` in permissive
+    mode: a malformed envelope keeps its text in ``_corrupt_record`` (and the
+    source file name), so the reject table needs no second pass over the files."""
+    raw = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=multi_line)
+           .filter(F.trim(F.col("value")) != F.lit("")))
+    parsed = F.from_json(F.col("value"), envelope_schema(record), {"mode": "PERMISSIVE",
+                                                                  "columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(parsed.alias("e"), F.input_file_name().alias("file")).select("e.*", "file")
 
 
 def source_path(root: str, source: str) -> str:
@@ -156,8 +161,7 @@ def read_batches(spark: SparkSession, root: str, specs: dict[str, Spec] | None =
             continue
         good.append(map_to_canonical(unnest_records(env.filter(F.col(CORRUPT).isNull())), spec))
         bad.append(env.filter(F.col(CORRUPT).isNotNull())
-                      .select(F.lit(name).alias("source"), F.col("metadata.source").alias("declared_source"),
-                              F.col(CORRUPT).alias("raw")))
+                      .select(F.lit(name).alias("source"), "file", F.col(CORRUPT).alias("raw")))
     if not good:
         raise FileNotFoundError(f"no bronze source found under {root}")
     rejects = union_sources(bad) if bad else None
