@@ -123,3 +123,46 @@ def test_star_invariants(spark):
     facts = g["fact_job_postings"].collect()
     assert all(r.company_id is not None and r.location_id is not None for r in facts)
     assert g["fact_internships_pfe"].count() == 2
+
+
+def test_capture_stream_exactly_once(spark, tmp_dir):
+    from vacanta.streaming.capture import capture_stream
+
+    src = tmp_dir + "/incoming"
+    rows = [(k, i, i % 4 != 0) for i, k in enumerate(["a", "b", "a", "c", "d", "b", "e", "a", "f", "c"])]
+    df = spark.createDataFrame(rows, "key string, pos int, keep boolean")
+    for part in range(3):  # three files arriving
+        df.filter(F.col("pos") % 3 == part).coalesce(1).write.mode("append").parquet(src)
+    landed = tmp_dir + "/landed"
+    q = capture_stream(spark, src, df.schema, landed, ["key"], order_by=lambda: [F.col("pos")],
+                       keep=lambda: F.col("keep"), max_files_per_trigger=1)
+    q.awaitTermination()
+    got = spark.read.parquet(landed)
+    keys = sorted(r.key for r in got.collect())
+    assert keys == sorted({k for k, i, keep in rows if keep})   # each kept key once
+    assert got.select("batch_id").distinct().count() >= 2
+
+
+def test_daily_gate_blocks_and_passes(spark, tmp_dir):
+    from vacanta.plans import daily
+    from vacanta.sources import batches as B
+
+    def records(null_id):
+        rows = [("rekrute_scraper", ("rekrute_scraper", None if (null_id and i == 0) else f"https://x/{i}",
+                                     f"Data Engineer {i}", f"C{i}", "stage 6 mois", "", None, "Maroc",
+                                     "2024-01-02T10:00:00Z", ["DATA_ENGINEERING_PLATFORMS"], ["data engineer"],
+                                     (True, "STAGE", None, None, "SUR_SITE")), True) for i in range(6)]
+        return spark.createDataFrame(rows, f"source string, record {B.PAGE_RECORD.simpleString()}, "
+                                           "is_internship boolean")
+
+    ts = F.lit("2024-01-03 02:00:00").cast("timestamp")
+    bad, good = tmp_dir + "/bad", tmp_dir + "/good"
+    B.write_envelopes(records(True), bad + "/bronze", ts)
+    with pytest.raises(quality.QualityGateError):
+        daily.run_daily(spark, bad + "/bronze", bad + "/silver", bad + "/gold", "2024-01-03 02:00:00", "2024-01-03")
+    B.write_envelopes(records(False), good + "/bronze", ts)
+    out = daily.run_daily(spark, good + "/bronze", good + "/silver", good + "/gold", "2024-01-03 02:00:00",
+                          "2024-01-03")
+    summary = {r.table: r.rows for r in out["gold"].collect()}
+    assert summary == {"dim_company": 6, "dim_location": 1, "fact_job_postings": 6, "fact_internships_pfe": 6}
+    assert spark.read.parquet(good + "/silver").columns[-2:] == ["year", "month"]

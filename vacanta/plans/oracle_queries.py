@@ -254,3 +254,22 @@ SELECT page_id, card_pos, job_url, title, substr(card_text, 1, 500) AS summary,
   {_company("concat_ws(' ', title, card_text)")} AS company,
   {_city("concat_ws(' ', title, card_text)")} AS location_city
 FROM firsts WHERE rn = 1"""
+
+SQL["stream_capture"] = f"""WITH {_EVENTS}
+SELECT DISTINCT capture_key FROM kept"""
+
+SQL["daily_layers"] = with_silver(f"""
+, stats AS (
+  SELECT CAST(count(*) AS BIGINT) AS total,
+    CAST(count(*) FILTER (WHERE job_fingerprint IS NULL OR source_job_id IS NULL) AS BIGINT) AS null_keys,
+    CAST(count(DISTINCT job_fingerprint) + coalesce(max(CASE WHEN job_fingerprint IS NULL THEN 1 ELSE 0 END), 0)
+         AS BIGINT) AS distinct_keys,
+    CAST(count(*) FILTER (WHERE publication_date > CAST(DATE '{AS_OF}' AS TIMESTAMP)) AS BIGINT) AS future_dates
+  FROM silver),
+bad AS (SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT primary_domain FROM silver)
+        WHERE primary_domain IS NULL OR primary_domain NOT IN {_ALLOWED})
+SELECT 'non_empty' AS "check", 'critical' AS severity, total AS observed, total > 0 AS passed FROM stats
+UNION ALL SELECT 'key_completeness', 'critical', null_keys, null_keys = 0 FROM stats
+UNION ALL SELECT 'key_uniqueness', 'critical', total - distinct_keys, total - distinct_keys = 0 FROM stats
+UNION ALL SELECT 'domain_validity', 'critical', n, n = 0 FROM bad
+UNION ALL SELECT 'future_dates', 'warning', future_dates, future_dates = 0 FROM stats""", extra=_CANON, src="canon")

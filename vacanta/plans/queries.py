@@ -249,8 +249,12 @@ def relevance_filter(spark, sf_dir):
 
 def _event_keys(spark, sf_dir):
     e = table(spark, sf_dir, "events")
+    return e.withColumn("capture_key", _event_key_col())
+
+
+def _event_key_col():
     bucket = (F.get_json_object("props", "$.k").try_cast("int") % 7).cast("string")
-    return e.withColumn("capture_key", F.concat_ws(":", F.col("event_type"), F.col("user_id").cast("string"), bucket))
+    return F.concat_ws(":", F.col("event_type"), F.col("user_id").cast("string"), bucket)
 
 
 def _event_keep():
@@ -368,6 +372,48 @@ def page_cards(spark, sf_dir):
                          R.first_listed(text).alias("location_city"))
 
 
+# --- D-3 on a stream: file source + foreachBatch against the landed batches ---------
+
+def stream_capture(spark, sf_dir):
+    """Events land as one folder of files per day; the capture stream processes
+    them in micro-batches (AvailableNow) against the landed batches. Every key with
+    a kept event is captured exactly once, whatever the micro-batch boundaries."""
+    from ..streaming.capture import capture_stream
+
+    src = scratch_path(spark, "events-incoming")
+    events = table(spark, sf_dir, "events")
+    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.partitionBy("day").parquet(src)
+    landed = scratch_path(spark, "events-landed")
+    q = capture_stream(spark, src, events.schema, landed, ["capture_key"],
+                       order_by=lambda: [F.col("ts"), F.col("event_id")], keep=_event_keep,
+                       prepare=lambda b: b.withColumn("capture_key", _event_key_col()),
+                       max_files_per_trigger=8)
+    q.awaitTermination()
+    return spark.read.parquet(landed).select("capture_key")
+
+
+# --- X4-X6: the gated daily composition over written layers ------------------------
+
+def daily_layers(spark, sf_dir):
+    """Bronze landing, silver written partitioned, quality gate on the written table,
+    gold only when the gate passes. Returns the gate report, plus one row per
+    written gold table when it passed."""
+    from . import daily
+
+    root = scratch_path(spark, "lake")
+    B.land_bronze(text_table(spark, sf_dir, "documents"), root + "/bronze", C.as_timestamp(RUN_TS))
+    daily.bronze_to_silver(spark, root + "/bronze", root + "/silver", RUN_TS)
+    report = quality.run_checks(spark.read.parquet(root + "/silver"), AS_OF)
+    try:
+        quality.gate(report)
+    except quality.QualityGateError:
+        return report
+    summary = daily.silver_to_gold(spark, root + "/silver", root + "/gold")
+    return report.unionByName(summary.select(F.concat(F.lit("gold:"), "table").alias("check"),
+                                             F.lit("info").alias("severity"), F.col("rows").alias("observed"),
+                                             F.lit(True).alias("passed")))
+
+
 QUERIES = {
     "tag_keywords": tag_keywords,
     "fingerprint": fingerprint,
@@ -404,4 +450,6 @@ QUERIES = {
     "bronze_silver": bronze_silver,
     "bronze_envelopes": bronze_envelopes,
     "page_cards": page_cards,
+    "stream_capture": stream_capture,
+    "daily_layers": daily_layers,
 }
