@@ -12,7 +12,7 @@ from vacanta.operators.keys import dense_key
 def test_dense_key_equals_row_number(spark):
     rows = [(f"k{i % 37:02d}", i % 5 if i % 7 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "a string, b int")
-    got = dense_key(df, ["a", "b"], "id", num_partitions=6)
+    got = dense_key(df, ["a", "b"], "id", num_partitions=6, single_task_max=0)
     expected = (df.distinct().withColumn(
         "id", F.row_number().over(Window.orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first())))
         .withColumn("id", F.col("id").cast("long")))
@@ -23,9 +23,10 @@ def test_dense_key_equals_row_number(spark):
 
 def test_dense_key_repeatable_other_partitioning(spark):
     df = spark.createDataFrame([(f"c{i % 50}",) for i in range(300)], "a string")
-    k1 = {r.a: r.id for r in dense_key(df, ["a"], "id", num_partitions=3).collect()}
-    k2 = {r.a: r.id for r in dense_key(df.repartition(7), ["a"], "id", num_partitions=11).collect()}
-    assert k1 == k2
+    k1 = {r.a: r.id for r in dense_key(df, ["a"], "id", num_partitions=3, single_task_max=0).collect()}
+    k2 = {r.a: r.id for r in dense_key(df.repartition(7), ["a"], "id", num_partitions=11, single_task_max=0).collect()}
+    k3 = {r.a: r.id for r in dense_key(df.repartition(5), ["a"], "id").collect()}   # single ordered window
+    assert k1 == k2 == k3
 
 
 def test_dedupe_survivor(spark):

@@ -187,16 +187,21 @@ DURATION_TEXT_PATTERN = r"(?U)(\d+)\s*(?:à|-)?\s*(\d+)?\s*" + alternation(V.ING
 def duration_months(low_text: Column) -> Column:
     """Months from text: weeks (``max(1, round_half_even(n/4))``), else the upper
     bound of a range, else a single 1..12 month figure, else null."""
-    weeks = _int_group(low_text, WEEKS_PATTERN, 1, "bigint")
+    # the patterns cannot match without a unit; a plain substring test skips the
+    # regex scans for texts without one
+    has_weeks = low_text.contains("week") | low_text.contains("semaine")
+    has_months = low_text.contains("mois") | low_text.contains("month")
+    weeks = F.when(has_weeks, _int_group(low_text, WEEKS_PATTERN, 1, "bigint"))
     from_weeks = F.when(weeks.isNotNull(), F.greatest(F.lit(1.0), F.bround(weeks / 4, 0)).cast("int"))
-    upper = _int_group(low_text, RANGE_PATTERN, 2)
-    single = _int_group(low_text, SINGLE_PATTERN, 1)
+    upper = F.when(has_months, _int_group(low_text, RANGE_PATTERN, 2))
+    single = F.when(has_months, _int_group(low_text, SINGLE_PATTERN, 1))
     return F.coalesce(from_weeks, upper, single)
 
 
 def duration_text(low_text: Column) -> Column:
     """First ``n [à|-] [m] mois|months`` span, verbatim, else null."""
-    return F.nullif(F.regexp_extract(low_text, DURATION_TEXT_PATTERN, 0), F.lit(""))
+    has_unit = low_text.contains("mois") | low_text.contains("months")
+    return F.when(has_unit, F.nullif(F.regexp_extract(low_text, DURATION_TEXT_PATTERN, 0), F.lit("")))
 
 
 def duration_bracket(months: Column) -> Column:

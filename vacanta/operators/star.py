@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
-from .keys import dense_key
+from .keys import dense_key_counted
 
 # A dimension is broadcast to the fact join only when its row count is at most this
 # (rows are a few short strings and a long). Above it, the join is shuffled and AQE
@@ -14,25 +14,35 @@ from .keys import dense_key
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def size_checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when its counted size is within ``max_rows``, else ``dim``.
+def size_checked_broadcast(dim: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS
+                           ) -> DataFrame:
+    """``broadcast(dim)`` when its row count is within ``max_rows``, else ``dim``.
+    ``rows`` is the count known from building the dimension (counted otherwise)."""
+    n = rows if rows is not None else dim.count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
-    Dimensions come out of :func:`dense_key` checkpointed, so the count reads the
-    materialised rows and does not recompute the silver input."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+# row counts of dimensions built here, by DataFrame identity, for the broadcast check
+_ROWS: dict[int, int] = {}
+
+
+def _counted(pair: tuple[DataFrame, int]) -> DataFrame:
+    df, n = pair
+    _ROWS[id(df)] = n
+    return df
 
 
 def dim_company(silver: DataFrame) -> DataFrame:
     counts = silver.groupBy("company_name").agg(F.count("job_fingerprint").alias("total_jobs_posted"))
-    keyed = dense_key(counts, ["company_name"], "company_id", distinct=False)
-    return keyed.select("company_id", "company_name", "total_jobs_posted")
+    keyed = dense_key_counted(counts, ["company_name"], "company_id", distinct=False)
+    return _counted((keyed[0].select("company_id", "company_name", "total_jobs_posted"), keyed[1]))
 
 
 def dim_location(silver: DataFrame, home_country: str = V.MOROCCO) -> DataFrame:
-    keyed = dense_key(silver, ["location_country", "location_city"], "location_id")
-    return keyed.select(
+    keyed, n = dense_key_counted(silver, ["location_country", "location_city"], "location_id")
+    return _counted((keyed.select(
         "location_id", "location_country", "location_city",
-        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco"))
+        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco")), n))
 
 
 def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataFrame:
@@ -41,13 +51,14 @@ def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataF
     pairs = (silver.select(F.col("primary_domain").alias("domain"),
                            F.explode_outer("matched_roles").alias("role_keyword"))
                    .withColumn("role_keyword", F.coalesce("role_keyword", F.lit(default_role))))
-    keyed = dense_key(pairs, ["domain", "role_keyword"], "taxonomy_id")
-    return keyed.select("taxonomy_id", "domain", "role_keyword")
+    keyed, n = dense_key_counted(pairs, ["domain", "role_keyword"], "taxonomy_id")
+    return _counted((keyed.select("taxonomy_id", "domain", "role_keyword"), n))
 
 
 def _with_keys(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    comp = size_checked_broadcast(companies.select("company_name", "company_id"))
-    loc = size_checked_broadcast(locations.select("location_country", "location_city", "location_id"))
+    comp = size_checked_broadcast(companies.select("company_name", "company_id"), _ROWS.get(id(companies)))
+    loc = size_checked_broadcast(locations.select("location_country", "location_city", "location_id"),
+                                 _ROWS.get(id(locations)))
     return (silver.join(comp, "company_name", "left")
                   .join(loc, ["location_country", "location_city"], "left"))
 
