@@ -167,3 +167,17 @@ def test_daily_gate_blocks_and_passes(spark, tmp_dir):
     summary = {r.table: r.rows for r in out["gold"].collect()}
     assert summary == {"dim_company": 6, "dim_location": 1, "fact_job_postings": 6, "fact_internships_pfe": 6}
     assert spark.read.parquet(good + "/silver").columns[-2:] == ["year", "month"]
+
+
+def test_compact_state_and_persisted(spark, tmp_dir):
+    from vacanta.session import persisted
+
+    root = tmp_dir + "/landed"
+    df = _events(spark, [("a", 1, True), ("b", 2, True)])
+    capture.capture_batch(spark, df, root, "1", ["key"], [F.col("pos")])
+    capture.capture_batch(spark, _events(spark, [("c", 3, True), ("a", 4, True)]), root, "2", ["key"], [F.col("pos")])
+    state = capture.compact_state(spark, root, ["key"], tmp_dir + "/state")
+    assert sorted((r.key, str(r.first_batch_id)) for r in state.collect()) == [("a", "1"), ("b", "1"), ("c", "2")]
+    with persisted(df) as d:
+        assert d.count() == 2 and d.is_cached
+    assert not df.is_cached

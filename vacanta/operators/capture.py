@@ -63,13 +63,15 @@ def _first_kept(rows: DataFrame, keys: Sequence[str], order_by: list, keep: Colu
 
 
 def batch_summary(new_rows: DataFrame, run_ts: Column, group_col: str = "source",
-                  internship: Column | None = None, domains: Sequence[str] = ()) -> DataFrame:
+                  internship: Column | None = None, domains: Sequence[str] = (),
+                  country: Column | None = None) -> DataFrame:
     """Per-source summary of a landed batch: counts, internships, run keys."""
     intern = internship if internship is not None else F.lit(False)
     return (new_rows.groupBy(group_col)
             .agg(F.count(F.lit(1)).alias("new_records_count"),
                  F.count_if(F.coalesce(intern, F.lit(False))).alias("internships_count"))
             .select(F.col(group_col).alias("source"),
+                    (country if country is not None else F.lit(None).cast("string")).alias("country"),
                     F.lit("bronze_delta").alias("pipeline_stage"),
                     run_ts.alias("ingestion_timestamp_utc"),
                     F.date_format(run_ts, "yyyy-MM-dd").alias("run_date"),
@@ -94,6 +96,20 @@ def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch
     return landed.select(*keys)
 
 
+def compact_state(spark: SparkSession, root: str, keys: Sequence[str], out_path: str,
+                  run_ts: Column | None = None) -> DataFrame | None:
+    """Optional compact copy of the state: one row per seen key with the batch that
+    first landed it, rebuilt from the landed batches (never the source of truth).
+    Written with a plain overwrite; returns the written table."""
+    landed = seen_keys(spark, root, list(keys) + ["batch_id"])
+    if landed is None:
+        return None
+    compact = (landed.groupBy(*keys).agg(F.min("batch_id").alias("first_batch_id"))
+                     .withColumn("updated_at", run_ts if run_ts is not None else F.current_timestamp()))
+    compact.write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def land_batch(new_rows: DataFrame, root: str, batch_id: str) -> None:
     """Write one batch into ``root/batch_id=<id>``; only that folder is replaced.
     An empty batch writes nothing (the folder is not created)."""

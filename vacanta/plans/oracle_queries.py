@@ -175,7 +175,8 @@ SELECT CAST(ts AS DATE) AS run_date, CAST(count(*) AS BIGINT) AS new_records_cou
 SQL["batch_summary"] = "WITH " + postings_cte() + "," + ingest_cte("postings") + f""",
 firsts AS (SELECT *, row_number() OVER (PARTITION BY source, source_job_id ORDER BY doc_id) AS rn
            FROM ingest WHERE {_RELEVANT})
-SELECT source, 'bronze_delta' AS pipeline_stage, strftime(TIMESTAMP '{RUN_TS}', '%Y-%m-%d') AS run_date,
+SELECT source, CASE WHEN source = {q(V.SOURCES[0])} THEN 'fr' ELSE {q(V.MOROCCO)} END AS country,
+  'bronze_delta' AS pipeline_stage, strftime(TIMESTAMP '{RUN_TS}', '%Y-%m-%d') AS run_date,
   strftime(TIMESTAMP '{RUN_TS}', '%H%M%S') AS run_time, CAST(count(*) AS BIGINT) AS new_records_count,
   CAST(count(*) FILTER (WHERE internship_type <> 'CDI_OR_OTHER') AS BIGINT) AS internships_count,
   CAST({len(V.TAXONOMY)} AS INTEGER) AS n_domains_covered

@@ -285,9 +285,11 @@ def batch_summary(spark, sf_dir):
     keep = _relevant(F.col("source"), F.col("matched_domains"), F.col("m.is_internship"))
     new = capture.capture_new(p, None, ["source", "source_job_id"], [F.col("doc_id")], keep=keep)
     s = capture.batch_summary(new, C.as_timestamp(RUN_TS), internship=F.col("m.is_internship"),
-                              domains=list(V.TAXONOMY))
-    return s.select("source", "pipeline_stage", "run_date", "run_time", "new_records_count", "internships_count",
-                    F.size("domains_covered").alias("n_domains_covered"))
+                              domains=list(V.TAXONOMY),
+                              country=F.when(F.col("source") == F.lit(V.SOURCES[0]), F.lit("fr"))
+                              .otherwise(F.lit(V.MOROCCO)))
+    return s.select("source", "country", "pipeline_stage", "run_date", "run_time", "new_records_count",
+                    "internships_count", F.size("domains_covered").alias("n_domains_covered"))
 
 
 # --- P1-P5, S2, U1: canonical mapping of two differently shaped tables -----------

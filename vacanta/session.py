@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vacanta") -> SparkSession:
@@ -28,6 +30,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """``with persisted(df) as d:`` — a DataFrame reused by several actions is kept
+    for the block and released after it (the cache is not left behind). Lineage is
+    kept, so a lost executor's blocks are recomputed."""
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
