@@ -144,6 +144,21 @@ def source_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/source={source}"
 
 
+# FIXED VALUES — folder names of the original bronze layout (one folder per source,
+# then plain date folders holding pretty-printed envelope files).
+ORIGINAL_LAYOUT = {
+    "adzuna_api": "api_adzuna",
+    "rekrute_scraper": "scraper_rekrute",
+    "emploima_scraper": "scraper_emploima",
+    "dreamjob_scraper": "scraper_dreamjob",
+}
+
+
+def original_layout_paths(root: str) -> dict[str, str]:
+    """``paths`` for :func:`read_batches` over the original layout (use ``multi_line=True``)."""
+    return {name: f"{root.rstrip('/')}/{folder}" for name, folder in ORIGINAL_LAYOUT.items()}
+
+
 def read_batches(spark: SparkSession, root: str, specs: dict[str, Spec] | None = None,
                  schemas: dict[str, T.StructType] | None = None, multi_line: bool = False,
                  paths: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame | None, list[str]]:
