@@ -22,27 +22,25 @@ def size_checked_broadcast(dim: DataFrame, rows: int | None = None, max_rows: in
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-# row counts of dimensions built here, by DataFrame identity, for the broadcast check
-_ROWS: dict[int, int] = {}
+def dim_company_counted(silver: DataFrame) -> tuple[DataFrame, int]:
+    counts = silver.groupBy("company_name").agg(F.count("job_fingerprint").alias("total_jobs_posted"))
+    keyed, n = dense_key_counted(counts, ["company_name"], "company_id", distinct=False)
+    return keyed.select("company_id", "company_name", "total_jobs_posted"), n
 
 
-def _counted(pair: tuple[DataFrame, int]) -> DataFrame:
-    df, n = pair
-    _ROWS[id(df)] = n
-    return df
+def dim_location_counted(silver: DataFrame, home_country: str = V.MOROCCO) -> tuple[DataFrame, int]:
+    keyed, n = dense_key_counted(silver, ["location_country", "location_city"], "location_id")
+    return keyed.select(
+        "location_id", "location_country", "location_city",
+        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco")), n
 
 
 def dim_company(silver: DataFrame) -> DataFrame:
-    counts = silver.groupBy("company_name").agg(F.count("job_fingerprint").alias("total_jobs_posted"))
-    keyed = dense_key_counted(counts, ["company_name"], "company_id", distinct=False)
-    return _counted((keyed[0].select("company_id", "company_name", "total_jobs_posted"), keyed[1]))
+    return dim_company_counted(silver)[0]
 
 
 def dim_location(silver: DataFrame, home_country: str = V.MOROCCO) -> DataFrame:
-    keyed, n = dense_key_counted(silver, ["location_country", "location_city"], "location_id")
-    return _counted((keyed.select(
-        "location_id", "location_country", "location_city",
-        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco")), n))
+    return dim_location_counted(silver, home_country)[0]
 
 
 def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataFrame:
@@ -51,20 +49,22 @@ def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataF
     pairs = (silver.select(F.col("primary_domain").alias("domain"),
                            F.explode_outer("matched_roles").alias("role_keyword"))
                    .withColumn("role_keyword", F.coalesce("role_keyword", F.lit(default_role))))
-    keyed, n = dense_key_counted(pairs, ["domain", "role_keyword"], "taxonomy_id")
-    return _counted((keyed.select("taxonomy_id", "domain", "role_keyword"), n))
+    keyed, _ = dense_key_counted(pairs, ["domain", "role_keyword"], "taxonomy_id")
+    return keyed.select("taxonomy_id", "domain", "role_keyword")
 
 
-def _with_keys(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    comp = size_checked_broadcast(companies.select("company_name", "company_id"), _ROWS.get(id(companies)))
+def _with_keys(silver: DataFrame, companies: DataFrame, locations: DataFrame,
+               company_rows: int | None, location_rows: int | None) -> DataFrame:
+    comp = size_checked_broadcast(companies.select("company_name", "company_id"), company_rows)
     loc = size_checked_broadcast(locations.select("location_country", "location_city", "location_id"),
-                                 _ROWS.get(id(locations)))
+                                 location_rows)
     return (silver.join(comp, "company_name", "left")
                   .join(loc, ["location_country", "location_city"], "left"))
 
 
-def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    return _with_keys(silver, companies, locations).select(
+def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFrame,
+                      company_rows: int | None = None, location_rows: int | None = None) -> DataFrame:
+    return _with_keys(silver, companies, locations, company_rows, location_rows).select(
         "job_fingerprint", "source",
         F.col("source_job_id").alias("job_url"),
         F.col("job_title_clean").alias("job_title"),
@@ -74,10 +74,11 @@ def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFr
         "year", "month")
 
 
-def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
+def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFrame,
+                     company_rows: int | None = None, location_rows: int | None = None) -> DataFrame:
     """Internship data mart; the filter runs before the joins (and reaches the scan)."""
     interns = silver.filter(F.col("is_internship"))
-    return _with_keys(interns, companies, locations).select(
+    return _with_keys(interns, companies, locations, company_rows, location_rows).select(
         "job_fingerprint", "source",
         F.col("source_job_id").alias("job_url"),
         F.col("job_title_clean").alias("job_title"),
@@ -88,14 +89,14 @@ def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFra
 
 
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    companies = dim_company(silver)
-    locations = dim_location(silver)
+    companies, n_companies = dim_company_counted(silver)
+    locations, n_locations = dim_location_counted(silver)
     return {
         "dim_company": companies,
         "dim_location": locations,
         "dim_taxonomy": dim_taxonomy(silver),
-        "fact_job_postings": fact_job_postings(silver, companies, locations),
-        "fact_internships_pfe": fact_internships(silver, companies, locations),
+        "fact_job_postings": fact_job_postings(silver, companies, locations, n_companies, n_locations),
+        "fact_internships_pfe": fact_internships(silver, companies, locations, n_companies, n_locations),
     }
 
 
