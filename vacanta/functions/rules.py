@@ -333,8 +333,12 @@ def _strip(text: Column) -> Column:
 
 def first_listed(text: Column, names: Sequence[str] = V.TEXT_CITIES, default: str = V.MOROCCO) -> Column:
     """First name of ``names`` (list order, not text order) found case-insensitively
-    between word boundaries, else ``default``."""
-    hits = [F.when(text.rlike(r"(?iU)\b" + escape(n) + r"\b"), F.lit(n)) for n in names]
+    between word boundaries, else ``default``. One pass: the lower-cased text is
+    indexed with the lower-cased names (see :func:`word_index`)."""
+    lowered = [n.lower() for n in names]
+    found = word_index(F.lower(text), lowered)
+    hits = [F.when(F.arrays_overlap(found, F.array(*[F.lit(w) for w in with_implying([n], lowered)])), F.lit(name))
+            for n, name in zip(lowered, names)]
     return F.coalesce(*hits, F.lit(default))
 
 
