@@ -87,37 +87,81 @@ RECORD_SCHEMAS = {"adzuna_api": API_RECORD, "rekrute_scraper": PAGE_RECORD,
 # sink
 # ---------------------------------------------------------------------------
 
+def _pack_envelopes(chunk_rows: int, domains: list[str]):
+    """Arrow function for ``mapInArrow``: consecutive records of one source inside a
+    task become envelopes of at most ``chunk_rows`` records (slices of the record
+    array, no copy of the text)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            src = rb.column("source")
+            rec = rb.column("record")
+            intern = pc.fill_null(rb.column("is_internship"), False)
+            ctry = rb.column("country")
+            sources, countries, metas, offsets, parts = [], [], [], [0], []
+            for value in pc.unique(src).to_pylist():
+                idx = pc.indices_nonzero(pc.equal(src, pa.scalar(value, pa.string()))
+                                         if value is not None else pc.is_null(src))
+                recs, flags, cs = pc.take(rec, idx), pc.take(intern, idx), pc.take(ctry, idx)
+                for start in range(0, len(idx), chunk_rows):
+                    piece = recs.slice(start, chunk_rows)
+                    parts.append(piece)
+                    offsets.append(offsets[-1] + len(piece))
+                    sources.append(value)
+                    countries.append(cs[start].as_py())
+                    metas.append((len(piece), pc.sum(flags.slice(start, chunk_rows).cast(pa.int64())).as_py() or 0))
+            records = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays(parts))
+            first = rb.slice(0, 1)
+            k = len(sources)
+            metadata = pa.StructArray.from_arrays([
+                pa.array(sources, pa.string()),
+                pa.array(countries, pa.string()),
+                pa.array(["bronze_delta"] * k, pa.string()),
+                pa.array([first.column("run_iso")[0].as_py()] * k, pa.string()),
+                pa.array([m[0] for m in metas], pa.int64()),
+                pa.array([m[1] for m in metas], pa.int64()),
+                pa.array([domains] * k, pa.list_(pa.string())),
+            ], names=["source", "country", "pipeline_stage", "ingestion_timestamp_utc", "new_records_count",
+                      "internships_count", "domains_covered"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(sources, pa.string()), metadata, records,
+                pa.array([first.column("ingest_date")[0].as_py()] * k, pa.string()),
+                pa.array([first.column("run")[0].as_py()] * k, pa.string()),
+            ], names=["source", "metadata", "records", "ingest_date", "run"])
+
+    return run
+
+
 def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: int = 1000,
                     country: Column | None = None) -> int:
     """Pack ``records`` (columns: ``source``, ``record`` struct, ``is_internship``)
     into envelopes and append them under ``root``. Returns 0 for an empty batch
     (nothing written), else 1.
 
-    Envelopes are cut per source from each input partition's row position, so no
-    group holds more than ``chunk_rows`` records and no source is collected into a
-    single task."""
+    Envelopes are cut inside each task from consecutive records of one source
+    (``mapInArrow``), so no envelope holds more than ``chunk_rows`` records, no
+    source is collected into a single task, and the record text is never shuffled."""
     if records.isEmpty():
         return 0
-    pos = F.monotonically_increasing_id()
-    chunked = records.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_chunk", F.floor((pos - F.shiftleft(F.col("_part").cast("long"), 33)) / chunk_rows))
-    envelopes = (chunked.groupBy("source", "_part", "_chunk")
-                 .agg(F.collect_list("record").alias("records"),
-                      F.count(F.lit(1)).alias("n"),
-                      F.count_if(F.coalesce("is_internship", F.lit(False))).alias("n_intern"))
-                 .select(
-                     "source",
-                     F.struct(F.col("source").alias("source"),
-                              (country if country is not None else F.lit(V.MOROCCO)).alias("country"),
-                              F.lit("bronze_delta").alias("pipeline_stage"),
-                              F.date_format(run_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingestion_timestamp_utc"),
-                              F.col("n").alias("new_records_count"),
-                              F.col("n_intern").alias("internships_count"),
-                              F.array(*[F.lit(d) for d in V.TAXONOMY]).alias("domains_covered"))
-                     .alias("metadata"),
-                     "records",
-                     F.date_format(run_ts, "yyyy-MM-dd").alias("ingest_date"),
-                     F.date_format(run_ts, "HHmmss").alias("run")))
+    record_type = records.schema["record"].dataType
+    out_schema = T.StructType([
+        T.StructField("source", T.StringType()),
+        T.StructField("metadata", METADATA),
+        T.StructField("records", T.ArrayType(record_type)),
+        T.StructField("ingest_date", T.StringType()),
+        T.StructField("run", T.StringType()),
+    ])
+    staged = records.select(
+        "source", "record", "is_internship",
+        (country if country is not None else F.lit(V.MOROCCO)).alias("country"),
+        F.date_format(run_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("run_iso"),
+        F.date_format(run_ts, "yyyy-MM-dd").alias("ingest_date"),
+        F.date_format(run_ts, "HHmmss").alias("run"))
+    envelopes = staged.mapInArrow(_pack_envelopes(chunk_rows, list(V.TAXONOMY)), out_schema)
     envelopes.write.mode("append").partitionBy("source", "ingest_date", "run").json(root)
     return 1
 
