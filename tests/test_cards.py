@@ -37,3 +37,19 @@ def test_no_card_and_extract_cards(spark):
                             min_title=5, summary_chars=10).collect()
     assert [(r.job_url, r.title, r.summary) for r in got] == [
         ("https://site.example/emploi/3", "Analyste BI chez X", "Analyste B")]
+
+
+def test_capture_text_and_metadata(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(1, "https://site.example/search", HTML)], "page_id long, url string, html string")
+    raw = cards.extract_cards(pages, cards.SOURCE_CARD_SPECS["rekrute_scraper"])
+    got = cards.card_fields(raw, snippet_summary=True).collect()[0]
+    assert got.summary == "Stage de 6 mois" and got.raw_metadata == "CDI | Rabat"
+    tag_text, rule_text = cards.capture_text("rekrute_scraper")
+    r = raw.select(tag_text.alias("a"), rule_text.alias("b")).collect()[0]
+    assert r.b == "Data Engineer H/F Acme & Co CDI | Rabat Stage de 6 mois"
+    assert r.a == "Data Engineer H/F " + r.b
+    tagged = cards.card_fields(raw, metadata="Emploi | kw=data").select("raw_metadata").distinct().collect()
+    assert [x.raw_metadata for x in tagged] == ["Emploi | kw=data"]
+    assert F is not None

@@ -18,9 +18,11 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import vocab as V
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
 SKIP_TEXT = {"script", "style", "template"}
@@ -204,12 +206,32 @@ SOURCE_CARD_SPECS = {
 
 
 def card_fields(cards: DataFrame, min_title: int = 0, summary_chars: int | None = None,
-                snippet_summary: bool = False) -> DataFrame:
-    """Column rules applied after extraction: title guard, summary and metadata."""
+                snippet_summary: bool = False, metadata=None) -> DataFrame:
+    """Column rules applied after extraction: title guard, ``summary`` (snippet, or
+    card text cut to ``summary_chars``) and ``raw_metadata`` (a Column or a literal
+    such as the search keyword tag; default the joined info items)."""
     out = cards
     if min_title:
         out = out.filter(F.col("title").isNotNull() & (F.length("title") >= min_title))
     summary = F.coalesce(F.col("snippet"), F.lit("")) if snippet_summary else F.col("card_text")
     if summary_chars:
         summary = F.substring(summary, 1, summary_chars)
-    return out.withColumn("summary", summary)
+    if metadata is None:
+        meta = F.col("info_text")
+    else:
+        meta = metadata if not isinstance(metadata, str) else F.lit(metadata)
+    return out.withColumn("summary", summary).withColumn("raw_metadata", meta)
+
+
+def capture_text(source: str) -> tuple[Column, Column]:
+    """(tagging text, rule text) of a card at capture time, per source shape: the
+    first shape joins title, company, info items and snippet; the others read the
+    card text (the third one after the title). Tagging always puts the title first."""
+    title = F.coalesce(F.col("title"), F.lit(""))
+    if source == "rekrute_scraper":
+        combined = F.concat_ws(" ", title, F.coalesce("company", F.lit(V.UNSPECIFIED)),
+                               F.coalesce("info_text", F.lit("")), F.coalesce("snippet", F.lit("")))
+        return F.concat_ws(" ", title, combined), combined
+    text = F.coalesce(F.col("card_text"), F.lit(""))
+    rule_text = F.concat_ws(" ", title, text) if source == "dreamjob_scraper" else text
+    return F.concat_ws(" ", title, text), rule_text
