@@ -56,3 +56,14 @@ def test_truncated_and_reference_shaped_files(spark, tmp_dir):
                                                                                       "Paris")
     assert r.raw_description == "" and r.raw_contract == ""
     assert rejects.count() == 1
+
+
+def test_envelope_run_is_idempotent(spark, tmp_dir):
+    root = tmp_dir + "/bronze"
+    run_ts = F.lit("2024-01-02 02:00:00").cast("timestamp")
+    B.write_envelopes(_page_records(spark, 12), root, run_ts, chunk_rows=5)
+    B.write_envelopes(_page_records(spark, 12), root, run_ts, chunk_rows=5)       # replay of the run
+    B.write_envelopes(_page_records(spark, 3, "dreamjob_scraper"), root, run_ts)  # another source, same run
+    unified, _, _ = B.read_batches(spark, root)
+    counts = {r.source: r["count"] for r in unified.groupBy("source").count().collect()}
+    assert counts == {"rekrute_scraper": 12, "dreamjob_scraper": 3}

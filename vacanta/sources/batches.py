@@ -3,7 +3,7 @@
 Sink: records are packed into envelopes of at most ``chunk_rows`` records (one
 per line, so files stay splittable), under
 ``<root>/source=<name>/ingest_date=<yyyy-MM-dd>/run=<HHmmss>/``. Nothing is
-written for an empty batch.
+written for an empty batch; writing the same run again replaces its folders.
 
 Scan: per source a declared schema (no inference job, no drift), permissive
 ``from_json`` parsing with a corrupt-record column whose rows go to a reject
@@ -162,7 +162,10 @@ def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: i
         F.date_format(run_ts, "yyyy-MM-dd").alias("ingest_date"),
         F.date_format(run_ts, "HHmmss").alias("run"))
     envelopes = staged.mapInArrow(_pack_envelopes(chunk_rows, list(V.TAXONOMY)), out_schema)
-    envelopes.write.mode("append").partitionBy("source", "ingest_date", "run").json(root)
+    # each run owns its source/ingest_date/run folders; re-running the same run
+    # replaces them (dynamic partition overwrite) instead of appending twice
+    (envelopes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("source", "ingest_date", "run").json(root))
     return 1
 
 
