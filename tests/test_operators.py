@@ -181,3 +181,19 @@ def test_compact_state_and_persisted(spark, tmp_dir):
     with persisted(df) as d:
         assert d.count() == 2 and d.is_cached
     assert not df.is_cached
+
+
+def test_read_seen_state_of_original_jobs(spark, tmp_dir):
+    import json
+    import os
+
+    path = os.path.join(tmp_dir, "state.json")
+    with open(path, "w") as f:
+        json.dump({"updated_at": "2024-01-01T00:00:00+00:00", "total_seen": 2, "seen_urls": ["u1", "u2"]}, f, indent=2)
+    seen = capture.read_seen_state(spark, path, "rekrute_scraper", "seen_urls")
+    assert sorted((r.source, r.key) for r in seen.collect()) == [("rekrute_scraper", "u1"), ("rekrute_scraper", "u2")]
+    assert capture.read_seen_state(spark, tmp_dir + "/missing.json", "x").count() == 0
+    cand = spark.createDataFrame([("rekrute_scraper", "u1", 1), ("rekrute_scraper", "u3", 2)],
+                                 "source string, key string, pos int")
+    new = capture.capture_new(cand, seen, ["source", "key"], [F.col("pos")])
+    assert [r.key for r in new.collect()] == ["u3"]

@@ -96,6 +96,21 @@ def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch
     return landed.select(*keys)
 
 
+def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str = "seen_ids") -> DataFrame:
+    """Seen keys from a state object of the original capture jobs
+    (``{updated_at, total_seen, seen_ids | seen_urls}``, one pretty-printed JSON
+    document per file), as ``(source, key)`` rows — to start capture from the state
+    a previous deployment left behind. A missing object gives an empty state."""
+    schema = f"updated_at string, total_seen long, {keys_field} array<string>"
+    empty = spark.createDataFrame([], "source string, key string")
+    try:
+        doc = spark.read.schema(schema).option("multiLine", True).json(path)
+    except AnalysisException:
+        return empty
+    return doc.select(F.lit(source).alias("source"), F.explode_outer(keys_field).alias("key")).filter(
+        F.col("key").isNotNull())
+
+
 def compact_state(spark: SparkSession, root: str, keys: Sequence[str], out_path: str,
                   run_ts: Column | None = None) -> DataFrame | None:
     """Optional compact copy of the state: one row per seen key with the batch that
