@@ -1,9 +1,13 @@
 """Rule engine: ordered (label, predicate) lists turned into native column expressions.
 
-Every rule here compiles to built-in Spark expressions (``rlike``,
-``regexp_extract``, ``when`` chains), so derivations stay inside whole-stage
-codegen and never leave the JVM. Word lists live in :mod:`vacanta.functions.vocab`
-and can be replaced by the caller.
+Every rule here compiles to built-in Spark expressions (``regexp_extract_all``,
+``arrays_overlap``, ``regexp_extract``, ``when`` chains), so derivations stay
+inside whole-stage codegen and never leave the JVM. Word lists live in
+:mod:`vacanta.functions.vocab` and can be replaced by the caller.
+
+Word rules share one scan of the text: :func:`word_index` collects every
+vocabulary word once, and :func:`has_words` on a :class:`Words` tests that small
+array; on a plain column it falls back to one ``rlike`` per rule.
 
 Regex notes: patterns carry ``(?U)`` so ``\\b``, ``\\w``, ``\\d`` and ``\\s``
 follow Unicode classes, as they do for ``str`` patterns in Python. Text is
