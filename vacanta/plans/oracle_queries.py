@@ -274,3 +274,27 @@ UNION ALL SELECT 'key_completeness', 'critical', null_keys, null_keys = 0 FROM s
 UNION ALL SELECT 'key_uniqueness', 'critical', total - distinct_keys, total - distinct_keys = 0 FROM stats
 UNION ALL SELECT 'domain_validity', 'critical', n, n = 0 FROM bad
 UNION ALL SELECT 'future_dates', 'warning', future_dates, future_dates = 0 FROM stats""", extra=_CANON, src="canon")
+
+_ORDER_POSTINGS = f"""
+op AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS source_job_id,
+    coalesce(c.c_name, {q(V.UNSPECIFIED)}) AS company_name,
+    coalesce(r.r_name, {q(V.UNSPECIFIED)}) AS location_country,
+    coalesce(n.n_name, {q(V.UNSPECIFIED)}) AS location_city,
+    CAST(o.o_orderdate AS DATE) AS publication_date, o.o_orderstatus = 'O' AS is_internship
+  FROM orders o LEFT JOIN (customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                           JOIN region r ON n.n_regionkey = r.r_regionkey) ON o.o_custkey = c.c_custkey),
+dc AS (SELECT CAST(row_number() OVER (ORDER BY company_name NULLS FIRST) AS BIGINT) AS company_id, company_name,
+              total_jobs_posted
+       FROM (SELECT company_name, CAST(count(*) AS BIGINT) AS total_jobs_posted FROM op GROUP BY company_name)),
+dl AS (SELECT CAST(row_number() OVER (ORDER BY location_country NULLS FIRST, location_city NULLS FIRST) AS BIGINT)
+              AS location_id, location_country, location_city,
+              coalesce(location_country = {q(V.MOROCCO)}, false) AS is_morocco
+       FROM (SELECT DISTINCT location_country, location_city FROM op))"""
+
+SQL["dim_company_orders"] = f"WITH {_ORDER_POSTINGS}\nSELECT company_id, company_name, total_jobs_posted FROM dc"
+SQL["dim_location_geo"] = f"WITH {_ORDER_POSTINGS}\nSELECT location_id, location_country, location_city, is_morocco FROM dl"
+SQL["fact_orders"] = f"""WITH {_ORDER_POSTINGS}
+SELECT op.source_job_id AS o_orderkey, dc.company_id, dl.location_id, op.publication_date, op.is_internship
+FROM op LEFT JOIN dc ON op.company_name = dc.company_name
+  LEFT JOIN dl ON op.location_country = dl.location_country AND op.location_city = dl.location_city"""

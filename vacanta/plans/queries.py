@@ -357,6 +357,46 @@ def bronze_envelopes(spark, sf_dir):
         F.sum("metadata.internships_count").alias("internships_count"))
 
 
+# --- G1, G2, G4 on the order tables: the same dimension builders over other postings --
+
+def _order_postings(spark, sf_dir):
+    """Orders as postings: the customer is the company, nation/region the location."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    geo = (c.join(n, c.c_nationkey == n.n_nationkey)            # nation and region are
+            .join(r, n.n_regionkey == r.r_regionkey))             # tiny: AQE broadcasts them
+    return (o.join(geo, o.o_custkey == geo.c_custkey, "left")
+             .select(F.sha2(F.col("o_orderkey").cast("string"), 256).alias("job_fingerprint"),
+                     F.coalesce("c_name", F.lit(V.UNSPECIFIED)).alias("company_name"),
+                     F.coalesce("r_name", F.lit(V.UNSPECIFIED)).alias("location_country"),
+                     F.coalesce("n_name", F.lit(V.UNSPECIFIED)).alias("location_city"),
+                     F.col("o_orderkey").cast("string").alias("source_job_id"),
+                     F.col("o_orderdate").cast("timestamp").alias("publication_date"),
+                     (F.col("o_orderstatus") == F.lit("O")).alias("is_internship")))
+
+
+def dim_company_orders(spark, sf_dir):
+    return star.dim_company(_order_postings(spark, sf_dir))
+
+
+def dim_location_geo(spark, sf_dir):
+    return star.dim_location(_order_postings(spark, sf_dir))
+
+
+def fact_orders(spark, sf_dir):
+    """Order facts keyed by the two dimensions (size-checked broadcast joins)."""
+    p = _order_postings(spark, sf_dir)
+    companies, n_c = star.dim_company_counted(p)
+    locations, n_l = star.dim_location_counted(p)
+    comp = star.size_checked_broadcast(companies.select("company_name", "company_id"), n_c)
+    loc = star.size_checked_broadcast(locations.select("location_country", "location_city", "location_id"), n_l)
+    return (p.join(comp, "company_name", "left").join(loc, ["location_country", "location_city"], "left")
+             .select(F.col("source_job_id").alias("o_orderkey"), "company_id", "location_id",
+                     F.to_date("publication_date").alias("publication_date"), "is_internship"))
+
+
 # --- S10, P17, P18, F7, C13: cards of the stored pages ------------------------------
 
 # The supplied pages list their links as ``nav li`` items; the third source's card
@@ -456,4 +496,7 @@ QUERIES = {
     "page_cards": page_cards,
     "stream_capture": stream_capture,
     "daily_layers": daily_layers,
+    "dim_company_orders": dim_company_orders,
+    "dim_location_geo": dim_location_geo,
+    "fact_orders": fact_orders,
 }
