@@ -160,3 +160,37 @@ def test_ingest_presets_differ(spark):
     assert got[(2, "adzuna_api")][0] == "ALTERNANCE" and got[(2, "emploima_scraper")][0] == "CDI_OR_OTHER"
     assert got[(3, "adzuna_api")][1] is True and got[(3, "rekrute_scraper")][1] is None
     assert got[(4, "adzuna_api")][2] == "HYBRID" and got[(4, "rekrute_scraper")][2] == "REMOTE_POSSIBLE"
+
+
+def test_fingerprint_variants(spark):
+    from vacanta.functions import columns as C
+
+    rows = [("Data Engineer", "Acme", "Rabat"), ("DATA ENGINEER", "acme", "RABAT"), ("Data Engineer ", "Acme", "Rabat"),
+            (None, "Acme", "Rabat")]
+    df = spark.createDataFrame(rows, "t string, c string, l string")
+    fps = [r[0] for r in df.select(C.fingerprint(F.col("t"), F.col("c"), F.col("l"))).collect()]
+    assert fps[0] == fps[1]                    # case-only variants share a key
+    assert fps[0] != fps[2]                    # no trimming: a trailing blank differs
+    import hashlib
+    assert fps[3] == hashlib.sha256("acme||rabat".encode()).hexdigest()   # a null part leaves no slot
+
+
+def test_recency_edges(spark):
+    from vacanta.functions import columns as C
+
+    texts = ["2024-01-01T00:00:00Z", "2023-12-31T23:59:59Z", "2023-12-31T00:00:00Z", None, "not a date",
+             "2024-01-01T10:00:00+05:00", "2024-03-05T00:00:00", "2024-01-01T00:00:00.5+02:00"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    ts = C.parse_wall_clock(F.col("t"))
+    got = [r[1] for r in sorted(df.select("i", C.recent(ts, "2024-03-01 00:00:00", 60)).collect())]
+    # 60 whole days kept, 61 dropped; null and malformed kept; offsets overwritten (wall clock); future kept
+    assert got == [True, True, False, True, True, True, True, True]
+    wall = [r[1] for r in sorted(df.select("i", ts.cast("string")).collect())]
+    assert wall[5] == "2024-01-01 10:00:00" and wall[7] == "2024-01-01 00:00:00"
+
+
+def test_contract_boundary_trap(spark):
+    got = _eval(spark, ["durée indéterminée", "durée déterminée"], lambda c: R.has_words(c, V.CDD_WORDS))
+    assert got == [False, True]
+    got = _eval(spark, ["durée indéterminée", "durée déterminée"], lambda w: R.has_words(w, V.CDD_WORDS), True)
+    assert got == [False, True]
