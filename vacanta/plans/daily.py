@@ -17,7 +17,7 @@ from ..sources.batches import read_batches, write_layer
 from . import silver as S
 
 
-def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_path: str, run_ts=None,
+def silver_layer(spark: SparkSession, bronze_root: str, silver_path: str, run_ts=None,
                      multi_line: bool = False) -> DataFrame:
     """Read all sources, build silver, write it partitioned by year/month.
     Returns a one-row summary (total, internships) computed from the written table."""
@@ -33,7 +33,7 @@ def quality_gate(spark: SparkSession, silver_path: str, as_of_date) -> DataFrame
     return quality.gate(report)
 
 
-def silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str) -> DataFrame:
+def gold_layer(spark: SparkSession, silver_path: str, gold_path: str) -> DataFrame:
     """Build and write the star schema; returns the layer summary of the written tables."""
     silver = spark.read.parquet(silver_path)
     gold = star.build_gold(silver)
@@ -51,7 +51,7 @@ def run_daily(spark: SparkSession, bronze_root: str, silver_path: str, gold_path
               as_of_date=None) -> dict[str, DataFrame]:
     """All layers in order; :class:`quality.QualityGateError` stops before gold."""
     as_of_date = as_of_date or C.run_timestamp(run_ts).cast("date")
-    out = {"silver": bronze_to_silver(spark, bronze_root, silver_path, run_ts)}
+    out = {"silver": silver_layer(spark, bronze_root, silver_path, run_ts)}
     out["quality"] = quality_gate(spark, silver_path, as_of_date)
-    out["gold"] = silver_to_gold(spark, silver_path, gold_path)
+    out["gold"] = gold_layer(spark, silver_path, gold_path)
     return out

@@ -446,13 +446,13 @@ def daily_layers(spark, sf_dir):
 
     root = scratch_path(spark, "lake")
     B.land_bronze(text_table(spark, sf_dir, "documents"), root + "/bronze", C.as_timestamp(RUN_TS))
-    daily.bronze_to_silver(spark, root + "/bronze", root + "/silver", RUN_TS)
+    daily.silver_layer(spark, root + "/bronze", root + "/silver", RUN_TS)
     report = quality.run_checks(spark.read.parquet(root + "/silver"), AS_OF)
     try:
         quality.gate(report)
     except quality.QualityGateError:
         return report
-    summary = daily.silver_to_gold(spark, root + "/silver", root + "/gold")
+    summary = daily.gold_layer(spark, root + "/silver", root + "/gold")
     return report.unionByName(summary.select(F.concat(F.lit("gold:"), "table").alias("check"),
                                              F.lit("info").alias("severity"), F.col("rows").alias("observed"),
                                              F.lit(True).alias("passed")))
