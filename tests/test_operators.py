@@ -215,3 +215,19 @@ def test_silver_independent_of_input_order_and_partitioning(spark):
     g1, g2 = star.build_gold(a), star.build_gold(b)
     for name in ("dim_company", "dim_location", "dim_taxonomy", "fact_job_postings"):
         assert rows(g1[name]) == rows(g2[name]), name
+
+
+def test_capture_stream_state_store(spark, tmp_dir):
+    from vacanta.streaming.capture import capture_stream_state
+
+    src = tmp_dir + "/incoming"
+    rows = [(k, i, i % 4 != 0) for i, k in enumerate(["a", "b", "a", "c", "d", "b", "e", "a", "f", "c"])]
+    df = spark.createDataFrame(rows, "key string, pos int, keep boolean")
+    for part in range(3):
+        df.filter(F.col("pos") % 3 == part).coalesce(1).write.mode("append").parquet(src)
+    sink = tmp_dir + "/captured"
+    q = capture_stream_state(spark, src, df.schema, sink, ["key"], keep=lambda: F.col("keep"),
+                             max_files_per_trigger=1)
+    q.awaitTermination()
+    keys = sorted(r.key for r in spark.read.parquet(sink).collect())
+    assert keys == sorted({k for k, i, keep in rows if keep})      # each kept key exactly once

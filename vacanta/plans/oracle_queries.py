@@ -298,3 +298,5 @@ SQL["fact_orders"] = f"""WITH {_ORDER_POSTINGS}
 SELECT op.source_job_id AS o_orderkey, dc.company_id, dl.location_id, op.publication_date, op.is_internship
 FROM op LEFT JOIN dc ON op.company_name = dc.company_name
   LEFT JOIN dl ON op.location_country = dl.location_country AND op.location_city = dl.location_city"""
+
+SQL["stream_capture_state"] = SQL["stream_capture"]

@@ -436,6 +436,22 @@ def stream_capture(spark, sf_dir):
     return spark.read.parquet(landed).select("capture_key")
 
 
+def stream_capture_state(spark, sf_dir):
+    """The same stream captured with the streaming state store (dropDuplicates on the
+    key) into an exactly-once parquet sink."""
+    from ..streaming.capture import capture_stream_state
+
+    src = scratch_path(spark, "events-incoming")
+    events = table(spark, sf_dir, "events")
+    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.partitionBy("day").parquet(src)
+    sink = scratch_path(spark, "events-captured")
+    q = capture_stream_state(spark, src, events.schema, sink, ["capture_key"], keep=_event_keep,
+                             prepare=lambda b: b.withColumn("capture_key", _event_key_col()),
+                             max_files_per_trigger=8)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("capture_key")
+
+
 # --- X4-X6: the gated daily composition over written layers ------------------------
 
 def daily_layers(spark, sf_dir):
@@ -495,6 +511,7 @@ QUERIES = {
     "bronze_envelopes": bronze_envelopes,
     "page_cards": page_cards,
     "stream_capture": stream_capture,
+    "stream_capture_state": stream_capture_state,
     "daily_layers": daily_layers,
     "dim_company_orders": dim_company_orders,
     "dim_location_geo": dim_location_geo,

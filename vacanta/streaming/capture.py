@@ -47,3 +47,33 @@ def capture_stream(spark: SparkSession, source_dir: str, schema: StructType, lan
         "checkpointLocation", stream_checkpoint or landed_root.rstrip("/") + "_stream_checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def capture_stream_state(spark: SparkSession, source_dir: str, schema: StructType, sink_dir: str,
+                         keys: Sequence[str], keep: Callable[[], Column] | None = None,
+                         prepare: Callable[[DataFrame], DataFrame] | None = None,
+                         stream_checkpoint: str | None = None, file_format: str = "parquet",
+                         max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Capture with Spark's state store: kept rows, ``dropDuplicates(keys)`` (the seen
+    keys live in the streaming state, so a trigger costs the size of its micro-batch,
+    not of the whole history), written by the exactly-once file sink.
+
+    Each key is emitted once over the life of the stream. Within one micro-batch the
+    row kept for a new key is not ordered; use :func:`capture_stream` when the
+    survivor must be the first by position. For large key sets configure the RocksDB
+    state store provider (``spark.sql.streaming.stateStore.providerClass``)."""
+    checkpoint_dir(spark)
+    reader = spark.readStream.schema(schema).format(file_format)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = reader.load(source_dir)
+    if prepare is not None:
+        rows = prepare(rows)
+    if keep is not None:
+        rows = rows.filter(keep())
+    writer = (rows.dropDuplicates(list(keys)).writeStream.format("parquet")
+              .option("path", sink_dir)
+              .option("checkpointLocation", stream_checkpoint or sink_dir.rstrip("/") + "_stream_checkpoint")
+              .outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
