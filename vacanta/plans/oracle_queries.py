@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .oracle import with_enriched, with_postings, with_silver
+from ..functions import vocab as V
+from .oracle import (AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
+                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q,
+                     recent, with_enriched, with_postings, with_silver)
 
 
 def _attr(col: str) -> str:
@@ -50,9 +53,6 @@ FROM (SELECT DISTINCT domain, coalesce(role_keyword, 'Generaliste') AS role_keyw
 # the rest of the inventory
 # ---------------------------------------------------------------------------
 
-from .oracle import (AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS,  # noqa: E402
-                     city_sql, company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, q, recent)
-from ..functions import vocab as V  # noqa: E402
 
 _DIMS = """
 dimc AS (SELECT row_number() OVER (ORDER BY company_name NULLS FIRST) AS company_id, company_name
@@ -187,7 +187,7 @@ SELECT 'documents_api' AS source, CAST(doc_id AS VARCHAR) AS source_job_id, spli
   coalesce(CASE WHEN n_chars % 20 = 0 THEN NULL ELSE lang END, {q(V.UNSPECIFIED)}) AS company_name,
   coalesce(CASE WHEN doc_id % 9 = 0 THEN NULL ELSE upper(lang) END, {q(V.API_DEFAULT_COUNTRY)}) AS location_country,
   coalesce(CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END, {q(V.UNSPECIFIED)}) AS location_city,
-  {parse_ts(__import__('vacanta.plans.oracle', fromlist=['publication_text_sql']).publication_text_sql())} AS publication_date,
+  {parse_ts(publication_text_sql())} AS publication_date,
   coalesce(text, '') AS raw_description,
   coalesce(CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END, '') AS raw_contract
 FROM documents
@@ -237,7 +237,6 @@ SELECT source, CAST(count(*) AS BIGINT) AS new_records_count,
   CAST(count(*) FILTER (WHERE internship_type <> 'CDI_OR_OTHER') AS BIGINT) AS internships_count
 FROM ingest GROUP BY source"""
 
-from .oracle import city_sql as _city, company_sql as _company  # noqa: E402
 
 SQL["page_cards"] = f"""
 WITH anchors AS (
@@ -252,8 +251,8 @@ cards AS (
 kept AS (SELECT * FROM cards WHERE length(title) >= 5),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY page_id, card_pos) AS rn FROM kept)
 SELECT page_id, card_pos, job_url, title, substr(card_text, 1, 500) AS summary,
-  {_company("concat_ws(' ', title, card_text)")} AS company,
-  {_city("concat_ws(' ', title, card_text)")} AS location_city
+  {company_sql("concat_ws(' ', title, card_text)")} AS company,
+  {city_sql("concat_ws(' ', title, card_text)")} AS location_city
 FROM firsts WHERE rn = 1"""
 
 SQL["stream_capture"] = f"""WITH {_EVENTS}
