@@ -231,3 +231,28 @@ def test_capture_stream_state_store(spark, tmp_dir):
     q.awaitTermination()
     keys = sorted(r.key for r in spark.read.parquet(sink).collect())
     assert keys == sorted({k for k, i, keep in rows if keep})      # each kept key exactly once
+
+
+def test_history_equals_sequential_landed_runs(spark, tmp_dir):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(f"k{rnd.randint(0, 14)}", i, rnd.random() < 0.7, rnd.randint(1, 4)) for i in range(120)]
+    df = spark.createDataFrame(rows, "key string, pos int, keep boolean, batch int")
+    root = tmp_dir + "/landed"
+    for b in range(1, 5):
+        capture.capture_batch(spark, df.filter(F.col("batch") == b), root, str(b), ["key"], [F.col("pos")],
+                              keep=F.col("keep"))
+    landed = sorted((r.key, r.pos) for r in spark.read.parquet(root).select("key", "pos").collect())
+    history = capture.first_capture_history(df, ["key"], "batch", [F.col("pos")], keep=F.col("keep"))
+    assert landed == sorted((r.key, r.pos) for r in history.collect())
+
+
+def test_spread_is_noop_with_enough_splits(spark):
+    from vacanta.sources.tables import spread
+
+    many = spark.range(1000).repartition(16)
+    assert spread(many, min_partitions=8) is many
+    few = spark.range(1000).coalesce(1)
+    spread_out = spread(few, min_partitions=4)
+    assert spread_out.rdd.getNumPartitions() == 4 and spread_out.count() == 1000

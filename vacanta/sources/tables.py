@@ -22,6 +22,8 @@ def _input_bytes(df: DataFrame) -> int | None:
     """Total size of the files behind ``df`` (driver-side file metadata only)."""
     try:
         files = df.inputFiles()
+        if not files:
+            return None  # not a file scan: size unknown
         jvm = df.sparkSession.sparkContext._jvm
         conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
         total = 0
