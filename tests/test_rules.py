@@ -194,3 +194,20 @@ def test_contract_boundary_trap(spark):
     assert got == [False, True]
     got = _eval(spark, ["durée indéterminée", "durée déterminée"], lambda w: R.has_words(w, V.CDD_WORDS), True)
     assert got == [False, True]
+
+
+def test_rules_are_replaceable_data(spark):
+    import dataclasses
+
+    from vacanta.plans import silver as S
+
+    rows = [("Data role", "salary and télétravail flexible", "CDI")]
+    df = spark.createDataFrame(rows, "raw_title string, raw_description string, raw_contract string")
+    df = df.withColumn("company_name", F.lit("x")).withColumn("location_city", F.lit("y")).withColumn(
+        "matched_domains", F.array().cast("array<string>"))
+    base = S.derive_attributes(df, "2026-10-01 00:00:00").first()
+    assert base.is_remunerated is None and base.work_mode == "REMOTE_POSSIBLE"
+    custom = dataclasses.replace(R.DEFAULT_RULES, paid=R.DEFAULT_RULES.paid + ("salary",),
+                                 hybrid=("télétravail flexible",))
+    got = S.derive_attributes(df, "2026-10-01 00:00:00", custom).first()
+    assert got.is_remunerated is True and got.work_mode == "HYBRID"

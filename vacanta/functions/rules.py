@@ -17,6 +17,7 @@ lower-cased with ``F.lower`` before matching.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -151,18 +152,52 @@ def corpus(*cols: Column) -> Column:
     return F.concat_ws(" ", *cols)
 
 
-def is_internship(low_corpus: Column, low_contract: Column) -> Column:
-    hit = has_words(low_corpus, V.INTERNSHIP_WORDS) | has_words(low_contract, V.INTERNSHIP_CONTRACT_WORDS)
+@dataclass(frozen=True)
+class SilverRules:
+    """Word lists of the silver rules; pass a modified copy to change a rule
+    (``dataclasses.replace(DEFAULT_RULES, paid=[...])``)."""
+
+    internship: tuple = tuple(V.INTERNSHIP_WORDS)
+    internship_contract: tuple = tuple(V.INTERNSHIP_CONTRACT_WORDS)
+    alternance_contract: tuple = tuple(V.ALTERNANCE_CONTRACT_WORDS)
+    cdi: tuple = tuple(V.CDI_WORDS)
+    cdd: tuple = tuple(V.CDD_WORDS)
+    freelance: tuple = tuple(V.FREELANCE_WORDS)
+    paid: tuple = tuple(V.PAID_WORDS)
+    unpaid: tuple = tuple(V.UNPAID_WORDS)
+    full_remote: tuple = tuple(V.FULL_REMOTE_WORDS)
+    hybrid: tuple = tuple(V.HYBRID_WORDS)
+    remote: tuple = tuple(V.REMOTE_WORDS)
+    pfe: tuple = tuple(V.PFE_WORDS)
+    category_alternance: tuple = tuple(V.CATEGORY_ALTERNANCE_WORDS)
+    initiation: tuple = tuple(V.INITIATION_WORDS)
+    application: tuple = tuple(V.APPLICATION_WORDS)
+
+    def vocabulary(self) -> list[str]:
+        """Every word of the corpus-level lists (the contract list reads another text)."""
+        out: dict[str, None] = {}
+        for f in fields(self):
+            if f.name != "internship_contract":
+                for w in getattr(self, f.name):
+                    out.setdefault(w, None)
+        return list(out)
+
+
+DEFAULT_RULES = SilverRules()
+
+
+def is_internship(low_corpus: Column, low_contract: Column, rules: SilverRules = DEFAULT_RULES) -> Column:
+    hit = has_words(low_corpus, rules.internship) | has_words(low_contract, rules.internship_contract)
     return F.coalesce(hit, F.lit(False))
 
 
-def contract_type(low_corpus: Column, internship: Column) -> Column:
+def contract_type(low_corpus: Column, internship: Column, rules: SilverRules = DEFAULT_RULES) -> Column:
     return label_by_rules([
-        ("ALTERNANCE", has_words(low_corpus, V.ALTERNANCE_CONTRACT_WORDS)),
+        ("ALTERNANCE", has_words(low_corpus, rules.alternance_contract)),
         ("STAGE", internship),
-        ("CDI", has_words(low_corpus, V.CDI_WORDS)),
-        ("CDD", has_words(low_corpus, V.CDD_WORDS)),
-        ("FREELANCE", has_words(low_corpus, V.FREELANCE_WORDS)),
+        ("CDI", has_words(low_corpus, rules.cdi)),
+        ("CDD", has_words(low_corpus, rules.cdd)),
+        ("FREELANCE", has_words(low_corpus, rules.freelance)),
     ], "NON_SPECIFIE")
 
 
@@ -174,11 +209,12 @@ def remuneration(low_corpus: Column, paid_words=V.PAID_WORDS, unpaid_words=V.UNP
     ], F.lit(None).cast("boolean"))
 
 
-def work_mode(low_corpus: Column, hybrid_words=V.HYBRID_WORDS) -> Column:
+def work_mode(low_corpus: Column, hybrid_words=V.HYBRID_WORDS, full_remote_words=V.FULL_REMOTE_WORDS,
+              remote_words=V.REMOTE_WORDS) -> Column:
     return label_by_rules([
-        ("FULL_REMOTE", has_words(low_corpus, V.FULL_REMOTE_WORDS)),
+        ("FULL_REMOTE", has_words(low_corpus, full_remote_words)),
         ("HYBRID", has_words(low_corpus, hybrid_words)),
-        ("REMOTE_POSSIBLE", has_words(low_corpus, V.REMOTE_WORDS)),
+        ("REMOTE_POSSIBLE", has_words(low_corpus, remote_words)),
     ], "SUR_SITE")
 
 
@@ -218,13 +254,14 @@ def duration_bracket(months: Column) -> Column:
     ], b[4])
 
 
-def internship_category(internship: Column, months: Column, low_corpus) -> Column:
+def internship_category(internship: Column, months: Column, low_corpus, rules: SilverRules = DEFAULT_RULES
+                        ) -> Column:
     text = low_corpus if isinstance(low_corpus, Words) else F.coalesce(low_corpus, F.lit(""))
     chain = label_by_rules([
-        ("PFE", has_words(text, V.PFE_WORDS)),
-        ("ALTERNANCE", has_words(text, V.CATEGORY_ALTERNANCE_WORDS)),
-        ("STAGE_INITIATION", F.coalesce(months == 1, F.lit(False)) | has_words(text, V.INITIATION_WORDS)),
-        ("STAGE_APPLICATION", F.coalesce(months.isin(2, 3), F.lit(False)) | has_words(text, V.APPLICATION_WORDS)),
+        ("PFE", has_words(text, rules.pfe)),
+        ("ALTERNANCE", has_words(text, rules.category_alternance)),
+        ("STAGE_INITIATION", F.coalesce(months == 1, F.lit(False)) | has_words(text, rules.initiation)),
+        ("STAGE_APPLICATION", F.coalesce(months.isin(2, 3), F.lit(False)) | has_words(text, rules.application)),
         ("PFE", F.coalesce(months >= 4, F.lit(False))),
     ], "STAGE_NON_SPECIFIE")
     return F.when(F.coalesce(internship, F.lit(False)), chain)
