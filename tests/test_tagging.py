@@ -63,3 +63,13 @@ def test_primary_domain_null_safe(spark):
     df = spark.createDataFrame([(None,), ([],), (["DATA_SCIENCE", "AI_RESEARCH"],)], "d array<string>")
     got = [r[0] for r in df.select(T.primary_domain(F.col("d"))).collect()]
     assert got == ["NON_CLASSE", "NON_CLASSE", "DATA_SCIENCE"]
+
+
+def test_taxonomy_table_roundtrip(spark):
+    import pytest
+
+    t = T.taxonomy_table(spark)
+    assert t.count() == sum(len(v) for v in V.TAXONOMY.values())
+    assert T.taxonomy_from_table(t) == V.TAXONOMY
+    with pytest.raises(ValueError):
+        T.taxonomy_from_table(t, max_keywords=10)
