@@ -67,3 +67,21 @@ def test_envelope_run_is_idempotent(spark, tmp_dir):
     unified, _, _ = B.read_batches(spark, root)
     counts = {r.source: r["count"] for r in unified.groupBy("source").count().collect()}
     assert counts == {"rekrute_scraper": 12, "dreamjob_scraper": 3}
+
+
+def test_original_layout_paths(spark, tmp_dir):
+    root = tmp_dir + "/bronze"
+    folder = os.path.join(root, "scraper_dreamjob", "2024-01-02")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "dreamjob_delta_020000.json"), "w") as f:
+        f.write('{\n  "metadata": {"source": "dreamjob_scraper"},\n  "records": [\n    {"source": "dreamjob_scraper",'
+                ' "job_url": "https://x/emploi/1", "title": "Data Engineer", "company": "Acme",'
+                ' "summary": "stage 6 mois", "raw_metadata": "kw=data", "location_city": "Rabat",'
+                ' "country": "Maroc", "scraped_at": "2024-01-02T10:00:00+00:00",'
+                ' "matched_domains": ["DATA_ENGINEERING_PLATFORMS"], "matched_roles": ["data engineer"]}\n  ]\n}\n')
+    unified, rejects, skipped = B.read_batches(spark, root, paths=B.original_layout_paths(root), multi_line=True)
+    assert sorted(skipped) == ["adzuna_api", "emploima_scraper", "rekrute_scraper"]
+    r = unified.collect()[0]
+    assert (r.source, r.source_job_id, r.location_city, r.raw_description) == (
+        "dreamjob_scraper", "https://x/emploi/1", "Rabat", "stage 6 mois kw=data")
+    assert rejects.count() == 0
