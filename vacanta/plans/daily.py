@@ -48,10 +48,43 @@ def gold_layer(spark: SparkSession, silver_path: str, gold_path: str) -> DataFra
 
 
 def run_daily(spark: SparkSession, bronze_root: str, silver_path: str, gold_path: str, run_ts=None,
-              as_of_date=None) -> dict[str, DataFrame]:
+              as_of_date=None, multi_line: bool = False) -> dict[str, DataFrame]:
     """All layers in order; :class:`quality.QualityGateError` stops before gold."""
     as_of_date = as_of_date or C.run_timestamp(run_ts).cast("date")
-    out = {"silver": silver_layer(spark, bronze_root, silver_path, run_ts)}
+    out = {"silver": silver_layer(spark, bronze_root, silver_path, run_ts, multi_line)}
     out["quality"] = quality_gate(spark, silver_path, as_of_date)
     out["gold"] = gold_layer(spark, silver_path, gold_path)
     return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit -m vacanta.plans.daily --bronze B --silver S --gold G [--run-ts T] [--as-of D]``.
+
+    Uses the session the cluster provides (its ``spark.checkpoint.dir`` included).
+    Exit code 1 when the quality gate blocks, as a scheduler expects."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    p = argparse.ArgumentParser(prog="vacanta.plans.daily")
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--silver", required=True)
+    p.add_argument("--gold", required=True)
+    p.add_argument("--run-ts", default=None, help="run instant (default: now)")
+    p.add_argument("--as-of", default=None, help="as-of date for the future-date check (default: run date)")
+    p.add_argument("--multi-line", action="store_true", help="bronze files hold one pretty-printed envelope")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("vacanta-daily").getOrCreate()
+    try:
+        silver_layer(spark, a.bronze, a.silver, a.run_ts, a.multi_line).show(truncate=False)
+        as_of = a.as_of or C.run_timestamp(a.run_ts).cast("date")
+        quality_gate(spark, a.silver, as_of).show(truncate=False)
+        gold_layer(spark, a.silver, a.gold).show(truncate=False)
+    except quality.QualityGateError as e:
+        print(f"quality gate blocked the gold layer: {e}")
+        return 1
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
