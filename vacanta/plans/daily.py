@@ -58,7 +58,7 @@ def run_daily(spark: SparkSession, bronze_root: str, silver_path: str, gold_path
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit -m vacanta.plans.daily --bronze B --silver S --gold G [--run-ts T] [--as-of D]``.
+    """``spark-submit daily_job.py --bronze B --silver S --gold G [--run-ts T] [--as-of D]``.
 
     Uses the session the cluster provides (its ``spark.checkpoint.dir`` included).
     Exit code 1 when the quality gate blocks, as a scheduler expects."""
