@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from tests_compare_shim import compare  # noqa: F401  (re-exported helper)
+from compare import compare
 
 SF = "/root/testdata/sf0.001"
 
