@@ -426,7 +426,8 @@ def stream_capture(spark, sf_dir):
 
     src = scratch_path(spark, "events-incoming")
     events = table(spark, sf_dir, "events")
-    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.partitionBy("day").parquet(src)
+    day = F.date_format("ts", "yyyyMMdd")  # one file per day arrives
+    events.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(src)
     landed = scratch_path(spark, "events-landed")
     q = capture_stream(spark, src, events.schema, landed, ["capture_key"],
                        order_by=lambda: [F.col("ts"), F.col("event_id")], keep=_event_keep,
@@ -443,7 +444,8 @@ def stream_capture_state(spark, sf_dir):
 
     src = scratch_path(spark, "events-incoming")
     events = table(spark, sf_dir, "events")
-    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.partitionBy("day").parquet(src)
+    day = F.date_format("ts", "yyyyMMdd")  # one file per day arrives
+    events.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(src)
     sink = scratch_path(spark, "events-captured")
     q = capture_stream_state(spark, src, events.schema, sink, ["capture_key"], keep=_event_keep,
                              prepare=lambda b: b.withColumn("capture_key", _event_key_col()),
