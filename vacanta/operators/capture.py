@@ -84,16 +84,30 @@ def batch_summary(new_rows: DataFrame, run_ts: Column, group_col: str = "source"
 # landed batches as state
 # ---------------------------------------------------------------------------
 
-def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch: str | None = None
-              ) -> DataFrame | None:
-    """Key columns of all landed batches under ``root`` (optionally without one batch id)."""
+def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch: str | None = None,
+              state_path: str | None = None) -> DataFrame | None:
+    """Key columns of all landed batches under ``root`` (optionally without one batch id).
+
+    With ``state_path`` (a copy written by :func:`compact_state`), the keys come from
+    that one-row-per-key table plus only the batches landed after it was built
+    (partition pruning on ``batch_id``), instead of every landed batch."""
     try:
         landed = spark.read.parquet(root)
     except AnalysisException:
         return None  # nothing landed yet: empty state
     if exclude_batch is not None:
         landed = landed.filter(F.col("batch_id") != F.lit(exclude_batch))  # partition pruning
-    return landed.select(*keys)
+    if state_path is None:
+        return landed.select(*keys)
+    try:
+        state = spark.read.parquet(state_path)
+    except AnalysisException:
+        return landed.select(*keys)
+    through = state.agg(F.max("compacted_through")).first()[0]  # one value
+    if exclude_batch is not None:
+        state = state.filter(F.col("first_batch_id") != F.lit(exclude_batch))
+    newer = landed.filter(F.col("batch_id") > F.lit(through)) if through is not None else landed
+    return state.select(*keys).unionByName(newer.select(*keys))
 
 
 def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str = "seen_ids") -> DataFrame:
@@ -119,7 +133,9 @@ def compact_state(spark: SparkSession, root: str, keys: Sequence[str], out_path:
     landed = seen_keys(spark, root, list(keys) + ["batch_id"])
     if landed is None:
         return None
+    through = landed.agg(F.max("batch_id")).first()[0]  # one value: the newest batch covered
     compact = (landed.groupBy(*keys).agg(F.min("batch_id").alias("first_batch_id"))
+                     .withColumn("compacted_through", F.lit(through))
                      .withColumn("updated_at", run_ts if run_ts is not None else F.current_timestamp()))
     compact.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
@@ -138,11 +154,12 @@ def land_batch(new_rows: DataFrame, root: str, batch_id: str) -> None:
 
 
 def capture_batch(spark: SparkSession, candidates: DataFrame, root: str, batch_id: str,
-                  keys: Sequence[str], order_by: Sequence[Column | str], keep: Column | None = None
-                  ) -> DataFrame:
-    """One run: capture against the landed batches, land the new rows, return them
-    as read back from the landed folder."""
-    seen = seen_keys(spark, root, keys, exclude_batch=batch_id)
+                  keys: Sequence[str], order_by: Sequence[Column | str], keep: Column | None = None,
+                  state_path: str | None = None) -> DataFrame:
+    """One run: capture against the landed batches (or a compact state copy plus the
+    batches after it), land the new rows, return them as read back from the landed
+    folder."""
+    seen = seen_keys(spark, root, keys, exclude_batch=batch_id, state_path=state_path)
     new_rows = capture_new(candidates, seen, keys, order_by, keep)
     if seen is not None:
         # the batch reads the folder it is about to write into: cut the lineage

@@ -28,10 +28,11 @@ def capture_stream(spark: SparkSession, source_dir: str, schema: StructType, lan
                    keys: Sequence[str], order_by: Callable[[], Sequence[Column]],
                    keep: Callable[[], Column] | None = None, stream_checkpoint: str | None = None,
                    file_format: str = "parquet", max_files_per_trigger: int | None = None,
-                   available_now: bool = True, prepare: Callable[[DataFrame], DataFrame] | None = None
-                   ) -> StreamingQuery:
+                   available_now: bool = True, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                   state_path: str | None = None) -> StreamingQuery:
     """Start the capture stream; ``order_by``/``keep`` are factories (columns are
-    built per micro-batch), ``prepare`` derives columns (e.g. the key) per batch."""
+    built per micro-batch), ``prepare`` derives columns (e.g. the key) per batch,
+    ``state_path`` names a compact seen-key copy to read instead of the full history."""
     checkpoint_dir(spark)
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
@@ -41,7 +42,7 @@ def capture_stream(spark: SparkSession, source_dir: str, schema: StructType, lan
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare is not None else batch
         capture_batch(batch.sparkSession, rows, landed_root, str(batch_id), keys, order_by(),
-                      keep() if keep is not None else None)
+                      keep() if keep is not None else None, state_path=state_path)
 
     writer = stream.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", stream_checkpoint or landed_root.rstrip("/") + "_stream_checkpoint")
