@@ -21,4 +21,4 @@ def test_entry_smoke(spark):
 
     df = E.entry(spark)
     assert df.count() > 0
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.oracle_sql()) == set(E.queries())          # every query has oracle SQL
