@@ -190,9 +190,20 @@ def extract_cards(pages: DataFrame, spec: CardSpec, base_url: str | None = None,
                 out.extend(cards_of_page(int(pid), base_url or url, html, spec))
             yield pd.DataFrame(out, columns=cols).astype({"page_id": "int64", "card_pos": "int32"})
 
+    _ship_by_value()
     return pages.select(id_col, url_col, html_col).mapInPandas(run, CARD_SCHEMA)
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's code by value into the Python workers, so executors need
+    no installed copy of the package (it may only be on the driver's path)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 # Card rules of the three page sources, as data.
 SOURCE_CARD_SPECS = {
     "rekrute_scraper": CardSpec(card="li.post-id", links=("h2 a.titreJob", "a.titreJob"),
