@@ -1,0 +1,41 @@
+"""Cutting texts where every tokenizer pattern of the byte-level family cuts them too.
+
+The pattern begins a piece at each blank that is followed by a non-blank: before a
+letter, number or sign the blank joins the next piece, and the space run in front of
+it gives its last blank up. So a text in which no blank is followed by another space
+character falls apart at its blanks; each part (with the blank in front) is tokenized
+on its own, and repeated parts are tokenized once.
+"""
+
+from __future__ import annotations
+
+import re
+
+BLANK_AND_SPACE = re.compile(r" (?:\s|\Z)")
+
+
+def segments(text: str) -> list[str] | None:
+    """Parts of ``text``, or None where a blank meets other space and the pattern itself must cut."""
+    if BLANK_AND_SPACE.search(text):
+        return None
+    first, *rest = text.split(" ")
+    return ([first] if first else []) + [" " + x for x in rest]
+
+
+class SegmentCache(dict):
+    """Part -> encoded part, filled by ``encode(list of parts)``; at most ``limit`` entries.
+
+    A full cache is emptied, so memory is bounded and results never depend on it."""
+
+    def __init__(self, encode, limit: int):
+        super().__init__()
+        self.encode, self.limit = encode, limit
+
+    def fill(self, parts) -> None:
+        wanted = set(parts)
+        new = [p for p in wanted if p not in self]
+        if len(self) + len(new) > self.limit:
+            self.clear()
+            new = list(wanted)
+        if new:
+            self.update(zip(new, self.encode(new)))
