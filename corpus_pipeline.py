@@ -15,6 +15,7 @@ from vacanta.llm.common import stored
 from vacanta.sources.tables import table
 
 STAGES = [
+    ("quality_rules", stages.quality_rules),
     ("byte_bpe", stages.byte_bpe),
 ]
 

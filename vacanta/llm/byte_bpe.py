@@ -169,7 +169,7 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool
 
     ``rank_path`` is read on the workers (a vocabulary installed with the library)."""
     unlike = broadcast_value(docs, unlike_letters())
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def code(batch):
         coder = _coder(rank_path, pattern, unlike.value)
@@ -177,7 +177,7 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool
         n = [len(ids) for ids in kept]
         ids_hash = [hashlib.sha256(",".join(map(coder.names.__getitem__, ids)).encode()).hexdigest() for ids in kept]
         text_hash = [hashlib.sha256(coder.decode(ids)).hexdigest() for ids in kept]
-        out = {"doc_id": batch.column("doc_id"), "n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash}
+        out = {"n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash}
         return out | ({"ids": kept} if keep_ids else {})
 
     return map_chunks(text_bytes(docs, "doc_id"), schema + (", ids array<int>" if keep_ids else ""), code)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +15,15 @@ from ..session import scratch_path
 CHUNK_BYTES = 4 << 20
 
 
-def text_bytes(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns and the whole text as UTF-8 bytes (null: empty).
+def whole_row() -> Column:
+    """All columns of the input as one struct, ``row``: they pass through an operator
+    untouched and cannot clash with its own."""
+    return F.struct("*").alias("row")
 
-    Only named columns are taken, so further columns of ``docs`` never clash with the
-    operator's own."""
-    return docs.select(*[F.col(c) for c in keep], F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+
+def text_bytes(docs: DataFrame, *keep: str | Column) -> DataFrame:
+    """``keep`` columns and the whole text as UTF-8 bytes (null: empty)."""
+    return docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
 def crc_residue(col: str, modulus: int) -> Column:
@@ -44,7 +48,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
             yield batch
         return
     start = size = 0
-    lengths = pa.compute.binary_length(col).to_pylist()
+    lengths = pc.binary_length(col).to_pylist()
     for i, n in enumerate(lengths):
         if size and size + n > limit:
             yield batch.slice(start, i - start)
@@ -53,23 +57,24 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     yield batch.slice(start)
 
 
-def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict | None], limit: int = CHUNK_BYTES) -> DataFrame:
-    """``mapInArrow`` over slices of bounded bytes; ``fn`` gives the new columns as lists or arrays."""
-    from pyspark.sql.types import StructType
+def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], carry: str | None = "doc_id", limit: int = CHUNK_BYTES) -> DataFrame:
+    """``mapInArrow`` over slices of bounded bytes. The column ``carry`` is passed on; ``fn``
+    gives the columns of ``schema`` as lists or arrays, a row for each row of the slice."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    made = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(made)
+    kept = [df.schema[carry]] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, limit=limit):
-                made = fn(part)
-                if made is not None:
-                    yield pa.RecordBatch.from_arrays([
-                        made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in arrow
-                    ], schema=arrow)
+                new = fn(part)
+                cols = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + cols, names=[f.name for f in kept] + arrow.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, StructType(kept + made.fields))
 
 
 def broadcast_value(df: DataFrame, value):

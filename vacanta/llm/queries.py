@@ -15,7 +15,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe,)}
+def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import judge, references
+
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, references(docs))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_divergence_rules)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}

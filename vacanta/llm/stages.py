@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import whole_row
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or the divergence rule rejects go."""
+    from .divergence import judge, references
+
+    return judge(docs, references(docs), carry=whole_row()).filter("kept").select("row.*")
+
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and digests of every document left; the decoded bytes equal its text."""
