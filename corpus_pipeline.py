@@ -16,6 +16,7 @@ from vacanta.sources.tables import table
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
+    ("near_dedup", stages.near_dedup),
     ("byte_bpe", stages.byte_bpe),
 ]
 

@@ -22,7 +22,30 @@ def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, references(docs))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_divergence_rules)}
+def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .superminhash import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_divergence_rules, op6_superminhash)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}
+
+SQL["op6_superminhash"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) END) AS sh
+  FROM w),
+h AS MATERIALIZED (SELECT doc_id, hash(sh) AS sh FROM s),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM h GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM h x JOIN h y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+c AS (SELECT doc_id AS a, doc_id AS r FROM documents UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.r AS component_id, d.doc_id = m.r AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(r) AS r FROM c GROUP BY a) m ON m.a = d.doc_id
+"""

@@ -14,6 +14,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judge(docs, references(docs), carry=whole_row()).filter("kept").select("row.*")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document that names its group stays; of rows equal in id and text one stays.
+    Rows without an id stay unless their group has a document with one."""
+    from .superminhash import near_groups
+
+    groups = near_groups(docs)
+    kept = groups.filter("kept and doc_id is not null").select("doc_id").distinct()
+    out = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and digests of every document left; the decoded bytes equal its text."""
     import public_tokenizers
