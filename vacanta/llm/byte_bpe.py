@@ -29,7 +29,7 @@ BYTE_BASE = 0x4E00
 #: A byte that UTF-8 never uses.
 SEPARATOR = b"\xff"
 #: Pre-tokens kept encoded per Python worker.
-CACHE_PARTS = 250_000
+CACHE_PARTS = 500_000
 #: A character that is neither letter, number nor space in any Unicode version.
 NEUTRAL = 0xE000
 
@@ -94,6 +94,7 @@ class ByteBpe:
         self.order = [r for _, r in sorted((r, r) for r in ranks.values())]
         #: id -> bytes, read back from the model's pieces
         self.bytes_of = {r: unmapped(self.model.id_to_piece(i)) for i, r in enumerate(self.order)}
+        self.first_unlike = ord(min(unlike, default="\0"))
         self.unlike = str.maketrans({c: NEUTRAL for c in unlike})
         self.dense = self.order == list(range(len(ranks)))
         self.rank_of = {mapped(t): r for t, r in ranks.items()}
@@ -101,7 +102,7 @@ class ByteBpe:
         self.cache = SegmentCache(self.encode_parts, cache)
 
     def pre_tokens(self, text: str) -> list[str]:
-        if text.isascii() or not self.unlike:
+        if text.isascii() or not self.unlike or np.frombuffer(text.encode("utf-32-le"), "<u4").max() < self.first_unlike:
             return self.pattern.findall(text)
         seen = text.translate(self.unlike)
         if seen == text:
