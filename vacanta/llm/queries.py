@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from ..sources.tables import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxic_documents
+
+    return toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -15,6 +22,22 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .compression import quality_documents
+
+    return quality_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_files import read_token_files, write_token_files
+
+    folder = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return read_token_files(spark.read.parquet(folder))
+
+
 def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .divergence import judge, references
 
@@ -28,7 +51,7 @@ def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_divergence_rules, op6_superminhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}
