@@ -17,6 +17,7 @@ from vacanta.sources.tables import table
 STAGES = [
     ("quality_rules", stages.quality_rules),
     ("near_dedup", stages.near_dedup),
+    ("decontaminate", stages.decontaminate),
     ("byte_bpe", stages.byte_bpe),
 ]
 

@@ -51,7 +51,13 @@ def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash)}
+def op10_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .seed_align import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash, op10_seed_align)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import table
 from .common import whole_row
 
 
@@ -25,6 +26,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.unionByName(docs.filter("doc_id is null")).select(docs.columns)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item is found go."""
+    from .seed_align import without_matches
+
+    return without_matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and digests of every document left; the decoded bytes equal its text."""
     import public_tokenizers
