@@ -18,6 +18,7 @@ STAGES = [
     ("quality_rules", stages.quality_rules),
     ("near_dedup", stages.near_dedup),
     ("decontaminate", stages.decontaminate),
+    ("redact_secrets", stages.redact_secrets),
     ("byte_bpe", stages.byte_bpe),
 ]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .common import whole_row
@@ -33,6 +34,19 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+REDACTED = "[secret]"
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span found is replaced in the text (n_chars follows); documents without any stay as they are."""
+    from .secrets_crf import CrfRules, fit, scan, training_sequences
+
+    rules = CrfRules()
+    made = scan(docs, fit(training_sequences(docs, rules), rules), rules, carry=whole_row(), redact=REDACTED)
+    changed = {"text": F.coalesce("redacted", "row.text"), "n_chars": F.coalesce(F.length("redacted"), "row.n_chars").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return made.select(*[changed[c].alias(c) if changed.get(c) is not None else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and digests of every document left; the decoded bytes equal its text."""
     import public_tokenizers
