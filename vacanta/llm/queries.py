@@ -57,13 +57,19 @@ def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_tree import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .seed_align import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash, op7_crf_secrets, op10_seed_align)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash, op7_crf_secrets, op9_suffix_tree_lm, op10_seed_align)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}
