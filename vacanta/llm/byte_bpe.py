@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import broadcast_value, map_chunks, text_bytes
-from .segments import SegmentCache, segments
+from .segments import SegmentCache, joinable, segments
 
 #: First of the 256 consecutive characters (CJK ideographs) that stand for the bytes 0 to 255.
 BYTE_BASE = 0x4E00
@@ -112,9 +112,9 @@ class ByteBpe:
     def pieces(self, parts: list[str]) -> tuple[list[str], list[int]]:
         """Pre-tokens of all parts in a row, and how many each part has.
 
-        Parts that begin with a blank are cut together: a cut always falls there."""
+        Parts that begin with a blank and a non-blank are cut together: a cut always falls there."""
         flat, counts = [], []
-        for blank, group in groupby(parts, lambda p: p[0] == " " and p[-1] != " "):
+        for blank, group in groupby(parts, joinable):
             if blank:
                 group = list(group)
                 found = self.pre_tokens("".join(group))

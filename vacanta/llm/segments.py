@@ -22,6 +22,11 @@ def segments(text: str) -> list[str] | None:
     return ([first] if first else []) + [" " + x for x in rest]
 
 
+def joinable(part: str) -> bool:
+    """Whether the pattern cuts in front of this part, whatever stands there."""
+    return len(part) > 1 and part[0] == " " and not part[1].isspace()
+
+
 class SegmentCache(dict):
     """Part -> encoded part, filled by ``encode(list of parts)``; at most ``limit`` entries.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, text_bytes
-from .segments import SegmentCache, segments
+from .segments import SegmentCache, joinable, segments
 
 BLOCKS = ("shard int, block int, n_ids long, first_rule int, symbol_bytes int, rules binary, rule_lengths binary, symbols binary, "
           "doc_ids binary, no_id binary, doc_lengths binary")
@@ -184,8 +184,8 @@ class LibraryCoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
-        joined = [p for p in parts if p[0] == " " and p[-1] != " "]
-        made = {p: self.whole(p).tobytes() for p in parts if not (p[0] == " " and p[-1] != " ")}
+        joined = [p for p in parts if joinable(p)]
+        made = {p: self.whole(p).tobytes() for p in parts if not joinable(p)}
         for at in range(0, len(joined), 20_000):
             group = joined[at:at + 20_000]
             ids = self.whole("".join(group))
