@@ -68,6 +68,11 @@ def near_copies(n=60, seed=5):
         for _ in range(rng.randint(1, 4)):
             words[rng.randrange(200)] = f"e{k}{rng.randrange(99)}"
         rows.append((k, " ".join(words)))
+    for k in range(n):  # edits out of a common pool: some far from the base are close to each other
+        words = list(base)
+        for e in rng.sample(range(14), rng.randint(1, 11)):
+            words[e * 14] = f"pool{e}"
+        rows.append((300 + k, " ".join(words)))
     chain = [f"c{k}" for k in range(300)]
     for k in range(12):
         chain[k * 5] = f"d{k}"
@@ -76,7 +81,20 @@ def near_copies(n=60, seed=5):
 
 
 def test_groups_equal_all_pairs(spark):
-    rows = near_copies()
+    for seed in (5, 6):
+        rows = near_copies(seed=seed)
+        assert len({r[2] for r in brute(rows)}) < len(rows) - 30
+        assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_no_hub_is_good_for_all(spark):
+    rng, rows = random.Random(9), []
+    base = [f"w{k}" for k in range(150)]
+    for k in range(150):  # no copy of the base itself; similarities around the limit
+        words = list(base)
+        for e in rng.sample(range(150), rng.randint(2, 7)):
+            words[e] = f"x{k}y{e}" if rng.random() < 0.5 else f"x{e}"
+        rows.append((k, " ".join(words)))
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 

@@ -196,6 +196,8 @@ def fit(sequences: list[tuple[list[list[str]], list[int]]], rules: CrfRules = Cr
     """Weights {feature: (begin, inside)} and transitions that maximise the conditional likelihood."""
     if not any(t for _, tags in sequences for t in tags):
         return None
+    # every run is also taught without the words around it, so that its shape can decide alone
+    sequences = sequences + [([[f for f in fs if not f.startswith(("w-", "w+"))] for fs in feats], tags) for feats, tags in sequences]
     seen = Counter(f for feats, _ in sequences for fs in feats for f in fs)
     index = {f: k for k, f in enumerate(sorted(f for f, n in seen.items() if n >= rules.min_count))}
     groups = defaultdict(list)

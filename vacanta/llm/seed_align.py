@@ -33,7 +33,7 @@ MATCHES = "matches array<struct<item_id:bigint,score:int,similarity:double,start
 @dataclass(frozen=True)
 class AlignRules:
     words: int = 3  #: per seed
-    chance: float = 1e-9  #: per place, that the words of a seed meet by chance
+    chance: float = 1e-7  #: per place, that the words of a seed meet by chance
     match: int = 2
     mismatch: int = -1
     gap: int = -1

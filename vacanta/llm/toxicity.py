@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,36 +57,47 @@ def train(sample: list[tuple[int, str, int]], rules: MilRules = MilRules()) -> d
     """{"bias": ..., "weights": {feature: weight}} by gradient ascent through the noisy-or."""
     if len({y for _, _, y in sample}) < 2:
         return {"bias": rules.bias, "weights": {}}
-    cache: dict[str, list[str]] = {}
-    bags = [[{f for w in s for f in (cache.get(w) or cache.setdefault(w, features(w, rules.stems)))} for s in sentences(t)] for _, t, _ in sample]
-    seen = Counter(f for bag in bags for f in set().union(*bag))
-    index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= rules.min_docs))}
-    cols, of_sentence, of_doc = array("i"), array("i"), array("i")
-    for d, bag in enumerate(bags):
-        for s in bag:
-            own = sorted(index[f] for f in s if f in index)
-            if own:
-                cols.extend(own)
-                of_sentence.extend([len(of_doc)] * len(own))
+    ids: dict[str, int] = {}
+    of_word: dict[str, list[int]] = {}
+    cols, of_sentence, of_doc, seen = array("i"), array("i"), array("i"), array("i")
+    for d, (_, text, _) in enumerate(sample):
+        own: set[int] = set()
+        for s in sentences(text):
+            found: set[int] = set()
+            for w in s:
+                if w not in of_word:
+                    of_word[w] = [ids.setdefault(f, len(ids)) for f in features(w, rules.stems)]
+                found.update(of_word[w])
+            if found:
+                cols.extend(sorted(found))
+                of_sentence.extend([len(of_doc)] * len(found))
                 of_doc.append(d)
-    cols, of_sentence, of_doc = map(np.array, (cols, of_sentence, of_doc))
+                own |= found
+        seen.extend(own)
+    names, of_word = list(ids), {}
+    cols, of_sentence, of_doc = (np.array(x) for x in (cols, of_sentence, of_doc))
+    common = np.bincount(np.array(seen), minlength=len(names)) >= rules.min_docs
+    index = np.cumsum(common) - 1
+    kept = common[cols]
+    cols, of_sentence = index[cols[kept]].astype(np.int32), of_sentence[kept]
+    names = [f for f, ok in zip(names, common) if ok]
     y = np.array([y for _, _, y in sample])
     weight = np.where(y == 1, (len(y) - y.sum()) / y.sum(), 1.0) ** 0.5  # the rarer label counts more, by the root
-    w, b = np.zeros(len(index)), rules.bias
-    m, v = np.zeros(len(index) + 1), np.zeros(len(index) + 1)
+    size = len(names)
+    w, b = np.zeros(size), rules.bias
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, rules.rounds + 1):
         z = np.bincount(of_sentence, w[cols], len(of_doc)) + b
         p = 1 / (1 + np.exp(-z.clip(-30, 30)))
         clean = np.exp(np.bincount(of_doc, np.log1p(-p.clip(0, 1 - 1e-9)), len(y)))
         toxic = (1 - clean).clip(1e-9)
         slope = weight[of_doc] * np.where(y[of_doc] == 1, p * clean[of_doc] / toxic[of_doc], -p) / len(y)
-        g = np.append(np.bincount(cols, slope[of_sentence], len(index)) - rules.shrink * np.sign(w), slope.sum())
+        g = np.append(np.bincount(cols, slope[of_sentence], size) - rules.shrink * np.sign(w), slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = rules.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
         w, b = w + move[:-1], b + move[-1]
         w = np.where(np.abs(w) < rules.rate * 0.02, 0, w)
     kept = np.flatnonzero(np.abs(w) >= rules.least_weight)
-    names = list(index)
     return {"bias": float(b), "weights": {names[i]: float(w[i]) for i in kept}}
 
 
