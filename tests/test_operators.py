@@ -12,7 +12,7 @@ from vacanta.operators.keys import dense_key
 def test_dense_key_equals_row_number(spark):
     rows = [(f"k{i % 37:02d}", i % 5 if i % 7 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "a string, b int")
-    got = dense_key(df, ["a", "b"], "id", num_partitions=6, single_task_max=0)
+    got = dense_key(df, ["a", "b"], "id", num_partitions=6)
     expected = (df.distinct().withColumn(
         "id", F.row_number().over(Window.orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first())))
         .withColumn("id", F.col("id").cast("long")))
@@ -23,8 +23,8 @@ def test_dense_key_equals_row_number(spark):
 
 def test_dense_key_repeatable_other_partitioning(spark):
     df = spark.createDataFrame([(f"c{i % 50}",) for i in range(300)], "a string")
-    k1 = {r.a: r.id for r in dense_key(df, ["a"], "id", num_partitions=3, single_task_max=0).collect()}
-    k2 = {r.a: r.id for r in dense_key(df.repartition(7), ["a"], "id", num_partitions=11, single_task_max=0).collect()}
+    k1 = {r.a: r.id for r in dense_key(df, ["a"], "id", num_partitions=3).collect()}
+    k2 = {r.a: r.id for r in dense_key(df.repartition(7), ["a"], "id", num_partitions=11).collect()}
     k3 = {r.a: r.id for r in dense_key(df.repartition(5), ["a"], "id").collect()}   # single ordered window
     assert k1 == k2 == k3
 
@@ -169,18 +169,13 @@ def test_daily_gate_blocks_and_passes(spark, tmp_dir):
     assert spark.read.parquet(good + "/silver").columns[-2:] == ["year", "month"]
 
 
-def test_compact_state_and_persisted(spark, tmp_dir):
-    from vacanta.session import persisted
-
+def test_compact_state(spark, tmp_dir):
     root = tmp_dir + "/landed"
     df = _events(spark, [("a", 1, True), ("b", 2, True)])
     capture.capture_batch(spark, df, root, "1", ["key"], [F.col("pos")])
     capture.capture_batch(spark, _events(spark, [("c", 3, True), ("a", 4, True)]), root, "2", ["key"], [F.col("pos")])
     state = capture.compact_state(spark, root, ["key"], tmp_dir + "/state")
     assert sorted((r.key, str(r.first_batch_id)) for r in state.collect()) == [("a", "1"), ("b", "1"), ("c", "2")]
-    with persisted(df) as d:
-        assert d.count() == 2 and d.is_cached
-    assert not df.is_cached
 
 
 def test_read_seen_state_of_original_jobs(spark, tmp_dir):
@@ -248,16 +243,6 @@ def test_history_equals_sequential_landed_runs(spark, tmp_dir):
     assert landed == sorted((r.key, r.pos) for r in history.collect())
 
 
-def test_spread_is_noop_with_enough_splits(spark):
-    from vacanta.sources.tables import spread
-
-    many = spark.range(1000).repartition(16)
-    assert spread(many, min_partitions=8) is many
-    few = spark.range(1000).coalesce(1)
-    spread_out = spread(few, min_partitions=4)
-    assert spread_out.rdd.getNumPartitions() == 4 and spread_out.count() == 1000
-
-
 def test_capture_with_compact_state_equals_full_history(spark, tmp_dir):
     root, state = tmp_dir + "/landed", tmp_dir + "/state"
     b1 = _events(spark, [("a", 1, True), ("b", 2, True)])
@@ -273,3 +258,39 @@ def test_capture_with_compact_state_equals_full_history(spark, tmp_dir):
     assert [r.key for r in out4.collect()] == ["e"]                       # d seen in batch 3 (after it)
     again = capture.capture_batch(spark, b2, root, "2", ["key"], [F.col("pos")], state_path=state)
     assert sorted(r.key for r in again.collect()) == ["c"]               # replay of a compacted batch
+
+
+def test_state_covers_batches_by_id_not_by_order(spark, tmp_dir):
+    root, state = tmp_dir + "/landed", tmp_dir + "/state"
+    run = lambda b, *rows: [r.key for r in capture.capture_batch(spark, _events(spark, [(k, i, True) for i, k in enumerate(rows)]), root, b, ["key"], [F.col("pos")], state_path=state).orderBy("key").collect()]
+    assert run("b9", "a") == ["a"] and run("b10", "a", "b") == ["b"]
+    capture.compact_state(spark, root, ["key"], state)
+    assert run("b11", "c") == ["c"] and run("b12", "c", "a", "b", "d") == ["d"]
+    assert run("007", "e") == ["e"] and run("7", "e", "f") == ["f"]               # ids stay text
+    assert run("run-2", "f", "g") == ["g"]
+
+
+def test_empty_rerun_clears_its_own_batch_and_broken_state_fails(spark, tmp_dir):
+    root = tmp_dir + "/landed"
+    one, none = _events(spark, [("a", 1, True)]), _events(spark, [("a", 1, False)])
+    assert capture.capture_batch(spark, one, root, "1", ["key"], [F.col("pos")], keep=F.col("keep")).count() == 1
+    assert capture.capture_batch(spark, none, root, "1", ["key"], [F.col("pos")], keep=F.col("keep")).count() == 0
+    assert capture.capture_batch(spark, one, root, "2", ["key"], [F.col("pos")], keep=F.col("keep")).count() == 1
+    with pytest.raises(ValueError):
+        capture.land_batch(one, root, "../x")
+    with open(tmp_dir + "/broken", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        capture.seen_keys(spark, tmp_dir + "/broken", ["key"]).collect()
+
+
+def test_null_keys_are_rejected_not_collapsed(spark):
+    df = spark.createDataFrame([(None, 1, True), (None, 2, True), ("a", 3, True)], "key string, pos int, keep boolean")
+    assert [r.key for r in capture.capture_new(df, None, ["key"], [F.col("pos")]).collect()] == ["a"]
+    assert capture.null_key_rejects(df, ["key"]).count() == 2
+
+
+def test_rejected_rows_are_filtered_before_the_window(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("key"), F.col("id").alias("pos"), (F.col("id") % 2 == 0).alias("keep"))
+    plan = capture.capture_new(df, None, ["key"], [F.col("pos")], keep=F.col("keep"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Filter (((id") if "Filter (((id" in plan else "Filter" in plan.split("Window")[-1]

@@ -30,27 +30,20 @@ def test_silver_one_shuffle_no_text_no_python(spark):
     assert "raw_description" not in shuffle_input and "text#" not in shuffle_input
 
 
-def test_fact_join_broadcasts_checked_dimension_and_scan_pushdown(spark, tmp_dir):
+def test_fact_join_without_hints_and_scan_pushdown(spark, tmp_dir):
     s = S.build_silver(P.postings(table(spark, SF, "documents")), "2026-10-01 02:00:00")
     write_layer(s, tmp_dir + "/silver", partition_by=("year", "month"))
     silver = spark.read.parquet(tmp_dir + "/silver")
-    g = star.build_gold(silver)
-    plan = _final_plan(g["fact_internships_pfe"])
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for name, dim in star.build_gold(silver, ("dim_company", "dim_location")).items():
+        write_layer(dim, f"{tmp_dir}/{name}")
+    fact = star.fact_internships(silver, spark.read.parquet(tmp_dir + "/dim_company"), spark.read.parquet(tmp_dir + "/dim_location"))
+    plan = _final_plan(fact)
+    assert "ResolvedHint" not in fact._jdf.queryExecution().analyzed().toString()
     scan = [l for l in plan.split("\n") if "FileScan parquet" in l and "is_internship" in l][0]
     assert "PushedFilters: [IsNotNull(is_internship), EqualTo(is_internship,true)]" in scan
     assert "raw_description" not in scan
 
 
-def test_dimension_over_limit_is_not_broadcast(spark):
-    dim = spark.range(10).withColumnRenamed("id", "k")
-    assert "ResolvedHint" not in dim._jdf.queryExecution().analyzed().toString()
-    hinted = star.size_checked_broadcast(dim, rows=10, max_rows=5)
-    assert hinted is dim                                         # above the limit: no hint
-    hinted = star.size_checked_broadcast(dim, rows=10, max_rows=50)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-
-
 @pytest.mark.parametrize("hot_share", [3])
 def test_hot_key_dedupe_keeps_one_row_per_task_before_shuffle(spark, hot_share):
     n = 30000

@@ -18,8 +18,8 @@ def _page_records(spark, n, source="rekrute_scraper"):
 def test_envelopes_roundtrip_and_empty_batch(spark, tmp_dir):
     root = tmp_dir + "/bronze"
     run_ts = F.lit("2024-01-02 02:00:00").cast("timestamp")
-    assert B.write_envelopes(_page_records(spark, 0), root, run_ts) == 0
-    assert not os.path.exists(root)                       # nothing written for an empty batch
+    B.write_envelopes(_page_records(spark, 0), root, run_ts)
+    assert not any(d.startswith("source=") for d in os.listdir(root))   # no envelope for an empty batch
     B.write_envelopes(_page_records(spark, 25), root, run_ts, chunk_rows=10)
     env = B.read_envelopes(spark, B.source_path(root, "rekrute_scraper"), B.PAGE_RECORD)
     sizes = [r.n for r in env.select(F.size("records").alias("n")).collect()]
@@ -85,3 +85,16 @@ def test_original_layout_paths(spark, tmp_dir):
     assert (r.source, r.source_job_id, r.location_city, r.raw_description) == (
         "dreamjob_scraper", "https://x/emploi/1", "Rabat", "stage 6 mois kw=data")
     assert rejects.count() == 0
+
+
+def test_one_bad_record_costs_itself(spark, tmp_dir):
+    root = tmp_dir + "/bronze"
+    folder = os.path.join(root, "source=rekrute_scraper")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write('{"metadata": {"source": "rekrute_scraper"}, "records": [{"job_url": "u1", "title": "t1"}, {"job_url": "u2", "matched_domains": "no list"}, {"job_url": "u3"}]}\n')
+        f.write('{"metadata": {"source": "rekrute_scraper"}, "records": [{"job_url": "u4"\n')
+    unified, rejects, skipped = B.read_batches(spark, root)
+    assert sorted(r.source_job_id for r in unified.collect()) == ["u1", "u3"]
+    assert sorted(r.reason for r in rejects.collect()) == ["envelope", "record"]
+    assert len(skipped) == 3

@@ -16,6 +16,7 @@ lower-cased with ``F.lower`` before matching.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
@@ -129,8 +130,14 @@ def label_by_rules(rules: Sequence[tuple[object, Column]], default: object = Non
     return expr.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
+# Every decimal digit beyond ASCII: the scripts' digits come in runs of ten, from zero to nine.
+DIGITS = "".join(chr(c + k) for c in range(0x80, 0x10000) if unicodedata.decimal(chr(c), None) == 0 for k in range(10))
+
+
 def _int_group(text: Column, pattern: str, group: int, typ: str = "int") -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast(typ)
+    """The group as a number; decimal digits of any script count, out-of-range numbers are null."""
+    found = F.translate(F.regexp_extract(text, pattern, group), DIGITS, "0123456789" * (len(DIGITS) // 10))
+    return F.nullif(found, F.lit("")).try_cast(typ)
 
 
 # Every word list of the silver and capture-time rules; one index serves them all.
@@ -232,7 +239,7 @@ def duration_months(low_text: Column) -> Column:
     has_weeks = low_text.contains("week") | low_text.contains("semaine")
     has_months = low_text.contains("mois") | low_text.contains("month")
     weeks = F.when(has_weeks, _int_group(low_text, WEEKS_PATTERN, 1, "bigint"))
-    from_weeks = F.when(weeks.isNotNull(), F.greatest(F.lit(1.0), F.bround(weeks / 4, 0)).cast("int"))
+    from_weeks = F.when(weeks.isNotNull(), F.greatest(F.lit(1.0), F.bround(weeks / 4, 0)).try_cast("int"))
     upper = F.when(has_months, _int_group(low_text, RANGE_PATTERN, 2))
     single = F.when(has_months, _int_group(low_text, SINGLE_PATTERN, 1))
     return F.coalesce(from_weeks, upper, single)

@@ -98,9 +98,6 @@ def tag_keywords(df: DataFrame, text_cols: list[str], taxonomy: dict[str, list[s
     return out.drop("_tag", "_tag_found") if own else out
 
 
-MAX_TAXONOMY_KEYWORDS = 10_000  # the keywords become one regex and literal arrays: keep it bounded
-
-
 def taxonomy_table(spark, taxonomy: dict[str, list[str]] = V.TAXONOMY):
     """The taxonomy as a table ``(domain_rank, domain, keyword_rank, keyword)``."""
     rows = [(d_rank, domain, k_rank, kw)
@@ -109,13 +106,9 @@ def taxonomy_table(spark, taxonomy: dict[str, list[str]] = V.TAXONOMY):
     return spark.createDataFrame(rows, "domain_rank int, domain string, keyword_rank int, keyword string")
 
 
-def taxonomy_from_table(df: DataFrame, max_keywords: int = MAX_TAXONOMY_KEYWORDS) -> dict[str, list[str]]:
-    """Ordered ``{domain: [keywords]}`` from a taxonomy table. The table is counted
-    first and refused above ``max_keywords`` rows, so only a bounded table reaches
-    the driver."""
-    n = df.count()
-    if n > max_keywords:
-        raise ValueError(f"taxonomy has {n} keywords; at most {max_keywords} are supported")
+def taxonomy_from_table(df: DataFrame) -> dict[str, list[str]]:
+    """Ordered ``{domain: [keywords]}`` from a taxonomy table. The taxonomy is a setting of
+    the job (it becomes one regex and literal arrays), not data that grows with the input."""
     out: dict[str, list[str]] = {}
     for r in df.orderBy("domain_rank", "keyword_rank").collect():
         out.setdefault(r["domain"], []).append(r["keyword"])

@@ -7,27 +7,30 @@ Only kept keys enter the state, so a rejected key is looked at again next run.
 
 The landed batches are the state: the seen keys are the key column of all earlier
 batches (``batch_id=<id>`` folders). A batch is written by overwriting only its
-own folder (dynamic partition overwrite), so replaying a batch id — a retried
+own folder, so replaying a batch id — a retried
 task, a re-run, or a ``foreachBatch`` replay after a failure — gives the same
 folders; there is no second object that could drift from the data.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
 from .dedup import first_arrival
 
 
 def capture_new(candidates: DataFrame, seen: DataFrame | None, keys: Sequence[str],
                 order_by: Sequence[Column | str], keep: Column | None = None) -> DataFrame:
     """New rows of one run: filters, then first arrival per key, then the anti-join
-    against the seen keys.
+    against the seen keys. Rows with a null key part have no identity that a later run could
+    recognise: they aren't captured (see :func:`null_key_rejects`).
 
     De-duplicating before the anti-join is equivalent (a seen key drops all its
     rows either way) and sends at most one row per key into the join shuffle, so a
@@ -40,6 +43,15 @@ def capture_new(candidates: DataFrame, seen: DataFrame | None, keys: Sequence[st
     return firsts.join(seen.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def null_key_rejects(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The candidates that capture leaves out for a null key part, all of them."""
+    return candidates.filter(_any_null(keys))
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def first_capture_history(candidates: DataFrame, keys: Sequence[str], batch_col: str,
                           position: Sequence[Column | str], keep: Column | None = None) -> DataFrame:
     """All runs at once: the rows each batch would capture when runs are replayed in
@@ -49,17 +61,13 @@ def first_capture_history(candidates: DataFrame, keys: Sequence[str], batch_col:
 
 
 def _first_kept(rows: DataFrame, keys: Sequence[str], order_by: list, keep: Column | None) -> DataFrame:
-    """First arrival per key among the rows passing ``keep``.
+    """First arrival per key among the rows that pass ``keep`` and have all key parts.
 
-    ``keep`` is evaluated once as a column and used as the leading sort key of the
-    per-key window (kept rows first); the filter runs after the window. A plain
-    filter before the window would be pushed below the projection that derives
-    the text attributes and evaluate them a second time."""
-    if keep is None:
-        return first_arrival(rows, keys, order_by)
-    flagged = rows.withColumn("_keep", F.coalesce(keep, F.lit(False)))
-    firsts = first_arrival(flagged, keys, [F.col("_keep").desc()] + order_by)
-    return firsts.filter(F.col("_keep")).drop("_keep")
+    Only kept rows can win, so the filter comes first: rejected rows are neither sorted nor
+    shuffled, and its parts reach the scan where they can. Callers whose ``keep`` reads
+    derived text columns hand in rows that are written already."""
+    rows = rows.filter(~_any_null(keys))
+    return first_arrival(rows if keep is None else rows.filter(keep), keys, order_by)
 
 
 def batch_summary(new_rows: DataFrame, run_ts: Column, group_col: str = "source",
@@ -84,30 +92,41 @@ def batch_summary(new_rows: DataFrame, run_ts: Column, group_col: str = "source"
 # landed batches as state
 # ---------------------------------------------------------------------------
 
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """Parquet at ``path`` with ``batch_id`` as text, or None where nothing was ever written.
+    Any other failure (a broken file, no permission) is raised: an unreadable state isn't an
+    empty one."""
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    fields = [T.StructField(f.name, T.StringType() if f.name == "batch_id" else f.dataType, f.nullable) for f in schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch: str | None = None,
               state_path: str | None = None) -> DataFrame | None:
     """Key columns of all landed batches under ``root`` (optionally without one batch id).
 
-    With ``state_path`` (a copy written by :func:`compact_state`), the keys come from
-    that one-row-per-key table plus only the batches landed after it was built
-    (partition pruning on ``batch_id``), instead of every landed batch."""
-    try:
-        landed = spark.read.parquet(root)
-    except AnalysisException:
-        return None  # nothing landed yet: empty state
+    With ``state_path`` (a copy written by :func:`compact_state`), the keys come from that
+    one-row-per-key table plus the batches that its table of covered ids doesn't name
+    (a list of the batches since the last compaction, which prunes partitions)."""
+    landed = _read(spark, root)
+    if landed is None:
+        return None
     if exclude_batch is not None:
         landed = landed.filter(F.col("batch_id") != F.lit(exclude_batch))  # partition pruning
-    if state_path is None:
-        return landed.select(*keys)
-    try:
-        state = spark.read.parquet(state_path)
-    except AnalysisException:
+    state = _read(spark, f"{state_path}/keys") if state_path else None
+    if state is None:
         return landed.select(*keys)
-    through = state.agg(F.max("compacted_through")).first()[0]  # one value
+    covered = _read(spark, f"{state_path}/covered")
+    newer = [r["batch_id"] for r in landed.select("batch_id").distinct().join(covered, "batch_id", "left_anti").collect()]
     if exclude_batch is not None:
+        # a replayed batch that is covered: keys it landed first may be captured again
         state = state.filter(F.col("first_batch_id") != F.lit(exclude_batch))
-    newer = landed.filter(F.col("batch_id") > F.lit(through)) if through is not None else landed
-    return state.select(*keys).unionByName(newer.select(*keys))
+    return state.select(*keys).unionByName(landed.filter(F.col("batch_id").isin(newer)).select(*keys))
 
 
 def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str = "seen_ids") -> DataFrame:
@@ -119,7 +138,9 @@ def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str
     empty = spark.createDataFrame([], "source string, key string")
     try:
         doc = spark.read.schema(schema).option("multiLine", True).json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty
     return doc.select(F.lit(source).alias("source"), F.explode_outer(keys_field).alias("key")).filter(
         F.col("key").isNotNull())
@@ -127,47 +148,43 @@ def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str
 
 def compact_state(spark: SparkSession, root: str, keys: Sequence[str], out_path: str,
                   run_ts: Column | None = None) -> DataFrame | None:
-    """Optional compact copy of the state: one row per seen key with the batch that
-    first landed it, rebuilt from the landed batches (never the source of truth).
-    Written with a plain overwrite; returns the written table."""
-    landed = seen_keys(spark, root, list(keys) + ["batch_id"])
+    """Optional compact copy of the state under ``out_path``: ``keys`` (one row per seen key
+    with the batch that first landed it) and ``covered`` (the ids of all batches that went
+    in). Rebuilt from the landed batches, which stay the source of truth; the covered
+    ids are written last, so a run that fails between leaves batches uncovered, never unseen."""
+    landed = _read(spark, root)
     if landed is None:
         return None
-    through = landed.agg(F.max("batch_id")).first()[0]  # one value: the newest batch covered
-    compact = (landed.groupBy(*keys).agg(F.min("batch_id").alias("first_batch_id"))
-                     .withColumn("compacted_through", F.lit(through))
+    covered = stored_ids(spark, landed, out_path)
+    compact = (landed.join(covered, "batch_id", "left_semi").groupBy(*keys).agg(F.min("batch_id").alias("first_batch_id"))
                      .withColumn("updated_at", run_ts if run_ts is not None else F.current_timestamp()))
-    compact.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    compact.write.mode("overwrite").parquet(f"{out_path}/keys")
+    covered.write.mode("overwrite").parquet(f"{out_path}/covered")
+    return spark.read.parquet(f"{out_path}/keys")
+
+
+def stored_ids(spark: SparkSession, landed: DataFrame, out_path: str) -> DataFrame:
+    """The batch ids found now, written once, so that keys and covered ids speak of the same batches."""
+    path = f"{out_path}/ids"
+    landed.select("batch_id").distinct().write.mode("overwrite").parquet(path)
+    return spark.read.schema("batch_id string").parquet(path)
 
 
 def land_batch(new_rows: DataFrame, root: str, batch_id: str) -> None:
-    """Write one batch into ``root/batch_id=<id>``; only that folder is replaced.
-    An empty batch writes nothing (the folder is not created)."""
-    if new_rows.isEmpty():
-        return
-    (new_rows.withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id")
-             .parquet(root))
+    """Write one batch into ``root/batch_id=<id>``; only that folder is replaced. An empty
+    batch leaves an empty folder, also where an earlier run of this batch had rows."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+        raise ValueError(f"batch id {batch_id!r}: only letters, digits and _.- can name its folder")
+    new_rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
 
 
 def capture_batch(spark: SparkSession, candidates: DataFrame, root: str, batch_id: str,
                   keys: Sequence[str], order_by: Sequence[Column | str], keep: Column | None = None,
                   state_path: str | None = None) -> DataFrame:
     """One run: capture against the landed batches (or a compact state copy plus the
-    batches after it), land the new rows, return them as read back from the landed
-    folder."""
+    batches after it), land the new rows, return them as read back from the landed folder.
+
+    The state is read from the other batches' folders, so the run never reads what it replaces."""
     seen = seen_keys(spark, root, keys, exclude_batch=batch_id, state_path=state_path)
-    new_rows = capture_new(candidates, seen, keys, order_by, keep)
-    if seen is not None:
-        # the batch reads the folder it is about to write into: cut the lineage
-        # (reliable checkpoint in the shared checkpoint folder) before landing it
-        checkpoint_dir(spark)
-        new_rows = new_rows.checkpoint(eager=True)
-    land_batch(new_rows, root, batch_id)
-    try:
-        return spark.read.parquet(root).filter(F.col("batch_id") == F.lit(batch_id))
-    except AnalysisException:
-        return new_rows.limit(0)
+    land_batch(capture_new(candidates, seen, keys, order_by, keep), root, batch_id)
+    return _read(spark, root).filter(F.col("batch_id") == F.lit(batch_id))

@@ -1,23 +1,15 @@
 """Deterministic dense surrogate keys.
 
-``dense_key`` numbers the distinct key tuples 1..n in key order — the same
-numbers as ``row_number() over (order by keys)`` — and never lets an unbounded
-set of keys reach a single task:
-
-1. the distinct key tuples are materialised with a reliable ``checkpoint()`` in the
-   shared checkpoint folder and counted (cheap: the count reads the materialised
-   rows);
-2. up to ``single_task_max`` tuples (a checked bound), one ordered window numbers
-   them — a sort of at most that many short rows in one task;
-3. above it, the tuples are range-partitioned and sorted inside partitions, each
-   row gets its partition id and position (``monotonically_increasing_id``), the
-   result is checkpointed (range bounds come from sampling; both later passes must
-   see the same partitions, also after an executor loss), rows are counted per
-   partition, and a running sum over one row per partition gives each partition's
-   offset — that table is bounded by the partition count, so broadcasting it is
-   safe.
-
-Either way the key of a tuple does not depend on how the input was partitioned.
+``dense_key`` numbers the distinct key tuples 1..n in key order — the same numbers as
+``row_number() over (order by keys)`` — without bringing them into one task: the tuples
+are range-partitioned and sorted inside partitions, each row gets its partition and
+its position there, the result is checkpointed (range bounds come from sampling;
+both later passes must see the same partitions, also after an executor loss), rows are
+counted per partition, and a running sum over one row per partition gives each
+partition's offset. That table is bounded by the partition count, so it is broadcast.
+
+The key of a tuple does not depend on how the input was partitioned, nor the method on
+the number of tuples.
 """
 
 from __future__ import annotations
@@ -30,39 +22,25 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
-SINGLE_TASK_MAX = 1_000_000
 
 
-def dense_key_counted(df: DataFrame, keys: Sequence[str], name: str, num_partitions: int | None = None,
-                      distinct: bool = True, single_task_max: int = SINGLE_TASK_MAX) -> tuple[DataFrame, int]:
-    """``(df with name, row count)``. With ``distinct=True`` the key tuples of ``df``
-    are made distinct first; otherwise they must already be unique in ``df`` (other
-    columns are kept)."""
+def dense_key(df: DataFrame, keys: Sequence[str], name: str, num_partitions: int | None = None,
+              distinct: bool = True) -> DataFrame:
+    """``df`` with ``name``. With ``distinct=True`` the key tuples of ``df`` are made
+    distinct first; otherwise they must already be unique in ``df`` (other columns are kept)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    base = (df.select(*keys).distinct() if distinct else df).checkpoint(eager=True)
-    n_rows = base.count()
     order = [F.col(k).asc_nulls_first() for k in keys]
-    if n_rows <= single_task_max:
-        return base.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long")), n_rows
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (base.repartitionByRange(n, *order)
-                  .sortWithinPartitions(*order)
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .checkpoint(eager=True))
+    rows = df.select(*keys).distinct() if distinct else df
+    ranged = rows.repartitionByRange(num_partitions, *order) if num_partitions else rows.repartitionByRange(*order)
+    ranked = (ranged.sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id())
+                    .checkpoint(eager=True))
     per_part = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_part.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
-        .alias("_offset"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_part.select("_pid", F.coalesce(before, F.lit(0)).alias("_offset"))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS)
-    keyed = (ranked.join(F.broadcast(offsets), "_pid")
-                   .withColumn(name, F.col("_offset") + pos + F.lit(1))
-                   .drop("_pid", "_mid", "_offset"))
-    return keyed, n_rows
-
-
-def dense_key(df: DataFrame, keys: Sequence[str], name: str, num_partitions: int | None = None,
-              distinct: bool = True, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
-    return dense_key_counted(df, keys, name, num_partitions, distinct, single_task_max)[0]
+    return (ranked.join(F.broadcast(offsets), "_pid")
+                  .withColumn(name, F.col("_offset") + pos + F.lit(1))
+                  .drop("_pid", "_mid", "_offset"))

@@ -74,10 +74,11 @@ def run_checks(df: DataFrame, as_of_date, key: str = "job_fingerprint", id_col:
 
 def gate(report: DataFrame) -> DataFrame:
     """Raise :class:`QualityGateError` when a critical check failed; warnings never block.
-    Returns the report (collected: one row per check)."""
+    Returns the report's rows as they were judged (one per check), so reading it again doesn't
+    audit the table again."""
     rows = report.collect()
     failed = [r for r in rows if r["severity"] == CRITICAL and not r["passed"]]
     if failed:
         detail = ", ".join(f"{r['check']}={r['observed']}" for r in failed)
         raise QualityGateError(f"critical quality checks failed: {detail}")
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)

@@ -6,41 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
-from .keys import dense_key_counted
+from .keys import dense_key
 
-# A dimension is broadcast to the fact join only when its row count is at most this
-# (rows are a few short strings and a long). Above it, the join is shuffled and AQE
-# splits skewed fact partitions.
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def size_checked_broadcast(dim: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS
-                           ) -> DataFrame:
-    """``broadcast(dim)`` when its row count is within ``max_rows``, else ``dim``.
-    ``rows`` is the count known from building the dimension (counted otherwise)."""
-    n = rows if rows is not None else dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def dim_company_counted(silver: DataFrame) -> tuple[DataFrame, int]:
+def dim_company(silver: DataFrame) -> DataFrame:
     counts = silver.groupBy("company_name").agg(F.count("job_fingerprint").alias("total_jobs_posted"))
-    keyed, n = dense_key_counted(counts, ["company_name"], "company_id", distinct=False)
-    return keyed.select("company_id", "company_name", "total_jobs_posted"), n
+    keyed = dense_key(counts, ["company_name"], "company_id", distinct=False)
+    return keyed.select("company_id", "company_name", "total_jobs_posted")
 
 
-def dim_location_counted(silver: DataFrame, home_country: str = V.MOROCCO) -> tuple[DataFrame, int]:
-    keyed, n = dense_key_counted(silver, ["location_country", "location_city"], "location_id")
+def dim_location(silver: DataFrame, home_country: str = V.MOROCCO) -> DataFrame:
+    keyed = dense_key(silver, ["location_country", "location_city"], "location_id")
     return keyed.select(
         "location_id", "location_country", "location_city",
-        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco")), n
-
-
-def dim_company(silver: DataFrame) -> DataFrame:
-    return dim_company_counted(silver)[0]
-
-
-def dim_location(silver: DataFrame, home_country: str = V.MOROCCO) -> DataFrame:
-    return dim_location_counted(silver, home_country)[0]
+        F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco"))
 
 
 def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataFrame:
@@ -49,22 +28,20 @@ def dim_taxonomy(silver: DataFrame, default_role: str = V.DEFAULT_ROLE) -> DataF
     pairs = (silver.select(F.col("primary_domain").alias("domain"),
                            F.explode_outer("matched_roles").alias("role_keyword"))
                    .withColumn("role_keyword", F.coalesce("role_keyword", F.lit(default_role))))
-    keyed, _ = dense_key_counted(pairs, ["domain", "role_keyword"], "taxonomy_id")
-    return keyed.select("taxonomy_id", "domain", "role_keyword")
+    return dense_key(pairs, ["domain", "role_keyword"], "taxonomy_id").select("taxonomy_id", "domain", "role_keyword")
 
 
-def _with_keys(silver: DataFrame, companies: DataFrame, locations: DataFrame,
-               company_rows: int | None, location_rows: int | None) -> DataFrame:
-    comp = size_checked_broadcast(companies.select("company_name", "company_id"), company_rows)
-    loc = size_checked_broadcast(locations.select("location_country", "location_city", "location_id"),
-                                 location_rows)
-    return (silver.join(comp, "company_name", "left")
-                  .join(loc, ["location_country", "location_city"], "left"))
+def with_keys(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
+    """``silver`` with the dimensions' keys. No broadcast hint: the dimensions' real sizes are
+    known to the adaptive planner, which broadcasts small ones and splits skewed partitions of
+    the fact side (placeholder companies and cities are hot) otherwise."""
+    return (silver.join(companies.select("company_name", "company_id"), "company_name", "left")
+                  .join(locations.select("location_country", "location_city", "location_id"),
+                        ["location_country", "location_city"], "left"))
 
 
-def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFrame,
-                      company_rows: int | None = None, location_rows: int | None = None) -> DataFrame:
-    return _with_keys(silver, companies, locations, company_rows, location_rows).select(
+def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
+    return with_keys(silver, companies, locations).select(
         "job_fingerprint", "source",
         F.col("source_job_id").alias("job_url"),
         F.col("job_title_clean").alias("job_title"),
@@ -74,11 +51,10 @@ def fact_job_postings(silver: DataFrame, companies: DataFrame, locations: DataFr
         "year", "month")
 
 
-def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFrame,
-                     company_rows: int | None = None, location_rows: int | None = None) -> DataFrame:
+def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
     """Internship data mart; the filter runs before the joins (and reaches the scan)."""
     interns = silver.filter(F.col("is_internship"))
-    return _with_keys(interns, companies, locations, company_rows, location_rows).select(
+    return with_keys(interns, companies, locations).select(
         "job_fingerprint", "source",
         F.col("source_job_id").alias("job_url"),
         F.col("job_title_clean").alias("job_title"),
@@ -88,16 +64,20 @@ def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFra
         "work_mode", "primary_domain", "year", "month")
 
 
-def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    companies, n_companies = dim_company_counted(silver)
-    locations, n_locations = dim_location_counted(silver)
-    return {
-        "dim_company": companies,
-        "dim_location": locations,
-        "dim_taxonomy": dim_taxonomy(silver),
-        "fact_job_postings": fact_job_postings(silver, companies, locations, n_companies, n_locations),
-        "fact_internships_pfe": fact_internships(silver, companies, locations, n_companies, n_locations),
-    }
+GOLD = ("dim_company", "dim_location", "dim_taxonomy", "fact_job_postings", "fact_internships_pfe")
+
+
+def build_gold(silver: DataFrame, names=GOLD) -> dict[str, DataFrame]:
+    """The tables in ``names``; dimensions that none of them needs aren't built."""
+    facts = {"fact_job_postings": fact_job_postings, "fact_internships_pfe": fact_internships}
+    need = lambda dim: dim in names or any(f in names for f in facts)
+    companies = dim_company(silver) if need("dim_company") else None
+    locations = dim_location(silver) if need("dim_location") else None
+    out = {"dim_company": companies, "dim_location": locations}
+    if "dim_taxonomy" in names:
+        out["dim_taxonomy"] = dim_taxonomy(silver)
+    out |= {name: make(silver, companies, locations) for name, make in facts.items() if name in names}
+    return {name: out[name] for name in names}
 
 
 def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:

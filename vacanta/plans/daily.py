@@ -8,20 +8,34 @@ gold is touched.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import quality, star
-from ..sources.batches import read_batches, write_layer
+from ..session import checkpoint_dir
+from ..sources.batches import REJECTS, original_layout_paths, read_batches, write_layer
 from . import silver as S
 
 
 def silver_layer(spark: SparkSession, bronze_root: str, silver_path: str, run_ts=None,
-                 multi_line: bool = False) -> DataFrame:
+                 multi_line: bool = False, original_layout: bool = False, rejects_path: str | None = None,
+                 required: Sequence[str] = ()) -> DataFrame:
     """Read all sources, build silver, write it partitioned by year/month.
-    Returns a one-row summary (total, internships) computed from the written table."""
-    unified, _rejects, _skipped = read_batches(spark, bronze_root, multi_line=multi_line)
+    Returns a one-row summary (total, internships) computed from the written table.
+
+    Rejected envelopes and records are written to ``rejects_path`` (default: beside the silver
+    table), with a row for every source without a folder. A missing source in ``required``
+    stops the run before silver is touched: it would vanish from the rebuilt table."""
+    paths = original_layout_paths(bronze_root) if original_layout else None
+    unified, rejects, skipped = read_batches(spark, bronze_root, multi_line=multi_line, paths=paths)
+    lost = sorted(set(required) & set(skipped))
+    if lost:
+        raise FileNotFoundError(f"sources without a bronze folder: {', '.join(lost)}")
+    missing = spark.createDataFrame([(s, None, "missing source", None) for s in skipped], REJECTS)
+    write_layer(rejects.unionByName(missing), rejects_path or silver_path.rstrip("/") + "_rejects")
     write_layer(S.build_silver(unified, run_ts), silver_path, partition_by=("year", "month"))
     written = spark.read.parquet(silver_path)
     return written.agg(F.count(F.lit(1)).alias("total_records"),
@@ -29,29 +43,42 @@ def silver_layer(spark: SparkSession, bronze_root: str, silver_path: str, run_ts
 
 
 def quality_gate(spark: SparkSession, silver_path: str, as_of_date) -> DataFrame:
-    report = quality.run_checks(spark.read.parquet(silver_path), as_of_date)
-    return quality.gate(report)
+    """The report's rows, evaluated once; raises on a failed critical check."""
+    return quality.gate(quality.run_checks(spark.read.parquet(silver_path), as_of_date))
 
 
 def gold_layer(spark: SparkSession, silver_path: str, gold_path: str) -> DataFrame:
-    """Build and write the star schema; returns the layer summary of the written tables."""
-    silver = spark.read.parquet(silver_path)
-    gold = star.build_gold(silver)
-    base = gold_path.rstrip("/")
-    for name in ("dim_company", "dim_location", "dim_taxonomy"):
-        write_layer(gold[name], f"{base}/{name}")
-    for name in ("fact_job_postings", "fact_internships_pfe"):
-        write_layer(gold[name], f"{base}/{name}", partition_by=("year", "month"))
-    written = {name: spark.read.parquet(f"{base}/{name}")
-               for name in ("dim_company", "dim_location", "fact_job_postings", "fact_internships_pfe")}
-    return star.layer_summary(written)
+    """Build and write the star schema; returns the layer summary of the written tables.
+    The facts are joined to the dimensions as written, so those are computed once."""
+    silver, base = spark.read.parquet(silver_path), gold_path.rstrip("/")
+    for name, dim in star.build_gold(silver, ("dim_company", "dim_location", "dim_taxonomy")).items():
+        write_layer(dim, f"{base}/{name}")
+    dims = [spark.read.parquet(f"{base}/{name}") for name in ("dim_company", "dim_location")]
+    for name, make in (("fact_job_postings", star.fact_job_postings), ("fact_internships_pfe", star.fact_internships)):
+        write_layer(make(silver, *dims), f"{base}/{name}", partition_by=("year", "month"))
+    return star.layer_summary({name: spark.read.parquet(f"{base}/{name}") for name in star.GOLD if name != "dim_taxonomy"})
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The cluster's session with what the layers rely on: UTC dates, adaptive plans with
+    skew handling, a shared checkpoint folder."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    checkpoint_dir(spark)
+    return spark
 
 
 def run_daily(spark: SparkSession, bronze_root: str, silver_path: str, gold_path: str, run_ts=None,
-              as_of_date=None, multi_line: bool = False) -> dict[str, DataFrame]:
-    """All layers in order; :class:`quality.QualityGateError` stops before gold."""
-    as_of_date = as_of_date or C.run_timestamp(run_ts).cast("date")
-    out = {"silver": silver_layer(spark, bronze_root, silver_path, run_ts, multi_line)}
+              as_of_date=None, multi_line: bool = False, original_layout: bool = False,
+              ingest: Callable[[str], None] | None = None, required: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """All layers in order: ``ingest`` (captures the day's batches into the bronze root, see
+    ``plans.ingest``), silver, gate, gold; :class:`quality.QualityGateError` stops before gold."""
+    if as_of_date is None:
+        as_of_date = C.run_timestamp(run_ts).cast("date")
+    if ingest is not None:
+        ingest(bronze_root)
+    out = {"silver": silver_layer(spark, bronze_root, silver_path, run_ts, multi_line, original_layout, required=required)}
     out["quality"] = quality_gate(spark, silver_path, as_of_date)
     out["gold"] = gold_layer(spark, silver_path, gold_path)
     return out
@@ -64,8 +91,6 @@ def main(argv: list[str] | None = None) -> int:
     Exit code 1 when the quality gate blocks, as a scheduler expects."""
     import argparse
 
-    from pyspark.sql import SparkSession
-
     p = argparse.ArgumentParser(prog="vacanta.plans.daily")
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
@@ -73,13 +98,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--run-ts", default=None, help="run instant (default: now)")
     p.add_argument("--as-of", default=None, help="as-of date for the future-date check (default: run date)")
     p.add_argument("--multi-line", action="store_true", help="bronze files hold one pretty-printed envelope")
+    p.add_argument("--original-layout", action="store_true", help="source folders named as by the original capture jobs")
+    p.add_argument("--require", action="append", default=[], help="source that must have a bronze folder (repeatable)")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("vacanta-daily").getOrCreate()
+    spark = prepared(SparkSession.builder.appName("vacanta-daily").getOrCreate())
     try:
-        silver_layer(spark, a.bronze, a.silver, a.run_ts, a.multi_line).show(truncate=False)
-        as_of = a.as_of or C.run_timestamp(a.run_ts).cast("date")
-        quality_gate(spark, a.silver, as_of).show(truncate=False)
-        gold_layer(spark, a.silver, a.gold).show(truncate=False)
+        out = run_daily(spark, a.bronze, a.silver, a.gold, a.run_ts, a.as_of, a.multi_line, a.original_layout, required=a.require)
+        for report in out.values():
+            report.show(truncate=False)
     except quality.QualityGateError as e:
         print(f"quality gate blocked the gold layer: {e}")
         return 1

@@ -161,7 +161,7 @@ e AS (SELECT *, concat_ws(':', event_type, CAST(user_id AS VARCHAR),
 kept AS (SELECT * FROM e WHERE {recent('ts', EVENTS_AS_OF)} AND event_type <> 'error')"""
 
 SQL["incremental_capture"] = f"""WITH {_EVENTS},
-seen AS (SELECT DISTINCT capture_key FROM e WHERE ts < TIMESTAMP '{EVENTS_CUTOFF}'),
+seen AS (SELECT DISTINCT capture_key FROM kept WHERE ts < TIMESTAMP '{EVENTS_CUTOFF}'),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn
            FROM kept WHERE ts >= TIMESTAMP '{EVENTS_CUTOFF}')
 SELECT capture_key, event_id, user_id, event_type, ts FROM firsts
@@ -174,7 +174,7 @@ SELECT CAST(ts AS DATE) AS run_date, CAST(count(*) AS BIGINT) AS new_records_cou
 
 SQL["batch_summary"] = "WITH " + postings_cte() + "," + ingest_cte("postings") + f""",
 firsts AS (SELECT *, row_number() OVER (PARTITION BY source, source_job_id ORDER BY doc_id) AS rn
-           FROM ingest WHERE {_RELEVANT})
+           FROM ingest WHERE {_RELEVANT} AND source IS NOT NULL AND source_job_id IS NOT NULL)
 SELECT source, CASE WHEN source = {q(V.SOURCES[0])} THEN 'fr' ELSE {q(V.MOROCCO)} END AS country,
   'bronze_delta' AS pipeline_stage, strftime(TIMESTAMP '{RUN_TS}', '%Y-%m-%d') AS run_date,
   strftime(TIMESTAMP '{RUN_TS}', '%H%M%S') AS run_time, CAST(count(*) AS BIGINT) AS new_records_count,
@@ -255,7 +255,11 @@ SELECT page_id, card_pos, job_url, title, substr(card_text, 1, 500) AS summary,
   {city_sql("concat_ws(' ', title, card_text)")} AS location_city
 FROM firsts WHERE rn = 1"""
 
-SQL["stream_capture"] = f"""WITH {_EVENTS}
+SQL["stream_capture"] = f"""WITH {_EVENTS},
+firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM kept)
+SELECT capture_key, event_id, user_id, event_type, ts FROM firsts WHERE rn = 1"""
+
+SQL["stream_capture_state"] = f"""WITH {_EVENTS}
 SELECT DISTINCT capture_key FROM kept"""
 
 SQL["daily_layers"] = with_silver(f"""
@@ -298,4 +302,3 @@ SELECT op.source_job_id AS o_orderkey, dc.company_id, dl.location_id, op.publica
 FROM op LEFT JOIN dc ON op.company_name = dc.company_name
   LEFT JOIN dl ON op.location_country = dl.location_country AND op.location_city = dl.location_city"""
 
-SQL["stream_capture_state"] = SQL["stream_capture"]

@@ -12,7 +12,7 @@ from ..functions import tagging as T
 from ..functions import vocab as V
 from ..operators import capture, cards, mapping, quality, star
 from ..operators.dedup import first_arrival
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, scratch_path, scratch_table
 from ..sources.batches import read_batches
 from ..sources.tables import table, text_table
 from . import bronze as B
@@ -122,20 +122,20 @@ def _silver_table(spark, sf_dir):
     return _silver(spark, sf_dir).checkpoint(eager=True)
 
 
-def _gold(spark, sf_dir):
-    return star.build_gold(_silver_table(spark, sf_dir))
+def _gold(spark, sf_dir, *names):
+    return star.build_gold(_silver_table(spark, sf_dir), names)
 
 
 def fact_postings(spark, sf_dir):
-    return _gold(spark, sf_dir)["fact_job_postings"]
+    return _gold(spark, sf_dir, "fact_job_postings")["fact_job_postings"]
 
 
 def fact_internships(spark, sf_dir):
-    return _gold(spark, sf_dir)["fact_internships_pfe"]
+    return _gold(spark, sf_dir, "fact_internships_pfe")["fact_internships_pfe"]
 
 
 def layer_summary(spark, sf_dir):
-    g = _gold(spark, sf_dir)
+    g = _gold(spark, sf_dir, "dim_company", "dim_location", "fact_job_postings", "fact_internships_pfe")
     return star.layer_summary({k: g[k] for k in ("dim_company", "dim_location", "fact_job_postings",
                                                  "fact_internships_pfe")})
 
@@ -266,7 +266,7 @@ def _event_keep():
 def incremental_capture(spark, sf_dir):
     """Today's candidates (events from the cut-off on) against the keys seen before."""
     e = _event_keys(spark, sf_dir)
-    seen = e.filter(F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp")).select("capture_key")
+    seen = e.filter((F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp")) & _event_keep()).select("capture_key")  # kept keys only
     cand = e.filter(F.col("ts") >= F.lit(EVENTS_CUTOFF).cast("timestamp"))
     new = capture.capture_new(cand, seen, ["capture_key"], [F.col("ts"), F.col("event_id")], keep=_event_keep())
     return new.select("capture_key", "event_id", "user_id", "event_type", "ts")
@@ -386,13 +386,9 @@ def dim_location_geo(spark, sf_dir):
 
 
 def fact_orders(spark, sf_dir):
-    """Order facts keyed by the two dimensions (size-checked broadcast joins)."""
-    p = _order_postings(spark, sf_dir)
-    companies, n_c = star.dim_company_counted(p)
-    locations, n_l = star.dim_location_counted(p)
-    comp = star.size_checked_broadcast(companies.select("company_name", "company_id"), n_c)
-    loc = star.size_checked_broadcast(locations.select("location_country", "location_city", "location_id"), n_l)
-    return (p.join(comp, "company_name", "left").join(loc, ["location_country", "location_city"], "left")
+    """Order facts keyed by the two dimensions; the postings are joined once."""
+    p = scratch_table(_order_postings(spark, sf_dir), "order-postings")
+    return (star.with_keys(p, star.dim_company(p), star.dim_location(p))
              .select(F.col("source_job_id").alias("o_orderkey"), "company_id", "location_id",
                      F.to_date("publication_date").alias("publication_date"), "is_internship"))
 
@@ -419,22 +415,23 @@ def page_cards(spark, sf_dir):
 # --- D-3 on a stream: file source + foreachBatch against the landed batches ---------
 
 def stream_capture(spark, sf_dir):
-    """Events land as one folder of files per day; the capture stream processes
-    them in micro-batches (AvailableNow) against the landed batches. Every key with
-    a kept event is captured exactly once, whatever the micro-batch boundaries."""
+    """Events arrive in two deliveries (before and from the cut-off); after each the capture
+    stream runs (AvailableNow) against the landed batches, the second time through the
+    compacted state of the first. Every key with a kept event is captured once, and the
+    surviving row is the first by position."""
     from ..streaming.capture import capture_stream
 
-    src = scratch_path(spark, "events-incoming")
+    src, landed, state = (scratch_path(spark, f"events-{n}") for n in ("incoming", "landed", "state"))
     events = table(spark, sf_dir, "events")
-    day = F.date_format("ts", "yyyyMMdd")  # one file per day arrives
-    events.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(src)
-    landed = scratch_path(spark, "events-landed")
-    q = capture_stream(spark, src, events.schema, landed, ["capture_key"],
+    early = F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp")
+    for part in (early, ~F.coalesce(early, F.lit(False))):
+        events.filter(part).write.mode("append").parquet(src)
+        capture_stream(spark, src, events.schema, landed, ["capture_key"],
                        order_by=lambda: [F.col("ts"), F.col("event_id")], keep=_event_keep,
                        prepare=lambda b: b.withColumn("capture_key", _event_key_col()),
-                       max_files_per_trigger=8)
-    q.awaitTermination()
-    return spark.read.parquet(landed).select("capture_key")
+                       state_path=state).awaitTermination()
+        capture.compact_state(spark, landed, ["capture_key"], state)
+    return spark.read.parquet(landed).select("capture_key", "event_id", "user_id", "event_type", "ts")
 
 
 def stream_capture_state(spark, sf_dir):
@@ -444,12 +441,11 @@ def stream_capture_state(spark, sf_dir):
 
     src = scratch_path(spark, "events-incoming")
     events = table(spark, sf_dir, "events")
-    day = F.date_format("ts", "yyyyMMdd")  # one file per day arrives
-    events.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(src)
+    events.write.partitionBy("event_type").parquet(src)
     sink = scratch_path(spark, "events-captured")
     q = capture_stream_state(spark, src, events.schema, sink, ["capture_key"], keep=_event_keep,
                              prepare=lambda b: b.withColumn("capture_key", _event_key_col()),
-                             max_files_per_trigger=8)
+                             max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(sink).select("capture_key")
 

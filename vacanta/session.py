@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("vacanta.scan.tasks", "0" if cores == "*" else str(cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("VACANTA_DRIVER_MEMORY", "8g"))
@@ -31,34 +30,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """``with persisted(df) as d:`` — a DataFrame reused by several actions is kept
-    for the block and released after it (the cache is not left behind). Lineage is
-    kept, so a lost executor's blocks are recomputed."""
-    df.persist(level)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used as is.
-    Only when it is unset (local tests, the bench) a private folder is created."""
+    Only when it is unset on a local master (tests, the bench) a private folder is created;
+    on a cluster an unset folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vacanta-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")

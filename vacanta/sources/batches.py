@@ -15,13 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import vocab as V
-from ..operators.mapping import DEFAULT_SPECS, Spec, map_to_canonical, union_sources, unnest_records
+from ..operators.mapping import DEFAULT_SPECS, Spec, map_to_canonical, union_sources
 
 CORRUPT = "_corrupt_record"
 
@@ -73,7 +73,7 @@ PAGE_RECORD = T.StructType([
 ])
 
 
-def envelope_schema(record: T.StructType) -> T.StructType:
+def envelope_schema(record: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("metadata", METADATA),
                          T.StructField("records", T.ArrayType(record)),
                          T.StructField(CORRUPT, T.StringType())])
@@ -89,8 +89,8 @@ RECORD_SCHEMAS = {"adzuna_api": API_RECORD, "rekrute_scraper": PAGE_RECORD,
 
 def _pack_envelopes(chunk_rows: int, domains: list[str]):
     """Arrow function for ``mapInArrow``: consecutive records of one source inside a
-    task become envelopes of at most ``chunk_rows`` records (slices of the record
-    array, no copy of the text)."""
+    task become envelopes of at most ``chunk_rows`` records. Envelopes end with the Arrow
+    batch, whose bytes Spark bounds (``spark.sql.execution.arrow.maxBytesPerBatch``)."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -137,16 +137,13 @@ def _pack_envelopes(chunk_rows: int, domains: list[str]):
 
 
 def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: int = 1000,
-                    country: Column | None = None) -> int:
+                    country: Column | None = None) -> None:
     """Pack ``records`` (columns: ``source``, ``record`` struct, ``is_internship``)
-    into envelopes and append them under ``root``. Returns 0 for an empty batch
-    (nothing written), else 1.
+    into envelopes under ``root``. An empty batch writes no envelope.
 
     Envelopes are cut inside each task from consecutive records of one source
     (``mapInArrow``), so no envelope holds more than ``chunk_rows`` records, no
     source is collected into a single task, and the record text is never shuffled."""
-    if records.isEmpty():
-        return 0
     record_type = records.schema["record"].dataType
     out_schema = T.StructType([
         T.StructField("source", T.StringType()),
@@ -166,7 +163,6 @@ def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: i
     # replaces them (dynamic partition overwrite) instead of appending twice
     (envelopes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("source", "ingest_date", "run").json(root))
-    return 1
 
 
 # ---------------------------------------------------------------------------
@@ -174,7 +170,8 @@ def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: i
 # ---------------------------------------------------------------------------
 
 def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Envelopes under ``path`` (any depth) with the declared schema.
+    """Envelopes under ``path`` (any depth) with the declared schema; ``records`` hold each
+    record's JSON text.
 
     Files are read as text — one envelope per line, or with ``multi_line`` one per
     file (pretty-printed documents) — and parsed with ``from_json`` in permissive
@@ -182,11 +179,19 @@ def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multi_l
     source file name), so the reject table needs no second pass over the files."""
     raw = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=multi_line)
            .filter(F.trim(F.col("value")) != F.lit("")))
-    parsed = F.from_json(F.col("value"), envelope_schema(record), {"mode": "PERMISSIVE",
-                                                                  "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(F.col("value"), envelope_schema(T.StringType()), {"mode": "PERMISSIVE",
+                                                                          "columnNameOfCorruptRecord": CORRUPT})
     return raw.select(parsed.alias("e"), F.input_file_name().alias("file")).select("e.*", "file")
 
 
+def read_records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
+    """One row per record of the sound envelopes: ``r``, the file, and the record's text where
+    it doesn't fit the schema (one bad record costs itself, not its envelope)."""
+    schema = T.StructType(record.fields + [T.StructField(CORRUPT, T.StringType())])
+    texts = envelopes.filter(F.col(CORRUPT).isNull()).select("file", F.explode("records").alias("text"))
+    return texts.select("file", F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+
+
 def source_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/source={source}"
 
@@ -206,11 +211,14 @@ def original_layout_paths(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{folder}" for name, folder in ORIGINAL_LAYOUT.items()}
 
 
+REJECTS = "source string, file string, reason string, raw string"
+
+
 def read_batches(spark: SparkSession, root: str, specs: dict[str, Spec] | None = None,
                  schemas: dict[str, T.StructType] | None = None, multi_line: bool = False,
-                 paths: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame | None, list[str]]:
-    """Canonical rows of all sources that load, the rejected (corrupt) envelopes,
-    and the names of skipped sources."""
+                 paths: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Canonical rows of all sources that load, the rejected envelopes and records
+    (source, file, reason, raw), and the names of skipped sources (no folder)."""
     specs = specs or DEFAULT_SPECS
     schemas = schemas or RECORD_SCHEMAS
     good, bad, skipped = [], [], []
@@ -218,16 +226,20 @@ def read_batches(spark: SparkSession, root: str, specs: dict[str, Spec] | None =
         path = (paths or {}).get(name, source_path(root, name))
         try:
             env = read_envelopes(spark, path, schemas[name], multi_line)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             skipped.append(name)
             continue
-        good.append(map_to_canonical(unnest_records(env.filter(F.col(CORRUPT).isNull())), spec))
+        records = read_records(env, schemas[name])
+        sound = F.col(f"r.{CORRUPT}").isNull()
+        good.append(map_to_canonical(records.filter(sound), spec))
         bad.append(env.filter(F.col(CORRUPT).isNotNull())
-                      .select(F.lit(name).alias("source"), "file", F.col(CORRUPT).alias("raw")))
+                      .select(F.lit(name).alias("source"), "file", F.lit("envelope").alias("reason"), F.col(CORRUPT).alias("raw")))
+        bad.append(records.filter(~sound).select(F.lit(name).alias("source"), "file", F.lit("record").alias("reason"), F.col(f"r.{CORRUPT}").alias("raw")))
     if not good:
         raise FileNotFoundError(f"no bronze source found under {root}")
-    rejects = union_sources(bad) if bad else None
-    return union_sources(good), rejects, skipped
+    return union_sources(good), union_sources(bad), skipped
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:

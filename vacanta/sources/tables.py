@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -15,50 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-SPREAD_BYTES_PER_TASK = 1 << 20  # compressed input bytes per task for CPU-bound text rules
-
-
-def _input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files behind ``df`` (driver-side file metadata only)."""
-    try:
-        files = df.inputFiles()
-        if not files:
-            return None  # not a file scan: size unknown
-        jvm = df.sparkSession.sparkContext._jvm
-        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        return total
-    except Exception:  # noqa: BLE001 - sizes are only a hint
-        return None
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy text rows over the cluster when the scan yields too few splits.
-
-    A parquet file is split by row groups (and a multi-line JSON file not at all);
-    such an input reaches the text rules as a single task. When the scan has fewer
-    partitions than the default parallelism, rows are redistributed round-robin (no
-    key, so no skew) over at most one task per ``SPREAD_BYTES_PER_TASK`` of input,
-    and the result is checkpointed into the shared checkpoint folder: later filters
-    on derived columns cannot be pushed back below the redistribution, and a lost
-    executor does not re-read the unsplittable input. At scale, where inputs have
-    many splits, this is a no-op: no shuffle, no copy."""
-    spark = df.sparkSession
-    parallelism = min_partitions or spark.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current >= parallelism:
-        return df
-    size = _input_bytes(df)
-    target = parallelism if size is None else min(parallelism, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
-    if target <= current:
-        return df
-    checkpoint_dir(spark)
-    return df.repartition(target).checkpoint(eager=True)
-
+def text_table(spark: SparkSession, sf_dir: str, name: str, tasks: int | None = None) -> DataFrame:
+    """A text-bearing table (documents, pages, conversations).
 
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A text-bearing table (documents, pages, conversations), spread for CPU-bound rules."""
-    return spread(table(spark, sf_dir, name))
+    Its splits follow the files' row groups. ``tasks`` (or the session setting
+    ``vacanta.scan.tasks``) asks for a round-robin redistribution over so many tasks, for
+    inputs known to come as one row group; it is never decided from the data's size."""
+    df = table(spark, sf_dir, name)
+    tasks = tasks or int(spark.conf.get("vacanta.scan.tasks", "0"))
+    return df.repartition(tasks) if tasks else df

@@ -24,6 +24,9 @@ from ..operators.capture import capture_batch
 from ..session import checkpoint_dir
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def capture_stream(spark: SparkSession, source_dir: str, schema: StructType, landed_root: str,
                    keys: Sequence[str], order_by: Callable[[], Sequence[Column]],
                    keep: Callable[[], Column] | None = None, stream_checkpoint: str | None = None,
@@ -32,7 +35,8 @@ def capture_stream(spark: SparkSession, source_dir: str, schema: StructType, lan
                    state_path: str | None = None) -> StreamingQuery:
     """Start the capture stream; ``order_by``/``keep`` are factories (columns are
     built per micro-batch), ``prepare`` derives columns (e.g. the key) per batch,
-    ``state_path`` names a compact seen-key copy to read instead of the full history."""
+    ``state_path`` names a compact seen-key copy (``capture.compact_state``, run between
+    triggers by its own schedule) to read instead of the full history."""
     checkpoint_dir(spark)
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
@@ -61,9 +65,13 @@ def capture_stream_state(spark: SparkSession, source_dir: str, schema: StructTyp
 
     Each key is emitted once over the life of the stream. Within one micro-batch the
     row kept for a new key is not ordered; use :func:`capture_stream` when the
-    survivor must be the first by position. For large key sets configure the RocksDB
-    state store provider (``spark.sql.streaming.stateStore.providerClass``)."""
+    survivor must be the first by position. All keys stay in the state, so it is kept in
+    RocksDB (on disk, with changelog checkpoints) unless the session names a provider."""
     checkpoint_dir(spark)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(provider, ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
