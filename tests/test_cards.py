@@ -53,3 +53,13 @@ def test_capture_text_and_metadata(spark):
     tagged = cards.card_fields(raw, metadata="Emploi | kw=data").select("raw_metadata").distinct().collect()
     assert [x.raw_metadata for x in tagged] == ["Emploi | kw=data"]
     assert F is not None
+
+
+def test_tag_soup():
+    deep = "<div>" * 3000 + "<li class='post-id'><a class='titreJob' href='/offre/1'>Deep one</a>"
+    spec = cards.SOURCE_CARD_SPECS["rekrute_scraper"]
+    assert [r[3] for r in cards.cards_of_page(1, "https://s/", deep, spec)] == ["Deep one"]
+    bad = "<ul><li class='post-id'><a class='titreJob' href='http://[bad'>x</a><li class='post-id'><a class='titreJob' href='/offre/2'>Second</a> tail<li>other</ul>"
+    assert [(r[2], r[7]) for r in cards.cards_of_page(1, "https://s/", bad, spec)] == [("https://s/offre/2", "Second tail")]
+    nested = "<ul><li class='post-id'><a class='titreJob' href='/a'>A</a><ul><li>in<li>ner</ul> end<li class='post-id'><a class='titreJob' href='/b'>B</a></ul>"
+    assert [r[7] for r in cards.cards_of_page(1, "https://s/", nested, spec)] == ["A in ner end", "B"]

@@ -26,6 +26,14 @@ from ..functions import vocab as V
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
 SKIP_TEXT = {"script", "style", "template"}
+# Start tag -> (open elements that it ends, elements beyond which it doesn't look).
+PARAGRAPH = frozenset({"p"})
+BLOCKS = frozenset({"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4",
+                    "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"})
+_LIST, _TABLE = frozenset({"ul", "ol", "menu"}), frozenset({"table"})
+IMPLIED = {"li": (frozenset({"li"}), _LIST), "p": (PARAGRAPH, BLOCKS - PARAGRAPH), "option": (frozenset({"option"}), frozenset({"select"})),
+           "tr": (frozenset({"tr"}), _TABLE), "td": (frozenset({"td", "th"}), _TABLE | {"tr"}), "th": (frozenset({"td", "th"}), _TABLE | {"tr"}),
+           "dt": (frozenset({"dt", "dd"}), frozenset({"dl"})), "dd": (frozenset({"dt", "dd"}), frozenset({"dl"}))}
 
 
 class Node:
@@ -37,22 +45,28 @@ class Node:
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
 
-    def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, str):
+    def walk(self) -> Iterator["Node | str"]:
+        """All nodes and texts below this one in document order, with a stack of its own
+        (tag soup can nest deeper than Python's calls)."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
                 yield c
-            elif c.tag not in SKIP_TEXT:
-                yield from c.strings()
+                if not isinstance(c, str) and c.tag not in SKIP_TEXT:
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
+
+    def strings(self) -> Iterator[str]:
+        return (c for c in self.walk() if isinstance(c, str))
 
     def text(self, sep: str = "") -> str:
         """Stripped, non-empty text pieces joined by ``sep``."""
         return sep.join(s.strip() for s in self.strings() if s.strip())
 
     def elements(self) -> Iterator["Node"]:
-        for c in self.children:
-            if not isinstance(c, str):
-                yield c
-                yield from c.elements()
+        return (c for c in self.walk() if not isinstance(c, str))
 
 
 class _TreeBuilder(HTMLParser):
@@ -61,7 +75,18 @@ class _TreeBuilder(HTMLParser):
         self.root = Node("#root", {}, None)
         self.cur = self.root
 
+    def close_implied(self, tag):
+        """A new item, row, cell, option or paragraph ends an open one of its kind within the same list, table or block."""
+        ends, bounds = IMPLIED.get(tag, (PARAGRAPH, BLOCKS) if tag in BLOCKS else (frozenset(), frozenset()))
+        node = self.cur
+        while node.parent is not None and node.tag not in bounds:
+            if node.tag in ends:
+                self.cur = node.parent
+                return
+            node = node.parent
+
     def handle_starttag(self, tag, attrs):
+        self.close_implied(tag)
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
         self.cur.children.append(node)
         if tag not in VOID:
@@ -150,6 +175,14 @@ def _link(card: Node, spec: CardSpec) -> Node | None:
     return None
 
 
+def absolute(base_url: str | None, href: str) -> str | None:
+    """The resolved URL; None for a link that can't be one (its card is dropped, as one without a link)."""
+    try:
+        return urljoin(base_url or "", href)
+    except ValueError:
+        return None
+
+
 def cards_of_page(page_id: int, base_url: str, html: str, spec: CardSpec) -> list[tuple]:
     rows = []
     root = parse(html)
@@ -157,7 +190,7 @@ def cards_of_page(page_id: int, base_url: str, html: str, spec: CardSpec) -> lis
         link = _link(card, spec)
         if link is None:
             continue
-        url = urljoin(base_url or "", link.attrs.get("href", ""))
+        url = absolute(base_url, link.attrs.get("href", ""))
         if not url or (spec.url_contains is not None and spec.url_contains not in url):
             continue
         company = None
@@ -187,7 +220,7 @@ def extract_cards(pages: DataFrame, spec: CardSpec, base_url: str | None = None,
         for pdf in batches:
             out = []
             for pid, url, html in zip(pdf[id_col], pdf[url_col], pdf[html_col]):
-                out.extend(cards_of_page(int(pid), base_url or url, html, spec))
+                out.extend(cards_of_page(int(pid), base_url or url, html, spec))  # page by page: a batch's bytes are bounded by Spark
             yield pd.DataFrame(out, columns=cols).astype({"page_id": "int64", "card_pos": "int32"})
 
     _ship_by_value()

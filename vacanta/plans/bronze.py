@@ -20,7 +20,11 @@ API_SOURCE = V.SOURCES[0]
 
 
 def tagged_raw_postings(documents: DataFrame) -> DataFrame:
-    raw = P.raw_postings(documents)
+    return tag_postings(P.raw_postings(documents))
+
+
+def tag_postings(raw: DataFrame) -> DataFrame:
+    """Capture-time work on raw postings: keyword tags and the per-source attributes."""
     # one pass of the capture text finds the taxonomy keywords and the rule words
     vocab = R.RULE_VOCABULARY + T.keywords_in_order(V.TAXONOMY)
     indexed, w = R.with_words(raw, T.capture_text(["raw_title", "raw_description"]), vocabulary=vocab)
@@ -67,6 +71,11 @@ def page_records(tagged: DataFrame) -> DataFrame:
 
 
 def land_bronze(documents: DataFrame, root: str, run_ts: Column, chunk_rows: int = 1000) -> None:
-    tagged = tagged_raw_postings(documents)
+    land_tagged(tagged_raw_postings(documents), root, run_ts, chunk_rows)
+
+
+def land_tagged(tagged: DataFrame, root: str, run_ts: Column, chunk_rows: int = 1000) -> None:
+    """Both record shapes as envelopes. Rows without a source belong to no folder and aren't
+    landed (see ``capture.null_key_rejects``)."""
     write_envelopes(api_records(tagged), root, run_ts, chunk_rows, country=F.lit("fr"))
     write_envelopes(page_records(tagged), root, run_ts, chunk_rows)

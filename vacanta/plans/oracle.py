@@ -317,3 +317,4 @@ def city_sql(t: str) -> str:
         for c in V.TEXT_CITIES)
     return f"CASE {whens} ELSE {q(V.MOROCCO)} END"
 EVENTS_FUTURE_AS_OF = "2024-01-15"
+CAPTURE_AS_OF = "2024-08-01"

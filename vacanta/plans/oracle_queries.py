@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from ..functions import vocab as V
-from .oracle import (AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
-                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q,
+from .oracle import (AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
+                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, strip_sql,
                      recent, with_enriched, with_postings, with_silver)
 
 
@@ -302,3 +302,54 @@ SELECT op.source_job_id AS o_orderkey, dc.company_id, dl.location_id, op.publica
 FROM op LEFT JOIN dc ON op.company_name = dc.company_name
   LEFT JOIN dl ON op.location_country = dl.location_country AND op.location_city = dl.location_city"""
 
+
+
+_SILVER_OUT = SQL["bronze_silver"][SQL["bronze_silver"].rindex("\nSELECT job_fingerprint"):]
+_CAPTURED = _CANON.replace("FROM tagged\n", f"""FROM ingest
+  WHERE source_job_id IS NOT NULL AND (source <> {q(V.SOURCES[0])} OR {recent(parse_wall_clock('created'), CAPTURE_AS_OF)})
+    AND (len(domains) > 0 OR (source <> {q(V.SOURCES[0])} AND internship_type <> 'CDI_OR_OTHER'))
+""")
+SQL["daily_capture"] = with_silver(_SILVER_OUT, extra=ingest_cte("tagged") + "," + _CAPTURED, src="canon")
+
+_COMPLETE = _CANON.replace("SELECT doc_id, source, source_job_id, raw_title,", "SELECT doc_id, source, coalesce(source_job_id, 'made-' || doc_id) AS source_job_id, raw_title,")
+SQL["daily_layers_pass"] = with_silver(f"""
+, dimc AS (SELECT row_number() OVER (ORDER BY company_name NULLS FIRST) AS company_id, company_name, total_jobs_posted
+           FROM (SELECT company_name, CAST(count(*) AS BIGINT) AS total_jobs_posted FROM silver GROUP BY company_name)),
+diml AS (SELECT row_number() OVER (ORDER BY location_country NULLS FIRST, location_city NULLS FIRST) AS location_id,
+                location_country, location_city
+         FROM (SELECT DISTINCT location_country, location_city FROM silver))
+SELECT s.job_fingerprint, s.source, s.source_job_id AS job_url, s.job_title_clean AS job_title,
+  CAST(c.company_id AS BIGINT) AS company_id, s.company_name, c.total_jobs_posted, CAST(l.location_id AS BIGINT) AS location_id,
+  s.location_country, s.location_city, coalesce(s.location_country = {q(V.MOROCCO)}, false) AS is_morocco,
+  CAST(s.publication_date AS DATE) AS publication_date, s.contract_type, s.work_mode, s.is_internship, s.is_remunerated,
+  s.primary_domain, CASE WHEN s.is_internship THEN s.internship_category END AS internship_category,
+  CASE WHEN s.is_internship THEN s.duration_months END AS duration_months,
+  CASE WHEN s.is_internship THEN s.duration_bracket END AS duration_bracket, s.year, s.month
+FROM silver s JOIN dimc c ON s.company_name = c.company_name
+  JOIN diml l ON s.location_country = l.location_country AND s.location_city = l.location_city""", extra=_COMPLETE, src="canon")
+
+_NARROW = "(" + ", ".join(q(d) for d in V.ALLOWED_DOMAINS[::2]) + ")"
+SQL["invalid_domains_narrow"] = with_silver(f"""
+, bad AS (SELECT domain FROM (SELECT DISTINCT primary_domain AS domain FROM silver) WHERE domain IS NULL OR domain NOT IN {_NARROW})
+SELECT domain, (SELECT CAST(count(*) AS BIGINT) FROM bad) AS observed, (SELECT count(*) FROM bad) = 0 AS passed FROM bad""")
+
+
+def _card_sql(path: str, body: str) -> str:
+    t = {c: strip_sql(f"coalesce({c}, '')") for c in ("raw_title", "raw_description", "raw_contract", "company", "city")}
+    url = f"'https://jobs.example{path}' || doc_id"
+    return with_postings("SELECT doc_id AS page_id, " + body.format(url=url, **t) + " FROM raw_postings WHERE doc_id % 10 <> 3")
+
+
+def _pieces(*names: str) -> str:
+    return "array_to_string(list_filter([" + ", ".join("{" + n + "}" for n in names) + "], lambda x: x <> ''), ' ')"
+
+
+SQL["cards_source_a"] = _card_sql("/offre/", """CAST(1 AS INTEGER) AS card_pos, {url} AS job_url, {raw_title} AS title, {company} AS company,
+  {raw_description} AS summary, {raw_contract} || ' | ' || {city} AS raw_metadata""")
+SQL["cards_source_b"] = _card_sql("/offre-emploi-maroc/", f"""CAST(0 AS INTEGER) AS card_pos, {{url}} AS job_url, {{raw_title}} AS title, nullif({{company}}, '') AS company,
+  {_pieces('company', 'raw_title', 'raw_description')} AS summary, 'kw=data' AS raw_metadata""")
+_CARD_C = _card_sql("/emploi/", f"{{url}} AS job_url, {{raw_title}} AS title, {_pieces('raw_title', 'raw_description')} AS card_text")
+SQL["cards_source_c"] = f"""
+SELECT page_id, CAST(0 AS INTEGER) AS card_pos, job_url, title, substr(card_text, 1, 500) AS summary, CAST(length(card_text) AS INTEGER) AS card_chars,
+  sha256(card_text) AS card_sha256, {company_sql("concat_ws(' ', title, card_text)")} AS company, {city_sql("concat_ws(' ', title, card_text)")} AS location_city
+FROM ({_CARD_C}) WHERE length(title) >= 5"""

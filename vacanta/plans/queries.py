@@ -3,6 +3,8 @@ whole supplied tables. Column names match the DuckDB oracle (:mod:`.oracle_queri
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,10 @@ from ..session import checkpoint_dir, scratch_path, scratch_table
 from ..sources.batches import read_batches
 from ..sources.tables import table, text_table
 from . import bronze as B
+from . import daily, ingest
 from . import postings as P
 from . import silver as S
-from .oracle import AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS
+from .oracle import AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS
 
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,18 +235,12 @@ def future_dates(spark, sf_dir):
 
 # --- F2, F3 --------------------------------------------------------------------
 
-def _relevant(source, domains, internship):
-    """API postings need a domain; page postings a domain or an internship."""
-    page = source != F.lit(V.SOURCES[0])
-    return C.relevant(domains, F.coalesce(page, F.lit(False)) & F.coalesce(internship, F.lit(False)))
-
-
 def relevance_filter(spark, sf_dir):
     p, w = R.with_words(_postings(spark, sf_dir), _capture_text())
     intern = R.ingest_internship_by_source(w, F.col("source"), F.col("raw_contract"))
     # any matched keyword implies a domain; testing the roles array keeps the pushed-down
     # filter from inlining the per-domain expressions
-    return p.filter(_relevant(F.col("source"), F.col("matched_roles"), intern)).select(
+    return p.filter(ingest.relevant(F.col("source"), F.col("matched_roles"), intern)).select(
         "doc_id", "source")
 
 
@@ -284,7 +281,8 @@ def batch_summary(spark, sf_dir):
     """One capture run over the postings view (empty state), summarised per source."""
     p, w = R.with_words(_postings(spark, sf_dir), _capture_text())
     p = p.withColumn("m", R.ingest_attributes_by_source(w, F.col("source"), F.col("raw_contract")))
-    keep = _relevant(F.col("source"), F.col("matched_domains"), F.col("m.is_internship"))
+    p = scratch_table(p.select("doc_id", "source", "source_job_id", "matched_domains", "m"), "batch")
+    keep = ingest.relevant(F.col("source"), F.col("matched_domains"), F.col("m.is_internship"))
     new = capture.capture_new(p, None, ["source", "source_job_id"], [F.col("doc_id")], keep=keep)
     s = capture.batch_summary(new, C.as_timestamp(RUN_TS), internship=F.col("m.is_internship"),
                               domains=list(V.TAXONOMY),
@@ -456,8 +454,6 @@ def daily_layers(spark, sf_dir):
     """Bronze landing, silver written partitioned, quality gate on the written table,
     gold only when the gate passes. Returns the gate report, plus one row per
     written gold table when it passed."""
-    from . import daily
-
     root = scratch_path(spark, "lake")
     B.land_bronze(text_table(spark, sf_dir, "documents"), root + "/bronze", C.as_timestamp(RUN_TS))
     daily.silver_layer(spark, root + "/bronze", root + "/silver", RUN_TS)
@@ -472,7 +468,103 @@ def daily_layers(spark, sf_dir):
                                              F.lit(True).alias("passed")))
 
 
+# --- D-3, X6: capture per source over two deliveries, bronze, silver -----------------
+
+def daily_capture(spark, sf_dir):
+    """Two days of capture over the documents: first those with an even id, then all of
+    them (what was captured on the first day is seen); silver is built from the landed
+    envelopes of both days."""
+    root = scratch_path(spark, "capture")
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    even = F.col("doc_id") % 2 == 0
+    for k, day in enumerate((raw.filter(even), raw)):
+        ts = C.as_timestamp(RUN_TS) + F.expr(f"INTERVAL {k} DAYS")
+        ingest.capture_run(spark, day, root + "/bronze", root + "/state", f"day{k}", ts, CAPTURE_AS_OF, [F.col("doc_id")], chunk_rows=100)
+    unified, _rejects, _skipped = read_batches(spark, root + "/bronze")
+    s = S.build_silver(unified, RUN_TS)
+    cols = [c for c in S.SILVER_COLUMNS if c not in ("matched_domains", "matched_roles")]
+    return s.select(*cols, _joined("matched_domains").alias("matched_domains"), _joined("matched_roles").alias("matched_roles"))
+
+
+# --- X5, S6, G6: the gate passes and gold is written and read back --------------------
+
+def daily_layers_pass(spark, sf_dir):
+    """The daily run over postings whose ids are complete: the gate passes, gold is written,
+    and the facts are read back with the names that their keys stand for."""
+    root = scratch_path(spark, "lake-pass")
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    raw = raw.withColumn("source_job_id", F.coalesce("source_job_id", F.concat(F.lit("made-"), F.col("doc_id").cast("string"))))
+    daily.run_daily(spark, root + "/bronze", root + "/silver", root + "/gold", RUN_TS, AS_OF,
+                    ingest=lambda bronze: B.land_tagged(B.tag_postings(raw), bronze, C.as_timestamp(RUN_TS)), required=list(V.SOURCES))
+    read = lambda name: spark.read.parquet(f"{root}/gold/{name}")
+    facts = read("fact_job_postings").join(read("dim_company"), "company_id", "left").join(read("dim_location"), "location_id", "left")
+    interns = read("fact_internships_pfe").select("job_fingerprint", "internship_category", "duration_months", "duration_bracket")
+    return facts.join(interns, "job_fingerprint", "left").select(
+        "job_fingerprint", "source", "job_url", "job_title", "company_id", "company_name", "total_jobs_posted", "location_id", "location_country",
+        "location_city", "is_morocco", "publication_date", "contract_type", "work_mode", "is_internship", "is_remunerated", "primary_domain",
+        "internship_category", "duration_months", "duration_bracket", "year", "month")
+
+
+# --- Q4, U2, A6 with findings -------------------------------------------------------
+
+def invalid_domains_narrow(spark, sf_dir):
+    """The domain check against a narrower allow-list: the domains outside it, each with the
+    check's own verdict."""
+    silver, allowed = _silver_table(spark, sf_dir), quality.allowed_domains(spark, V.ALLOWED_DOMAINS[::2])
+    verdict = quality.run_checks(silver, AS_OF, allowed=allowed).filter("check = 'domain_validity'").select("observed", "passed")
+    return quality.invalid_domains(silver, allowed).join(F.broadcast(verdict))  # one row
+
+
+# --- S10, P17, P18, F7: the three page sources, pages projected from whole documents -----
+
+def _card_pages(spark, sf_dir):
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    safe = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    href = F.when(F.col("doc_id") % 10 == 3, F.lit("http://[bad")).otherwise(F.concat(F.lit("{path}"), F.col("doc_id").cast("string")))
+    return raw.select("doc_id", href.alias("href"), *[safe(c).alias(c) for c in ("raw_title", "raw_description", "raw_contract", "company", "city")])
+
+
+def _cards(spark, sf_dir, source, path, html):
+    p = _card_pages(spark, sf_dir).withColumn("href", F.replace("href", F.lit("{path}"), F.lit(path)))
+    pages = p.select(F.col("doc_id").alias("page_id"), F.lit("https://jobs.example/list?page=1").alias("url"),
+                     F.concat(*[F.col(x[1:-1]) if x.startswith("{") else F.lit(x) for x in re.split(r"(\{\w+\})", html) if x]).alias("html"))
+    return cards.extract_cards(pages, cards.SOURCE_CARD_SPECS[source])
+
+
+def cards_source_a(spark, sf_dir):
+    """First page source: title link, company, info items, snippet; a card without a link and a
+    card with an impossible one are dropped; the unclosed items end where the next begins."""
+    raw = _cards(spark, sf_dir, "rekrute_scraper", "/offre/", "<html><body><ul><li class='post-id'><h2>no link</h2><li class='post-id'><h2><a class='titreJob' href='{href}'>{raw_title}</a></h2>"
+                 "<div class='holder'><div class='text-holder'><p>{company}</div><div class='info'><ul><li>{raw_contract}<li>{city}</ul><div class='text'>{raw_description}</div></div></div></ul>")
+    c = cards.card_fields(raw, snippet_summary=True)
+    return c.select("page_id", "card_pos", "job_url", "title", "company", "summary", "raw_metadata")
+
+
+def cards_source_b(spark, sf_dir):
+    """Second page source: the offer link and the recruiter link of a card."""
+    raw = _cards(spark, sf_dir, "emploima_scraper", "/offre-emploi-maroc/", "<div class='card-job'><a href='/recruteur/1'>{company}</a><h3><a href='{href}'>{raw_title}</a></h3><p>{raw_description}</div>"
+                 "<div class='card-job'><a href='/other/2'>elsewhere</a></div>")
+    c = cards.card_fields(raw, metadata="kw=data")
+    return c.select("page_id", "card_pos", "job_url", "title", "company", "summary", "raw_metadata")
+
+
+def cards_source_c(spark, sf_dir):
+    """Third page source: URL guard, title of at least 5 characters, summary of 500 characters
+    beside the whole card text, company and city parsed from the text."""
+    raw = _cards(spark, sf_dir, "dreamjob_scraper", "/emploi/", "<article><a href='{href}'>{raw_title}</a><p>{raw_description}</article><article><a href='/blog/1'>Not a job</a></article>")
+    c = cards.card_fields(raw, min_title=V.MIN_TITLE_CHARS, summary_chars=V.SUMMARY_CHARS)
+    text = F.concat_ws(" ", "title", "card_text")
+    return c.select("page_id", "card_pos", "job_url", "title", "summary", F.length("card_text").alias("card_chars"), F.sha2("card_text", 256).alias("card_sha256"),
+                    R.company_from_text(text).alias("company"), R.first_listed(text).alias("location_city"))
+
+
 QUERIES = {
+    "daily_capture": daily_capture,
+    "daily_layers_pass": daily_layers_pass,
+    "invalid_domains_narrow": invalid_domains_narrow,
+    "cards_source_a": cards_source_a,
+    "cards_source_b": cards_source_b,
+    "cards_source_c": cards_source_c,
     "tag_keywords": tag_keywords,
     "fingerprint": fingerprint,
     "internship_flag": internship_flag,
