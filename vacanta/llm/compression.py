@@ -26,10 +26,10 @@ from .labelled import held_out, training_sample
 class CompressionRules:
     sample_rows: int = 12_000  #: bound of the labelled sample that is fitted
     sample_chars: int = 20_000  #: longer documents aren't fitted on (they are scored)
-    piece_bytes: int = 2000  #: the dictionaries are built from pieces of the sample texts of this size
-    dictionary_bytes: int = 32 << 10
+    piece_bytes: int = 600  #: the dictionaries are built from pieces of the sample texts of this size
+    dictionary_bytes: int = 64 << 10
     level: int = 3
-    good_per_bad: int = 4
+    good_per_bad: int = 1
     threshold: float = 0.3
 
 
