@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once per application, unless PYTHONPATH does:
+    a job may have it on the driver's path only."""
+    sc, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.applicationId in _SHIPPED or root in map(os.path.abspath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))):
+        return
+    _SHIPPED.add(sc.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="vacanta-code-"), "vacanta.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "vacanta")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
