@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_code
 from .common import stored
 
 # The control strings of the template and the role under the loss.
@@ -187,6 +188,7 @@ def read_packs(packs: DataFrame) -> DataFrame:
 
 def formatted(turns: DataFrame, folder: str, rules: TreeRules = TreeRules()) -> DataFrame:
     """Writes the packs of all conversations to ``folder`` and returns what each conversation reads there."""
+    ship_code(turns.sparkSession)
     whole = stored(whole_conversations(turns), "conversations")
     pack_trees(whole.select("path", "order", "turns").dropDuplicates(["path"]), rules).write.parquet(folder)
     back = read_packs(turns.sparkSession.read.parquet(folder))

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_code
 
 #: Bytes of text that one task works on at a time.
 CHUNK_BYTES = 4 << 20
@@ -23,6 +23,7 @@ def whole_row() -> Column:
 
 def text_bytes(docs: DataFrame, *keep: str | Column) -> DataFrame:
     """``keep`` columns and the whole text as UTF-8 bytes (null: empty)."""
+    ship_code(docs.sparkSession)
     return docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
@@ -57,8 +58,9 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     yield batch.slice(start)
 
 
-def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], carry: str | None = "doc_id", limit: int = CHUNK_BYTES) -> DataFrame:
-    """``mapInArrow`` over slices of bounded bytes. The column ``carry`` is passed on; ``fn``
+def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], carry: str | None = "doc_id", limit: int = CHUNK_BYTES,
+               sized: str = "text") -> DataFrame:
+    """``mapInArrow`` over slices of bounded bytes in the column ``sized``. The column ``carry`` is passed on; ``fn``
     gives the columns of ``schema`` as lists or arrays, a row for each row of the slice."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -69,7 +71,7 @@ def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, limit=limit):
+            for part in chunks(batch, sized, limit):
                 new = fn(part)
                 cols = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + cols, names=[f.name for f in kept] + arrow.names)

@@ -39,7 +39,7 @@ CLASSES = 11
 class DivergenceRules:
     common_words: int = 40  #: most common words of each reference
     min_share: float = 0.005  #: of the corpus' words that a language with a reference holds
-    char_distance: float = 0.27  #: largest distance of character classes
+    char_distance: float = 0.31  #: largest distance of character classes
     word_distance: float = 0.14  #: largest distance of common words, in a text without end
     word_allowance: float = 2.3  #: for chance, over the root of the number of words
     min_chars: int = 100  #: shorter texts aren't held against character classes
