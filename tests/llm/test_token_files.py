@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -32,8 +33,15 @@ def test_coder_equals_the_library():
     t = Tokenizer.from_file(FILE)
     t.encode_special_tokens = True
     texts = ["a  b   c \n d\n\n e\t\tf  ", "don't we'll 'Sſ", "՘abc ₏12 ᲊ q", "日本語 𠀀", "<|endoftext|> a", "a\n \nfoo", "", " ", "x <|endoftext|>"] * 2
-    for text, ids in zip(texts, LibraryCoder(FILE, cache=5).encode(texts)):
-        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+    rng = random.Random(4)
+    parts = [" ", "\n", "a", "é", "'s", "1", "՘", "😀", "\u3000", "\u00a0", "-", "  ", " x", "\t", "\x1c", " word", "z" * 70, "日本", " 日"]
+    texts += ["".join(rng.choice(parts) for _ in range(12)) for _ in range(2000)]
+    coder = LibraryCoder(FILE, bits=6, limit=900)
+    for at in range(0, len(texts), 100):
+        ids, counts = coder.encode([t.encode() for t in texts[at:at + 100]])
+        for text, own in zip(texts[at:], np.split(ids, np.cumsum(counts)[:-1])):
+            assert own.tolist() == t.encode(text, add_special_tokens=False).ids, text
+    assert coder.encode([]) [0].tolist() == [] and coder.encode([b"\xff x", b""])[1].tolist()[1] == 0
 
 
 def check(spark, docs, folder, **kw):

@@ -21,7 +21,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, text_bytes
-from .segments import SegmentCache, joinable, segments
+from .part_table import SAFE, PartTable, fill
 
 BLOCKS = ("shard int, block int, n_ids long, first_rule int, symbol_bytes int, rules binary, rule_lengths binary, symbols binary, "
           "doc_ids binary, no_id binary, doc_lengths binary")
@@ -168,7 +167,7 @@ class LibraryCoder:
     New parts are encoded joined together (each begins where the library's own pattern cuts)
     and told apart by the bytes that each id stands for."""
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, **table):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -178,29 +177,46 @@ class LibraryCoder:
         self.width = np.zeros(self.size, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)  # the byte alphabet writes a byte as a character
-        self.cache = SegmentCache(self.encode_parts, cache)
+        self.table = PartTable(self.encode_parts, **table)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def encode_parts(self, parts: list[str]) -> list[bytes]:
-        joined = [p for p in parts if joinable(p)]
-        made = {p: self.whole(p).tobytes() for p in parts if not joinable(p)}
-        for at in range(0, len(joined), 20_000):
-            group = joined[at:at + 20_000]
-            ids = self.whole("".join(group))
-            upto = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in group]), "right")
-            raw, last = ids.tobytes(), 0
-            for p, n in zip(group, upto.tolist()):
-                made[p] = raw[4 * last:4 * n]
-                last = n
-        return [made[p] for p in parts]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [segments(t) for t in texts]
-        self.cache.fill(chain.from_iterable(p for p in cut if p is not None))
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, parts)), np.uint32) if parts is not None else self.whole(t) for t, parts in zip(texts, cut)]
+    def encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in a row, and how many each has."""
+        joinable = np.array([len(p) > 1 and p[0] == 32 and bool(SAFE[p[1]]) for p in parts])
+        counts, flat = np.zeros(len(parts), np.int64), []
+        order = np.concatenate((np.flatnonzero(~joinable), np.flatnonzero(joinable)))
+        alone = len(parts) - int(joinable.sum())
+        for k in order[:alone].tolist():
+            flat.append(self.whole(parts[k].decode()))
+            counts[k] = len(flat[-1])
+        for at in range(alone, len(parts), 20_000):
+            group = order[at:at + 20_000]
+            joined = [parts[k] for k in group.tolist()]
+            ids = self.whole(b"".join(joined).decode())
+            upto = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined))), "right")
+            counts[group] = np.diff(upto, prepend=0)
+            flat.append(ids)
+        ids = np.concatenate(flat)
+        out, place = np.empty(len(ids), np.uint32), np.empty(len(parts), np.int64)
+        place[order] = np.cumsum(counts[order]) - counts[order]
+        fill(out, np.cumsum(counts) - counts, counts, ids, place)
+        return out, counts
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has. Bytes that aren't UTF-8 are replaced."""
+        return self.table.encode_texts([t if valid(t) else t.decode("utf-8", "replace").encode() for t in texts])
+
+
+def valid(raw: bytes) -> bool:
+    if raw.isascii():
+        return True
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 @lru_cache(2)
@@ -215,59 +231,66 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     rows = text_bytes(ordered, "doc_id", F.spark_partition_id().alias("shard"))
 
-    def pack(shard: int, block: int, coder: LibraryCoder, ids: list, docs_: list) -> pa.RecordBatch:
+    def pack(shard: int, block: int, coder: LibraryCoder, ids: list, docs_: list, sizes: list) -> pa.RecordBatch:
         flat = np.concatenate(ids)
-        symbols, pairs, lengths = compress(flat, coder.size, rules)
+        symbols, pairs, expansions = compress(flat, coder.size, rules)
         width = 2 if coder.size + len(pairs) <= 1 << 16 else 4
-        row = [shard, block, len(flat), coder.size, width, pairs.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), symbols.astype(f"<u{width}").tobytes(),
-               np.array([d or 0 for d in docs_], "<i8").tobytes(), np.array([d is None for d in docs_], np.uint8).tobytes(), np.array(list(map(len, ids)), "<u4").tobytes()]
+        row = [shard, block, len(flat), coder.size, width, pairs.astype("<u4").tobytes(), expansions.astype("<u4").tobytes(), symbols.astype(f"<u{width}").tobytes(),
+               np.array([d or 0 for d in docs_], "<i8").tobytes(), np.array([d is None for d in docs_], np.uint8).tobytes(), np.array(sizes, "<u4").tobytes()]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 6
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in BLOCKS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, block, ids, held, n, shard = _coder(tokenizer_path), 0, [], [], 0, 0
+        coder, block, ids, held, lengths, n, shard = _coder(tokenizer_path), 0, [], [], [], 0, 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for part in chunks(batch):
                 shard = part.column("shard")[0].as_py()
-                for doc, made in zip(part.column("doc_id").to_pylist(), coder.encode([raw.decode("utf-8", "replace") for raw in part.column("text").to_pylist()])):
-                    if ids and n + len(made) >= rules.block_ids:
-                        yield pack(shard, block, coder, ids, held)
-                        block, ids, held, n = block + 1, [], [], 0
-                    ids.append(np.concatenate((made, end)))
+                flat, counts = coder.encode(part.column("text").to_pylist())
+                for doc, upto, size in zip(part.column("doc_id").to_pylist(), np.cumsum(counts).tolist(), counts.tolist()):
+                    if ids and n + size >= rules.block_ids:
+                        yield pack(shard, block, coder, ids, held, lengths)
+                        block, ids, held, lengths, n = block + 1, [], [], [], 0
+                    ids += [flat[upto - size:upto], end]
                     held.append(doc)
-                    n += len(made) + 1
+                    lengths.append(size + 1)
+                    n += size + 1
         if ids:
-            yield pack(shard, block, coder, ids, held)
+            yield pack(shard, block, coder, ids, held, lengths)
 
     rows.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(out)
 
 
 def block_starts(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``start``, the number of ids in all blocks before: shards are summed
+    """(shard, block, start): the number of ids in all blocks before. Shards are summed
     first, so the only unpartitioned window runs over one row per shard."""
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     shards = shards.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
     inner = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     places = blocks.select("shard", "block", "n_ids").withColumn("inner", F.coalesce(inner, F.lit(0))).join(shards, "shard")
-    return blocks.join(places.select("shard", "block", (F.col("base") + F.col("inner")).alias("start")), ["shard", "block"])
+    return places.select("shard", "block", (F.col("base") + F.col("inner")).alias("block_start"))
 
 
 def read_token_files(blocks: DataFrame) -> DataFrame:
-    """One row per document of the files: doc_id, start, n_tokens, ids_crc32."""
+    """One row per document of the files: doc_id, start, n_tokens, ids_crc32. Blocks are decoded
+    where they are read; only a narrow row per document meets the blocks' starts."""
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
                 s = np.frombuffer(r["symbols"], f"<u{r['symbol_bytes']}")
                 ids = Expander(r["first_rule"], np.frombuffer(r["rules"], "<u4").reshape(-1, 2), np.frombuffer(r["rule_lengths"], "<u4")).expand(s).astype("<u4")
                 n = np.frombuffer(r["doc_lengths"], "<u4").astype(np.int64)
                 ends = np.cumsum(n)
                 crc = [zlib.crc32(ids[e - k:e]) for e, k in zip(ends.tolist(), n.tolist())]
                 doc = pa.array(np.frombuffer(r["doc_ids"], "<i8"), mask=np.frombuffer(r["no_id"], np.uint8).astype(bool))
-                yield pa.RecordBatch.from_arrays([doc, pa.array(r["start"] + ends - n), pa.array(n), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                place = [pa.array(np.full(len(n), r[c], np.int32)) for c in ("shard", "block")]
+                yield pa.RecordBatch.from_arrays([doc, *place, pa.array(ends - n), pa.array(n), pa.array(crc, pa.int64())], names=["doc_id", "shard", "block", "inside", "n_tokens", "ids_crc32"])
 
-    return block_starts(blocks).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = blocks.mapInArrow(run, "doc_id long, shard int, block int, inside long, n_tokens long, ids_crc32 long")
+    placed = rows.join(block_starts(blocks), ["shard", "block"])
+    return placed.select("doc_id", (F.col("block_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_document(row: dict, k: int) -> np.ndarray:
