@@ -24,3 +24,12 @@ def test_days_replays_and_rejects(spark, tmp_dir):
     assert run(3, raw) == []                                  # nothing new
     assert run(2, raw) == two and landed() == sorted(one + two)   # a replay lands the same
     assert ingest.rejected(raw).count() == raw.filter("source_job_id is null").count() > 0
+
+
+def test_unread_fields_of_api_records_are_landed(spark, tmp_dir):
+    raw = P.raw_postings(table(spark, "/root/testdata/sf0.001", "documents")).withColumn("salary_min", F.col("doc_id") * 10)
+    ts = F.lit(TS).cast("timestamp")
+    kept = ingest.capture_run(spark, raw, tmp_dir + "/bronze", tmp_dir + "/state", "r1", ts, TS, [F.col("doc_id")])
+    api = kept.filter("source = 'adzuna_api'")
+    rows = spark.read.json(tmp_dir + "/bronze/source=adzuna_api").select(F.explode("records").alias("r")).select("r.id", "r.salary_min")
+    assert sorted((r.id, r.salary_min) for r in rows.collect()) == sorted((r.source_job_id, r.salary_min) for r in api.collect()) != []

@@ -34,21 +34,29 @@ def tag_postings(raw: DataFrame) -> DataFrame:
                   .drop("_low", "_low_found"))
 
 
+#: Columns of tagged postings that the API record holds under its own field names.
+_READ = {"source", "source_job_id", "raw_title", "raw_description", "raw_contract", "company", "location_country", "city", "created",
+         "matched_domains", "matched_roles", "analytics_metadata"}
+
+
 def api_records(tagged: DataFrame) -> DataFrame:
+    """API postings as records. Further columns of the candidates are passed through as fields of
+    their own: the landed record keeps what the source sent, also where silver doesn't read it."""
     rows = tagged.filter(F.col("source") == API_SOURCE)
-    return rows.select(
-        "source",
-        F.struct(
-            F.col("source_job_id").alias("id"),
-            F.col("raw_title").alias("title"),
-            F.col("raw_description").alias("description"),
-            F.col("created").alias("created"),
-            F.col("raw_contract").alias("contract_type"),
-            F.struct(F.col("company").alias("display_name")).alias("company"),
-            F.struct(F.array("location_country").alias("area"), F.col("city").alias("display_name")).alias("location"),
-            "matched_domains", "matched_roles", "analytics_metadata",
-        ).alias("record"),
-        F.col("analytics_metadata.is_internship").alias("is_internship"))
+    fields = [
+        F.col("source_job_id").alias("id"),
+        F.col("raw_title").alias("title"),
+        F.col("raw_description").alias("description"),
+        F.col("created").alias("created"),
+        F.col("raw_contract").alias("contract_type"),
+        F.struct(F.col("company").alias("display_name")).alias("company"),
+        F.struct(F.array("location_country").alias("area"), F.col("city").alias("display_name")).alias("location"),
+        "matched_domains", "matched_roles", "analytics_metadata",
+    ]
+    own = {"id", "title", "description", "contract_type", "location"}
+    passed = [F.col(f"`{c}`") for c in tagged.columns if c not in _READ and c not in own]
+    return rows.select("source", F.struct(*fields, *passed).alias("record"),
+                       F.col("analytics_metadata.is_internship").alias("is_internship"))
 
 
 def page_records(tagged: DataFrame) -> DataFrame:
