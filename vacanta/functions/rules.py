@@ -225,6 +225,7 @@ def work_mode(low_corpus: Column, hybrid_words=V.HYBRID_WORDS, full_remote_words
     ], "SUR_SITE")
 
 
+# FIXED VALUES. The duration patterns of the original pipeline.
 WEEKS_PATTERN = r"(?U)\b(\d+)\s*" + alternation(V.WEEK_UNITS) + r"\b"
 RANGE_PATTERN = r"(?U)(\d+)\s*" + alternation(V.RANGE_SEPARATORS) + r"\s*(\d+)\s*" + alternation(V.MONTH_UNITS)
 SINGLE_PATTERN = r"(?U)\b([1-9]|1[0-2])\s*" + alternation(V.MONTH_UNITS) + r"\b"

@@ -93,7 +93,7 @@ TAXONOMY: dict[str, list[str]] = {
 
 UNCLASSIFIED_DOMAIN = "NON_CLASSE"
 
-# Domains the quality gate accepts as primary_domain.
+# FIXED VALUES. Domains the quality gate accepts as primary_domain.
 ALLOWED_DOMAINS: list[str] = [
     "DATA_ENGINEERING_PLATFORMS", "DATA_ANALYTICS_BI", "DATA_SCIENCE",
     "MACHINE_LEARNING", "DEEP_LEARNING_SPECIALIZED", "GENERATIVE_AI_LLM",
@@ -102,7 +102,7 @@ ALLOWED_DOMAINS: list[str] = [
     "NON_CLASSE",
 ]
 
-# Silver-layer word lists (matched on lower-cased text with word boundaries).
+# FIXED VALUES. Silver-layer word lists (matched on lower-cased text with word boundaries).
 INTERNSHIP_WORDS = ["stage", "internship", "intern", "stagiaire", "pfe", "alternance",
                     "apprentissage", "apprenticeship"]
 INTERNSHIP_CONTRACT_WORDS = ["stage", "intern"]
@@ -124,13 +124,13 @@ CATEGORY_ALTERNANCE_WORDS = ["alternance", "apprentissage", "contrat pro", "work
 INITIATION_WORDS = ["initiation", "découverte", "ouvrier", "observation"]
 APPLICATION_WORDS = ["stage d'été", "stage technique", "application", "summer intern", "summer internship"]
 
-# Duration units.
+# FIXED VALUES. Duration units.
 WEEK_UNITS = ["semaines", "semaine", "weeks", "week", "-week"]
 MONTH_UNITS = ["mois", "months", "month", "-month"]
 RANGE_SEPARATORS = ["à", "-", "to"]
 INGEST_MONTH_UNITS = ["mois", "months"]
 
-# Labels.
+# FIXED VALUES. Labels.
 DURATION_BRACKETS = [
     "Non précisée",
     "< 2 mois (Court / Initiation)",
@@ -138,11 +138,8 @@ DURATION_BRACKETS = [
     "4-6 mois (PFE / Long)",
     "> 6 mois",
 ]
-CONTRACT_LABELS = ["ALTERNANCE", "STAGE", "CDI", "CDD", "FREELANCE", "NON_SPECIFIE"]
-WORK_MODES = ["FULL_REMOTE", "HYBRID", "REMOTE_POSSIBLE", "SUR_SITE"]
-CATEGORY_LABELS = ["PFE", "ALTERNANCE", "STAGE_INITIATION", "STAGE_APPLICATION", "STAGE_NON_SPECIFIE"]
 
-# Ingest-time word lists; they differ per source.
+# FIXED VALUES. Ingest-time word lists; they differ per source.
 INGEST_PFE_WORDS_API = ["pfe", "projet de fin d'études", "fin d'etude"]
 INGEST_PFE_WORDS_PAGES = ["pfe", "projet de fin d'études", "fin d'etude", "fin d'études"]
 INGEST_STAGE_WORDS_API = ["stage", "internship", "intern", "stagiaire"]
@@ -152,15 +149,14 @@ INGEST_ALTERNANCE_WORDS_PAGES = ["alternance", "apprentissage"]
 INGEST_PAID_WORDS_API = ["rémunéré", "remunere", "gratification", "indemnité", "indemnite", "stipend", "salary"]
 INGEST_PAID_WORDS_PAGES = ["rémunéré", "remunere", "gratification", "indemnité", "indemnite", "stipend"]
 INGEST_HYBRID_WORDS_API = ["hybride", "hybrid", "télétravail partiel", "remote partiel"]
-INGEST_TYPES = ["STAGE_PFE", "STAGE", "ALTERNANCE", "CDI_OR_OTHER"]
 
-# City names found in free text, in priority order (list order wins, not text order).
+# FIXED VALUES. City names found in free text, in priority order (list order wins, not text order).
 TEXT_CITIES = ["Casablanca", "Rabat", "Fès", "Tanger", "Marrakech", "Agadir",
                "Salé", "Kénitra", "Oujda", "Tétouan", "Benguerir", "El Jadida", "Mohammedia"]
 COMPANY_VERBS = ["recrute", "recrutement"]
 COMPANY_STOPS = ["à", "en", "pour"]
 
-# Defaults and placeholders.
+# FIXED VALUES. Defaults and placeholders.
 UNSPECIFIED = "Non spécifié"
 MOROCCO = "Maroc"
 API_DEFAULT_COUNTRY = "France"
