@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from vacanta.llm.superminhash import NearRules, band_keys, near_groups, shingles, super_min_hash, words_of
-from vacanta.llm.components import components
+from vacanta.llm.components import components, joined_components
 
 
 def brute(rows):
@@ -121,3 +121,7 @@ def test_components(spark):
         assert got[x] == find(x)
     assert set(got) >= {x for x in parent if find(x) != x}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    links = [l for l in links if l[0] != l[1]]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long").repartition(4)
+    got = {r["node"]: r["root"] for r in joined_components(components(frame(links[::2])), frame(links[1::2])).collect()}
+    assert all(got.get(x, x) == find(x) for x in parent)

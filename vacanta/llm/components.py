@@ -43,27 +43,37 @@ def local_stars(links: DataFrame) -> DataFrame:
     return links.select("a", "b").mapInArrow(run, f"u {kind.simpleString()}, v {kind.simpleString()}")
 
 
-def _mark(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def settled(edges: DataFrame) -> bool:
+    """Whether the edges (u, v < u) are stars: no node hangs on one and has others hanging on it."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))).alias("e")).select("e.*")
+    several = edges.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b")).filter("a <> b")
+    return ends.groupBy("node").agg(F.max("hangs").alias("hangs"), F.max("holds").alias("holds")).filter("hangs = 1 and holds = 1").isEmpty() and several.isEmpty()
 
 
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root): every node of ``links`` (columns a, b) with the least node it reaches."""
     edges = stored(local_stars(links).distinct(), "links")
-    before = _mark(edges)
     for _ in range(max_rounds):
+        if settled(edges):
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = stored(small.filter("u <> v").distinct(), "links")
-        after = _mark(edges)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError("links did not settle")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def joined_components(first: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of ``first`` after ``links`` between its components (or nodes outside them): only
+    the components that the links touch are looked at again."""
+    by_a, by_b = (first.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+    named = links.join(by_a, "a", "left").join(by_b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b").distinct()
+    again = stored(components(named), "joined")
+    moved = first.join(again.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return moved.unionByName(again.join(first, "node", "left_anti").select("node", "root"))

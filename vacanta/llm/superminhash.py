@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_chunks, stored, text_bytes
-from .components import components
+from .components import components, joined_components
 
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 NO_ID = -(1 << 63)
@@ -206,7 +206,7 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     tried = stored(members.filter(ratio).select("a", F.col("node").alias("b")).distinct(), "tried")
     links, sets = checked(docs, nodes, tried, rules)
 
-    first = components(links)
+    first = stored(components(links), "components")
     roots = first.select(F.col("node").alias("a"), F.col("root").alias("hub_root"))
     placed = members.filter("size > 2").join(first, "node", "left").withColumn("root", F.coalesce("root", "node")).join(roots, "a", "left").withColumn("hub_root", F.coalesce("hub_root", "a"))
     split = placed.filter("root <> hub_root").select("bucket").distinct()
@@ -224,7 +224,7 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     near = F.lit(100 + rules.percent) * apart <= F.lit(100 - rules.percent) * (F.col("n") + F.col("m"))
     rest = x.join(y, ["a", "element"]).filter((F.col("root") != F.col("other")) & ratio & near).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     more, _ = checked(docs, nodes, stored(rest, "rest"), rules)
-    roots = components(stored(links.unionByName(more), "confirmed"))
+    roots = joined_components(first, more)
     named = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = named.join(names, "root").select("node", "component_id")
