@@ -32,9 +32,7 @@ class PartTable:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def keep(self, ids: np.ndarray) -> int:
-        """Stores ids and returns where; a full store is emptied, and the places with it."""
-        if self.used + len(ids) > self.limit:
-            self.keys[:], self.used, self.ids = 0, 0, np.zeros(1 << 16, np.uint32)  # a new array: the old one is still read
+        """Stores ids and returns where."""
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids[:self.used], np.zeros(max(len(self.ids), len(ids)), np.uint32)))
         self.ids[self.used:self.used + len(ids)] = ids
@@ -43,6 +41,8 @@ class PartTable:
 
     def encode_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
+        if self.used > self.limit:  # a full store is emptied, and the places with it
+            self.keys[:], self.used = 0, 0
         raw = b"".join(texts)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         starts, ends = cuts(raw, sizes)
@@ -51,39 +51,43 @@ class PartTable:
         short = np.flatnonzero(ends - starts <= KEY_BYTES)
         keys = part_keys(raw, starts[short], ends[short])
         slots = (keys >> self.shift).astype(np.int64)
-        known = self.keys[slots] == keys
-        counts, out_of = np.zeros(len(starts), np.int64), []
-        old = np.flatnonzero(known)
-        counts[short[old]] = self.counts[slots[old]]
-        out_of.append((short[old], self.ids, self.starts[slots[old]].astype(np.int64)))
-        new = np.flatnonzero(~known)
+        source, counts = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.int32)
+        source[short], counts[short] = self.starts[slots], self.counts[slots]  # of parts that aren't there: overwritten
+        new = np.flatnonzero(self.keys[slots] != keys)
         if len(new):
             distinct, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
             made, n = self.encode([raw[a:b] for a, b in zip(starts[short[new[first]]].tolist(), ends[short[new[first]]].tolist())])
-            at = np.cumsum(n) - n
-            counts[short[new]] = n[back]
-            out_of.append((short[new], made, at[back]))
-            place = self.keep(made)
+            at = self.keep(made) + np.cumsum(n) - n
+            source[short[new]], counts[short[new]] = at[back], n[back]
             own = (distinct >> self.shift).astype(np.int64)
-            self.keys[own], self.starts[own], self.counts[own] = distinct, place + at, n
+            self.keys[own], self.starts[own], self.counts[own] = distinct, at, n
         long = np.flatnonzero(ends - starts > KEY_BYTES)
         if len(long):
             made, n = self.encode([raw[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist())])
-            counts[long] = n
-            out_of.append((long, made, np.cumsum(n) - n))
-        offsets = np.cumsum(counts) - counts
-        out = np.empty(int(counts.sum()), np.uint32)
-        for parts, ids, source in out_of:
-            fill(out, offsets[parts], counts[parts], ids, source)
-        upto = np.append(0, np.cumsum(counts))[np.searchsorted(starts, np.append(0, np.cumsum(sizes)))]
-        return out, np.diff(upto)
-
-
-def fill(out: np.ndarray, to: np.ndarray, counts: np.ndarray, ids: np.ndarray, source: np.ndarray) -> None:
-    """Copies runs of ``ids`` into ``out``."""
-    if len(counts) and int(counts.sum()):
-        inner = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        out[np.repeat(to, counts) + inner] = ids[np.repeat(source, counts) + inner]
+            source[long], counts[long] = self.keep(made) + np.cumsum(n) - n, n
+        upto = np.append(0, np.cumsum(counts, dtype=np.int64))[np.searchsorted(starts, np.append(0, np.cumsum(sizes)))]
+        return runs_of(self.ids, source, counts), np.diff(upto)
+
+
+def whole_utf8(texts: list[bytes]) -> list[bytes]:
+    """The texts with bytes that aren't UTF-8 replaced."""
+    out = []
+    for raw in texts:
+        if not raw.isascii():
+            try:
+                raw.decode()
+            except UnicodeDecodeError:
+                raw = raw.decode("utf-8", "replace").encode()
+        out.append(raw)
+    return out
+
+
+def runs_of(ids: np.ndarray, source: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that begin at ``source``, one after the other."""
+    ends = np.cumsum(counts, dtype=np.int64)
+    places = np.repeat(source - (ends - counts), counts)
+    places += np.arange(len(places))
+    return ids.take(places)
 
 
 def cuts(raw: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, text_bytes
-from .part_table import SAFE, PartTable, fill
+from .part_table import SAFE, PartTable, runs_of, whole_utf8
 
 BLOCKS = ("shard int, block int, n_ids long, first_rule int, symbol_bytes int, rules binary, rule_lengths binary, symbols binary, "
           "doc_ids binary, no_id binary, doc_lengths binary")
@@ -46,17 +46,25 @@ class GrammarRules:
 
 # ----------------------------------------------------------------- grammar
 
-def frequent_pairs(s: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The most frequent neighbouring pairs as 64-bit keys, most frequent first."""
-    small = int(s.max()) < 1 << 16
-    keys = (s[:-1].astype(np.uint32) << np.uint32(16)) | s[1:] if small else (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-    keys.sort()
+def pair_keys(s: np.ndarray) -> tuple[np.ndarray, int]:
+    """Every neighbouring pair as one number, and the bits of its second symbol."""
+    if int(s.max()) < 1 << 16:
+        return (s[:-1] << np.uint32(16)) | s[1:], 16
+    return (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:], 32
+
+
+def frequent(keys: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The most frequent keys, most frequent first."""
+    keys = np.sort(keys)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts = np.diff(np.append(starts, len(keys)))
     at = np.flatnonzero(counts >= least)
-    order = at[np.lexsort((keys[starts[at]], -counts[at]))][:most]
-    found = keys[starts[order]].astype(np.uint64)
-    return ((found >> np.uint64(16)) << np.uint64(32)) | (found & np.uint64(0xFFFF)) if small else found
+    return keys[starts[at[np.lexsort((keys[starts[at]], -counts[at]))][:most]]]
+
+
+def slots_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    odd = 0x9E3779B1 if keys.dtype == np.uint32 else 0x9E3779B97F4A7C15
+    return (keys * keys.dtype.type(odd)) >> keys.dtype.type(8 * keys.itemsize - bits)
 
 
 def chosen(pos: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -81,79 +89,60 @@ def compress(ids: np.ndarray, first_rule: int, rules: GrammarRules = GrammarRule
         take = min(rules.per_round, room - len(pairs))
         if len(s) < 2 or take <= 0:
             break
-        keys = frequent_pairs(s, rules.min_count, take)
-        a, b = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        keys, bits = pair_keys(s)
+        found = frequent(keys, rules.min_count, take)
+        a, b = (found >> found.dtype.type(bits)).astype(np.int64), (found & found.dtype.type((1 << bits) - 1)).astype(np.int64)
         size = np.concatenate((np.ones(first_rule, np.int64), lengths))
         fits = size[a] + size[b] <= rules.max_expansion
         # a slot of the lookup table holds one pair; of two that meet the more frequent one is taken now
-        slots = slot_of(a.astype(np.uint32), b.astype(np.uint32), rules.table_bits)
-        _, first = np.unique(np.where(fits, slots, -1), return_index=True)
-        take_at = np.sort(first[fits[first]])
-        if not len(take_at):
+        _, first = np.unique(np.where(fits, slots_of(found, rules.table_bits).astype(np.int64), -1), return_index=True)
+        taken = np.sort(first[fits[first]])
+        if not len(taken):
             break
-        a, b, slots = a[take_at], b[take_at], slots[take_at]
-        table = np.full(1 << rules.table_bits, -1, np.int32)
-        table[slots] = np.arange(len(a))
-        hit = table[slot_of(s[:-1], s[1:], rules.table_bits)]
-        pos = np.flatnonzero(hit >= 0)
-        rank = hit[pos]
-        true = (s[pos] == a[rank]) & (s[pos + 1] == b[rank])
-        pos, rank = pos[true], rank[true]
+        a, b, found = a[taken], b[taken], found[taken]
+        table, own = np.full(1 << rules.table_bits, -1, np.int32), np.zeros(1 << rules.table_bits, found.dtype)
+        slots = slots_of(found, rules.table_bits)
+        table[slots], own[slots] = np.arange(len(found)), found
+        slots = slots_of(keys, rules.table_bits).astype(np.intp)
+        pos = np.flatnonzero(own.take(slots, mode="wrap") == keys)
+        rank = table[slots[pos]]
+        if (rank < 0).any():  # the pair written 0 meets empty slots
+            pos, rank = pos[rank >= 0], rank[rank >= 0]
         sel = chosen(pos, rank)
         pos, rank = pos[sel], rank[sel]
         s[pos] = first_rule + len(pairs) + rank
         keep = np.ones(len(s), bool)
         keep[pos + 1] = False
-        s = s[keep]
+        s = s.take(np.flatnonzero(keep))
         pairs = np.concatenate((pairs, np.stack((a, b), 1).astype(np.uint32)))
         lengths = np.concatenate((lengths, size[a] + size[b]))
     return s, pairs, lengths
 
 
-def slot_of(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    return ((a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)).astype(np.int64)
-
-
 class Expander:
     """Decodes symbols of one block."""
 
     def __init__(self, first_rule: int, pairs: np.ndarray, lengths: np.ndarray):
-        self.first_rule, self.lengths = first_rule, lengths.astype(np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.zeros(int(self.lengths.sum()), np.uint32)
-        for r, (a, b) in enumerate(pairs.tolist()):
-            at = self.starts[r]
-            mid = at + self.size(a)
-            self.flat[at:mid] = self.one(a)
-            self.flat[mid:at + self.lengths[r]] = self.one(b)
-
-    def size(self, symbol: int) -> int:
-        return 1 if symbol < self.first_rule else int(self.lengths[symbol - self.first_rule])
-
-    def one(self, symbol: int):
-        r = symbol - self.first_rule
-        return symbol if r < 0 else self.flat[self.starts[r]:self.starts[r] + self.lengths[r]]
-
-    def sizes(self, s: np.ndarray) -> np.ndarray:
-        out = np.ones(len(s), np.int64)
-        rule = s >= self.first_rule
-        out[rule] = self.lengths[s[rule].astype(np.int64) - self.first_rule]
-        return out
+        self.lengths = lengths.astype(np.int64)
+        flat = pairs.astype(np.uint32).reshape(-1)
+        while len(rule := np.flatnonzero(flat >= first_rule)):  # all rules at once, a level of nesting at a time
+            n = np.ones(len(flat), np.int64)
+            n[rule] = 2
+            at = (np.cumsum(n) - n)[rule]
+            inner = pairs[flat[rule].astype(np.int64) - first_rule]
+            flat = np.repeat(flat, n)
+            flat[at], flat[at + 1] = inner[:, 0], inner[:, 1]
+        # of every symbol, where its ids begin and how many they are: first the ids themselves, then the rules' expansions
+        self.flat = np.concatenate((np.arange(first_rule, dtype=np.uint32), flat))
+        self.starts = np.concatenate((np.arange(first_rule), first_rule + np.cumsum(self.lengths) - self.lengths)).astype(np.int32)
+        self.widths = np.concatenate((np.ones(first_rule, np.int32), self.lengths.astype(np.int32)))
 
     def expand(self, s: np.ndarray) -> np.ndarray:
-        n = self.sizes(s)
-        ends = np.cumsum(n)
-        out = np.repeat(s.astype(np.uint32), n)
-        rule = np.flatnonzero(s >= self.first_rule)
-        if len(rule):
-            size = n[rule]
-            inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            out[np.repeat(ends[rule] - size, size) + inner] = self.flat[np.repeat(self.starts[s[rule].astype(np.int64) - self.first_rule], size) + inner]
-        return out
+        return runs_of(self.flat, self.starts[s], self.widths[s])
 
     def span(self, s: np.ndarray, start: int, count: int) -> np.ndarray:
         """``count`` ids from ``start`` on, expanding only the symbols that hold them."""
-        ends = np.cumsum(self.sizes(s))
+        ends = np.cumsum(self.widths[s], dtype=np.int64)
         lo, hi = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + count, "left")
         skip = start - (int(ends[lo - 1]) if lo else 0)
         return self.expand(s[lo:hi + 1])[skip:skip + count]
@@ -199,24 +188,13 @@ class LibraryCoder:
             counts[group] = np.diff(upto, prepend=0)
             flat.append(ids)
         ids = np.concatenate(flat)
-        out, place = np.empty(len(ids), np.uint32), np.empty(len(parts), np.int64)
+        place = np.empty(len(parts), np.int64)
         place[order] = np.cumsum(counts[order]) - counts[order]
-        fill(out, np.cumsum(counts) - counts, counts, ids, place)
-        return out, counts
+        return runs_of(ids, place, counts), counts
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has. Bytes that aren't UTF-8 are replaced."""
-        return self.table.encode_texts([t if valid(t) else t.decode("utf-8", "replace").encode() for t in texts])
-
-
-def valid(raw: bytes) -> bool:
-    if raw.isascii():
-        return True
-    try:
-        raw.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
+        return self.table.encode_texts(whole_utf8(texts))
 
 
 @lru_cache(2)
