@@ -22,14 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import broadcast_value, map_chunks, text_bytes
-from .segments import SegmentCache, joinable, segments
+from .part_table import PartTable, whole_utf8
 
 #: First of the 256 consecutive characters (CJK ideographs) that stand for the bytes 0 to 255.
 BYTE_BASE = 0x4E00
 #: A byte that UTF-8 never uses.
 SEPARATOR = b"\xff"
-#: Pre-tokens kept encoded per Python worker.
-CACHE_PARTS = 500_000
 #: A character that is neither letter, number nor space in any Unicode version.
 NEUTRAL = 0xE000
 
@@ -86,7 +84,7 @@ def unlike_letters() -> str:
 class ByteBpe:
     """Encoder and decoder for one rank file and pre-token pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, unlike: str = "", cache: int = CACHE_PARTS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, unlike: str = "", **table):
         import sentencepiece
 
         self.pattern = regex.compile(pattern)
@@ -99,7 +97,7 @@ class ByteBpe:
         self.dense = self.order == list(range(len(ranks)))
         self.rank_of = {mapped(t): r for t, r in ranks.items()}
         self.names = {r: str(r) for r in self.order}
-        self.cache = SegmentCache(self.encode_parts, cache)
+        self.table = PartTable(self.encode_parts, **table)
 
     def pre_tokens(self, text: str) -> list[str]:
         if text.isascii() or not self.unlike or np.frombuffer(text.encode("utf-32-le"), "<u4").max() < self.first_unlike:
@@ -114,7 +112,7 @@ class ByteBpe:
 
         Parts that begin with a blank and a non-blank are cut together: a cut always falls there."""
         flat, counts = [], []
-        for blank, group in groupby(parts, joinable):
+        for blank, group in groupby(parts, lambda p: len(p) > 1 and p[0] == " " and not p[1].isspace()):
             if blank:
                 group = list(group)
                 found = self.pre_tokens("".join(group))
@@ -129,31 +127,27 @@ class ByteBpe:
                     counts.append(len(found))
         return flat, counts
 
-    def encode_parts(self, parts: list[str]) -> list[list[int]]:
-        """Each pre-token on its own: a token of the vocabulary as it is, else merged by the model."""
-        flat, counts = self.pieces(parts)
-        if not flat:
-            return [[] for _ in parts]
+    def encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in a row, and how many each has. Each pre-token on its own: a token of
+        the vocabulary as it is, else merged by the model."""
+        flat, counts = self.pieces([p.decode() for p in parts])
         wide = np.frombuffer(SEPARATOR.join([x.encode() for x in flat]), np.uint8).astype("<u2") + np.uint16(BYTE_BASE)
         written = wide.tobytes().decode("utf-16-le").split(chr(BYTE_BASE + SEPARATOR[0]))
         known = list(map(self.rank_of.get, written))
         merged = iter(self.model.encode([x for x, r in zip(written, known) if r is None], num_threads=1))
         each = [[r] if r is not None else self.ranked(next(merged)) for r in known]
-        out, at = [], 0
-        for n in counts:
-            out.append(each[at] if n == 1 else list(chain.from_iterable(each[at:at + n])))
-            at += n
-        return out
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        ids = np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))
+        upto = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+        return ids, np.diff(upto)
 
     def ranked(self, ids: list[int]) -> list[int]:
         return ids if self.dense else [self.order[i] for i in ids]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of every text; equal parts are encoded once and kept."""
-        cut = [p if (p := segments(t)) is not None else self.pre_tokens(t) for t in texts]
-        self.cache.fill(chain.from_iterable(cut))
-        get = self.cache.__getitem__
-        return [list(chain.from_iterable(map(get, parts))) for parts in cut]
+    def encode(self, texts: list[bytes]) -> list[list[int]]:
+        """Ids of every text; equal parts are encoded once and kept. Bytes that aren't UTF-8 are replaced."""
+        ids, counts = self.table.encode_texts(whole_utf8(texts))
+        return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -174,7 +168,7 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool
 
     def code(batch):
         coder = _coder(rank_path, pattern, unlike.value)
-        kept = coder.encode([raw.decode("utf-8", "replace") for raw in batch.column("text").to_pylist()])
+        kept = coder.encode(batch.column("text").to_pylist())
         n = [len(ids) for ids in kept]
         ids_hash = [hashlib.sha256(",".join(map(coder.names.__getitem__, ids)).encode()).hexdigest() for ids in kept]
         text_hash = [hashlib.sha256(coder.decode(ids)).hexdigest() for ids in kept]
