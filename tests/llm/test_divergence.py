@@ -1,5 +1,8 @@
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from vacanta.llm.divergence import DivergenceRules, judge, references, repeated_words
 
 SPACE = "\x20\x09-\x0D"
@@ -52,3 +55,27 @@ def test_no_reference(none, edge):
 def test_references_do_not_depend_on_partitions(sample):
     assert references(sample.repartition(7)) == references(sample.coalesce(1))
     assert set(references(sample, DivergenceRules(common_words=3))["en"][1]) >= {b"the"}
+
+
+def made_texts(lang, n, size, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"{lang}{k}" for k in range(400)]
+    return [" ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(400)], k=size)) for _ in range(n)]
+
+
+def test_small_languages_are_not_held_against_others(spark):
+    rows = [("en", t) for t in made_texts("the", 600, 400, 1)] + [("xy", t) for t in made_texts("qu", 15, 60, 2)]
+    docs = spark.createDataFrame([(k, t, g) for k, (g, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+    refs = references(docs)
+    assert set(refs) == {"en"} and set(references(docs, DivergenceRules(reference_words=500))) == {"en", "xy"}
+    kept = judge(docs, refs).filter("kept").count()
+    assert kept == 615
+    # a stated language with a reference is still held against it
+    assert judge(docs.withColumn("lang", F.lit("en")).filter("doc_id >= 600"), refs).filter("kept").count() == 0
+
+
+def test_copies_count_once(spark):
+    rows = [(k, t, "en") for k, t in enumerate(made_texts("the", 100, 400, 1))]
+    hot = made_texts("hot", 1, 25, 3)[0]
+    once, often = (spark.createDataFrame(rows + [(1000 + k, hot, "en") for k in range(n)], "doc_id long, text string, lang string").repartition(5) for n in (1, 3000))
+    assert references(once) == references(often)

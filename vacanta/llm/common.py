@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from ..session import scratch_path, ship_code
 
 #: Bytes of text that one task works on at a time.
 CHUNK_BYTES = 4 << 20
+#: Bits of a bitmap of keys, as a power of two.
+BITMAP = 27
 
 
 def whole_row() -> Column:
@@ -82,3 +85,17 @@ def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict],
 def broadcast_value(df: DataFrame, value):
     """A Spark broadcast variable for data whose size the caller has bounded."""
     return df.sparkSession.sparkContext.broadcast(value)
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """A bit for the leading bits of each key of the column ``key``."""
+    rows = keys.groupBy(F.shiftrightunsigned("key", 64 - BITMAP + 6).alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITMAP}) & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP - 6), np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys (unsigned) may be among the bitmap's."""
+    slot = keys >> np.uint64(64 - BITMAP)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0

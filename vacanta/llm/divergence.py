@@ -1,7 +1,9 @@
 """Quality rules by distribution divergence.
 
-References: for every language with a fair share of the corpus, the histogram of
-character classes and of its most common words, counted over all documents. A document
+References: for every language with enough words of its own, however small its share of
+the corpus, the histogram of character classes and of its most common words, counted over
+its distinct texts (copies count once). A document whose language has no reference is left
+to the base rule. Any other document, also one without a language,
 is held against every reference by the Jensen-Shannon distance (square root of the
 divergence in bits) and takes the nearest one; too far in either histogram rejects it.
 Short texts, whose histograms say little, are guarded by minimum lengths.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_value, chunks, map_chunks, stored, text_bytes
+from .common import bitmap, broadcast_value, chunks, map_chunks, may_hold, stored, text_bytes
 
 WINDOW = 8
 #: Character classes: space, line end, lower-case, upper-case, letters without case, digits,
@@ -38,7 +40,7 @@ CLASSES = 11
 @dataclass(frozen=True)
 class DivergenceRules:
     common_words: int = 40  #: most common words of each reference
-    min_share: float = 0.005  #: of the corpus' words that a language with a reference holds
+    reference_words: int = 10_000  #: in distinct texts, that a language with a reference has at least
     char_distance: float = 0.31  #: largest distance of character classes
     word_distance: float = 0.14  #: largest distance of common words, in a text without end
     word_allowance: float = 2.3  #: for chance, over the root of the number of words
@@ -94,10 +96,40 @@ def repeated_words(words: list[list[bytes]], width: int = WINDOW) -> np.ndarray:
     return np.bincount(doc[covered], minlength=len(words))
 
 
+def distinct_texts(docs: DataFrame, remembered: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """(lang, text, digest) of the texts with a language: those that surely have no copy, where they
+    lie, and all others with copies in one partition (most copies are dropped before the shuffle)."""
+    digest = F.xxhash64("lang", F.coalesce("text", F.lit("")))
+    docs = docs.filter("lang is not null")
+    copies = docs.select(digest.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = broadcast_value(docs, bitmap(copies))
+
+    def some(copied: bool):
+        def run(batches):
+            seen = set()
+            for batch in batches:
+                keys = batch.column("digest").to_numpy()
+                chosen = may_hold(shared.value, keys.view(np.uint64)) == copied
+                for k in np.flatnonzero(chosen).tolist() if copied else ():
+                    chosen[k] = keys[k] not in seen
+                    seen.add(keys[k])
+                if len(seen) > remembered:
+                    seen.clear()
+                yield batch.filter(pa.array(chosen))
+        return run
+
+    texts = text_bytes(docs, "lang", digest.alias("digest")).select("lang", "text", "digest")
+    schema = "lang string, text binary, digest long"
+    return texts.mapInArrow(some(False), schema), texts.mapInArrow(some(True), schema).repartition("digest")
+
+
 def partial_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
-    """(lang, kind, key, n): character classes (kind c) and lower-cased words (kind w), summed
-    within tasks up to ``flush`` keys before they are shuffled."""
-    def run(batches):
+    """(lang, kind, key, n): character classes (kind c) and lower-cased words (kind w) of distinct texts,
+    summed within tasks up to ``flush`` keys before they are shuffled."""
+    single, copied = distinct_texts(docs)
+
+    def run(batches, copied=False):
+        seen = set()
         table, words, chars = class_table(), defaultdict(Counter), defaultdict(lambda: np.zeros(CLASSES, np.int64))
 
         def emit():
@@ -109,27 +141,29 @@ def partial_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
 
         for batch in batches:
             for part in chunks(batch):
-                for lang, raw in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    if lang is not None:
+                for lang, raw, digest in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "digest"))):
+                    if not copied or digest not in seen:
+                        if copied:
+                            seen.add(digest)
                         words[lang].update(raw.lower().split())
                         chars[lang] += np.bincount(table[code_points(raw)], minlength=CLASSES)
                 if sum(map(len, words.values())) > flush:
                     yield from emit()
         yield from emit()
 
-    return text_bytes(docs, "lang").mapInArrow(run, "lang string, kind string, key binary, n long")
+    schema = "lang string, kind string, key binary, n long"
+    return single.mapInArrow(run, schema).unionByName(copied.mapInArrow(lambda batches: run(batches, True), schema))
 
 
 def references(docs: DataFrame, rules: DivergenceRules = DivergenceRules()) -> dict[str, tuple[list[float], dict[bytes, float]]]:
     """language -> (share of each character class, share of each common word).
 
-    At most 1 / ``min_share`` languages and ``common_words`` words each reach the driver."""
+    ``common_words`` words of each language with a reference reach the driver."""
     counts = partial_counts(docs).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     rows = stored(counts, "language-counts")
     totals = rows.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
-    every = totals.agg(F.sum("total")).first()[0] or 0
-    totals = {r["lang"]: r["total"] for r in totals.filter(F.col("total") >= F.lit(max(1, rules.min_share * every))).collect()}
+    totals = {r["lang"]: r["total"] for r in totals.filter(F.col("total") >= F.lit(max(1, rules.reference_words))).collect()}
     kept = rows.filter(F.col("lang").isin(list(totals)))
     common = kept.filter("kind = 'w'").withColumn("r", F.row_number().over(top)).filter(F.col("r") <= rules.common_words).collect()
     classes = kept.filter("kind = 'c'").collect()
@@ -191,10 +225,11 @@ def judge(docs: DataFrame, refs: dict, rules: DivergenceRules = DivergenceRules(
             d_char = d_word = np.zeros(len(texts))
             names = [None] * len(texts)
         far = ((total >= rules.min_chars) & (d_char > rules.char_distance)) | ((n_words >= rules.min_words) & (d_word > rules.word_distance + rules.word_allowance / np.sqrt(np.maximum(n_words, 1))))
+        far &= ~np.fromiter((g is not None and g not in shared.value for g in part.column("lang").to_pylist()), bool, len(texts))
         return {"n_words": n_words, "word_chars": total - spaces, "n_symbols": chars[:, 8], "n_dup_lines": lines,
                 "n_repeat_words": repeat, "base_failed": failed, "kept": ~failed & ~far, "char_distance": d_char, "word_distance": d_word, "nearest": names}
 
-    df = text_bytes(docs, carry)
+    df = text_bytes(docs, carry, "lang")
     return map_chunks(df, schema, run, df.columns[0])
 
 
