@@ -68,3 +68,14 @@ def test_edges(spark, edge, none):
     assert contaminated(edge, items.filter("false")).count() == 0
     left = without_matches(edge, items)
     assert left.columns == edge.columns and left.count() == edge.count()
+
+
+def test_edited_copies_of_an_item_that_fills_the_corpus_are_found(spark):
+    rng = random.Random(3)
+    item = [f"leak{k}" for k in range(15)]
+    rows = [(k, " ".join(item)) for k in range(200)] + [(1000 + k, " ".join(f"w{rng.randrange(3000)}" for _ in range(60))) for k in range(200)]
+    for at in range(15):  # a change at each place, so also inside any single seed
+        rows.append((5000 + at, " ".join(item[:at] + ["edited"] + item[at + 1:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"] for r in contaminated(docs, spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()}
+    assert found == {d for d, _ in rows if d < 1000 or d >= 5000}

@@ -3,8 +3,9 @@
 Test items are taken in blocks of a bounded size, which are sent to all tasks; every
 document is held against each block in one pass without a shuffle, so a passage that a
 third of all documents share is no hot key. A seed is an n-gram whose words, by their
-frequencies in the whole corpus, would rarely meet by chance; an item without such an
-n-gram gets its rarest one. (The frequency of the n-gram itself isn't used: it would
+frequencies in the whole corpus, would rarely meet by chance; besides these, the rarest
+n-gram of every stretch of the item is one, so that an item of frequent words (as those
+that leaked most are) has seeds all over it. (The frequency of the n-gram itself isn't used: it would
 hide the items that leaked most.) Around each seed the item is aligned locally with the
 document's words: edited, cut or stretched copies keep most of the score.
 
@@ -34,6 +35,7 @@ MATCHES = "matches array<struct<item_id:bigint,score:int,similarity:double,start
 class AlignRules:
     words: int = 3  #: per seed
     chance: float = 1e-7  #: per place, that the words of a seed meet by chance
+    stretch: int = 6  #: n-grams in a row, of which one at least is a seed
     match: int = 2
     mismatch: int = -1
     gap: int = -1
@@ -96,7 +98,8 @@ class Seeds:
             grams = np.lib.stride_tricks.sliding_window_view(ws, self.n)
             odds = np.log(share[grams]).sum(1)
             rare = np.flatnonzero(odds <= math.log(rules.chance))
-            for g in rare if len(rare) else [int(odds.argmin())]:
+            spread = [at + int(odds[at:at + rules.stretch].argmin()) for at in range(0, len(odds), rules.stretch)]
+            for g in sorted({*rare.tolist(), *spread}):
                 where[self.key(grams[g])].append(k)
         self.keys = np.array(sorted(where), np.int64)
         self.of_key = [sorted(set(where[key])) for key in self.keys.tolist()]
