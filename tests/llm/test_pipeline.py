@@ -52,3 +52,14 @@ def test_edges(spark, edge, none, tmp_dir):
             assert out.columns == docs.columns, name
             out.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, tmp_dir).count() == docs.count()
+
+
+def test_near_duplicates_are_told_by_five_words(spark):
+    from vacanta.llm.stages import near_dedup
+
+    words = [f"w{k}" for k in range(200)]
+    edited = lambda n: " ".join(f"x{k}" if k % 30 == 20 and k < 30 * n else w for k, w in enumerate(words))
+    docs = spark.createDataFrame([(1, " ".join(words), "en", "s", 0), (2, edited(5), "en", "s", 0), (3, edited(2), "en", "s", 0)], DOCS)
+    # five edits: 0.816 of the shingles of four words, 0.774 of those of five; two edits: 0.90
+    assert {r["doc_id"] for r in near_dedup(spark, docs.filter("doc_id < 3"), "").collect()} == {1, 2}
+    assert {r["doc_id"] for r in near_dedup(spark, docs.filter("doc_id <> 2"), "").collect()} == {1}

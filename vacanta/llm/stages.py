@@ -17,11 +17,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its group stays; of rows equal in id and text one stays. Rows
+    """Near-duplicates by shingles of five words (``op6_superminhash`` has four by its contract). The
+    document that names its group stays; of rows equal in id and text one stays. Rows
     without an id can't be named: of equal texts among them one stays."""
-    from .superminhash import near_groups
+    from .superminhash import NearRules, near_groups
 
-    groups = near_groups(docs)
+    groups = near_groups(docs, NearRules(words=5))
     kept = groups.filter("kept and doc_id is not null").select("doc_id").distinct()
     out = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return out.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"])).select(docs.columns)
