@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
@@ -81,7 +82,30 @@ def op10_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash, op7_crf_secrets, op8_prefix_tree_chat, op9_suffix_tree_lm, op10_seed_align)}
+def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc_bundles import read_bundles, write_bundles
+
+    pages, folder = table(spark, sf_dir, "pages"), scratch_path(spark, "warc")
+    write_bundles(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    return read_bundles(spark, folder).select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import build, climb, doc_leaves
+
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1)
+    return climb(build(doc_leaves(table(spark, sf_dir, "documents"), tampered)))
+
+
+def op13_trie_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelled_words, variants
+
+    return variants(spelled_words(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_compression_quality, op4_repair_ids, op5_divergence_rules, op6_superminhash, op7_crf_secrets, op8_prefix_tree_chat, op9_suffix_tree_lm, op10_seed_align,
+                                  op11_warc_bundles, op12_merkle_climb, op13_trie_spelling)}
 
 #: DuckDB SQL by query; queries without SQL are held against brute force in tests/llm.
 SQL: dict[str, str] = {}
@@ -116,3 +140,58 @@ SELECT conv_id, count(*) AS n_turns,
     + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+SQL["op11_warc_bundles"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, strlen(html) AS n, CAST(unhex(sha1(html)) AS BIT)::VARCHAR AS bits,
+  row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS k, first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1)), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to
+FROM d
+"""
+
+#: CTE ``crc_table``: the remainders of the public CRC-32 (polynomial EDB88320, reflected); ``crc`` of the byte list in {bytes}.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS t FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)))"""
+CRC = "xor(4294967295, list_reduce({bytes}, lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), CAST(4294967295 AS BIGINT)))"
+
+SQL["op12_merkle_climb"] = """
+WITH RECURSIVE """ + CRC_TABLE + """,
+d AS (SELECT *, """ + CRC.format(bytes="list_transform(split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))") + """ % 7 = 0 AS hit FROM documents, crc_table),
+e AS (SELECT lang, doc_id, hit AND n_chars IS NOT NULL AS hit,
+  coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+  coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS b, coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS b1, coalesce(strlen(text) || ':' || text, '-') AS c FROM d),
+leaf AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree, doc_id, sha256(a || b || c) AS h, CASE WHEN hit THEN sha256(a || b1 || c) ELSE sha256(a || b || c) END AS t,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(a || b || c)) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM e),
+node AS (SELECT tree, 0 AS lvl, idx, h, n FROM leaf
+  UNION ALL SELECT tree, lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM node WHERE n > 1 GROUP BY tree, lvl, idx // 2, n),
+top AS MATERIALIZED (SELECT tree, h FROM node WHERE n = 1),
+over AS (SELECT 0 AS lvl, tree - 1 AS idx, h, (SELECT count(*) FROM top) AS n FROM top
+  UNION ALL SELECT lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM over WHERE n > 1 GROUP BY lvl, idx // 2, n),
+up AS (SELECT l.tree, l.doc_id, l.h AS leaf, 0 AS lvl, l.idx, l.n, l.t AS f, '' AS met, l.idx AS id0 FROM leaf l
+  UNION ALL SELECT u.tree, u.doc_id, u.leaf, u.lvl + 1, u.idx // 2, (u.n + 1) // 2, sha256(CASE WHEN s.h IS NULL THEN u.f WHEN u.idx % 2 = 1 THEN s.h || u.f ELSE u.f || s.h END), u.met || coalesce(s.h, ''), u.id0
+  FROM up u LEFT JOIN node s ON s.tree = u.tree AND s.lvl = u.lvl AND s.idx = xor(u.idx, 1) WHERE u.n > 1),
+up2 AS (SELECT u.tree, u.doc_id, u.leaf, 0 AS lvl, u.tree - 1 AS idx, (SELECT count(*) FROM top) AS n, u.f, u.met, u.id0 FROM up u WHERE u.n = 1
+  UNION ALL SELECT u.tree, u.doc_id, u.leaf, u.lvl + 1, u.idx // 2, (u.n + 1) // 2, sha256(CASE WHEN s.h IS NULL THEN u.f WHEN u.idx % 2 = 1 THEN s.h || u.f ELSE u.f || s.h END), u.met || coalesce(s.h, ''), u.id0
+  FROM up2 u LEFT JOIN over s ON s.lvl = u.lvl AND s.idx = xor(u.idx, 1) WHERE u.n > 1)
+SELECT u.doc_id, u.leaf, t.h AS subroot, r.h AS root, sha256(u.met) AS proof_sha256, u.f AS folded_root, u.f = r.h AS verified
+FROM up2 u JOIN top t USING (tree), (SELECT h FROM over WHERE n = 1) r WHERE u.n = 1
+"""
+
+SQL["op13_trie_spelling"] = """
+WITH RECURSIVE """ + CRC_TABLE + """,
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, n, """ + CRC.format(bytes="flatten(list_transform(split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [195, CAST(ord(x) AS BIGINT) - 64] END))") + """ AS h
+  FROM runs, crc_table WHERE length(run) >= 5),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS MATERIALIZED (SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS MATERIALIZED (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN w ON c.rest = w.word UNION SELECT w.word, c.word FROM cut c JOIN w ON c.rest = w.word),
+best AS (SELECT near.word, count(*) AS n_near, max(o.n) AS best_n, arg_min(o.word, (-o.n, o.word)) AS best FROM near JOIN w o ON o.word = near.other GROUP BY near.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON f.word = c.next)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n FROM f JOIN chain ON chain.word = f.word AND chain.next IS NULL
+"""
