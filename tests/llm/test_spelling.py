@@ -78,7 +78,7 @@ def test_ranges_share_nodes(spark):
     rnd = random.Random(5)
     words = sorted({"common" + "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 6))) for _ in range(90)})
     for cuts in ((), (1,), (10, 11, 12), (30, 60), tuple(range(1, len(words), 3))):
-        parts = [words[i:j] for i, j in zip((0, *cuts), (*cuts, len(words)))]
+        parts = [p for i, j in zip((0, *cuts), (*cuts, len(words))) if (p := words[i:j])]
         ends = S.Boundaries({3 * k: p[-1] for k, p in enumerate(parts)})
         at, prefixes = {}, {}
         for k, p in enumerate(parts):
