@@ -9,7 +9,8 @@ The landed batches are the state: the seen keys are the key column of all earlie
 batches (``batch_id=<id>`` folders). A batch is written by overwriting only its
 own folder, so replaying a batch id — a retried
 task, a re-run, or a ``foreachBatch`` replay after a failure — gives the same
-folders; there is no second object that could drift from the data.
+folders. A compact copy of the keys (:mod:`.seen_state`) can be read in their place; it names the
+batches that it covers, and the others are read from their folders.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import seen_state
 from .dedup import first_arrival
 
 
-def capture_new(candidates: DataFrame, seen: DataFrame | None, keys: Sequence[str],
+def capture_new(candidates: DataFrame, seen: DataFrame | Sequence[DataFrame] | None, keys: Sequence[str],
                 order_by: Sequence[Column | str], keep: Column | None = None) -> DataFrame:
     """New rows of one run: filters, then first arrival per key, then the anti-join
     against the seen keys. Rows with a null key part have no identity that a later run could
@@ -36,11 +38,16 @@ def capture_new(candidates: DataFrame, seen: DataFrame | None, keys: Sequence[st
     rows either way) and sends at most one row per key into the join shuffle, so a
     key holding a third of a run costs one row there. The state side is only the
     key columns; AQE turns the join into a broadcast when the state turns out small
-    and splits skewed partitions otherwise."""
-    firsts = _first_kept(candidates, keys, list(order_by), keep)
-    if seen is None:
-        return firsts
-    return firsts.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    and splits skewed partitions otherwise. ``seen`` may be several frames (the runs of a compact
+    state, whose buckets are joined without moving them)."""
+    return without_seen(_first_kept(candidates, keys, list(order_by), keep), seen, keys)
+
+
+def without_seen(rows: DataFrame, seen: DataFrame | Sequence[DataFrame] | None, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key is in none of the ``seen`` frames."""
+    for frame in [] if seen is None else [seen.select(*keys).distinct()] if isinstance(seen, DataFrame) else seen:
+        rows = rows.join(frame.select(*keys), list(keys), "left_anti")
+    return rows
 
 
 def null_key_rejects(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,26 +114,23 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def seen_keys(spark: SparkSession, root: str, keys: Sequence[str], exclude_batch: str | None = None,
-              state_path: str | None = None) -> DataFrame | None:
+              state_path: str | None = None) -> DataFrame | list[DataFrame] | None:
     """Key columns of all landed batches under ``root`` (optionally without one batch id).
 
-    With ``state_path`` (a copy written by :func:`compact_state`), the keys come from that
-    one-row-per-key table plus the batches that its table of covered ids doesn't name
-    (a list of the batches since the last compaction, which prunes partitions)."""
-    landed = _read(spark, root)
-    if landed is None:
-        return None
-    if exclude_batch is not None:
-        landed = landed.filter(F.col("batch_id") != F.lit(exclude_batch))  # partition pruning
-    state = _read(spark, f"{state_path}/keys") if state_path else None
+    With ``state_path`` (a state kept by :func:`compact_state`), several frames: its runs, and the
+    batches that it doesn't cover, read from their own folders."""
+    state = seen_state.open_state(spark, state_path) if state_path else None
     if state is None:
+        landed = _read(spark, root)
+        if landed is None:
+            return None
+        if exclude_batch is not None:
+            landed = landed.filter(F.col("batch_id") != F.lit(exclude_batch))  # partition pruning
         return landed.select(*keys)
-    covered = _read(spark, f"{state_path}/covered")
-    newer = [r["batch_id"] for r in landed.select("batch_id").distinct().join(covered, "batch_id", "left_anti").collect()]
-    if exclude_batch is not None:
-        # a replayed batch that is covered: keys it landed first may be captured again
-        state = state.filter(F.col("first_batch_id") != F.lit(exclude_batch))
-    return state.select(*keys).unionByName(landed.filter(F.col("batch_id").isin(newer)).select(*keys))
+    # of a replayed batch that is covered: keys it landed first may be captured again
+    frames = [f.select(*keys) for f in state.rows(exclude_batch)]
+    newer = seen_state.read_landed(spark, root, [i for i in seen_state.uncovered_ids(spark, root, state) if i != exclude_batch])
+    return frames if newer is None else [*frames, newer.select(*keys)]
 
 
 def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str = "seen_ids") -> DataFrame:
@@ -147,27 +151,12 @@ def read_seen_state(spark: SparkSession, path: str, source: str, keys_field: str
 
 
 def compact_state(spark: SparkSession, root: str, keys: Sequence[str], out_path: str,
-                  run_ts: Column | None = None) -> DataFrame | None:
-    """Optional compact copy of the state under ``out_path``: ``keys`` (one row per seen key
-    with the batch that first landed it) and ``covered`` (the ids of all batches that went
-    in). Rebuilt from the landed batches, which stay the source of truth; the covered
-    ids are written last, so a run that fails between leaves batches uncovered, never unseen."""
-    landed = _read(spark, root)
-    if landed is None:
-        return None
-    covered = stored_ids(spark, landed, out_path)
-    compact = (landed.join(covered, "batch_id", "left_semi").groupBy(*keys).agg(F.min("batch_id").alias("first_batch_id"))
-                     .withColumn("updated_at", run_ts if run_ts is not None else F.current_timestamp()))
-    compact.write.mode("overwrite").parquet(f"{out_path}/keys")
-    covered.write.mode("overwrite").parquet(f"{out_path}/covered")
-    return spark.read.parquet(f"{out_path}/keys")
-
-
-def stored_ids(spark: SparkSession, landed: DataFrame, out_path: str) -> DataFrame:
-    """The batch ids found now, written once, so that keys and covered ids speak of the same batches."""
-    path = f"{out_path}/ids"
-    landed.select("batch_id").distinct().write.mode("overwrite").parquet(path)
-    return spark.read.schema("batch_id string").parquet(path)
+                  run_ts: Column | None = None, buckets: int | None = None, fanout: int = seen_state.FANOUT) -> DataFrame | None:
+    """Takes the batches landed since the last compaction into the compact state at ``out_path``
+    (:mod:`.seen_state`); returns its keys, one row each with the batch that first landed it. The landed
+    batches stay the source of truth, and a compaction killed anywhere leaves the state as it was."""
+    state = seen_state.compact(spark, root, keys, out_path, run_ts, buckets, fanout)
+    return state.table() if state else None
 
 
 def land_batch(new_rows: DataFrame, root: str, batch_id: str) -> None:

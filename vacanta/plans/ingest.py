@@ -37,8 +37,7 @@ def capture_run(spark: SparkSession, candidates: DataFrame, bronze_root: str, st
     seen = capture.seen_keys(spark, state_root, KEYS, exclude_batch=run_id, state_path=state_path)
     fresh = candidates.filter(F.col("source").isNotNull() & F.col("source_job_id").isNotNull())
     fresh = fresh.filter((F.col("source") != F.lit(B.API_SOURCE)) | C.recent(C.parse_wall_clock(F.col("created")), as_of))
-    if seen is not None:
-        fresh = fresh.join(seen.distinct(), KEYS, "left_anti")
+    fresh = capture.without_seen(fresh, seen, KEYS)
     tagged = scratch_table(B.tag_postings(fresh), "tagged")
     keep = relevant(F.col("source"), F.col("matched_domains"), F.col("analytics_metadata.is_internship"))
     kept = scratch_table(capture.capture_new(tagged, None, KEYS, position, keep), "captured")

@@ -241,6 +241,8 @@ def with_enriched(body: str) -> str:
 ORDERS_AS_OF = "1998-08-01 00:00:00"
 EVENTS_AS_OF = "2024-03-10"
 EVENTS_CUTOFF = "2024-01-20 00:00:00"
+#: Deliveries of ``capture_versioned_state``: before the first, up to the second, from it on.
+EVENTS_CUTS = ("2024-01-15 00:00:00", "2024-01-22 00:00:00")
 
 
 # ---------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import vocab as V
-from .oracle import (AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
+from .oracle import (AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_CUTS, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
                      company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, strip_sql,
                      recent, with_enriched, with_postings, with_silver)
 
@@ -259,6 +259,11 @@ SQL["stream_capture"] = f"""WITH {_EVENTS},
 firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM kept)
 SELECT capture_key, event_id, user_id, event_type, ts FROM firsts WHERE rn = 1"""
 
+SQL["capture_versioned_state"] = f"""WITH {_EVENTS},
+dealt AS (SELECT *, CASE WHEN ts >= TIMESTAMP '{EVENTS_CUTS[1]}' THEN '3' WHEN ts >= TIMESTAMP '{EVENTS_CUTS[0]}' THEN '2' ELSE '1' END AS batch_id FROM kept),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY capture_key ORDER BY batch_id, ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM dealt)
+SELECT capture_key, event_id, ts, batch_id, batch_id AS first_batch_id FROM firsts WHERE rn = 1"""
+
 SQL["stream_capture_state"] = f"""WITH {_EVENTS}
 SELECT DISTINCT capture_key FROM kept"""
 

@@ -21,7 +21,7 @@ from . import bronze as B
 from . import daily, ingest
 from . import postings as P
 from . import silver as S
-from .oracle import AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS
+from .oracle import AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_CUTS, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS
 
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,6 +432,31 @@ def stream_capture(spark, sf_dir):
     return spark.read.parquet(landed).select("capture_key", "event_id", "user_id", "event_type", "ts")
 
 
+def capture_versioned_state(spark, sf_dir):
+    """Three deliveries of events (by the middles of the spans before and after the cut-off), each captured
+    against the versioned state. The compaction after the second one dies when its files are written and not yet
+    published; the third capture finds the second batch's keys all the same, and the next compaction takes both.
+    Every captured row with its batch, and the batch that the state holds for its key."""
+    from ..operators import seen_state
+    from ..sources import versions
+
+    landed, state = scratch_path(spark, "versioned-landed"), scratch_path(spark, "versioned-state")
+    events, at = _event_keys(spark, sf_dir), F.col("ts")
+    cuts = [F.lit(c).cast("timestamp") for c in EVENTS_CUTS]
+    deliveries = [F.coalesce(at < cuts[0], F.lit(True)), (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]]
+    for k, part in enumerate(deliveries, 1):
+        capture.capture_batch(spark, events.filter(part), landed, str(k), ["capture_key"], [F.col("ts"), F.col("event_id")], keep=_event_keep(), state_path=state)
+        if k == 2:  # a compaction up to the publish
+            base = seen_state.open_state(spark, state)
+            rows = seen_state.read_landed(spark, landed, ["2"]).groupBy("capture_key").agg(F.min("batch_id").alias("first_batch_id")).withColumn("updated_at", F.current_timestamp())
+            seen_state.write_run(rows, spark.createDataFrame([("2",)], "batch_id string"), versions.stage_folder(state, base.manifest), ["capture_key"], base.manifest.content["buckets"])
+        else:
+            capture.compact_state(spark, landed, ["capture_key"], state)
+    kept = seen_state.open_state(spark, state).table().select("capture_key", "first_batch_id")
+    rows = seen_state.read_landed(spark, landed, ["1", "2", "3"])
+    return rows.join(kept, "capture_key", "full").select("capture_key", "event_id", "ts", "batch_id", "first_batch_id")
+
+
 def stream_capture_state(spark, sf_dir):
     """The same stream captured with the streaming state store (dropDuplicates on the
     key) into an exactly-once parquet sink."""
@@ -601,6 +626,7 @@ QUERIES = {
     "bronze_envelopes": bronze_envelopes,
     "page_cards": page_cards,
     "stream_capture": stream_capture,
+    "capture_versioned_state": capture_versioned_state,
     "stream_capture_state": stream_capture_state,
     "daily_layers": daily_layers,
     "dim_company_orders": dim_company_orders,
