@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from . import key_registry
 from .keys import dense_key
 
 
@@ -64,6 +65,25 @@ def fact_internships(silver: DataFrame, companies: DataFrame, locations: DataFra
         "work_mode", "primary_domain", "year", "month")
 
 
+DIMENSIONS = ("dim_company", "dim_location", "dim_taxonomy")
+
+
+def registered_dimensions(silver: DataFrame, root: str, home_country: str = V.MOROCCO, default_role: str = V.DEFAULT_ROLE) -> dict[str, DataFrame]:
+    """The three dimensions with the keys that the registries under ``root`` hold, extended by the
+    members seen for the first time. Members that silver no longer has stay, with no postings."""
+    counts = silver.groupBy("company_name").agg(F.count("job_fingerprint").alias("total_jobs_posted"))
+    companies = key_registry.extend(counts, f"{root}/company", ["company_name"], "company_id")
+    named = counts.withColumnRenamed("company_name", "_name")
+    companies = companies.join(named, F.col("company_name").eqNullSafe(F.col("_name")), "left").select(
+        "company_id", "company_name", F.coalesce("total_jobs_posted", F.lit(0)).alias("total_jobs_posted"))
+    places = key_registry.extend(silver, f"{root}/location", ["location_country", "location_city"], "location_id")
+    places = places.select("location_id", "location_country", "location_city", F.coalesce(F.col("location_country") == F.lit(home_country), F.lit(False)).alias("is_morocco"))
+    pairs = silver.select(F.col("primary_domain").alias("domain"), F.explode_outer("matched_roles").alias("role_keyword"))
+    pairs = pairs.withColumn("role_keyword", F.coalesce("role_keyword", F.lit(default_role)))
+    roles = key_registry.extend(pairs, f"{root}/taxonomy", ["domain", "role_keyword"], "taxonomy_id").select("taxonomy_id", "domain", "role_keyword")
+    return {"dim_company": companies, "dim_location": places, "dim_taxonomy": roles}
+
+
 GOLD = ("dim_company", "dim_location", "dim_taxonomy", "fact_job_postings", "fact_internships_pfe")
 
 

@@ -47,11 +47,15 @@ def quality_gate(spark: SparkSession, silver_path: str, as_of_date) -> DataFrame
     return quality.gate(quality.run_checks(spark.read.parquet(silver_path), as_of_date))
 
 
-def gold_layer(spark: SparkSession, silver_path: str, gold_path: str) -> DataFrame:
+def gold_layer(spark: SparkSession, silver: str | DataFrame, gold_path: str, keys_root: str | None = None) -> DataFrame:
     """Build and write the star schema; returns the layer summary of the written tables.
-    The facts are joined to the dimensions as written, so those are computed once."""
-    silver, base = spark.read.parquet(silver_path), gold_path.rstrip("/")
-    for name, dim in star.build_gold(silver, ("dim_company", "dim_location", "dim_taxonomy")).items():
+    The facts are joined to the dimensions as written, so those are computed once.
+
+    With ``keys_root`` the dimensions' keys come from registries kept there (``operators.key_registry``):
+    a member keeps its key from run to run. Otherwise each run numbers its members anew."""
+    silver, base = spark.read.parquet(silver) if isinstance(silver, str) else silver, gold_path.rstrip("/")
+    dims = star.build_gold(silver, star.DIMENSIONS) if keys_root is None else star.registered_dimensions(silver, keys_root)
+    for name, dim in dims.items():
         write_layer(dim, f"{base}/{name}")
     dims = [spark.read.parquet(f"{base}/{name}") for name in ("dim_company", "dim_location")]
     for name, make in (("fact_job_postings", star.fact_job_postings), ("fact_internships_pfe", star.fact_internships)):
@@ -87,10 +91,16 @@ def run_daily(spark: SparkSession, bronze_root: str, silver_path: str, gold_path
 def main(argv: list[str] | None = None) -> int:
     """``spark-submit daily_job.py --bronze B --silver S --gold G [--run-ts T] [--as-of D]``.
 
+    ``--candidates`` (raw postings as Parquet, columns of ``plans.ingest``) captures the day's new postings into
+    bronze first, against the seen keys under ``--state``. ``--incremental`` keeps silver as audited versions, of which a
+    run writes what its new bronze runs touch, and gold's keys in registries (``plans.incremental``).
+
     Uses the session the cluster provides (its ``spark.checkpoint.dir`` included).
     Exit code 1 when the quality gate blocks, as a scheduler expects."""
     import argparse
 
+    from . import incremental, ingest
+
     p = argparse.ArgumentParser(prog="vacanta.plans.daily")
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
@@ -100,11 +110,25 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--multi-line", action="store_true", help="bronze files hold one pretty-printed envelope")
     p.add_argument("--original-layout", action="store_true", help="source folders named as by the original capture jobs")
     p.add_argument("--require", action="append", default=[], help="source that must have a bronze folder (repeatable)")
+    p.add_argument("--incremental", action="store_true", help="--silver holds versions; only what new bronze runs touch is written")
+    p.add_argument("--keys", default=None, help="folder of the key registries (with --incremental; default: beside silver)")
+    p.add_argument("--candidates", default=None, help="raw postings to capture before the layers")
+    p.add_argument("--state", default=None, help="landed keys of earlier captures, and their compact copy (with --candidates)")
+    p.add_argument("--run-id", default=None, help="id of the capture; a run repeated under its id replaces what it landed")
     a = p.parse_args(argv)
+    if a.candidates and not (a.state and a.run_id and a.run_ts):
+        p.error("--candidates needs --state, --run-id and --run-ts")
+    if a.incremental and (a.original_layout or a.require):
+        p.error("--incremental reads run folders of this library's layout and takes what there is")
     spark = prepared(SparkSession.builder.appName("vacanta-daily").getOrCreate())
     try:
-        out = run_daily(spark, a.bronze, a.silver, a.gold, a.run_ts, a.as_of, a.multi_line, a.original_layout, required=a.require)
-        for report in out.values():
+        if a.candidates:
+            ingest.capture_day(spark, spark.read.parquet(a.candidates), a.bronze, a.state, a.run_id, a.run_ts)
+        if a.incremental:
+            out = incremental.run_incremental(spark, a.bronze, a.silver, a.gold, a.keys or a.silver.rstrip("/") + "_keys", a.run_ts, a.as_of, a.multi_line)
+        else:
+            out = run_daily(spark, a.bronze, a.silver, a.gold, a.run_ts, a.as_of, a.multi_line, a.original_layout, required=a.require)
+        for report in filter(None, out.values()):
             report.show(truncate=False)
     except quality.QualityGateError as e:
         print(f"quality gate blocked the gold layer: {e}")

@@ -46,6 +46,17 @@ def capture_run(spark: SparkSession, candidates: DataFrame, bronze_root: str, st
     return kept
 
 
+def capture_day(spark: SparkSession, candidates: DataFrame, bronze_root: str, state_root: str, run_id: str, run_ts) -> DataFrame:
+    """One scheduled capture: against the compact state, which then takes this run in. Of equal keys the
+    posting that is first by its own columns is kept, whatever the order of the files."""
+    compact = f"{state_root.rstrip('/')}/compact"
+    landed = f"{state_root.rstrip('/')}/landed"
+    order = [F.col(c).asc_nulls_last() for c in ("created", "raw_title", "raw_description", "company")]
+    kept = capture_run(spark, candidates, bronze_root, landed, run_id, C.as_timestamp(run_ts), run_ts, order, state_path=compact)
+    capture.compact_state(spark, landed, KEYS, compact, C.as_timestamp(run_ts))
+    return kept
+
+
 def rejected(candidates: DataFrame) -> DataFrame:
     """Candidates without a source or an id: they can't be recognised again and aren't captured."""
     return capture.null_key_rejects(candidates, KEYS)

@@ -358,3 +358,29 @@ SQL["cards_source_c"] = f"""
 SELECT page_id, CAST(0 AS INTEGER) AS card_pos, job_url, title, substr(card_text, 1, 500) AS summary, CAST(length(card_text) AS INTEGER) AS card_chars,
   sha256(card_text) AS card_sha256, {company_sql("concat_ws(' ', title, card_text)")} AS company, {city_sql("concat_ws(' ', title, card_text)")} AS location_city
 FROM ({_CARD_C}) WHERE length(title) >= 5"""
+
+SQL["incremental_silver"] = SQL["bronze_silver"]
+SQL["incremental_audit"] = SQL["daily_layers"]
+
+_HALF_COMPLETE = _CANON.replace("SELECT doc_id, source, source_job_id, raw_title,", "SELECT doc_id, source, CASE WHEN doc_id % 2 = 0 THEN coalesce(source_job_id, 'made-' || doc_id) ELSE source_job_id END AS source_job_id, raw_title,")
+SQL["publish_after_audit"] = with_silver("""
+, n AS (SELECT count(DISTINCT job_fingerprint) AS everything, count(DISTINCT job_fingerprint) FILTER (WHERE doc_id % 2 = 0) AS first FROM enriched),
+b AS (SELECT count(*) FILTER (WHERE source_job_id IS NULL) AS nulls FROM silver)
+SELECT 1 AS step, true AS published, 1 AS version, first AS rows_visible, 0 AS null_keys FROM n
+UNION ALL SELECT 2, false, 1, first, nulls FROM n, b UNION ALL SELECT 3, true, 2, everything, 0 FROM n""", extra=_HALF_COMPLETE, src="canon")
+
+
+def _registered(dimension: str, member: str, source: str, order: str, postings: str = "CAST(NULL AS BIGINT)") -> str:
+    """Two days of a dimension over ``source`` (member columns and ``early``): first the early members in order, then the others."""
+    return f"""SELECT d AS day, '{dimension}' AS dimension, CAST(id AS BIGINT) AS id, {member} AS member, {postings} AS postings FROM (
+  SELECT *, row_number() OVER (ORDER BY early DESC, {order}) AS id FROM ({source})) m, (VALUES (1), (2)) days(d) WHERE early OR d = 2"""
+
+
+SQL["registered_keys"] = with_enriched("\nUNION ALL\n".join([
+    _registered("dim_company", "company_name", "SELECT company_name, bool_or(doc_id % 2 = 0) AS early, count(*) AS n, count(*) FILTER (WHERE doc_id % 2 = 0) AS n1 FROM enriched GROUP BY company_name",
+                "company_name NULLS FIRST", "CAST(CASE WHEN d = 1 THEN n1 ELSE n END AS BIGINT)"),
+    _registered("dim_location", "concat_ws('|', location_country, location_city)", "SELECT location_country, location_city, bool_or(doc_id % 2 = 0) AS early FROM enriched GROUP BY ALL",
+                "location_country NULLS FIRST, location_city NULLS FIRST"),
+    _registered("dim_taxonomy", "concat_ws('|', domain, role_keyword)", """SELECT domain, coalesce(role_keyword, 'Generaliste') AS role_keyword, bool_or(doc_id % 2 = 0) AS early
+      FROM (SELECT doc_id, primary_domain AS domain, unnest(CASE WHEN len(matched_roles) = 0 OR matched_roles IS NULL THEN [NULL] ELSE matched_roles END) AS role_keyword FROM enriched) GROUP BY ALL""",
+                "domain NULLS FIRST, role_keyword NULLS FIRST")]))

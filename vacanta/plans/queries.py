@@ -511,6 +511,99 @@ def daily_capture(spark, sf_dir):
     return s.select(*cols, _joined("matched_domains").alias("matched_domains"), _joined("matched_roles").alias("matched_roles"))
 
 
+# --- X4, D-1, X6, Q6: silver by increments, audited before it is public ---------------------
+
+def _deliveries(spark, sf_dir, parts, raw=None):
+    """A lake whose bronze gets the documents in ``parts`` deliveries by id, a day apart; ``land(k)`` lands one."""
+    root = scratch_path(spark, "lake-versions")
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents")) if raw is None else raw
+
+    def land(k, rows=None):
+        ts = C.as_timestamp(RUN_TS) + F.expr(f"INTERVAL {k} DAYS")
+        B.land_tagged(B.tag_postings((raw if rows is None else rows).filter(F.col("doc_id") % parts == k)), root + "/bronze", ts, chunk_rows=100)
+
+    return root, raw, land
+
+
+def _publish(spark, root):
+    """A version without its gate (the supplied postings have null ids, which the gate blocks)."""
+    from ..sources import versions
+    from . import incremental
+
+    staged = incremental.stage(spark, root + "/bronze", root + "/silver", RUN_TS)
+    versions.publish(spark, root + "/silver", staged.base, staged.content)
+    return staged
+
+
+def incremental_silver(spark, sf_dir):
+    """Three deliveries; after each, silver takes the new bronze run in. Equal to a rebuild from all bronze."""
+    from . import incremental
+
+    root, _, land = _deliveries(spark, sf_dir, 3)
+    for k in range(3):
+        land(k)
+        _publish(spark, root)
+    s = incremental.read_silver(spark, root + "/silver")
+    cols = [c for c in S.SILVER_COLUMNS if c not in ("matched_domains", "matched_roles")]
+    return s.select(*cols, _joined("matched_domains").alias("matched_domains"), _joined("matched_roles").alias("matched_roles"))
+
+
+def incremental_audit(spark, sf_dir):
+    """The gate's report of a version, added up from numbers that three runs kept by partition."""
+    from . import incremental
+
+    root, _, land = _deliveries(spark, sf_dir, 3)
+    for k in range(2):
+        land(k)
+        _publish(spark, root)
+    land(2)
+    staged = incremental.stage(spark, root + "/bronze", root + "/silver", RUN_TS)
+    return incremental.audit(spark, root + "/silver", staged, AS_OF)
+
+
+def publish_after_audit(spark, sf_dir):
+    """Write, audit, publish: complete postings are published; a delivery with null ids is staged and
+    blocked, and readers keep the version before; landed again with ids, it is published. What readers see
+    after each step, and the null keys that the step's audit found."""
+    from ..sources import versions
+    from . import incremental
+
+    root, raw, land = _deliveries(spark, sf_dir, 2)
+    fixed = raw.withColumn("source_job_id", F.coalesce("source_job_id", F.concat(F.lit("made-"), F.col("doc_id").cast("string"))))
+    out = []
+    for step, (k, rows) in enumerate([(0, fixed), (1, raw), (1, fixed)], 1):
+        land(k, rows)
+        staged = incremental.stage(spark, root + "/bronze", root + "/silver", RUN_TS)
+        report = incremental.audit(spark, root + "/silver", staged, AS_OF)
+        try:
+            incremental.increment(spark, root + "/bronze", root + "/silver", AS_OF, RUN_TS)
+            published = True
+        except quality.QualityGateError:
+            published = False
+        version = versions.read_manifest(spark, root + "/silver").version
+        seen = incremental.read_silver(spark, root + "/silver", version).agg(F.count(F.lit(1)).alias("rows_visible"))
+        nulls = report.filter("check = 'key_completeness'").select(F.col("observed").alias("null_keys"))
+        out.append(seen.join(F.broadcast(nulls)).select(F.lit(step).alias("step"), F.lit(published).alias("published"), F.lit(version).alias("version"), "rows_visible", "null_keys"))  # one row each
+    return mapping.union_sources(out)
+
+
+# --- P21, G1-G3: keys that members keep ---------------------------------------------------------
+
+def registered_keys(spark, sf_dir):
+    """The three dimensions of two days: the first day's postings (even ids), then all. Members of the first day
+    keep their keys, new ones get the numbers after the last."""
+    root, silver = scratch_path(spark, "registries"), scratch_table(_postings(spark, sf_dir), "posted")
+    derived = S.derive_attributes(silver, RUN_TS)
+    out = []
+    for day, rows in enumerate((derived.filter(F.col("doc_id") % 2 == 0), derived), 1):
+        d = star.registered_dimensions(rows, root)
+        for name, key, label in (("dim_company", "company_id", F.col("company_name")), ("dim_location", "location_id", F.concat_ws("|", "location_country", "location_city")),
+                                 ("dim_taxonomy", "taxonomy_id", F.concat_ws("|", "domain", "role_keyword"))):
+            postings = F.col("total_jobs_posted") if name == "dim_company" else F.lit(None).cast("long")
+            out.append(d[name].select(F.lit(day).alias("day"), F.lit(name).alias("dimension"), F.col(key).alias("id"), label.alias("member"), postings.alias("postings")))
+    return mapping.union_sources(out)
+
+
 # --- X5, S6, G6: the gate passes and gold is written and read back --------------------
 
 def daily_layers_pass(spark, sf_dir):
@@ -627,6 +720,10 @@ QUERIES = {
     "page_cards": page_cards,
     "stream_capture": stream_capture,
     "capture_versioned_state": capture_versioned_state,
+    "incremental_silver": incremental_silver,
+    "incremental_audit": incremental_audit,
+    "publish_after_audit": publish_after_audit,
+    "registered_keys": registered_keys,
     "stream_capture_state": stream_capture_state,
     "daily_layers": daily_layers,
     "dim_company_orders": dim_company_orders,

@@ -169,8 +169,8 @@ def write_envelopes(records: DataFrame, root: str, run_ts: Column, chunk_rows: i
 # scan
 # ---------------------------------------------------------------------------
 
-def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Envelopes under ``path`` (any depth) with the declared schema; ``records`` hold each
+def read_envelopes(spark: SparkSession, path: str | list[str], record: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Envelopes under ``path`` (one or several folders, any depth) with the declared schema; ``records`` hold each
     record's JSON text.
 
     Files are read as text — one envelope per line, or with ``multi_line`` one per
@@ -216,7 +216,7 @@ REJECTS = "source string, file string, reason string, raw string"
 
 def read_batches(spark: SparkSession, root: str, specs: dict[str, Spec] | None = None,
                  schemas: dict[str, T.StructType] | None = None, multi_line: bool = False,
-                 paths: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+                 paths: dict[str, str | list[str]] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Canonical rows of all sources that load, the rejected envelopes and records
     (source, file, reason, raw), and the names of skipped sources (no folder)."""
     specs = specs or DEFAULT_SPECS

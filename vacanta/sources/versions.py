@@ -2,7 +2,7 @@
 
 A versioned table is a root folder with immutable data folders and small manifests:
 
-    <root>/data/<version>-<id>/...     written once, never changed
+    <root>/data/part=<version>-<id>/...     written once, never changed
     <root>/manifests/<version>.json    what a version consists of
 
 A writer stages data folders and then publishes a manifest that names them. The manifest is written
@@ -77,7 +77,7 @@ def read_manifest(spark: SparkSession, root: str, version: int | None = None) ->
 
 def stage_folder(root: str, base: Manifest | None) -> str:
     """A fresh data folder for the version after ``base``."""
-    return f"{root.rstrip('/')}/data/{(base.version if base else 0) + 1:012d}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/data/part={(base.version if base else 0) + 1:012d}-{uuid.uuid4().hex[:12]}"
 
 
 def publish(spark: SparkSession, root: str, base: Manifest | None, content: dict[str, Any]) -> Manifest:
@@ -123,7 +123,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         return []
     kept = published[-max(keep, 1):]
     named = set().union(*(folders_of(read_manifest(spark, root, v).content, root) for v in kept))
-    gone = [n for n in list_folder(spark, f"{root.rstrip('/')}/data") if n not in named and int(n.split("-")[0]) <= published[-1]]
+    gone = [n for n in list_folder(spark, f"{root.rstrip('/')}/data") if n not in named and int(n.removeprefix("part=").split("-")[0]) <= published[-1]]
     fs = _fs(spark, root)
     for v in published[:-len(kept)]:  # first the names, then what they named
         fs.delete(_path(spark, f"{_manifests(root)}/{v:012d}.json"), False)
