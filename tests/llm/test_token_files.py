@@ -30,8 +30,8 @@ def test_repeats_become_short():
 
 
 def test_coder_equals_the_library():
-    t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(FILE)  # as it is: an added token inside a text is one id
+    assert len(t.encode("a <|endoftext|> b", add_special_tokens=False).ids) == 4
     texts = ["a  b   c \n d\n\n e\t\tf  ", "don't we'll 'Sſ", "՘abc ₏12 ᲊ q", "日本語 𠀀", "<|endoftext|> a", "a\n \nfoo", "", " ", "x <|endoftext|>"] * 2
     rng = random.Random(4)
     parts = [" ", "\n", "a", "é", "'s", "1", "՘", "😀", "\u3000", "\u00a0", "-", "  ", " x", "\t", "\x1c", " word", "z" * 70, "日本", " 日"]

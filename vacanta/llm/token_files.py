@@ -17,6 +17,7 @@ of their texts' hashes; rows without doc_id come first; an empty table makes no
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -154,13 +155,15 @@ class LibraryCoder:
     """Encodes texts with a file of the tokenizers library; repeated parts are encoded once.
 
     New parts are encoded joined together (each begins where the library's own pattern cuts)
-    and told apart by the bytes that each id stands for."""
+    and told apart by the bytes that each id stands for. Texts that hold an added token of the file (the library
+    finds those before it cuts) are encoded whole, by themselves."""
 
     def __init__(self, path: str, **table):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
         self.width = np.zeros(self.size, np.int64)
@@ -194,7 +197,16 @@ class LibraryCoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has. Bytes that aren't UTF-8 are replaced."""
-        return self.table.encode_texts(whole_utf8(texts))
+        texts = whole_utf8(texts)
+        odd = [k for k, raw in enumerate(texts) if self.added and self.added.search(raw)]
+        if not odd:
+            return self.table.encode_texts(texts)
+        apart = {k: self.whole(texts[k].decode()) for k in odd}
+        ids, counts = self.table.encode_texts([b"" if k in apart else raw for k, raw in enumerate(texts)])
+        pieces = np.split(ids, np.cumsum(counts)[:-1])
+        for k, own in apart.items():
+            pieces[k], counts[k] = own, len(own)
+        return np.concatenate(pieces), counts
 
 
 @lru_cache(2)
