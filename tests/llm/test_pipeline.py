@@ -7,7 +7,7 @@ from .conftest import DOCS, ITEMS, PROSE
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "redact_secrets", "byte_bpe"]
 
@@ -63,3 +63,24 @@ def test_near_duplicates_are_told_by_five_words(spark):
     # five edits: 0.816 of the shingles of four words, 0.774 of those of five; two edits: 0.90
     assert {r["doc_id"] for r in near_dedup(spark, docs.filter("doc_id < 3"), "").collect()} == {1, 2}
     assert {r["doc_id"] for r in near_dedup(spark, docs.filter("doc_id <> 2"), "").collect()} == {1}
+
+
+def test_near_duplicates_of_rows_without_a_name(spark):
+    """Rows with null or repeated ids are grouped like others: no two rows left are near."""
+    from vacanta.llm.stages import near_dedup
+
+    rng = random.Random(8)
+    base = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(120)) for _ in range(6)]
+    near = lambda t, k: " ".join(f"x{k}" if i == 10 * k % 120 else w for i, w in enumerate(t.split()))
+    rows = [(1, base[0]), (1, near(base[0], 1)), (None, base[0]), (None, near(base[0], 2)), (2, near(base[0], 1)), (None, None), (None, None), (None, "")]
+    rows += [(rng.choice([None, 5, 6, 7, 8, 20 + k]), near(base[k % 6], rng.randrange(3))) for k in range(60)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in near_dedup(spark, docs, "").collect()]
+    shingles = lambda t: {tuple((t or "").split()[i:i + 5]) for i in range(len((t or "").split()) - 4)}
+    sets = [shingles(t) for _, t in kept]
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            assert not a or not b or 100 * len(a & b) < 80 * len(a | b)
+    assert all(any(s and 100 * len(s & shingles(t)) >= 80 * len(s | shingles(t)) for s in sets) for _, t in rows if shingles(t))
+    assert sorted(map(repr, (r for r in kept if not shingles(r[1])))) == ["(None, '')", "(None, None)"]
+    assert set(kept) <= set(rows) and 2 in [k for k, t in kept if t == near(base[0], 1)] + [2]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keys import dense_key
 from ..sources.tables import table
-from .common import whole_row
+from .common import stored, whole_row
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,15 +18,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicates by shingles of five words (``op6_superminhash`` has four by its contract). The
-    document that names its group stays; of rows equal in id and text one stays. Rows
-    without an id can't be named: of equal texts among them one stays."""
+    """Near-duplicates by shingles of five words (``op6_superminhash`` has four by its contract). One
+    document of each group stays, the one of the smallest id; of rows equal in id and text one stays.
+
+    Rows whose id doesn't name their text (no id, or an id that other texts have, too) are told apart by id and
+    text and numbered after all other ids, so they take part in the groups like any other row."""
     from .superminhash import NearRules, near_groups
 
-    groups = near_groups(docs, NearRules(words=5))
-    kept = groups.filter("kept and doc_id is not null").select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return out.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"])).select(docs.columns)
+    texts = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
+    shared = stored(texts.filter("doc_id is not null and a <> b").select("doc_id"), "shared-ids")
+    plain = docs.filter("doc_id is not null").join(shared, "doc_id", "left_anti").select(docs.columns)
+    odd = docs.filter("doc_id is null").unionByName(docs.join(shared, "doc_id", "left_semi").select(docs.columns))
+    odd = odd.select(whole_row(), F.col("doc_id").alias("of"), F.sha2(F.concat(F.when(F.col("text").isNull(), "0").otherwise("1"), F.coalesce("text", F.lit(""))), 256).alias("digest"))
+    last = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).alias("last")).first()["last"]
+    named = dense_key(odd.select("of", "digest"), ["of", "digest"], "number").withColumnRenamed("of", "its")
+    odd = odd.join(named, odd.of.eqNullSafe(F.col("its")) & (odd.digest == named.digest)).select("row", (F.col("number") + last).alias("node"))
+    odd = stored(odd.dropDuplicates(["node"]), "odd-rows")
+    groups = near_groups(plain.select("doc_id", "text").unionByName(odd.select(F.col("node").alias("doc_id"), "row.text")), NearRules(words=5))
+    kept = stored(groups.filter("kept").select("doc_id").distinct(), "near-kept")
+    out = plain.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return out.unionByName(odd.join(kept, odd.node == kept.doc_id, "left_semi").select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
