@@ -18,6 +18,7 @@ from functools import lru_cache
 from itertools import chain, groupby
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -97,7 +98,13 @@ class ByteBpe:
         self.dense = self.order == list(range(len(ranks)))
         self.rank_of = {mapped(t): r for t, r in ranks.items()}
         self.names = {r: str(r) for r in self.order}
-        self.table = PartTable(self.encode_parts, **table)
+        self.sized = {"bits": 20, "limit": 1 << 22} | table  # what one task's texts need: it is released with the task
+        self.release()
+
+    def release(self) -> None:
+        """Forgets the encoded parts; the vocabulary stays."""
+        self.table = PartTable(self.encode_parts, **self.sized)
+        pa.default_memory_pool().release_unused()
 
     def pre_tokens(self, text: str) -> list[str]:
         if text.isascii() or not self.unlike or np.frombuffer(text.encode("utf-32-le"), "<u4").max() < self.first_unlike:
@@ -175,4 +182,7 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool
         out = {"n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash}
         return out | ({"ids": kept} if keep_ids else {})
 
-    return map_chunks(text_bytes(docs, "doc_id"), schema + (", ids array<int>" if keep_ids else ""), code)
+    def release():
+        _coder(rank_path, pattern, unlike.value).release()
+
+    return map_chunks(text_bytes(docs, "doc_id"), schema + (", ids array<int>" if keep_ids else ""), code, limit=1 << 20, after=release)

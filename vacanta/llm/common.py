@@ -62,9 +62,10 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
 
 
 def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], carry: str | None = "doc_id", limit: int = CHUNK_BYTES,
-               sized: str = "text") -> DataFrame:
+               sized: str = "text", after: Callable[[], None] | None = None) -> DataFrame:
     """``mapInArrow`` over slices of bounded bytes in the column ``sized``. The column ``carry`` is passed on; ``fn``
-    gives the columns of ``schema`` as lists or arrays, a row for each row of the slice."""
+    gives the columns of ``schema`` as lists or arrays, a row for each row of the slice. ``after`` runs in the task
+    when its rows are done: what a worker keeps for later tasks counts against the executor meanwhile."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -73,11 +74,15 @@ def map_chunks(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict],
     kept = [df.schema[carry]] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, sized, limit):
-                new = fn(part)
-                cols = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in arrow]
-                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + cols, names=[f.name for f in kept] + arrow.names)
+        try:
+            for batch in batches:
+                for part in chunks(batch, sized, limit):
+                    new = fn(part)
+                    cols = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in arrow]
+                    yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + cols, names=[f.name for f in kept] + arrow.names)
+        finally:
+            if after:
+                after()
 
     return df.mapInArrow(run, StructType(kept + made.fields))
 

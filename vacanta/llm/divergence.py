@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import bitmap, broadcast_value, chunks, map_chunks, may_hold, stored, text_bytes
 
 WINDOW = 8
+#: Bytes of text that a task works on at a time: words and code points as objects take many times that.
+SLICE = 1 << 20
 #: Character classes: space, line end, lower-case, upper-case, letters without case, digits,
 #: sentence marks, quotes and brackets, the counted symbols, other marks, controls and the rest.
 SYMBOLS = "#*$%&|<>"
@@ -50,6 +52,11 @@ class DivergenceRules:
     repeat_percent: int = 30
 
 
+def release() -> None:
+    """Hands Arrow's free memory back when a task is done: the worker lives on, idle, within its executor."""
+    pa.default_memory_pool().release_unused()
+
+
 @lru_cache(1)
 def class_table() -> np.ndarray:
     """Class of every code point."""
@@ -120,36 +127,42 @@ def distinct_texts(docs: DataFrame, remembered: int = 200_000) -> tuple[DataFram
 
     texts = text_bytes(docs, "lang", digest.alias("digest")).select("lang", "text", "digest")
     schema = "lang string, text binary, digest long"
-    return texts.mapInArrow(some(False), schema), texts.mapInArrow(some(True), schema).repartition("digest")
+    return texts.mapInArrow(some(False), schema), texts.mapInArrow(some(True), schema).repartition("digest").sortWithinPartitions("digest")
 
 
-def partial_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
+def partial_counts(docs: DataFrame, flush: int = 150_000) -> DataFrame:
     """(lang, kind, key, n): character classes (kind c) and lower-cased words (kind w) of distinct texts,
-    summed within tasks up to ``flush`` keys before they are shuffled."""
+    summed within tasks up to ``flush`` keys before they are shuffled. Copies come sorted, so one
+    digest is remembered."""
     single, copied = distinct_texts(docs)
 
     def run(batches, copied=False):
-        seen = set()
+        last = None
         table, words, chars = class_table(), defaultdict(Counter), defaultdict(lambda: np.zeros(CLASSES, np.int64))
 
+        def rows(lang, kind, keys, n):
+            same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(keys), np.int32))) for x in (lang, kind)]
+            return pa.RecordBatch.from_arrays([*same, pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["lang", "kind", "key", "n"])
+
         def emit():
-            rows = [(g, "w", w, n) for g, c in words.items() for w, n in c.items()]
-            rows += [(g, "c", str(k).encode(), int(n)) for g, a in chars.items() for k, n in enumerate(a) if n]
-            words.clear(), chars.clear()
-            for at in range(0, len(rows), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 50_000]), (pa.string(), pa.string(), pa.binary(), pa.int64()))], names=["lang", "kind", "key", "n"])
+            while words:
+                lang, found = words.popitem()
+                yield rows(lang, "w", list(found), list(found.values()))
+            while chars:
+                lang, found = chars.popitem()
+                yield rows(lang, "c", [str(k).encode() for k in np.flatnonzero(found).tolist()], found[found > 0])
 
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=SLICE):
                 for lang, raw, digest in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "digest"))):
-                    if not copied or digest not in seen:
-                        if copied:
-                            seen.add(digest)
+                    if not copied or digest != last:
+                        last = digest
                         words[lang].update(raw.lower().split())
                         chars[lang] += np.bincount(table[code_points(raw)], minlength=CLASSES)
                 if sum(map(len, words.values())) > flush:
                     yield from emit()
         yield from emit()
+        release()
 
     schema = "lang string, kind string, key binary, n long"
     return single.mapInArrow(run, schema).unionByName(copied.mapInArrow(lambda batches: run(batches, True), schema))
@@ -230,7 +243,7 @@ def judge(docs: DataFrame, refs: dict, rules: DivergenceRules = DivergenceRules(
                 "n_repeat_words": repeat, "base_failed": failed, "kept": ~failed & ~far, "char_distance": d_char, "word_distance": d_word, "nearest": names}
 
     df = text_bytes(docs, carry, "lang")
-    return map_chunks(df, schema, run, df.columns[0])
+    return map_chunks(df, schema, run, df.columns[0], limit=SLICE, after=release)
 
 
 def restricted(q: np.ndarray, ref: np.ndarray) -> np.ndarray:
