@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import vocab as V
 from .oracle import (AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_CUTS, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
-                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, strip_sql,
+                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, strip_sql, W,
                      recent, with_enriched, with_postings, with_silver)
 
 
@@ -384,3 +384,14 @@ SQL["registered_keys"] = with_enriched("\nUNION ALL\n".join([
     _registered("dim_taxonomy", "concat_ws('|', domain, role_keyword)", """SELECT domain, coalesce(role_keyword, 'Generaliste') AS role_keyword, bool_or(doc_id % 2 = 0) AS early
       FROM (SELECT doc_id, primary_domain AS domain, unnest(CASE WHEN len(matched_roles) = 0 OR matched_roles IS NULL THEN [NULL] ELSE matched_roles END) AS role_keyword FROM enriched) GROUP BY ALL""",
                 "domain NULLS FIRST, role_keyword NULLS FIRST")]))
+
+SQL["tag_by_table"] = SQL["tag_keywords"]
+SQL["tag_large_taxonomy"] = f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[{W}]+') AS w, regexp_extract_all(lower(text), '[{W}]+([^{W}]*)', 1) AS g FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(w) AS keyword FROM t
+  UNION SELECT doc_id, unnest(list_transform(list_filter(range(1, len(w)), lambda i: g[i] = ' '), lambda i: w[i] || ' ' || w[i + 1])) FROM t),
+taxonomy AS MATERIALIZED (SELECT keyword, md5(keyword) AS digest FROM (SELECT DISTINCT keyword FROM grams) ORDER BY digest LIMIT 100000),
+hits AS (SELECT doc_id, keyword, digest FROM grams JOIN taxonomy USING (keyword)),
+tags AS (SELECT doc_id, count(*) AS n, string_agg(keyword, '|' ORDER BY digest) AS roles, string_agg(DISTINCT substr(digest, 1, 1), '|' ORDER BY substr(digest, 1, 1)) AS domains FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_roles, sha256(coalesce(roles, '')) AS roles_sha256, coalesce(domains, '') AS domains FROM documents LEFT JOIN tags USING (doc_id)"""

@@ -12,7 +12,7 @@ from ..functions import columns as C
 from ..functions import rules as R
 from ..functions import tagging as T
 from ..functions import vocab as V
-from ..operators import capture, cards, mapping, quality, star
+from ..operators import capture, cards, keyword_join, mapping, quality, star
 from ..operators.dedup import first_arrival
 from ..session import checkpoint_dir, scratch_path, scratch_table
 from ..sources.batches import read_batches
@@ -51,6 +51,30 @@ def tag_keywords(spark, sf_dir):
                     T.primary_domain(F.col("matched_domains")).alias("primary_domain"))
 
 
+def tag_by_table(spark, sf_dir):
+    """The same tags through the taxonomy as a table, joined with the texts' token n-grams."""
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    tags = keyword_join.tag_by_table(raw, T.taxonomy_table(spark), "doc_id", T.capture_text(["raw_title", "raw_description"]))
+    return tags.select("doc_id", _joined("matched_domains").alias("domains"), _joined("matched_roles").alias("roles"),
+                       F.size("matched_roles").alias("n_roles"), T.primary_domain(F.col("matched_domains")).alias("primary_domain"))
+
+
+LARGE_TAXONOMY = 100_000
+
+
+def tag_large_taxonomy(spark, sf_dir):
+    """Tags by a taxonomy of up to 100,000 keywords: words and word pairs of the documents, the first by their
+    digest, whose first character is the domain. Per document the number of keywords, their digest and the domains."""
+    docs = text_table(spark, sf_dir, "documents")
+    low = docs.select(F.lower("text").alias("low"))
+    words = low.select(F.explode(F.regexp_extract_all("low", F.lit(r"(?U)\w+"), F.lit(0))).alias("keyword"))
+    pairs = low.select(F.explode(F.regexp_extract_all("low", F.lit(r"(?U)(?=\b(\w+ \w+)\b)"), F.lit(1))).alias("keyword"))
+    listed = words.unionByName(pairs).distinct().withColumn("digest", F.md5(F.col("keyword").cast("binary"))).orderBy("digest").limit(LARGE_TAXONOMY)
+    taxonomy = scratch_table(listed.select(F.conv(F.substring("digest", 1, 1), 16, 10).cast("int").alias("domain_rank"), F.substring("digest", 1, 1).alias("domain"), F.col("digest").alias("keyword_rank"), "keyword"), "taxonomy")
+    tags = keyword_join.tag_by_table(docs, taxonomy, "doc_id", F.col("text"))
+    return tags.select("doc_id", F.size("matched_roles").alias("n_roles"), F.sha2(F.array_join("matched_roles", "|"), 256).alias("roles_sha256"), _joined("matched_domains").alias("domains"))
+
+
 # --- P8-P10 ------------------------------------------------------------------
 
 def fingerprint(spark, sf_dir):
@@ -720,6 +744,8 @@ QUERIES = {
     "page_cards": page_cards,
     "stream_capture": stream_capture,
     "capture_versioned_state": capture_versioned_state,
+    "tag_by_table": tag_by_table,
+    "tag_large_taxonomy": tag_large_taxonomy,
     "incremental_silver": incremental_silver,
     "incremental_audit": incremental_audit,
     "publish_after_audit": publish_after_audit,
