@@ -211,3 +211,27 @@ def test_rules_are_replaceable_data(spark):
                                  hybrid=("télétravail flexible",))
     got = S.derive_attributes(df, "2026-10-01 00:00:00", custom).first()
     assert got.is_remunerated is True and got.work_mode == "HYBRID"
+
+
+def test_registered_rules(spark):
+    from vacanta.plans import silver as S
+
+    rows = [(0, "CDI poste"), (1, "mission longue en CDI"), (2, "mission"), (3, "zone franche"), (4, "stage mission"), (5, None)]
+    df = spark.createDataFrame(rows, "i int, raw_description string").selectExpr(
+        "i", "raw_description", "'t' raw_title", "cast(null as string) raw_contract", "'c' company_name", "'x' location_city", "array('D') matched_domains", "array('r') matched_roles")
+    labels = lambda rules: [r.contract_type for r in S.derive_attributes(df, "2024-01-01 00:00:00", rules).orderBy("i").collect()]
+    assert labels(R.DEFAULT_RULES) == ["CDI", "CDI", "NON_SPECIFIE", "NON_SPECIFIE", "STAGE", "NON_SPECIFIE"]
+    before = R.register_rules("contract_type", [("MISSION", ["mission"])], before="CDI")
+    assert labels(before) == ["CDI", "MISSION", "MISSION", "NON_SPECIFIE", "STAGE", "NON_SPECIFIE"]
+    after = R.register_rules("contract_type", [("MISSION", ["mission"]), ("ZONE", lambda t: t.low.contains("franche"))])
+    assert labels(after) == ["CDI", "CDI", "MISSION", "ZONE", "STAGE", "NON_SPECIFIE"]
+    both = R.register_rules("contract_type", [("FIRST", ["mission"])], after, before="MISSION")
+    assert labels(both) == ["CDI", "CDI", "FIRST", "ZONE", "STAGE", "NON_SPECIFIE"]
+    assert labels(R.DEFAULT_RULES)[2] == "NON_SPECIFIE"  # nothing is registered behind a job's back
+    listed = [(r.position, r.label, r.registered) for r in R.rules_table(spark, both).filter("attribute = 'contract_type'").orderBy("position").collect()]
+    assert listed == [(1, "ALTERNANCE", False), (2, "STAGE", False), (3, "CDI", False), (4, "CDD", False), (5, "FREELANCE", False), (6, "FIRST", True), (7, "MISSION", True), (8, "ZONE", True)]
+    for bad in (lambda: R.register_rules("no_such", []), lambda: R.register_rules("work_mode", [("X", [])]), lambda: R.register_rules("work_mode", [("X", ["Upper"])])):
+        with pytest.raises(ValueError):
+            bad()
+    with pytest.raises(ValueError):
+        labels(R.register_rules("contract_type", [("X", ["x"])], before="NOWHERE"))

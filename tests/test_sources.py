@@ -98,3 +98,18 @@ def test_one_bad_record_costs_itself(spark, tmp_dir):
     assert sorted(r.source_job_id for r in unified.collect()) == ["u1", "u3"]
     assert sorted(r.reason for r in rejects.collect()) == ["envelope", "record"]
     assert len(skipped) == 3
+
+
+def test_undeclared_fields_keep_their_types(spark, tmp_dir):
+    import json
+
+    records = [{"id": "1", "title": "t", "salary_min": 1000, "latitude": 3.5, "category": {"tag": "it"}}, {"id": "2", "salary_min": "n/a", "o'x": [1, 2], 'q"': True, "none": None}, {"id": "3"}, 7, "s"]
+    with open(tmp_dir + "/a.json", "w") as f:
+        f.write(json.dumps({"metadata": {"source": "adzuna_api"}, "records": records}) + "\n{broken\n")
+    envelopes = B.read_envelopes(spark, tmp_dir, B.API_RECORD)
+    fields = B.undeclared_fields(envelopes, B.API_RECORD)
+    got = {(r["pos"], r["field"]): json.loads(r["v"]) for r in fields.select("pos", "field", F.to_json("value").alias("v")).collect()}
+    assert got == {(0, "salary_min"): 1000, (0, "latitude"): 3.5, (0, "category"): {"tag": "it"}, (1, "salary_min"): "n/a", (1, "o'x"): [1, 2], (1, 'q"'): True, (1, "none"): None}
+    drift = {(r["field"], r["type"]): r["n"] for r in B.field_drift(fields).collect()}
+    assert drift[("salary_min", "BIGINT")] == drift[("salary_min", "STRING")] == drift[("category", "OBJECT<tag: STRING>")] == 1
+    assert fields.filter("field = 'category'").select(F.try_variant_get("value", "$.tag", "string")).first()[0] == "it"

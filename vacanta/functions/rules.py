@@ -17,8 +17,8 @@ lower-cased with ``F.lower`` before matching.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -159,10 +159,30 @@ def corpus(*cols: Column) -> Column:
     return F.concat_ws(" ", *cols)
 
 
+#: Attributes whose rule lists take rules of one's own.
+RULE_LISTS = ("contract_type", "work_mode", "internship_category", "is_remunerated")
+
+
+@dataclass(frozen=True)
+class OwnRule:
+    """A registered rule: its label where any of ``words`` occurs, or where ``predicate`` holds: a function of
+    the text's :class:`Words` that gives a Column. ``before``: the label it is tried before (None: last)."""
+
+    attribute: str
+    label: object
+    words: tuple = ()
+    predicate: Callable[[Words], Column] | None = None
+    before: object = None
+
+    def column(self, text) -> Column:
+        hit = self.predicate(text) if self.predicate is not None else has_words(text, self.words)
+        return F.coalesce(hit, F.lit(False))
+
+
 @dataclass(frozen=True)
 class SilverRules:
     """Word lists of the silver rules; pass a modified copy to change a rule
-    (``dataclasses.replace(DEFAULT_RULES, paid=[...])``)."""
+    (``dataclasses.replace(DEFAULT_RULES, paid=[...])``), :func:`register_rules` to add some."""
 
     internship: tuple = tuple(V.INTERNSHIP_WORDS)
     internship_contract: tuple = tuple(V.INTERNSHIP_CONTRACT_WORDS)
@@ -179,50 +199,99 @@ class SilverRules:
     category_alternance: tuple = tuple(V.CATEGORY_ALTERNANCE_WORDS)
     initiation: tuple = tuple(V.INITIATION_WORDS)
     application: tuple = tuple(V.APPLICATION_WORDS)
+    own: tuple[OwnRule, ...] = ()
 
     def vocabulary(self) -> list[str]:
         """Every word of the corpus-level lists (the contract list reads another text)."""
         out: dict[str, None] = {}
         for f in fields(self):
-            if f.name != "internship_contract":
+            if f.name not in ("internship_contract", "own"):
                 for w in getattr(self, f.name):
                     out.setdefault(w, None)
+        for rule in self.own:
+            out |= dict.fromkeys(rule.words)
         return list(out)
 
+    def labelled(self, attribute: str, built: Sequence[tuple[object, Column]], text) -> list[tuple[object, Column]]:
+        """The attribute's built-in (label, predicate) list with the registered rules at their places."""
+        out = list(built)
+        for rule in self.own:
+            if rule.attribute == attribute:
+                at = next((k for k, (label, _) in enumerate(out) if label == rule.before), None) if rule.before is not None else len(out)
+                if at is None:
+                    raise ValueError(f"{attribute} has no label {rule.before!r} to stand before")
+                out.insert(at, (rule.label, rule.column(text)))
+        return out
+
 
 DEFAULT_RULES = SilverRules()
 
 
+def register_rules(attribute: str, rules: Sequence[OwnRule | tuple[object, object]], base: SilverRules = DEFAULT_RULES, before: object = None) -> SilverRules:
+    """``base`` with own rules for ``attribute`` (one of ``RULE_LISTS``), tried in the given order before the label
+    ``before`` (None: after the built-in ones). A rule is (label, words) or (label, function of the text's words).
+    Rules are values: a job's rules are what it is given, whatever other jobs of the session register."""
+    if attribute not in RULE_LISTS:
+        raise ValueError(f"no rules for {attribute!r}; there are {', '.join(RULE_LISTS)}")
+    made = []
+    for rule in rules:
+        if not isinstance(rule, OwnRule):
+            label, by = rule
+            rule = OwnRule(attribute, label, predicate=by, before=before) if callable(by) else OwnRule(attribute, label, tuple(by), before=before)
+        if rule.predicate is None and (not rule.words or any(w != w.lower() for w in rule.words)):
+            raise ValueError(f"{rule.label!r}: a rule needs lower-case words or a predicate")
+        made.append(rule)
+    return replace(base, own=(*base.own, *made))
+
+
+def rules_table(spark, rules: SilverRules = DEFAULT_RULES):
+    """The rules of the silver attributes in the order in which they are tried: (attribute, position, label,
+    words, registered). Built-in rules that read other columns too (durations, the internship flag) have the words they add."""
+    lists = {"contract_type": [("ALTERNANCE", rules.alternance_contract), ("STAGE", rules.internship), ("CDI", rules.cdi), ("CDD", rules.cdd), ("FREELANCE", rules.freelance)],
+             "work_mode": [("FULL_REMOTE", rules.full_remote), ("HYBRID", rules.hybrid), ("REMOTE_POSSIBLE", rules.remote)],
+             "internship_category": [("PFE", rules.pfe), ("ALTERNANCE", rules.category_alternance), ("STAGE_INITIATION", rules.initiation), ("STAGE_APPLICATION", rules.application), ("PFE", ())],
+             "is_remunerated": [(True, rules.paid), (False, rules.unpaid)]}
+    rows = []
+    for attribute, built in lists.items():
+        order = [(label, tuple(words), False) for label, words in built]
+        for rule in rules.own:
+            if rule.attribute == attribute:
+                at = len(order) if rule.before is None else next(k for k, x in enumerate(order) if x[0] == rule.before)
+                order.insert(at, (rule.label, rule.words, True))
+        rows += [(attribute, k, str(label), list(words), own) for k, (label, words, own) in enumerate(order, 1)]
+    return spark.createDataFrame(rows, "attribute string, position int, label string, words array<string>, registered boolean")
+
+
 def is_internship(low_corpus: Column, low_contract: Column, rules: SilverRules = DEFAULT_RULES) -> Column:
     hit = has_words(low_corpus, rules.internship) | has_words(low_contract, rules.internship_contract)
     return F.coalesce(hit, F.lit(False))
 
 
 def contract_type(low_corpus: Column, internship: Column, rules: SilverRules = DEFAULT_RULES) -> Column:
-    return label_by_rules([
+    return label_by_rules(rules.labelled("contract_type", [
         ("ALTERNANCE", has_words(low_corpus, rules.alternance_contract)),
         ("STAGE", internship),
         ("CDI", has_words(low_corpus, rules.cdi)),
         ("CDD", has_words(low_corpus, rules.cdd)),
         ("FREELANCE", has_words(low_corpus, rules.freelance)),
-    ], "NON_SPECIFIE")
+    ], low_corpus), "NON_SPECIFIE")
 
 
-def remuneration(low_corpus: Column, paid_words=V.PAID_WORDS, unpaid_words=V.UNPAID_WORDS) -> Column:
+def remuneration(low_corpus: Column, paid_words=V.PAID_WORDS, unpaid_words=V.UNPAID_WORDS, rules: SilverRules = DEFAULT_RULES) -> Column:
     """Three-valued: paid words first (so "non rémunéré" is True), then unpaid words."""
-    return label_by_rules([
+    return label_by_rules(rules.labelled("is_remunerated", [
         (True, has_words(low_corpus, paid_words)),
         (False, has_words(low_corpus, unpaid_words)),
-    ], F.lit(None).cast("boolean"))
+    ], low_corpus), F.lit(None).cast("boolean"))
 
 
 def work_mode(low_corpus: Column, hybrid_words=V.HYBRID_WORDS, full_remote_words=V.FULL_REMOTE_WORDS,
-              remote_words=V.REMOTE_WORDS) -> Column:
-    return label_by_rules([
+              remote_words=V.REMOTE_WORDS, rules: SilverRules = DEFAULT_RULES) -> Column:
+    return label_by_rules(rules.labelled("work_mode", [
         ("FULL_REMOTE", has_words(low_corpus, full_remote_words)),
         ("HYBRID", has_words(low_corpus, hybrid_words)),
         ("REMOTE_POSSIBLE", has_words(low_corpus, remote_words)),
-    ], "SUR_SITE")
+    ], low_corpus), "SUR_SITE")
 
 
 # FIXED VALUES. The duration patterns of the original pipeline.
@@ -265,13 +334,13 @@ def duration_bracket(months: Column) -> Column:
 def internship_category(internship: Column, months: Column, low_corpus, rules: SilverRules = DEFAULT_RULES
                         ) -> Column:
     text = low_corpus if isinstance(low_corpus, Words) else F.coalesce(low_corpus, F.lit(""))
-    chain = label_by_rules([
+    chain = label_by_rules(rules.labelled("internship_category", [
         ("PFE", has_words(text, rules.pfe)),
         ("ALTERNANCE", has_words(text, rules.category_alternance)),
         ("STAGE_INITIATION", F.coalesce(months == 1, F.lit(False)) | has_words(text, rules.initiation)),
         ("STAGE_APPLICATION", F.coalesce(months.isin(2, 3), F.lit(False)) | has_words(text, rules.application)),
         ("PFE", F.coalesce(months >= 4, F.lit(False))),
-    ], "STAGE_NON_SPECIFIE")
+    ], text), "STAGE_NON_SPECIFIE")
     return F.when(F.coalesce(internship, F.lit(False)), chain)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import vocab as V
 from .oracle import (AS_OF, CAPTURE_AS_OF, EVENTS_AS_OF, EVENTS_CUTOFF, EVENTS_CUTS, EVENTS_FUTURE_AS_OF, ORDERS_AS_OF, RUN_TS, city_sql,
-                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, strip_sql, W,
+                     company_sql, ingest_cte, parse_ts, parse_wall_clock, postings_cte, publication_text_sql, q, has, strip_sql, W,
                      recent, with_enriched, with_postings, with_silver)
 
 
@@ -395,3 +395,22 @@ taxonomy AS MATERIALIZED (SELECT keyword, md5(keyword) AS digest FROM (SELECT DI
 hits AS (SELECT doc_id, keyword, digest FROM grams JOIN taxonomy USING (keyword)),
 tags AS (SELECT doc_id, count(*) AS n, string_agg(keyword, '|' ORDER BY digest) AS roles, string_agg(DISTINCT substr(digest, 1, 1), '|' ORDER BY substr(digest, 1, 1)) AS domains FROM hits GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_roles, sha256(coalesce(roles, '')) AS roles_sha256, coalesce(domains, '') AS domains FROM documents LEFT JOIN tags USING (doc_id)"""
+
+
+def _with_own_rules(sql: str) -> str:
+    """The labels' CASE lists with the rules of ``registered_rules`` before the labels that they stand before."""
+    own = [(f"WHEN {has('low', V.CDI_WORDS)} THEN 'CDI'", f"WHEN {has('low', ['permanent', 'contract'])} THEN 'INTERIM' "),
+           (f"WHEN {has('low', V.FREELANCE_WORDS)} THEN 'FREELANCE'", "WHEN contains(low, 'été') OR contains(low, '8 weeks') THEN 'PONCTUEL' "),
+           (f"WHEN {has('low', V.FULL_REMOTE_WORDS)} THEN 'FULL_REMOTE'", f"WHEN {has('low', ['télétravail', 'télétravail total'])} THEN 'TELETRAVAIL' ")]
+    for at, rule in own:
+        assert at in sql
+        sql = sql.replace(at, rule + at)
+    return sql
+
+
+SQL["registered_rules"] = _with_own_rules(with_enriched("SELECT doc_id, contract_type, work_mode, internship_category FROM enriched"))
+
+SQL["passed_through_fields"] = """
+SELECT 'doc_id' AS field, CASE WHEN doc_id % 3 = 0 THEN 'BIGINT' ELSE 'STRING' END AS type, CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS BIGINT) AS total
+FROM documents WHERE doc_id % 4 = 0 GROUP BY ALL
+UNION ALL SELECT 'reach', 'OBJECT<score: BIGINT, via: STRING>', CAST(count(*) AS BIGINT), CAST(sum(doc_id % 7) AS BIGINT) FROM documents WHERE doc_id % 4 = 0 AND doc_id % 3 <> 0"""

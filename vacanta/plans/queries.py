@@ -535,6 +535,36 @@ def daily_capture(spark, sf_dir):
     return s.select(*cols, _joined("matched_domains").alias("matched_domains"), _joined("matched_roles").alias("matched_roles"))
 
 
+# --- X2: rules of one's own ------------------------------------------------------------------
+
+def registered_rules(spark, sf_dir):
+    """Silver's labels with registered rules among the built-in ones: a contract type by words before CDI, one by a
+    predicate before FREELANCE, a work mode before all others."""
+    rules = R.register_rules("contract_type", [("INTERIM", ["permanent", "contract"])], before="CDI")
+    rules = R.register_rules("contract_type", [("PONCTUEL", lambda t: t.low.contains("été") | t.low.contains("8 weeks"))], rules, before="FREELANCE")
+    rules = R.register_rules("work_mode", [("TELETRAVAIL", ["télétravail", "télétravail total"])], rules, before="FULL_REMOTE")
+    return S.derive_attributes(_postings(spark, sf_dir), RUN_TS, rules).select("doc_id", "contract_type", "work_mode", "internship_category")
+
+
+# --- S1, 1.4: fields that the declared schema doesn't have ------------------------------------
+
+def passed_through_fields(spark, sf_dir):
+    """API postings landed in two runs with fields of their own, one as a number and then as text, one nested:
+    the undeclared fields as read back, counted by type, with the sum of their numbers."""
+    root = scratch_path(spark, "bronze-fields")
+    raw = P.raw_postings(text_table(spark, sf_dir, "documents"))
+    early, late = raw.filter(F.col("doc_id") % 3 == 0), raw.filter(F.col("doc_id") % 3 != 0)
+    late = late.withColumns({"reach": F.struct((F.col("doc_id") % 7).alias("score"), F.col("source").alias("via")), "doc_id": F.col("doc_id").cast("string")})
+    for k, rows in enumerate((early, late)):
+        B.land_tagged(B.tag_postings(rows), root, C.as_timestamp(RUN_TS) + F.expr(f"INTERVAL {k} DAYS"), chunk_rows=100)
+    from ..sources import batches
+
+    fields = batches.undeclared_fields(batches.read_envelopes(spark, batches.source_path(root, B.API_SOURCE), batches.API_RECORD), batches.API_RECORD)
+    number = F.coalesce(F.try_variant_get("value", "$", "bigint"), F.try_variant_get("value", "$.score", "bigint"))
+    sums = fields.groupBy("field", F.schema_of_variant("value").alias("type")).agg(F.sum(number).alias("total"))
+    return batches.field_drift(fields).join(sums, ["field", "type"]).select("field", "type", "n", "total")
+
+
 # --- X4, D-1, X6, Q6: silver by increments, audited before it is public ---------------------
 
 def _deliveries(spark, sf_dir, parts, raw=None):
@@ -745,6 +775,8 @@ QUERIES = {
     "stream_capture": stream_capture,
     "capture_versioned_state": capture_versioned_state,
     "tag_by_table": tag_by_table,
+    "registered_rules": registered_rules,
+    "passed_through_fields": passed_through_fields,
     "tag_large_taxonomy": tag_large_taxonomy,
     "incremental_silver": incremental_silver,
     "incremental_audit": incremental_audit,

@@ -40,8 +40,8 @@ def derive_attributes(unified: DataFrame, run_ts=None, rules: R.SilverRules = R.
                 R.duration_bracket(F.col("duration_months")).alias("duration_bracket"),
                 R.internship_category(F.col("is_internship"), F.col("duration_months"), w, rules)
                 .alias("internship_category"),
-                R.remuneration(w, rules.paid, rules.unpaid).alias("is_remunerated"),
-                R.work_mode(w, rules.hybrid, rules.full_remote, rules.remote).alias("work_mode"),
+                R.remuneration(w, rules.paid, rules.unpaid, rules).alias("is_remunerated"),
+                R.work_mode(w, rules.hybrid, rules.full_remote, rules.remote, rules).alias("work_mode"),
                 F.lower(F.col("raw_title")).alias("job_title_clean"),
                 C.fingerprint(F.col("raw_title"), F.col("company_name"), F.col("location_city"))
                 .alias("job_fingerprint"),

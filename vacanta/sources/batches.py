@@ -192,6 +192,21 @@ def read_records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
     return texts.select("file", F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
 
 
+def undeclared_fields(envelopes: DataFrame, record: T.StructType) -> DataFrame:
+    """(file, pos, field, value) of the records' fields that the declared schema leaves out: what a source sent beyond it,
+    kept on landing. ``value`` is a VARIANT: it has the type that it has in the record, and is read with ``variant_get``
+    or ``try_variant_get``. Records that aren't JSON objects have none (they are in the reject table)."""
+    declared = [f.name for f in record.fields]
+    texts = envelopes.filter(F.col(CORRUPT).isNull()).select("file", F.posexplode("records").alias("pos", "text"))
+    fields = texts.select("file", "pos", F.explode(F.from_json("text", "map<string,variant>")).alias("field", "value"))
+    return fields.filter(~F.col("field").isin(declared))
+
+
+def field_drift(fields: DataFrame) -> DataFrame:
+    """(field, type, n): the types under which each undeclared field came, most narrow form (``BIGINT``, ``STRING``, ``OBJECT<...>``)."""
+    return fields.groupBy("field", F.coalesce(F.schema_of_variant("value"), F.lit("VOID")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def source_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/source={source}"
 
