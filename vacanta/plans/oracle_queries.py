@@ -414,3 +414,5 @@ SQL["passed_through_fields"] = """
 SELECT 'doc_id' AS field, CASE WHEN doc_id % 3 = 0 THEN 'BIGINT' ELSE 'STRING' END AS type, CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS BIGINT) AS total
 FROM documents WHERE doc_id % 4 = 0 GROUP BY ALL
 UNION ALL SELECT 'reach', 'OBJECT<score: BIGINT, via: STRING>', CAST(count(*) AS BIGINT), CAST(sum(doc_id % 7) AS BIGINT) FROM documents WHERE doc_id % 4 = 0 AND doc_id % 3 <> 0"""
+
+SQL["stream_capture_keyed"] = SQL["stream_capture"]

@@ -497,6 +497,21 @@ def stream_capture_state(spark, sf_dir):
     return spark.read.parquet(sink).select("capture_key")
 
 
+def stream_capture_keyed(spark, sf_dir):
+    """The stream of ``stream_capture`` with keyed state: two deliveries, their files in no order; every key's
+    first row by position, kept in state that the recency rule's watermark ends."""
+    from ..streaming.keyed import capture_stream_keyed
+
+    src, sink = scratch_path(spark, "events-shuffled"), scratch_path(spark, "events-keyed")
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp")
+    for part in (early, ~F.coalesce(early, F.lit(False))):
+        events.filter(part).repartition(4, F.xxhash64("event_id")).write.mode("append").parquet(src)
+        capture_stream_keyed(spark, src, events.schema, sink, ["capture_key"], ["ts", "event_id"], "ts", keep=_event_keep,
+                             prepare=lambda b: b.withColumn("capture_key", _event_key_col())).awaitTermination()
+    return spark.read.parquet(sink).select("capture_key", "event_id", "user_id", "event_type", "ts")
+
+
 # --- X4-X6: the gated daily composition over written layers ------------------------
 
 def daily_layers(spark, sf_dir):
@@ -773,6 +788,7 @@ QUERIES = {
     "bronze_envelopes": bronze_envelopes,
     "page_cards": page_cards,
     "stream_capture": stream_capture,
+    "stream_capture_keyed": stream_capture_keyed,
     "capture_versioned_state": capture_versioned_state,
     "tag_by_table": tag_by_table,
     "registered_rules": registered_rules,
