@@ -85,6 +85,8 @@ def capture_stream_keyed(spark: SparkSession, source_dir: str, schema: T.StructT
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
     rows = rows if keep is None else rows.filter(keep())
+    kind = rows.schema[time].dataType
+    rows = rows.withColumn(time, F.col(time).cast("timestamp"))  # watermarks are on instants
     names, order = list(keys), list(position)
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +94,7 @@ def capture_stream_keyed(spark: SparkSession, source_dir: str, schema: T.StructT
             yield first_rows(batch, names, order)
 
     firsts = rows.mapInPandas(thin, rows.schema).withWatermark(time, max_age)
-    out = firsts.groupBy(*names).transformWithStateInPandas(FirstArrival(names, order, time), rows.schema, "append", "EventTime")
+    out = firsts.groupBy(*names).transformWithStateInPandas(FirstArrival(names, order, time), rows.schema, "append", "EventTime").withColumn(time, F.col(time).cast(kind))
     writer = out.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", stream_checkpoint or sink_dir.rstrip("/") + "_stream_checkpoint").outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
