@@ -71,3 +71,15 @@ def test_calibration_is_monotone():
     x = np.array([0.0, 1, 2, 3, 4, 5, 6, 7])
     knots, values = compression.isotonic(x, np.array([0, 0, 1, 0, 1, 1, 0, 1.0]))
     assert knots == sorted(knots) and values == sorted(values) and 0 < values[0] < values[-1] < 1
+
+
+def test_a_repeated_id_brings_one_text(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id").distinct().select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample = training_sample(docs, labels, "toxic", 10_000, 100)
+    ids = [r[0] for r in sample]
+    assert len(ids) == len(set(ids)) == labels.filter(~held_out()).count()
+    assert sample == training_sample(docs.repartition(5), labels, "toxic", 10_000, 100)
+    assert len(training_sample(docs, labels, "toxic", 100, 100)) < 200

@@ -19,7 +19,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
     """About ``rows`` (doc_id, text, label) of the training fold, at most ``max_chars`` long each.
 
     The share that is taken follows from the number of labels and a hash of the id, so the
-    sample doesn't depend on partitions. Of several labels of a document the greatest holds;
+    sample doesn't depend on partitions. Of several labels of a document the greatest holds, and of several texts
+    under one id one (of the least hash) stands for it, so a repeated id brings no more than another;
     null labels and ids, null texts and longer texts are left out of the fit (never of the scoring)."""
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     total = known.count()
@@ -29,5 +30,6 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
     chance = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
     picked = F.broadcast(known.filter(chance))  # about ``rows`` narrow rows
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    found = texts.join(picked, "doc_id").select("doc_id", "text", "label").collect()
-    return sorted((r["doc_id"], r["text"], r["label"]) for r in found)
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    found = texts.join(picked, "doc_id").groupBy("doc_id", "label").agg(one).collect()
+    return sorted((r["doc_id"], r["one"]["text"], r["label"]) for r in found)
