@@ -22,8 +22,9 @@ STAGES = [
     ("byte_bpe", stages.byte_bpe),
 ]
 
-#: The stages hold trained and hashed steps that SQL cannot express; tests/llm holds the
-#: pipeline against a brute-force version.
+#: The stages hold trained and hashed steps that SQL cannot express. tests/llm plants copies, near copies,
+#: leaks, short and repeating texts and secrets and holds the rows left against those planted cases, and each
+#: operator against a brute-force version of its own.
 ORACLE_SQL = None
 
 
