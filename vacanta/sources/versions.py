@@ -71,8 +71,12 @@ def read_manifest(spark: SparkSession, root: str, version: int | None = None) ->
         if not published:
             return None
         version = published[-1]
-    text = spark.read.text(f"{_manifests(root)}/{version:012d}.json", wholetext=True).first()[0]
-    return Manifest(version, json.loads(text))
+    path = f"{_manifests(root)}/{version:012d}.json"
+    file = _fs(spark, path).open(_path(spark, path))
+    try:
+        return Manifest(version, json.loads(bytes(file.readAllBytes())))
+    finally:
+        file.close()
 
 
 def stage_folder(root: str, base: Manifest | None) -> str:
