@@ -67,6 +67,52 @@ def test_edges(spark, edge, none, tables):
         assert learned and all(0 <= r["score"] <= 1 for r in learned)
 
 
+def brute_noisy_or(z, least):
+    p = 1 / (1 + np.exp(-np.array(z)))
+    weak = [x for x in p if x < least]
+    return 1 - np.prod([1 - x for x in p if x >= least]) * (1 - max(weak, default=0))
+
+
+def test_noisy_or_equals_its_definition():
+    rng = np.random.default_rng(5)
+    docs = [rng.normal(-3, 3, n) for n in (1, 2, 7, 400)] + [np.full(20_000, -7.0), np.array([-7.0, 2.0])]
+    got = toxicity.noisy_or(np.concatenate(docs), np.cumsum([0, *map(len, docs)]), 0.05)
+    assert np.allclose(got, [brute_noisy_or(z, 0.05) for z in docs])
+    assert got[-2] < 0.01 and got[-1] > 0.8
+
+
+def test_long_clean_texts_stay_clean(spark):
+    rng = np.random.default_rng(0)
+    words = [f"w{k}" for k in range(80)]
+    line = lambda: " ".join(rng.choice(words, 8))
+    sample = [(k, ". ".join([line() for _ in range(5)] + ["vilething"] * (k % 4 == 0)), int(k % 4 == 0)) for k in range(400)]
+    clean = ". ".join(line() for _ in range(10_000))
+    docs = spark.createDataFrame([(0, clean), (1, clean + ". you vilething"), (2, ". ".join(["!"] * 10_000))], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.train(sample)).collect()}
+    assert [rows[k]["predicted"] for k in range(3)] == [0, 1, 0]
+    assert [len(rows[k]["offending"]) for k in range(3)] == [0, 1, 0]
+
+
+def test_pieces_are_spread_and_balanced_whatever_the_order():
+    rules = compression.CompressionRules(piece_bytes=10, text_pieces=4)
+    assert compression.lent_pieces([b"".join(b"%09d " % k for k in range(100))], rules) == [[b"%09d " % k for k in (0, 25, 50, 75)]]
+    assert compression.lent_pieces([b"", b"abc"], rules) == [[b""], [b"abc"]]
+    good, bad = [b"good text %d" % k * 9 for k in range(100)], [b"bad %d" % k for k in range(10)]
+    first = compression.balanced(good, bad, rules)
+    assert first == compression.balanced(good[::-1], bad[::-1], rules) and list(map(len, first)) == [20, 10]
+    assert list(map(len, compression.balanced(bad, good, rules))) == [10, 20]
+
+
+def test_sample_is_bounded_by_bytes_not_by_length(spark):
+    docs = spark.createDataFrame([(k, "x" * (50_000 if k % 10 == 0 else 10)) for k in range(200)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    all_of_it = training_sample(docs, labels, "toxic", 1000, 10 ** 8)
+    assert len(all_of_it) == labels.filter(~held_out()).count() and max(len(t) for _, t, _ in all_of_it) == 50_000
+    some = training_sample(docs, labels, "toxic", 1000, 200_000)
+    assert 100_000 < sum(len(t) for _, t, _ in some) <= 200_000
+    assert some == training_sample(docs.repartition(7), labels, "toxic", 1000, 200_000)
+
+
 def test_calibration_is_monotone():
     x = np.array([0.0, 1, 2, 3, 4, 5, 6, 7])
     knots, values = compression.isotonic(x, np.array([0, 0, 1, 0, 1, 1, 0, 1.0]))
@@ -78,8 +124,8 @@ def test_a_repeated_id_brings_one_text(spark):
 
     docs = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     labels = docs.select("doc_id").distinct().select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
-    sample = training_sample(docs, labels, "toxic", 10_000, 100)
+    sample = training_sample(docs, labels, "toxic", 10_000, 10 ** 6)
     ids = [r[0] for r in sample]
     assert len(ids) == len(set(ids)) == labels.filter(~held_out()).count()
-    assert sample == training_sample(docs.repartition(5), labels, "toxic", 10_000, 100)
-    assert len(training_sample(docs, labels, "toxic", 100, 100)) < 200
+    assert sample == training_sample(docs.repartition(5), labels, "toxic", 10_000, 10 ** 6)
+    assert len(training_sample(docs, labels, "toxic", 100, 10 ** 6)) < 200

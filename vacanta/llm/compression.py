@@ -3,7 +3,10 @@
 Two zstandard dictionaries are built from good and from bad labelled texts. A document is
 compressed with either; the size it saves with the good one against the bad one, over its
 own size, is turned into a probability by a monotone calibration fitted on labelled
-documents that the dictionaries haven't seen.
+documents that the dictionaries haven't seen. A text lends the dictionaries a few
+pieces spread over all of it, so a long one doesn't rule a dictionary, and the larger class
+lends at most ``ratio`` pieces for each of the smaller one's (more would make its dictionary
+fit any text better), from the texts of least hash.
 
 Edge cases: null and empty texts save nothing and get the calibration's value at 0;
 without labels of both kinds every score is the share of good ones (0.5 without any);
@@ -12,6 +15,7 @@ repeated rows and null ids get a row each.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +29,12 @@ from .labelled import held_out, training_sample
 @dataclass(frozen=True)
 class CompressionRules:
     sample_rows: int = 12_000  #: bound of the labelled sample that is fitted
-    sample_chars: int = 20_000  #: longer documents aren't fitted on (they are scored)
+    sample_bytes: int = 48 << 20  #: bound of its texts together
     piece_bytes: int = 600  #: the dictionaries are built from pieces of the sample texts of this size
+    text_pieces: int = 8  #: pieces that a text lends
+    ratio: int = 2  #: pieces of the larger class for each of the smaller one's
     dictionary_bytes: int = 64 << 10
     level: int = 3
-    good_per_bad: int = 1
     threshold: float = 0.3
 
 
@@ -45,14 +50,30 @@ class Pair:
         return (bad - good) / max(len(raw), 1)
 
 
-def dictionary(texts: list[bytes], rules: CompressionRules) -> bytes:
-    pieces = [t[i:i + rules.piece_bytes] for t in texts for i in range(0, max(len(t), 1), rules.piece_bytes)]
+def dictionary(pieces: list[bytes], rules: CompressionRules) -> bytes:
     try:
         return zstandard.train_dictionary(rules.dictionary_bytes, pieces, level=rules.level).as_bytes()
     except zstandard.ZstdError:  # too few or too short texts to train on: their own bytes serve
         return b"".join(pieces)[-rules.dictionary_bytes:].ljust(8, b" ")
 
 
+def lent_pieces(texts: list[bytes], rules: CompressionRules) -> list[list[bytes]]:
+    """Each text's pieces, evenly spread over it; texts in the order of their hashes, whatever their ids."""
+    out = []
+    for t in sorted(texts, key=lambda t: (zlib.crc32(t), t)):
+        n = max(1, -(-len(t) // rules.piece_bytes))
+        some = min(n, rules.text_pieces)
+        out.append([t[k * n // some * rules.piece_bytes:][:rules.piece_bytes] for k in range(some)])
+    return out
+
+
+def balanced(good: list[bytes], bad: list[bytes], rules: CompressionRules) -> list[list[bytes]]:
+    """Pieces of either class, the larger one's up to ``ratio`` for each of the other's."""
+    lent = [lent_pieces(texts, rules) for texts in (good, bad)]
+    most = rules.ratio * min(sum(map(len, own)) for own in lent)
+    return [[p for own in texts for p in own][:most] for texts in lent]
+
+
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[list[float], list[float]]:
     """Knots of the best non-decreasing fit of y over x (pool adjacent violators), smoothed by one row of each label."""
     order = np.argsort(x, kind="stable")
@@ -78,8 +99,7 @@ def fit(sample: list[tuple[int, str, int]], rules: CompressionRules = Compressio
     share = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1)
     if not good or not bad:
         return {"constant": share}
-    good = good[: rules.good_per_bad * len(bad)]
-    model = {"good": dictionary(good, rules), "bad": dictionary(bad, rules)}
+    model = dict(zip(("good", "bad"), (dictionary(own, rules) for own in balanced(good, bad, rules))))
     pair = Pair(model["good"], model["bad"], rules.level)
     x, y = np.array([pair.saving(t) for t, _ in kept]), np.array([float(y) for _, y in kept])
     model["x"], model["y"] = isotonic(x, y)
@@ -108,5 +128,5 @@ def score(docs: DataFrame, model: dict, rules: CompressionRules = CompressionRul
 
 def quality_documents(docs: DataFrame, labels: DataFrame, rules: CompressionRules = CompressionRules()) -> DataFrame:
     """Scores of all documents by a model fitted on the labels' training fold."""
-    model = fit(training_sample(docs, labels, "quality", rules.sample_rows, rules.sample_chars), rules)
+    model = fit(training_sample(docs, labels, "quality", rules.sample_rows, rules.sample_bytes), rules)
     return score(docs, model, rules).select("doc_id", held_out().alias("held_out"), "score", "predicted", "saving")

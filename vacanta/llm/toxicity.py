@@ -6,6 +6,10 @@ and compound forms count), and the document's probability is their noisy-or: it
 unless every sentence is clean. The weights are trained through the noisy-or from the
 documents' labels; afterwards the sentences' own probabilities locate the offence.
 
+A clean sentence keeps a small probability, and thousands of them would add up to a toxic
+text with nothing to point at. Sentences under ``least_evidence`` are therefore one
+instance together, the strongest of them, however long the text is.
+
 Edge cases: null, empty and wordless texts have one empty sentence, scored by the bias;
 without training labels of both kinds every score is the same; repeated rows and null
 ids get a row each.
@@ -31,7 +35,8 @@ STRIPPED = " .,;:!?\"'()[]{}*&$#%|<>-_/\\"
 @dataclass(frozen=True)
 class MilRules:
     sample_rows: int = 6000  #: bound of the labelled sample that is fitted
-    sample_chars: int = 20_000  #: longer documents aren't fitted on (they are scored)
+    sample_bytes: int = 24 << 20  #: bound of its texts together
+    least_evidence: float = 0.05  #: sentences of a smaller probability count once, by the strongest of them
     stems: tuple[int, ...] = (4, 5, 6)  #: first letters taken as features
     min_docs: int = 6  #: documents of the sample that have a feature
     rounds: int = 300
@@ -68,11 +73,10 @@ def train(sample: list[tuple[int, str, int]], rules: MilRules = MilRules()) -> d
                 if w not in of_word:
                     of_word[w] = [ids.setdefault(f, len(ids)) for f in features(w, rules.stems)]
                 found.update(of_word[w])
-            if found:
-                cols.extend(sorted(found))
-                of_sentence.extend([len(of_doc)] * len(found))
-                of_doc.append(d)
-                own |= found
+            cols.extend(sorted(found))
+            of_sentence.extend([len(of_doc)] * len(found))
+            of_doc.append(d)  # also without features: the bias is learnt from all sentences
+            own |= found
         seen.extend(own)
     names, of_word = list(ids), {}
     cols, of_sentence, of_doc = (np.array(x) for x in (cols, of_sentence, of_doc))
@@ -116,6 +120,14 @@ class WordWeights(dict):
         return value
 
 
+def noisy_or(z: np.ndarray, at: np.ndarray, least: float) -> np.ndarray:
+    """Probability of each document that a sentence of it is toxic; its sentences' log-odds are
+    ``z[at[k]:at[k + 1]]``. Those of a probability under ``least`` count as the strongest of them."""
+    doubt, strong = np.logaddexp(0, z), z >= np.log(least / (1 - least))
+    evidence = np.add.reduceat(np.where(strong, doubt, 0.0), at[:-1])
+    return -np.expm1(-evidence - np.maximum.reduceat(np.where(strong, 0.0, doubt), at[:-1]))
+
+
 def score(docs: DataFrame, model: dict, rules: MilRules = MilRules(), carry="doc_id") -> DataFrame:
     """Per document: score (noisy-or over all sentences), predicted, and the offending
     sentences as (start, end, p) in code points, where p is 0.5 or more."""
@@ -131,8 +143,7 @@ def score(docs: DataFrame, model: dict, rules: MilRules = MilRules(), carry="doc
         sums = [sum(map(get, set(s.split()))) for ss in cut for s in ss]
         z = (np.array(sums) + bias).clip(-30, 30)
         at = np.cumsum([0] + [len(ss) for ss in cut])
-        log_clean = -np.add.reduceat(np.logaddexp(0, z), at[:-1])
-        toxic = -np.expm1(log_clean)
+        toxic = noisy_or(z, at, rules.least_evidence)
         spans: list[list[tuple]] = [[] for _ in texts]
         hot = np.flatnonzero(z >= 0)
         for i in hot.tolist():
@@ -155,5 +166,5 @@ def located(text: str, z: np.ndarray) -> list[tuple[int, int, float]]:
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, rules: MilRules = MilRules()) -> DataFrame:
     """Scores of all documents by a model trained on the labels' training fold."""
-    model = train(training_sample(docs, labels, "toxic", rules.sample_rows, rules.sample_chars), rules)
+    model = train(training_sample(docs, labels, "toxic", rules.sample_rows, rules.sample_bytes), rules)
     return score(docs, model, rules).select("doc_id", held_out().alias("held_out"), "score", "predicted", "offending")
