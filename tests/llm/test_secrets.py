@@ -2,8 +2,9 @@ import hashlib
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from vacanta.llm.secrets_crf import BARRED, CrfRules, all_spans, base_spans, candidate_runs, field_spans, find_secrets, fit, listed, marginals, replaced, tagged, viterbi
+from vacanta.llm.secrets_crf import BARRED, BEGIN, CrfRules, Field, all_spans, base_spans, broken, find_secrets, fit, listed, marginals, replaced, tagged, training_sequences, viterbi
 
 PATTERNS = [(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, lambda m: len(m[2]) >= 8),
             (r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 16), (r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 32)]
@@ -23,10 +24,38 @@ def test_base_spans():
         assert base_spans(t, t.encode()) == brute(t), t
 
 
-def test_candidate_runs():
-    texts = [t.encode() for t in TEXTS + ["a1", "abcdefg1", "x abcdefgh1", "1234-5678 zz", "no digits here at all"]]
-    for raw, runs in zip(texts, candidate_runs(texts, 8)):
-        assert runs == [m.span() for m in re.finditer(rb"[A-Za-z0-9+/_.=-]{8,}", raw) if re.search(rb"[0-9]", m[0])]
+def test_lines_and_their_tags():
+    rules = CrfRules(plain_lines=1)
+    raw = 'é api_key: "abc.defgh+12" x\n\nno find "here"\n' .encode()
+    first, second = tagged(raw, rules)
+    assert first["tokens"] == [b"api", b"key", b"abc", b"defgh", b"12", b"x"] and first["tags"] == [0, 0, 1, 2, 2, 0]
+    assert len(first["gaps"]) == 7 and first["gaps"][2] == b': "' and first["gaps"][-1] == b"\n"
+    assert second["tags"] == [0, 0, 0] and second["gaps"][0] == b"\n" and second["gaps"][-1] == b'"\n'
+    assert broken(second) is None
+    cut = broken({"tokens": [b"x", b"abcdefghijkl"], "gaps": [b"\n", b" ", b"\n"], "tags": [0, 1]})
+    assert cut["tokens"] == [b"x", b"abc", b"def", b"ghi", b"jkl"] and cut["tags"] == [0, 1, 2, 2, 2] and cut["gaps"] == [b"\n", b" ", b" ", b" ", b" ", b"\n"]
+
+
+def test_tags_are_those_of_whole_lines():
+    rng = np.random.default_rng(6)
+    field = Field.__new__(Field)
+    for seed in range(30):
+        field.trans = rng.normal(size=(3, 3)) + BARRED
+        o = field.trans[0]
+        field.most = [max(field.trans[a, x] + field.trans[x, c] - field.trans[a, 0] - o[BEGIN if c else 0] for a in range(3) for c in range(3)) for x in (1, 2)]
+        line = np.sort(rng.integers(0, 12, 90))
+        emission = np.column_stack([np.zeros(90), rng.normal(-4, 4, (90, 2))])
+        whole = np.concatenate([viterbi(emission[line == k][None], field.trans)[0] for k in np.unique(line)])
+        assert np.array_equal(field.tags(line, emission), whole)
+
+
+def test_scores_do_not_depend_on_slices_or_memory():
+    texts = training_texts()
+    model = learned(texts)
+    odd = texts[:40] + [b"", b"\n\n", "日本語 é\xa0x".encode(), b"token" + b"#" * 5000 + b"abcdefgh9012"]
+    whole = Field(model, CrfRules()).spans(odd)
+    small = Field(model, CrfRules(table_rows=3))
+    assert whole == [small.spans([t])[0] for t in odd]
 
 
 def test_viterbi_and_marginals_equal_enumeration():
@@ -58,17 +87,52 @@ def training_texts():
     return out
 
 
+def learned(texts, rules=CrfRules(plain_lines=2)):
+    return fit([q for raw in texts for q in tagged(raw, rules)], rules)
+
+
 def test_field_learns_and_generalises():
     texts = training_texts()
-    model = fit([s for raw, runs in zip(texts, candidate_runs(texts, 8)) for s in tagged(raw, runs)])
-    found = field_spans(texts, model, 8)
-    assert all(bool(f) == (k % 3 == 0) for k, f in enumerate(found))
+    field = Field(learned(texts), CrfRules())
+    assert all(bool(f) == (k % 3 == 0) for k, f in enumerate(field.spans(texts)))
     new = b'the value token - "9b0b3c6a43eb78aa99cbd7049c5723" is here'  # no pattern: short, and no assignment
     assert base_spans(new.decode(), new) == []
-    spans = all_spans([new], model, CrfRules())[0]
+    spans = all_spans([new], field)[0]
     assert [(new[s:e], k) for s, e, k in spans] == [(b"9b0b3c6a43eb78aa99cbd7049c5723", 3)]
 
 
+def mixed_texts():
+    """Finds of letters only and of letters and digits, in assignments; other lines hold words and numbers."""
+    rng = np.random.default_rng(8)
+    letters, both = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    common = ["the", "house", "of", "Government", "information", "report", "see", "is", "a", "password", "key", "my", "was", "lost", "International", "number"]
+    out = []
+    for k in range(900):
+        words = list(rng.choice(common, 8))
+        if k % 3 < 2:
+            words[4] = f'{["password", "api_key"][k % 2]} = "{"".join(rng.choice(letters if k % 3 else both, int(rng.integers(12, 30))))}"'
+        out.append((" ".join(words) + f"\nline {rng.integers(10 ** 9, 10 ** 12)} of {' '.join(rng.choice(common, 6))}").encode())
+    return out
+
+
+def test_letters_only_and_broken_secrets_are_found():
+    field = Field(learned(mixed_texts()), CrfRules())
+    got = lambda t: [t.encode()[s:e].decode() for s, e, k in all_spans([t.encode()], field)[0] if k == 3]
+    assert got("my key is QmFzZUxldHRlcnNPbmx") == ["QmFzZUxldHRlcnNPbmx"]
+    assert got('password = "s3c r9x K9q"') == ["s3c r9x K9q"]
+    assert got("the password is lost\nthe house of information was International\nnumber 123456789012") == []
+
+
+def test_sample_holds_equal_texts_once(spark):
+    docs = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") < 600, F.lit('token = "abcdefgh12"')).otherwise(F.concat(F.lit("secret: abcdefgh"), F.col("id").cast("string"))).alias("text"))
+    rules = CrfRules(plain_lines=1)
+    sample = training_sequences(docs, rules)
+    assert len(sample) == 301 and sample == training_sequences(docs.repartition(5), rules)
+    assert 20 < len(training_sequences(docs, CrfRules(sample_rows=300))) < 190
+    few = training_sequences(docs, CrfRules(sample_bytes=300))
+    assert 0 < sum(len(t) for q in few for t in q["tokens"]) <= 300
+
+
 def test_query_rows(spark, edge, none, sample):
     for docs in (edge, sample, spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")):
         texts = sorted((r["doc_id"] or -1, listed(brute(r["text"] or ""))) for r in docs.select("doc_id", "text").collect())

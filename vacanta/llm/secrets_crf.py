@@ -1,16 +1,18 @@
 """Secrets by patterns and a linear-chain conditional random field.
 
 Patterns find assignments, access keys and long hexadecimal strings. The field adds what
-they miss: text runs that could be secrets at all (eight or more key characters with a
-digit) are cut into tokens and tagged begin, inside or outside by Viterbi. Everything
-between such runs is outside by constraint, so each run is decoded exactly on its own, with
-outside before and after it. Features: shape, neighbouring words, the file. The field is
-trained on a bounded sample with the patterns' finds as tags (conditional likelihood,
-forward-backward), so it generalises their shapes and contexts.
+they miss: every line is a sequence of tokens (runs of letters and digits) that Viterbi tags
+begin, inside or outside of a secret. Features: shape and word of the token, the words and
+the marks around it, the file. A token that outside tags beat whatever its neighbours are
+tagged splits its line, and the stretches between such tokens are decoded on their own: the
+tags are those of the whole line. The field is trained on lines of a bounded sample with the
+patterns' finds as tags (conditional likelihood, forward-backward), so it generalises their
+shapes and contexts.
 
 Spans are half-open, in code points. Edge cases: null and empty texts have no spans (the
-digest of nothing); a find of the field that meets a pattern's is dropped; without any
-tagged token the field adds nothing; repeated rows and null ids get a row each.
+digest of nothing); a find of the field that meets a pattern's, or has under ``least_chars``
+letters and digits, is dropped; without any tagged token the field adds nothing; repeated
+rows and null ids get a row each and are one text of the sample.
 """
 
 from __future__ import annotations
@@ -18,14 +20,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter, defaultdict
+import zlib
+from array import array
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_value, map_chunks, text_bytes
+from .common import broadcast_value, map_chunks, stored, text_bytes
 
 # The base patterns and their least lengths, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -37,22 +42,28 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 OUT, BEGIN, IN = 0, 1, 2
 TOKEN = re.compile(rb"[A-Za-z0-9]+")
-KEY_CHARS = np.zeros(256, bool)
-KEY_CHARS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")] = True
-DIGITS = np.zeros(256, bool)
-DIGITS[list(b"0123456789")] = True
+ITEM = re.compile(rb"[A-Za-z0-9]+|[^A-Za-z0-9]+")
 HEX_TABLE = bytes(104 if c in b"0123456789abcdef" else 32 for c in range(256))
 
 
+#: Bytes of text that a task works on at a time: its tokens as objects take many times that.
+SLICE = 1 << 20
+#: Places of the words whose features count for a token, and of the marks beside it.
+WORDS, MARKS = {"w": 0, "w-1": -1, "w-2": -2, "w-3": -3, "w+1": 1, "w+2": 2}, {"g-1": 0, "g+1": 1}
+
+
 @dataclass(frozen=True)
 class CrfRules:
-    run_chars: int = 8  #: least length of a run that may hold a secret
-    sample_rows: int = 20_000  #: bound of the documents that the field is trained on
-    sample_chars: int = 20_000  #: longer documents aren't trained on (they are scanned)
-    rounds: int = 80
+    least_chars: int = 8  #: letters and digits of a find of the field
+    sample_rows: int = 20_000  #: bound of the documents whose lines the field is trained on
+    sample_bytes: int = 1 << 19  #: bound of those lines' tokens together
+    plain_lines: int = 64  #: one in so many lines without a find is trained on, and counts so many times
+    line_tokens: int = 100  #: longer lines are trained on in pieces of so many tokens
+    rounds: int = 40
     rate: float = 0.2
     ridge: float = 1e-3
     min_count: int = 2  #: tokens of the sample that have a feature
+    table_rows: int = 200_000  #: words whose weights a task remembers
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
@@ -68,24 +79,6 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
-def candidate_runs(texts: list[bytes], least: int) -> list[list[tuple[int, int]]]:
-    """Byte ranges of the runs of key characters with a digit, for each text."""
-    joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    breaks = np.flatnonzero(~KEY_CHARS[joined])
-    at = np.searchsorted(breaks, np.flatnonzero(DIGITS[joined]))
-    at = np.unique(at)
-    ends = breaks[at]
-    starts = np.where(at > 0, breaks[at - 1] + 1, 0)
-    long = ends - starts >= least
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    first = np.cumsum(sizes) - sizes
-    out: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for s, e in zip(starts[long].tolist(), ends[long].tolist()):
-        d = int(np.searchsorted(first, s, "right")) - 1
-        out[d].append((s - int(first[d]), e - int(first[d])))
-    return out
-
-
 def shape(token: bytes) -> list[str]:
     n, digits = len(token), sum(c in b"0123456789" for c in token)
     upper, lower = sum(c in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in token), sum(c in b"abcdefghijklmnopqrstuvwxyz" for c in token)
@@ -101,49 +94,63 @@ def file_features(raw: bytes) -> list[str]:
     return [f"file.size={len(raw).bit_length() // 3}", f"file.assign={min(3, 400 * (raw.count(b'=') + raw.count(b':')) // n)}", f"file.brace={min(2, 400 * (raw.count(b'{') + raw.count(b';')) // n)}"]
 
 
-def word(raw: bytes) -> str:
-    return raw.decode("utf-8", "ignore").lower().strip("\"'.,;()[]{}")[:24]
+def word_features(token: bytes, role: str) -> list[str]:
+    """Features that a token gives to the one at the place that ``role`` names (w: itself)."""
+    name = f"{role}={token[:24].decode('ascii').lower()}"
+    return [name] if role != "w" else [name, "bias", *shape(token)] if token else []
 
 
-def run_features(raw: bytes, start: int, end: int, file: list[str]) -> tuple[list[tuple[int, int]], list[list[str]]]:
-    """Tokens of one run (byte ranges) and their features."""
-    before = [word(w) for w in raw[max(0, start - 96):start].split()[-3:]]
-    after = [word(w) for w in raw[end:end + 64].split()[:2]]
-    before, after = [""] * (3 - len(before)) + before, after + [""] * (2 - len(after))
-    run = raw[start:end]
-    common = [f"run.size={min(int(math.log2(end - start) * 2), 14)}", f"run.marks={len(run) - sum(len(m[0]) for m in TOKEN.finditer(run)) > 0}",
-              f"edge={raw[max(0, start - 1):start].decode('latin-1')}|{raw[end:end + 1].decode('latin-1')}"]
-    around = [f"w-{k}={w}" for k, w in zip((3, 2, 1), before)] + [f"w+{k}={w}" for k, w in zip((1, 2), after)] + [f"w-2,1={before[1]} {before[2]}"]
-    tokens = [(start + m.start(), start + m.end()) for m in TOKEN.finditer(run)]
-    out = []
-    for k, (s, e) in enumerate(tokens):
-        prev = word(raw[tokens[k - 1][0]:tokens[k - 1][1]]) if k else "^"
-        mark = raw[tokens[k - 1][1]:s].decode("latin-1") if k else "^"
-        follow = word(raw[tokens[k + 1][0]:tokens[k + 1][1]]) if k + 1 < len(tokens) else "$"
-        out.append(["bias", f"at={min(k, 3)}", f"in-1={prev}", f"mark={mark}", f"in+1={follow}"] + shape(raw[s:e]) + common + around + file)
-    return tokens, out
+def mark_features(gap: bytes, role: str) -> list[str]:
+    """What lies between two tokens of a line; a line's border is like no mark."""
+    if b"\n" in gap:
+        return [f"{role}="]
+    return [f"{role}={(gap if len(gap) <= 6 else gap[:3] + gap[-3:]).decode('latin-1')}", f"{role}:assigns={b'=' in gap or b':' in gap}"]
 
 
-def tagged(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[list[list[str]], list[int]]]:
-    """Training sequences of one text: features and tags by the patterns (an assignment's value only)."""
+def tagged(raw: bytes, rules: CrfRules = CrfRules()) -> list[dict]:
+    """Training sequences of one text: its lines' tokens, the marks around them (one more), tags by the
+    patterns (an assignment's value only), the file's features and a weight."""
     text = raw.decode("utf-8", "replace")
     to_byte = (lambda k: k) if raw.isascii() else (lambda k: len(text[:k].encode()))
     values = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_CHARS]
     values += [(s, e) for s, e, kind in base_spans(text, raw) if kind]
-    spans = [(to_byte(s), to_byte(e)) for s, e in values]
-    out, file = [], file_features(raw)
-    for start, end in runs:
-        tokens, feats = run_features(raw, start, end, file)
-        tags, inside = [], None
-        for s, e in tokens:
-            hit = next((k for k, (a, b) in enumerate(spans) if a <= s and e <= b), None)
-            tags.append(OUT if hit is None else IN if hit == inside else BEGIN)
-            inside = hit
-        if tokens:
-            out.append((feats, tags))
+    spans = sorted({(to_byte(s), to_byte(e)) for s, e in values})
+    starts, out, file, base = [s for s, _ in spans], [], file_features(raw), 0
+    for line in raw.split(b"\n"):
+        items = ITEM.findall(b"\n" + line + b"\n") if line else []
+        tokens, gaps = items[1::2], items[::2]
+        at = base - 1 + np.cumsum([0, *map(len, items)])
+        base += len(line) + 1
+        inside = [owner(spans, starts, int(s), int(e)) for s, e in zip(at[1:-1:2], at[2::2])]
+        for k in range(0, len(tokens), rules.line_tokens):
+            part, hits = tokens[k:k + rules.line_tokens], inside[k:k + rules.line_tokens]
+            plain = not any(h is not None for h in hits)
+            if plain and zlib.crc32(b" ".join(part)) % rules.plain_lines:
+                continue
+            tags = [OUT if h is None else IN if t and hits[t - 1] == h else BEGIN for t, h in enumerate(hits)]
+            out.append({"tokens": part, "gaps": gaps[k:k + len(part) + 1], "tags": tags, "file": file, "weight": rules.plain_lines if plain else 1})
     return out
 
 
+def owner(spans: list[tuple[int, int]], starts: list[int], s: int, e: int) -> int | None:
+    """The find that holds a token."""
+    k = bisect_right(starts, s) - 1
+    return k if k >= 0 and e <= spans[k][1] else None
+
+
+def broken(sequence: dict) -> dict | None:
+    """The sequence with its finds of one token broken into pieces by blanks, as they are when read aloud or
+    wrapped; None without any."""
+    tokens, gaps, tags = [], [sequence["gaps"][0]], []
+    for token, tag, gap in zip(sequence["tokens"], sequence["tags"], sequence["gaps"][1:]):
+        size = max(3, len(token) // 4) if tag == BEGIN and len(token) >= ASSIGN_CHARS else len(token)
+        pieces = [token[k:k + size] for k in range(0, len(token), size)]
+        tokens += pieces
+        tags += [tag] + [IN] * (len(pieces) - 1)
+        gaps += [b" "] * (len(pieces) - 1) + [gap]
+    return sequence | {"tokens": tokens, "gaps": gaps, "tags": tags} if len(tokens) > len(sequence["tokens"]) else None
+
+
 # ----------------------------------------------------------------- the field
 
 #: Inside only follows begin or inside.
@@ -156,10 +163,12 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
-def marginals(emission: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(emission: np.ndarray, trans: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token and transition marginals of equally long sequences (n, length, 3) that begin and
-    end beside an outside token; transitions include those of both borders."""
+    end beside an outside token; transitions include those of both borders and count by the
+    sequences' weights."""
     n, length, _ = emission.shape
+    weight = np.ones(n) if weight is None else weight
     alpha, beta = np.zeros_like(emission), np.zeros_like(emission)
     alpha[:, 0] = trans[OUT] + emission[:, 0]
     for t in range(1, length):
@@ -170,10 +179,10 @@ def marginals(emission: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.n
     z = log_sum(alpha[:, -1] + beta[:, -1], 1)
     token = np.exp(alpha + beta - z[:, None, None])
     pair = np.zeros((3, 3))
-    pair[OUT] += token[:, 0].sum(0)
-    pair[:, OUT] += token[:, -1].sum(0)
+    pair[OUT] += weight @ token[:, 0]
+    pair[:, OUT] += weight @ token[:, -1]
     for t in range(1, length):
-        pair += np.exp(alpha[:, t - 1, :, None] + trans + (emission[:, t] + beta[:, t])[:, None, :] - z[:, None, None]).sum(0)
+        pair += np.tensordot(weight, np.exp(alpha[:, t - 1, :, None] + trans + (emission[:, t] + beta[:, t])[:, None, :] - z[:, None, None]), 1)
     return token, pair, z
 
 
@@ -192,90 +201,213 @@ def viterbi(emission: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return tags
 
 
-def fit(sequences: list[tuple[list[list[str]], list[int]]], rules: CrfRules = CrfRules()) -> dict | None:
-    """Weights {feature: (begin, inside)} and transitions that maximise the conditional likelihood."""
-    if not any(t for _, tags in sequences for t in tags):
+class Slots:
+    """For every token of the training sequences, which distinct word or mark stands at each place, and the
+    features of those."""
+
+    def __init__(self, sequences: list[dict], least: int):
+        words, marks, files = {b"": 0}, {b"\n": 0}, {(): 0}
+        self.at: dict[str, np.ndarray] = {}
+        at = {role: array("i") for role in [*WORDS, *MARKS, "file"]}
+        for q in sequences:
+            n, alone = len(q["tokens"]), q.get("alone")
+            own = [words.setdefault(t, len(words)) for t in q["tokens"]]
+            between = [0] + [marks.setdefault(g, len(marks)) for g in q["gaps"][1:-1]] + [0]
+            for role, shift in WORDS.items():
+                at[role].extend([0] * n if alone and shift else [own[t + shift] if 0 <= t + shift < n else 0 for t in range(n)])
+            for role, shift in MARKS.items():
+                at[role].extend([0] * n if alone else between[shift:shift + n])
+            at["file"].extend([files.setdefault(tuple(q["file"]), len(files))] * n)
+        made = {role: [word_features(t, role) for t in words] for role in WORDS} | {role: [mark_features(g, role) for g in marks] for role in MARKS} | {"file": [list(f) for f in files]}
+        seen: Counter = Counter()
+        for role, features in made.items():
+            self.at[role] = np.array(at[role])
+            for n, fs in zip(np.bincount(self.at[role], minlength=len(features)).tolist(), features):
+                for f in fs:
+                    seen[f] += n
+        self.index = {f: k for k, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
+        self.of = {}
+        for role, features in made.items():
+            cols = [[self.index[f] for f in fs if f in self.index] for fs in features]
+            self.of[role] = (np.array([c for cs in cols for c in cs], np.int64), np.repeat(np.arange(len(cols)), list(map(len, cols))), len(cols))
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return sum(np.stack([np.bincount(row, w[cols, k], n) for k in range(w.shape[1])], 1)[self.at[role]] for role, (cols, row, n) in self.of.items())
+
+    def slope(self, rest: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.index), rest.shape[1]))
+        for role, (cols, row, n) in self.of.items():
+            for k in range(rest.shape[1]):
+                out[:, k] += np.bincount(cols, np.bincount(self.at[role], rest[:, k], n)[row], len(self.index))
+        return out
+
+
+def fit(sequences: list[dict], rules: CrfRules = CrfRules()) -> dict | None:
+    """Weights {feature: (begin, inside)} and transitions that maximise the conditional likelihood.
+
+    Sequences of like lengths are computed together; shorter ones end in outside tokens, which change nothing."""
+    if not any(t for q in sequences for t in q["tags"]):
         return None
-    # every run is also taught without the words around it, so that its shape can decide alone
-    sequences = sequences + [([[f for f in fs if not f.startswith(("w-", "w+"))] for fs in feats], tags) for feats, tags in sequences]
-    seen = Counter(f for feats, _ in sequences for fs in feats for f in fs)
-    index = {f: k for k, f in enumerate(sorted(f for f, n in seen.items() if n >= rules.min_count))}
-    groups = defaultdict(list)
-    for feats, tags in sequences:
-        groups[len(tags)].append((feats, tags))
-    data, total = [], 0
-    for length, seqs in sorted(groups.items()):
-        cols = [[index[f] for f in fs if f in index] for feats, _ in seqs for fs in feats]
-        row = np.repeat(np.arange(len(cols)), list(map(len, cols)))
-        gold = np.array([tags for _, tags in seqs])
+    sequences = sequences + [b for q in sequences if (b := broken(q))]
+    # every line is also taught without the words and marks around its tokens, so that shape can decide alone
+    sequences = sorted((q | {"alone": alone} for q in sequences for alone in (False, True)), key=lambda q: len(q["tokens"]))
+    slots = Slots(sequences, rules.min_count)
+    sizes = np.array([len(q["tokens"]) for q in sequences])
+    ends, total = np.cumsum(sizes), float(sum(q["weight"] for q in sequences))
+    data, first = [], 0
+    while first < len(sizes):
+        last = int(np.searchsorted(sizes, max(8, sizes[first] * 3 // 2), "right"))
+        own, length = sizes[first:last], int(sizes[last - 1])
+        real = np.arange(length) < own[:, None]
+        tags = np.zeros(real.shape, np.int64)
+        tags[real] = [t for q in sequences[first:last] for t in q["tags"]]
+        weight = np.array([float(q["weight"]) for q in sequences[first:last]])
+        framed = np.pad(tags, ((0, 0), (1, 1)))
         pair = np.zeros((3, 3))
-        np.add.at(pair, (np.zeros(len(gold), int), gold[:, 0]), 1)
-        np.add.at(pair, (gold[:, -1], np.zeros(len(gold), int)), 1)
-        for t in range(1, length):
-            np.add.at(pair, (gold[:, t - 1], gold[:, t]), 1)
-        data.append((length, len(seqs), np.concatenate([np.array(c, np.int64) for c in cols]), row, np.eye(3)[gold], pair))
-        total += len(seqs)
-    w, trans = np.zeros((len(index), 3)), np.zeros((3, 3))
+        np.add.at(pair, (framed[:, :-1], framed[:, 1:]), np.broadcast_to(weight[:, None], framed[:, 1:].shape))
+        data.append((slice(int(ends[first] - sizes[first]), int(ends[last - 1])), real, np.eye(3)[tags], weight, pair))
+        first = last
+    w, trans = np.zeros((len(slots.index), 2)), np.zeros((3, 3))
     m = [np.zeros_like(w), np.zeros_like(trans)]
     v = [np.zeros_like(w), np.zeros_like(trans)]
     for step in range(1, rules.rounds + 1):
-        gw, gt = -rules.ridge * w, -rules.ridge * trans
-        for length, n, cols, row, gold, pair in data:
-            emission = np.stack([np.bincount(row, w[cols, k], n * length) for k in range(3)], 1).reshape(n, length, 3)
-            token, pairs, _ = marginals(emission, trans + BARRED)
-            rest = (gold - token).reshape(-1, 3) / total
-            for k in (BEGIN, IN):
-                gw[:, k] += np.bincount(cols, rest[row, k], len(index))
+        scores, gt, rest = slots.scores(w), -rules.ridge * trans, np.zeros((int(ends[-1]), 2))
+        for here, real, gold, weight, pair in data:
+            emission = np.zeros((*real.shape, 3))
+            emission[..., BEGIN:] = -1e4
+            emission[real, BEGIN:] = scores[here]
+            token, pairs, _ = marginals(emission, trans + BARRED, weight)
+            rest[here] = ((gold - token) * (weight / total)[:, None, None])[real][:, BEGIN:]
             gt += (pair - pairs) / total
+        gw = slots.slope(rest) - rules.ridge * w
         for k, (x, g) in enumerate(((w, gw), (trans, gt))):
             m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.99 * v[k] + 0.01 * g * g
             x += rules.rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)
-    return {"weights": {f: (float(w[k, BEGIN]), float(w[k, IN])) for f, k in index.items()}, "trans": (trans + BARRED).tolist()}
+    return {"weights": {f: (float(w[k, 0]), float(w[k, 1])) for f, k in slots.index.items()}, "trans": (trans + BARRED).tolist()}
 
 
-def training_sequences(docs: DataFrame, rules: CrfRules) -> list:
-    """Tagged runs of about ``sample_rows`` documents, chosen by a hash of the id."""
+def training_sequences(docs: DataFrame, rules: CrfRules) -> list[dict]:
+    """Tagged lines of about ``sample_rows`` documents, chosen by a hash of the text (equal texts are one),
+    taken in the order of the hashes up to ``sample_bytes``."""
     total = docs.count()
     share = int(min(1.0, rules.sample_rows / max(total, 1)) * 1_000_000)
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < share).filter(F.length("text") <= rules.sample_chars)
+    key = F.xxhash64("text", F.lit(23))
+    some = docs.filter(F.col("text").isNotNull() & (F.pmod(key, F.lit(1_000_000)) < share)).groupBy(key.alias("key")).agg(F.min("text").alias("text"))
 
     def run(part):
-        texts = part.column("text").to_pylist()
-        return {"sequences": [[{"features": f, "tags": t} for f, t in tagged(raw, runs)] for raw, runs in zip(texts, candidate_runs(texts, rules.run_chars))]}
-
-    made = map_chunks(text_bytes(some, "doc_id"), "sequences array<struct<features:array<array<string>>,tags:array<int>>>", run)
-    rows = made.select("doc_id", F.explode("sequences").alias("s")).select("doc_id", "s.*").collect()
-    return [(r["features"], r["tags"]) for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["features"]))]
-
-
-def field_spans(texts: list[bytes], model: dict | None, least: int) -> list[list[tuple[int, int]]]:
-    """Byte ranges that the field tags as secrets."""
-    out: list[list[tuple[int, int]]] = [[] for _ in texts]
-    if not model:
-        return out
-    weights, trans = model["weights"], np.array(model["trans"])
-    by_length = defaultdict(list)
-    for d, runs in enumerate(candidate_runs(texts, least)):
-        file = file_features(texts[d]) if runs else []
-        for start, end in runs:
-            tokens, feats = run_features(texts[d], start, end, file)
-            if tokens:
-                scores = [[0.0, *map(sum, zip(*[weights.get(f, (0.0, 0.0)) for f in fs]))] for fs in feats]
-                by_length[len(tokens)].append((d, tokens, scores))
-    for seqs in by_length.values():
-        for (d, tokens, _), tags in zip(seqs, viterbi(np.array([s for _, _, s in seqs]), trans).tolist()):
-            for (s, e), t in zip(tokens, tags):
-                if t == BEGIN:
-                    out[d].append((s, e))
-                elif t == IN:
-                    out[d][-1] = (out[d][-1][0], e)
-    return out
-
-
-def all_spans(texts: list[bytes], model: dict | None, rules: CrfRules) -> list[list[tuple[int, int, int]]]:
+        return {"sequences": [tagged(raw, rules) for raw in part.column("text").to_pylist()]}
+
+    made = map_chunks(text_bytes(some, "key"), "sequences array<struct<tokens:array<binary>,gaps:array<binary>,tags:array<int>,file:array<string>,weight:int>>", run, "key")
+    lines = stored(made.select("key", F.posexplode("sequences").alias("line", "s")).select("key", "line", "s", F.aggregate("s.tokens", F.lit(0), lambda n, t: n + F.octet_length(t)).alias("bytes")), "secret-lines")
+    cuts = lines.groupBy("key").agg(F.sum("bytes").alias("bytes")).orderBy("key").collect()  # a narrow row for each text of the sample
+    taken, left = [], rules.sample_bytes
+    for r in cuts:
+        if r["bytes"] <= left:
+            taken.append((r["key"],))
+            left -= r["bytes"]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(taken, "key long"))
+    rows = lines.join(chosen, "key").select("key", "line", "s.*").collect()
+    return [{"tokens": list(map(bytes, r["tokens"])), "gaps": list(map(bytes, r["gaps"])), "tags": r["tags"], "file": r["file"], "weight": r["weight"]}
+            for r in sorted(rows, key=lambda r: (r["key"], r["line"]))]
+
+
+class ScoreRows(dict):
+    """word or mark -> its row of scores (begin and inside for each place), made on demand."""
+
+    def __init__(self, model: dict, roles: dict, features, limit: int):
+        super().__init__()
+        self.weights, self.roles, self.features, self.limit = model["weights"], list(roles), features, limit
+        self.table = np.zeros((1024, 2 * len(roles)), np.float32)
+        self.breaks = np.zeros(1024, bool)
+
+    def __missing__(self, key: bytes) -> int:
+        row = self[key] = len(self)
+        if row >= len(self.table):
+            self.table, self.breaks = (np.concatenate([x, np.zeros_like(x)]) for x in (self.table, self.breaks))
+        for k, role in enumerate(self.roles):
+            found = [self.weights.get(f, (0.0, 0.0)) for f in self.features(key, role)]
+            self.table[row, 2 * k:2 * k + 2] = sum(x for x, _ in found), sum(x for _, x in found)
+        self.breaks[row] = b"\n" in key
+        return row
+
+    def rows(self, keys: list[bytes]) -> np.ndarray:
+        if len(self) > self.limit:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+class Field:
+    """The trained field with the scores of the words it has met."""
+
+    def __init__(self, model: dict, rules: CrfRules):
+        self.words, self.marks = ScoreRows(model, WORDS, word_features, rules.table_rows), ScoreRows(model, MARKS, mark_features, rules.table_rows)
+        self.weights, self.trans, self.least = model["weights"], np.array(model["trans"]), rules.least_chars
+        o, inner = self.trans[OUT], range(BEGIN, IN + 1)
+        #: most that a tag other than outside can gain by its transitions; what follows it begins anew without it
+        self.most = [max(self.trans[a, x] + self.trans[x, c] - self.trans[a, OUT] - o[BEGIN if c else OUT] for a in range(3) for c in range(3)) for x in inner]
+
+    def scored(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """start, end, text, line and emission (outside, begin, inside) of every token."""
+        items = ITEM.findall(b"\n" + b"\n".join(texts) + b"\n")
+        own, between = self.words.rows(items[1::2]), self.marks.rows(items[::2])
+        ends = np.cumsum(np.fromiter(map(len, items), np.int64, len(items))) - 1
+        start, end = ends[:-1:2], ends[1::2]
+        line = np.cumsum(self.marks.breaks[between])[:-1]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        first = np.cumsum(sizes) - sizes
+        text = np.searchsorted(first, start, "right") - 1
+        emission = np.zeros((len(own), 3))
+        empty = self.words[b""]
+        for k, shift in enumerate(WORDS.values()):
+            there = np.full(len(own), empty)
+            a, b = (slice(max(0, -shift), len(own) - max(0, shift)), slice(max(0, shift), len(own) + min(0, shift)))
+            there[a] = np.where(line[a] == line[b], own[b], empty)
+            emission[:, BEGIN:] += self.words.table[there, 2 * k:2 * k + 2]
+        for k, shift in enumerate(MARKS.values()):
+            emission[:, BEGIN:] += self.marks.table[between[shift:len(own) + shift], 2 * k:2 * k + 2]
+        file = np.array([np.sum([self.weights.get(f, (0.0, 0.0)) for f in file_features(t)], 0) for t in texts])
+        emission[:, BEGIN:] += file[text]
+        return start - first[text], end - first[text], text, line, emission
+
+    def tags(self, line: np.ndarray, emission: np.ndarray) -> np.ndarray:
+        """Best tags of every line."""
+        tags = np.zeros(len(line), np.int64)
+        if not len(line):
+            return tags
+        follows = np.append(line[1:] == line[:-1], False)
+        renewed = np.where(follows, np.append(np.maximum(0, emission[1:, IN] - emission[1:, BEGIN]), 0), 0)
+        open_ = np.maximum(emission[:, BEGIN] + self.most[0], emission[:, IN] + self.most[1]) + renewed >= 0
+        at = np.flatnonzero(open_)
+        if not len(at):
+            return tags
+        new = np.append(True, (np.diff(at) > 1) | (line[at[1:]] != line[at[:-1]]))
+        starts = at[new]
+        sizes = np.diff(np.append(np.flatnonzero(new), len(at)))
+        for length in np.unique(sizes).tolist():
+            where = starts[sizes == length][:, None] + np.arange(length)
+            tags[where] = viterbi(emission[where], self.trans)
+        return tags
+
+    def spans(self, texts: list[bytes]) -> list[list[tuple[int, int]]]:
+        """Byte ranges tagged as secrets."""
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        if not texts:
+            return out
+        start, end, text, line, emission = self.scored(texts)
+        tags = self.tags(line, emission)
+        for k in np.flatnonzero(tags).tolist():
+            own, (s, e) = out[text[k]], (int(start[k]), int(end[k]))
+            if tags[k] == BEGIN:
+                own.append((s, e))
+            else:
+                own[-1] = (own[-1][0], e)
+        return [[(s, e) for s, e in own if sum(map(len, TOKEN.findall(raw[s:e]))) >= self.least] for raw, own in zip(texts, out)]
+
+
+def all_spans(texts: list[bytes], field: Field | None) -> list[list[tuple[int, int, int]]]:
     """(start, end, kind) in code points: the patterns' finds and what the field adds."""
     found = []
-    for raw, extra in zip(texts, field_spans(texts, model, rules.run_chars)):
+    for raw, extra in zip(texts, field.spans(texts) if field else [[] for _ in texts]):
         text = raw.decode("utf-8", "replace")
         spans = base_spans(text, raw)
         for s, e in extra:
@@ -295,11 +427,14 @@ def scan(docs: DataFrame, model: dict | None, rules: CrfRules = CrfRules(), carr
     """Per document: counts by kind, digest of the base spans, all spans; with ``redact``
     also the text with every span replaced by it (null where there is none)."""
     shared = broadcast_value(docs, model)
+    holder: list[Field | None] = []
     schema = "n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string" + (", redacted string" if redact is not None else "")
 
     def run(part):
+        if not holder:
+            holder.append(Field(shared.value, rules) if shared.value else None)
         texts = part.column("text").to_pylist()
-        found = all_spans(texts, shared.value, rules)
+        found = all_spans(texts, holder[0])
         out = {f"n_{kind}": [sum(s[2] == k for s in spans) for spans in found] for k, kind in enumerate(KINDS)}
         out["base_sha256"] = [hashlib.sha256(listed([s for s in spans if s[2] < 3]).encode()).hexdigest() for spans in found]
         out["spans"] = [listed(spans) for spans in found]
@@ -308,7 +443,7 @@ def scan(docs: DataFrame, model: dict | None, rules: CrfRules = CrfRules(), carr
         return out
 
     df = text_bytes(docs, carry)
-    return map_chunks(df, schema, run, df.columns[0])
+    return map_chunks(df, schema, run, df.columns[0], limit=SLICE)
 
 
 def replaced(text: str, spans: list[tuple[int, int, int]], by: str) -> str:
