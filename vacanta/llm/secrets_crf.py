@@ -25,6 +25,7 @@ from array import array
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -63,7 +64,7 @@ class CrfRules:
     rate: float = 0.2
     ridge: float = 1e-3
     min_count: int = 2  #: tokens of the sample that have a feature
-    table_rows: int = 200_000  #: words whose weights a task remembers
+    table_rows: int = 400_000  #: words whose weights a task remembers
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
@@ -79,14 +80,24 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
-def shape(token: bytes) -> list[str]:
-    n, digits = len(token), sum(c in b"0123456789" for c in token)
-    upper, lower = sum(c in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in token), sum(c in b"abcdefghijklmnopqrstuvwxyz" for c in token)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(token).values())
+@lru_cache(1 << 16)
+def half_bits(n: int, counts: tuple[int, ...]) -> int:
+    """Entropy of a token of ``n`` characters, in half bits rounded down."""
+    return int(-sum(k / n * math.log2(k / n) for k in counts) * 2)
+
+
+def shape(token: bytes) -> tuple:
+    """Length, digits, capitals, entropy, whether hexadecimal, first characters where it has capitals."""
+    n = len(token)
+    digits, upper = n - len(token.translate(None, b"0123456789")), n - len(token.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    return n, digits, upper, half_bits(n, tuple(sorted(map(token.count, set(token))))), not token.translate(None, b"0123456789abcdefABCDEF"), token[:2] if upper else b"-"
+
+
+def shape_features(key: tuple) -> list[str]:
+    n, digits, upper, entropy, hexadecimal, first = key
     size = min(int(math.log2(n) * 2), 14)
-    mix = "".join(c for c, k in (("d", digits), ("A", upper), ("a", lower)) if k)
-    return [f"size={size}", f"mix={mix}", f"mix={mix},size={size}", f"digits={digits * 4 // n}", f"entropy={int(entropy * 2)}",
-            f"hex={not token.lower().translate(None, b'0123456789abcdef')}", f"first={token[:2].decode('latin-1')}" if upper else "first=-"]
+    mix = "".join(c for c, k in (("d", digits), ("A", upper), ("a", n - digits - upper)) if k)
+    return ["bias", f"size={size}", f"mix={mix}", f"mix={mix},size={size}", f"digits={digits * 4 // n}", f"entropy={entropy}", f"hex={hexadecimal}", f"first={first.decode('ascii')}"]
 
 
 def file_features(raw: bytes) -> list[str]:
@@ -97,7 +108,7 @@ def file_features(raw: bytes) -> list[str]:
 def word_features(token: bytes, role: str) -> list[str]:
     """Features that a token gives to the one at the place that ``role`` names (w: itself)."""
     name = f"{role}={token[:24].decode('ascii').lower()}"
-    return [name] if role != "w" else [name, "bias", *shape(token)] if token else []
+    return [name] if role != "w" else [name, *shape_features(shape(token))] if token else []
 
 
 def mark_features(gap: bytes, role: str) -> list[str]:
@@ -314,9 +325,9 @@ def training_sequences(docs: DataFrame, rules: CrfRules) -> list[dict]:
 class ScoreRows(dict):
     """word or mark -> its row of scores (begin and inside for each place), made on demand."""
 
-    def __init__(self, model: dict, roles: dict, features, limit: int):
+    def __init__(self, model: dict, roles: dict, limit: int):
         super().__init__()
-        self.weights, self.roles, self.features, self.limit = model["weights"], list(roles), features, limit
+        self.weights, self.roles, self.limit = model["weights"], list(roles), limit
         self.table = np.zeros((1024, 2 * len(roles)), np.float32)
         self.breaks = np.zeros(1024, bool)
 
@@ -324,23 +335,54 @@ class ScoreRows(dict):
         row = self[key] = len(self)
         if row >= len(self.table):
             self.table, self.breaks = (np.concatenate([x, np.zeros_like(x)]) for x in (self.table, self.breaks))
-        for k, role in enumerate(self.roles):
-            found = [self.weights.get(f, (0.0, 0.0)) for f in self.features(key, role)]
-            self.table[row, 2 * k:2 * k + 2] = sum(x for x, _ in found), sum(x for _, x in found)
         self.breaks[row] = b"\n" in key
+        self.table[row] = self.scores(key)
         return row
 
+    def scores(self, key: bytes):
+        return [x for role in self.roles for x in self.total(mark_features(key, role))]
+
+    def total(self, features: list[str]) -> tuple[float, float]:
+        found = [self.weights.get(f, (0.0, 0.0)) for f in features]
+        return sum(x for x, _ in found), sum(x for _, x in found)
+
     def rows(self, keys: list[bytes]) -> np.ndarray:
         if len(self) > self.limit:
             self.clear()
         return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
 
 
+class WordRows(ScoreRows):
+    """The rows of words: most are in no feature of the model, and many share a shape."""
+
+    def __init__(self, model: dict, limit: int):
+        super().__init__(model, WORDS, limit)
+        self.known: dict[bytes, np.ndarray] = {}
+        for f, w in self.weights.items():
+            role, _, name = f.partition("=")
+            if role in WORDS:
+                k = 2 * self.roles.index(role)
+                self.known.setdefault(name.encode(), np.zeros(2 * len(self.roles)))[k:k + 2] = w
+        self.shapes: dict[tuple, np.ndarray] = {}
+
+    def scores(self, key: bytes):
+        if not key:
+            return self.known.get(key, 0.0)
+        kind = shape(key)
+        own = self.shapes.get(kind)
+        if own is None:
+            if len(self.shapes) >= self.limit:
+                self.shapes.clear()
+            own = self.shapes[kind] = np.array([*self.total(shape_features(kind)), *[0.0] * (2 * len(self.roles) - 2)])
+        near = self.known.get(key[:24].lower())
+        return own if near is None else own + near
+
+
 class Field:
     """The trained field with the scores of the words it has met."""
 
     def __init__(self, model: dict, rules: CrfRules):
-        self.words, self.marks = ScoreRows(model, WORDS, word_features, rules.table_rows), ScoreRows(model, MARKS, mark_features, rules.table_rows)
+        self.words, self.marks = WordRows(model, rules.table_rows), ScoreRows(model, MARKS, rules.table_rows)
         self.weights, self.trans, self.least = model["weights"], np.array(model["trans"]), rules.least_chars
         o, inner = self.trans[OUT], range(BEGIN, IN + 1)
         #: most that a tag other than outside can gain by its transitions; what follows it begins anew without it
