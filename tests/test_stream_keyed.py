@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from vacanta.streaming.keyed import capture_stream_keyed
+from vacanta.streaming.keyed import EPOCH, FirstArrival, capture_stream_keyed
 
 SCHEMA = "key string, pos int, at timestamp, keep boolean"
 DAY = dt.datetime(2024, 1, 1)
@@ -45,3 +45,31 @@ def test_state_expires_with_recency(spark, tmp_dir):
     assert run(spark, src, sink, max_age="10 days") == [("a", 1), ("b", 3), ("c", 6), ("n", 2)]  # too old: late; no time: no expiry
     deliver(spark, src, [("a", 8, at(32), True)])
     assert run(spark, src, sink, max_age="10 days") == [("a", 1), ("a", 8), ("b", 3), ("c", 6), ("n", 2)]  # a new posting under a forgotten key
+
+
+def test_a_key_costs_its_rows_and_no_frame():
+    """The state's side of a key: plain rows in, the first by position out (nulls first), one state value, one timer."""
+    from pyspark.sql import Row
+
+    class State:
+        value, timers = None, []
+
+        def getValueState(self, name, schema):
+            return self
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    state, row = State(), Row("key", "pos", "at", "_micros")
+    first = FirstArrival(["pos", "_micros"], "at", ["key", "pos", "at"])
+    first.init(state)
+    rows = [row("a", 2, DAY, 9_000), row("a", None, DAY, 8_000), row("a", None, DAY, 7_000)]
+    assert [r.asDict() for r in first.handleInputRows(("a",), iter(rows), None)] == [{"key": "a", "pos": None, "at": 7_000}]
+    assert state.timers == [7] and state.value == (EPOCH + dt.timedelta(microseconds=7_000),)
+    assert list(first.handleInputRows(("a",), iter(rows), None)) == []

@@ -10,14 +10,15 @@ the watermark passes it: the key could only come back in rows that are too old.
 and their keys never expire.
 
 A hot key's rows are thinned to one per Arrow batch before the shuffle. The session's time zone is UTC
-(``plans.daily.prepared`` sets it): timers count from pandas' wall-clock times."""
+(``plans.daily.prepared`` sets it): times without a zone are read in it."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -27,38 +28,44 @@ from ..functions import vocab as V
 from ..session import checkpoint_dir, ship_code
 from .capture import ROCKSDB
 
+EPOCH, MICROS = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc), "_micros"
+
 
 def first_rows(rows: pd.DataFrame, keys: Sequence[str], position: Sequence[str]) -> pd.DataFrame:
     """The first row of each key by position (nulls first)."""
     return rows.sort_values(list(position), na_position="first", kind="stable").drop_duplicates(list(keys))
 
 
+def _place(row: Row, position: Sequence[str]) -> tuple:
+    """A row's place among those of its key (nulls first)."""
+    return tuple((False, None) if v is None or v != v else (True, v) for v in (row[c] for c in position))
+
+
 class FirstArrival(StatefulProcessor):
-    def __init__(self, keys: Sequence[str], position: Sequence[str], time: str):
-        self.keys, self.position, self.time = list(keys), list(position), time
+    """Rows come as rows, not as a frame for each key: a key has few, and a frame costs more than its state."""
+
+    def __init__(self, position: Sequence[str], time: str, columns: Sequence[str]):
+        self.position, self.columns, self.row = list(position), [MICROS if c == time else c for c in columns], Row(*columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("at", T.TimestampType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if self.seen.exists():
             for _ in rows:  # the stream of a group is read to its end
                 pass
             return
-        first = None
-        for batch in rows:
-            both = batch if first is None else pd.concat([first, batch])
-            first = first_rows(both, self.keys, self.position)
-        at = first[self.time].iloc[0]
-        if pd.isna(at):
+        first = min(rows, key=lambda row: _place(row, self.position))
+        micros = first[MICROS]
+        if micros is None:
             self.seen.update((None,))
         else:
-            self.seen.update((at.to_pydatetime(),))
-            self.handle.registerTimer(at.value // 1_000_000)
-        yield first
+            self.seen.update((EPOCH + dt.timedelta(microseconds=micros),))
+            self.handle.registerTimer(micros // 1000)
+        yield self.row(*[first[c] for c in self.columns])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.seen.clear()
         return iter(())
 
@@ -93,8 +100,11 @@ def capture_stream_keyed(spark: SparkSession, source_dir: str, schema: T.StructT
         for batch in batches:
             yield first_rows(batch, names, order)
 
-    firsts = rows.mapInPandas(thin, rows.schema).withWatermark(time, max_age)
-    out = firsts.groupBy(*names).transformWithStateInPandas(FirstArrival(names, order, time), rows.schema, "append", "EventTime").withColumn(time, F.col(time).cast(kind))
+    firsts = rows.mapInPandas(thin, rows.schema).withWatermark(time, max_age).withColumn(MICROS, F.unix_micros(time))
+    # the time goes through Python as a number, whatever the time zone
+    made = T.StructType([T.StructField(time, T.LongType()) if f.name == time else f for f in rows.schema])
+    order = [MICROS if c == time else c for c in order]
+    out = firsts.groupBy(*names).transformWithState(FirstArrival(order, time, rows.columns), made, "append", "EventTime").withColumn(time, F.timestamp_micros(time).cast(kind))
     writer = out.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", stream_checkpoint or sink_dir.rstrip("/") + "_stream_checkpoint").outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
