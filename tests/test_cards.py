@@ -63,3 +63,14 @@ def test_tag_soup():
     assert [(r[2], r[7]) for r in cards.cards_of_page(1, "https://s/", bad, spec)] == [("https://s/offre/2", "Second tail")]
     nested = "<ul><li class='post-id'><a class='titreJob' href='/a'>A</a><ul><li>in<li>ner</ul> end<li class='post-id'><a class='titreJob' href='/b'>B</a></ul>"
     assert [r[7] for r in cards.cards_of_page(1, "https://s/", nested, spec)] == ["A in ner end", "B"]
+
+
+def test_a_batch_is_read_in_slices_of_bounded_bytes():
+    import pyarrow as pa
+
+    html = ["x" * 10, None, "y" * 7, "z" * 40, "", "é"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(html)], names=["page_id", "html"])
+    parts = list(cards.slices(batch, "html", 16))
+    assert [p.column("page_id").to_pylist() for p in parts] == [[0, 1], [2], [3], [4, 5]]
+    assert [x for p in parts for x in p.column("html").to_pylist()] == html
+    assert list(cards.slices(batch.slice(0, 0), "html")) == []
