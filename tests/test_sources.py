@@ -113,3 +113,18 @@ def test_undeclared_fields_keep_their_types(spark, tmp_dir):
     drift = {(r["field"], r["type"]): r["n"] for r in B.field_drift(fields).collect()}
     assert drift[("salary_min", "BIGINT")] == drift[("salary_min", "STRING")] == drift[("category", "OBJECT<tag: STRING>")] == 1
     assert fields.filter("field = 'category'").select(F.try_variant_get("value", "$.tag", "string")).first()[0] == "it"
+
+
+def test_each_envelope_leaves_the_task_on_its_own():
+    import pyarrow as pa
+
+    n = 25
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["a" if k % 5 else None for k in range(n)]), pa.array([{"t": f"r{k}"} for k in range(n)]), pa.array([True, None, False, False, True] * 5), pa.array([f"c{k}" for k in range(n)]),
+         *[pa.array([v] * n) for v in ("iso", "day", "run")]], names=["source", "record", "is_internship", "country", "run_iso", "ingest_date", "run"])
+    out = list(B._pack_envelopes(8, ["D"])(iter([batch.slice(0, 0), batch])))
+    assert [o.num_rows for o in out] == [1] * 4 and all(o.column("records").values.nbytes < batch.column("record").nbytes for o in out)
+    rows = [o.to_pylist()[0] for o in out]
+    assert sorted(r["t"] for row in rows for r in row["records"]) == sorted(f"r{k}" for k in range(n))
+    assert [(r["source"], r["metadata"]["country"], r["metadata"]["new_records_count"], r["metadata"]["internships_count"]) for r in rows] == [
+        (None, "c0", 5, 5), ("a", "c1", 8, 2), ("a", "c11", 8, 2), ("a", "c21", 4, 1)]

@@ -90,7 +90,8 @@ RECORD_SCHEMAS = {"adzuna_api": API_RECORD, "rekrute_scraper": PAGE_RECORD,
 def _pack_envelopes(chunk_rows: int, domains: list[str]):
     """Arrow function for ``mapInArrow``: consecutive records of one source inside a
     task become envelopes of at most ``chunk_rows`` records. Envelopes end with the Arrow
-    batch, whose bytes Spark bounds (``spark.sql.execution.arrow.maxBytesPerBatch``)."""
+    batch, whose bytes Spark bounds (``spark.sql.execution.arrow.maxBytesPerBatch``). Each leaves the
+    task on its own: beside the batch, one envelope is copied at a time."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -99,39 +100,29 @@ def _pack_envelopes(chunk_rows: int, domains: list[str]):
             if rb.num_rows == 0:
                 continue
             src = rb.column("source")
-            rec = rb.column("record")
-            intern = pc.fill_null(rb.column("is_internship"), False)
-            ctry = rb.column("country")
-            sources, countries, metas, offsets, parts = [], [], [], [0], []
+            first = {c: rb.column(c)[0].as_py() for c in ("run_iso", "ingest_date", "run")}
             for value in pc.unique(src).to_pylist():
                 idx = pc.indices_nonzero(pc.equal(src, pa.scalar(value, pa.string()))
                                          if value is not None else pc.is_null(src))
-                recs, flags, cs = pc.take(rec, idx), pc.take(intern, idx), pc.take(ctry, idx)
                 for start in range(0, len(idx), chunk_rows):
-                    piece = recs.slice(start, chunk_rows)
-                    parts.append(piece)
-                    offsets.append(offsets[-1] + len(piece))
-                    sources.append(value)
-                    countries.append(cs[start].as_py())
-                    metas.append((len(piece), pc.sum(flags.slice(start, chunk_rows).cast(pa.int64())).as_py() or 0))
-            records = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays(parts))
-            first = rb.slice(0, 1)
-            k = len(sources)
-            metadata = pa.StructArray.from_arrays([
-                pa.array(sources, pa.string()),
-                pa.array(countries, pa.string()),
-                pa.array(["bronze_delta"] * k, pa.string()),
-                pa.array([first.column("run_iso")[0].as_py()] * k, pa.string()),
-                pa.array([m[0] for m in metas], pa.int64()),
-                pa.array([m[1] for m in metas], pa.int64()),
-                pa.array([domains] * k, pa.list_(pa.string())),
-            ], names=["source", "country", "pipeline_stage", "ingestion_timestamp_utc", "new_records_count",
-                      "internships_count", "domains_covered"])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(sources, pa.string()), metadata, records,
-                pa.array([first.column("ingest_date")[0].as_py()] * k, pa.string()),
-                pa.array([first.column("run")[0].as_py()] * k, pa.string()),
-            ], names=["source", "metadata", "records", "ingest_date", "run"])
+                    piece = rb.take(idx.slice(start, chunk_rows))
+                    records = pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), piece.column("record"))
+                    interns = pc.sum(pc.fill_null(piece.column("is_internship"), False).cast(pa.int64())).as_py() or 0
+                    metadata = pa.StructArray.from_arrays([
+                        pa.array([value], pa.string()),
+                        pa.array([piece.column("country")[0].as_py()], pa.string()),
+                        pa.array(["bronze_delta"], pa.string()),
+                        pa.array([first["run_iso"]], pa.string()),
+                        pa.array([piece.num_rows], pa.int64()),
+                        pa.array([interns], pa.int64()),
+                        pa.array([domains], pa.list_(pa.string())),
+                    ], names=["source", "country", "pipeline_stage", "ingestion_timestamp_utc", "new_records_count",
+                              "internships_count", "domains_covered"])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([value], pa.string()), metadata, records,
+                        pa.array([first["ingest_date"]], pa.string()),
+                        pa.array([first["run"]], pa.string()),
+                    ], names=["source", "metadata", "records", "ingest_date", "run"])
 
     return run
 
