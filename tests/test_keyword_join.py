@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vacanta.functions import tagging as T
 from vacanta.functions import vocab as V
+from vacanta.operators import keyword_join
 from vacanta.operators.keyword_join import tag_by_table, unusable_keywords
 
 ENTRIES = "domain_rank int, domain string, keyword_rank int, keyword string"
@@ -69,3 +70,14 @@ def test_one_long_text_and_a_keyword_in_every_row(spark):
     texts = ["hot word " * 5000 + "rare"] + ["hot word"] * 3000
     got = tags(spark, texts, [(1, "D", 1, "hot word"), (2, "E", 1, "word hot"), (3, "G", 1, "rare")])
     assert got[0] == (["hot word", "word hot", "rare"], ["D", "E", "G"]) and set(map(str, got[1:])) == {str((["hot word"], ["D"]))}
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_first_words_of_any_number(spark, monkeypatch, limit):
+    """Broadcast or moved by the word; only lengths that keywords with that first word have make n-grams."""
+    monkeypatch.setattr(keyword_join, "BROADCAST_WORDS", limit)
+    entries = [(1, "D", 1, "data"), (1, "D", 2, "Data lake"), (2, "E", 1, "big data lake"), (2, "E", 2, "lake/data"), (3, "F", 1, "data")]
+    texts = ["a big data lake/data", "data  lake", "lake data", "big data", "", None, "big", "big-data lake. data lake"]
+    assert tags(spark, texts, entries) == brute(texts, entries)
+    index = keyword_join.keyword_index(spark.createDataFrame(entries, ENTRIES))
+    assert {r.word: sorted(r.lengths) for r in keyword_join.starts(index).collect()} == {"data": [1, 2], "big": [3], "lake": [2]}

@@ -2,11 +2,10 @@
 
 :mod:`..functions.tagging` compiles a taxonomy into the plan (one regular expression, literal arrays), which suits a
 few hundred keywords. Here the taxonomy stays a table. A keyword is a run of word tokens with what stands between
-them, so a text's keywords are among its token n-grams: for every length that the taxonomy has, the distinct n-grams of
-a text are joined with the keywords by equality. One n-gram meets at most one keyword, so a frequent first
-word (or a keyword that a third of the texts hold) makes no more rows than it has occurrences in distinct texts; the
-planner broadcasts the taxonomy or moves the n-grams by its real size, and no part of it reaches the driver but the
-lengths.
+them, so a text's keywords are among its token n-grams. A text's words meet the distinct words that keywords begin with; only at
+those places the n-grams of the lengths in question are made, and joined with the keywords by equality. A word meets
+one such word and an n-gram one keyword at most, so no frequent word multiplies rows, and a text's finds are
+gathered as a set before they move. No part of the taxonomy reaches the driver but the lengths and a count.
 
 Semantics as ``tagging.tag_keywords``: lower-cased text, word boundaries on both sides, overlaps all count, keywords
 in taxonomy order (domain_rank, keyword_rank of the first entry), domains in theirs. Keywords must begin and end with
@@ -19,6 +18,8 @@ from pyspark.sql import functions as F
 
 WORD = r"(?U)\w+"
 WORD_AND_GAP = r"(?U)\w+(\W*)"
+#: Words that keywords begin with, up to which they go to every task.
+BROADCAST_WORDS = 500_000
 USABLE = r"(?U)^\w(.*\w)?$"
 
 
@@ -36,32 +37,38 @@ def keyword_index(taxonomy: DataFrame) -> DataFrame:
     ).withColumn("n_tokens", F.regexp_count("keyword", F.lit(WORD)))
 
 
-def _grams(lengths: list[int]) -> Column:
-    """The distinct n-grams of a text, as they stand in it: from ``_words`` and ``_gaps``, what follows each word."""
-    words, gaps = F.col("_words"), F.col("_gaps")
-    out = [words] if 1 in lengths else []
+def starts(index: DataFrame) -> DataFrame:
+    """(word, lengths): the words that keywords begin with, each once, and the keywords' numbers of tokens."""
+    return index.groupBy(F.regexp_extract("keyword", WORD, 0).alias("word")).agg(F.collect_set("n_tokens").alias("lengths"))
+
 
-    def gram(n: int):
-        return lambda i: F.concat(*[x for k in range(n - 1) for x in (F.get(words, i + k), F.get(gaps, i + k))], F.get(words, i + (n - 1)))
+def _gram(n: int) -> Column:
+    """The n-gram at a place, as it stands in the text; null where the text ends before it."""
+    word = lambda k: F.get("_words", F.col("_at") + k)
+    gap = lambda k: F.get("_gaps", F.col("_at") + k)
+    return F.concat(*[x for k in range(n - 1) for x in (word(k), gap(k))], word(n - 1))
 
-    for n in sorted(set(lengths) - {1}):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
-        out.append(F.transform(starts, gram(n)))
-    return F.array_distinct(F.concat(*out))
+
+def _grams(lengths: list[int]) -> Column:
+    return F.array(*[F.struct(F.lit(n).alias("n"), _gram(n).alias("gram")) for n in lengths]) if lengths else F.array().cast("array<struct<n:int,gram:string>>")
 
 
 def tag_by_table(texts: DataFrame, taxonomy: DataFrame, id_col: str, text: Column) -> DataFrame:
     """``id_col``, ``matched_roles`` and ``matched_domains`` (arrays in taxonomy order) of every row of ``texts``."""
     index = keyword_index(taxonomy)
-    lengths = [r["n_tokens"] for r in index.select("n_tokens").distinct().collect()]
+    lengths = sorted(r["n_tokens"] for r in index.select("n_tokens").distinct().collect())
     low = texts.select(F.col(id_col).alias("_id"), F.lower(text).alias("_low"))
-    if lengths:
-        split = low.select("_id", F.regexp_extract_all("_low", F.lit(WORD), F.lit(0)).alias("_words"), F.regexp_extract_all("_low", F.lit(WORD_AND_GAP), F.lit(1)).alias("_gaps"))
-        grams = split.select("_id", F.explode(_grams(lengths)).alias("keyword"))
-    else:
-        grams = low.select("_id", F.col("_low").alias("keyword")).limit(0)
-    found = grams.join(index.select("keyword", "place", "domains"), "keyword")
-    tags = found.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("place", "keyword"))).alias("roles"), F.array_distinct(F.flatten(F.collect_list("domains"))).alias("domains"))
+    split = low.select("_id", F.regexp_extract_all("_low", F.lit(WORD), F.lit(0)).alias("_words"), F.regexp_extract_all("_low", F.lit(WORD_AND_GAP), F.lit(1)).alias("_gaps"))
+    places = split.select("_id", "_words", "_gaps", F.posexplode_outer("_words").alias("_at", "word"))  # outer: else the words are made twice, once for an inferred filter
+    first = starts(index)
+    if first.count() <= BROADCAST_WORDS:
+        begun = places.join(F.broadcast(first), "word")
+    else:  # moved by its word, a place takes the n-grams along that may begin there, never its text's words
+        begun = places.select("_id", "word", _grams(lengths).alias("_grams")).join(first, "word")
+    grams = _grams(lengths) if "_grams" not in begun.columns else F.col("_grams")
+    tried = begun.select("_id", "lengths", F.inline(grams)).filter(F.array_contains("lengths", F.col("n")) & F.col("gram").isNotNull()).select("_id", F.col("gram").alias("keyword"))
+    found = tried.join(index.select("keyword", "place", "domains"), "keyword")
+    tags = found.groupBy("_id").agg(F.sort_array(F.collect_set(F.struct("place", "keyword"))).alias("roles"), F.array_distinct(F.flatten(F.collect_set("domains"))).alias("domains"))
     none = F.array().cast("array<string>")
     return low.select(F.col("_id").alias(id_col)).join(tags, F.col(id_col) == F.col("_id"), "left").select(
         id_col, F.coalesce(F.transform("roles", lambda r: r["keyword"]), none).alias("matched_roles"),
