@@ -159,3 +159,22 @@ def test_command_line(spark, tmp_dir, monkeypatch):
     args = ["--bronze", tmp_dir + "/bronze", "--silver", tmp_dir + "/silver", "--gold", tmp_dir + "/gold", "--incremental", "--run-ts", TS, "--candidates", tmp_dir + "/cand", "--state", tmp_dir + "/state"]
     assert daily.main([*args, "--run-id", "d1"]) == 0 and daily.main([*args, "--run-id", "d2"]) == 0
     assert I.read_silver(spark, tmp_dir + "/silver").count() == 1 and len(V.versions(spark, tmp_dir + "/silver")) == 1
+
+
+def test_a_staged_and_audited_version_is_not_made_again(spark, tmp_dir, monkeypatch):
+    land(spark, tmp_dir, 1, [("u1", "One", "C", None)])
+    staged = I.stage(spark, tmp_dir + "/bronze", tmp_dir + "/silver", TS)
+    report = I.audit(spark, tmp_dir + "/silver", staged, "2024-12-01")
+    with monkeypatch.context() as m:
+        m.setattr(I, "stage", None)
+        m.setattr(I, "audit", None)
+        got = I.increment(spark, tmp_dir + "/bronze", tmp_dir + "/silver", "2024-12-01", TS, staged=staged, report=report)
+    assert got.count() == 5 and rows(I.read_silver(spark, tmp_dir + "/silver")) == rebuilt(spark, tmp_dir)
+    land(spark, tmp_dir, 2, [(None, "Two", "C", None)])
+    bad = I.stage(spark, tmp_dir + "/bronze", tmp_dir + "/silver", TS)
+    with pytest.raises(quality.QualityGateError, match="key_completeness=1"):
+        I.increment(spark, tmp_dir + "/bronze", tmp_dir + "/silver", "2024-12-01", TS, staged=bad, report=I.audit(spark, tmp_dir + "/silver", bad, "2024-12-01"))
+    assert V.versions(spark, tmp_dir + "/silver") == [1]
+    land(spark, tmp_dir, 3, [("u3", "Three", "C", None)])
+    with pytest.raises(V.ConcurrentPublish):  # the version it was staged on is no longer the newest
+        I.increment(spark, tmp_dir + "/bronze", tmp_dir + "/silver", "2024-12-01", TS, staged=staged, report=report)

@@ -191,13 +191,17 @@ def partition_report(spark: SparkSession, root: str) -> DataFrame:
 
 # ----------------------------------------------------------------- runs
 
-def increment(spark: SparkSession, bronze_root: str, root: str, as_of_date, run_ts=None, multi_line: bool = False) -> DataFrame | None:
+def increment(spark: SparkSession, bronze_root: str, root: str, as_of_date, run_ts=None, multi_line: bool = False,
+              staged: Staged | None = None, report: DataFrame | None = None) -> DataFrame | None:
     """Stages, audits, publishes; returns the audit's report, None when no bronze run is new.
-    Raises ``quality.QualityGateError`` before the publish when a critical check fails."""
-    staged = stage(spark, bronze_root, root, run_ts, multi_line)
+    Raises ``quality.QualityGateError`` before the publish when a critical check fails.
+
+    A version that the caller has staged, and its ``audit``, can be handed in: they are not made a second time. A version
+    published in between makes the publish fail, as for any staged one."""
+    staged = stage(spark, bronze_root, root, run_ts, multi_line) if staged is None else staged
     if staged is None:
         return None
-    report = quality.gate(audit(spark, root, staged, as_of_date))
+    report = quality.gate(audit(spark, root, staged, as_of_date) if report is None else report)
     V.publish(spark, root, staged.base, staged.content)
     return report
 

@@ -645,7 +645,7 @@ def publish_after_audit(spark, sf_dir):
         staged = incremental.stage(spark, root + "/bronze", root + "/silver", RUN_TS)
         report = incremental.audit(spark, root + "/silver", staged, AS_OF)
         try:
-            incremental.increment(spark, root + "/bronze", root + "/silver", AS_OF, RUN_TS)
+            incremental.increment(spark, root + "/bronze", root + "/silver", AS_OF, RUN_TS, staged=staged, report=report)
             published = True
         except quality.QualityGateError:
             published = False
