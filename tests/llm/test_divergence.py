@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from vacanta.llm.divergence import DivergenceRules, judge, references, repeated_words
+from vacanta.llm.divergence import DivergenceRules, judge, partial_counts, references, repeated_words
 
 SPACE = "\x20\x09-\x0D"
 
@@ -79,3 +79,10 @@ def test_copies_count_once(spark):
     hot = made_texts("hot", 1, 25, 3)[0]
     once, often = (spark.createDataFrame(rows + [(1000 + k, hot, "en") for k in range(n)], "doc_id long, text string, lang string").repartition(5) for n in (1, 3000))
     assert references(once) == references(often)
+
+
+def test_counting_takes_one_python_worker_a_task(sample):
+    """Each Python node of a stage is a worker of its own, with batches of its own, in every running task."""
+    plan = partial_counts(sample)._jdf.queryExecution().executedPlan().toString().split("initial plan")[-1]
+    nodes = [line.strip(" :+-*").split("(")[0].split(" ")[0] for line in plan.splitlines() if "InArrow" in line or "Exchange" in line]
+    assert nodes.count("MapInArrow") == 3 and not any(a == b == "MapInArrow" for a, b in zip(nodes[1:], nodes[2:]))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, broadcast_value, chunks, map_chunks, may_hold, stored, text_bytes
+from .common import bitmap, broadcast_value, chunks, map_chunks, may_hold, release, stored, text_bytes
 
 WINDOW = 8
 #: Bytes of text that a task works on at a time: words and code points as objects take many times that.
@@ -52,11 +52,6 @@ class DivergenceRules:
     repeat_percent: int = 30
 
 
-def release() -> None:
-    """Hands Arrow's free memory back when a task is done: the worker lives on, idle, within its executor."""
-    pa.default_memory_pool().release_unused()
-
-
 @lru_cache(1)
 def class_table() -> np.ndarray:
     """Class of every code point."""
@@ -103,40 +98,35 @@ def repeated_words(words: list[list[bytes]], width: int = WINDOW) -> np.ndarray:
     return np.bincount(doc[covered], minlength=len(words))
 
 
-def distinct_texts(docs: DataFrame, remembered: int = 200_000) -> tuple[DataFrame, DataFrame]:
-    """(lang, text, digest) of the texts with a language: those that surely have no copy, where they
-    lie, and all others with copies in one partition (most copies are dropped before the shuffle)."""
+def distinct_texts(docs: DataFrame) -> tuple[DataFrame, object]:
+    """(lang, text, digest) of the texts with a language, and a bitmap in which the digests of all texts with copies are."""
     digest = F.xxhash64("lang", F.coalesce("text", F.lit("")))
     docs = docs.filter("lang is not null")
     copies = docs.select(digest.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = broadcast_value(docs, bitmap(copies))
-
-    def some(copied: bool):
-        def run(batches):
-            seen = set()
-            for batch in batches:
-                keys = batch.column("digest").to_numpy()
-                chosen = may_hold(shared.value, keys.view(np.uint64)) == copied
-                for k in np.flatnonzero(chosen).tolist() if copied else ():
-                    chosen[k] = keys[k] not in seen
-                    seen.add(keys[k])
-                if len(seen) > remembered:
-                    seen.clear()
-                yield batch.filter(pa.array(chosen))
-        return run
-
-    texts = text_bytes(docs, "lang", digest.alias("digest")).select("lang", "text", "digest")
-    schema = "lang string, text binary, digest long"
-    return texts.mapInArrow(some(False), schema), texts.mapInArrow(some(True), schema).repartition("digest").sortWithinPartitions("digest")
-
-
-def partial_counts(docs: DataFrame, flush: int = 150_000) -> DataFrame:
+    return text_bytes(docs, "lang", digest.alias("digest")).select("lang", "text", "digest"), broadcast_value(docs, bitmap(copies))
+
+
+def partial_counts(docs: DataFrame, flush: int = 150_000, remembered: int = 200_000) -> DataFrame:
     """(lang, kind, key, n): character classes (kind c) and lower-cased words (kind w) of distinct texts,
-    summed within tasks up to ``flush`` keys before they are shuffled. Copies come sorted, so one
-    digest is remembered."""
-    single, copied = distinct_texts(docs)
+    summed within tasks up to ``flush`` keys before they are shuffled. Texts that surely have no copy are counted
+    where they lie, by the worker that sorts them out; all others are brought together (most copies are dropped
+    before that shuffle) and come sorted, so one digest is remembered."""
+    texts, shared = distinct_texts(docs)
+
+    def copied(batches):
+        seen = set()
+        for batch in batches:
+            keys = batch.column("digest").to_numpy()
+            chosen = may_hold(shared.value, keys.view(np.uint64))
+            for k in np.flatnonzero(chosen).tolist():
+                chosen[k] = keys[k] not in seen
+                seen.add(keys[k])
+            if len(seen) > remembered:
+                seen.clear()
+            yield batch.filter(pa.array(chosen))
+        release()
 
-    def run(batches, copied=False):
+    def run(batches, single):
         last = None
         table, words, chars = class_table(), defaultdict(Counter), defaultdict(lambda: np.zeros(CLASSES, np.int64))
 
@@ -154,8 +144,10 @@ def partial_counts(docs: DataFrame, flush: int = 150_000) -> DataFrame:
 
         for batch in batches:
             for part in chunks(batch, limit=SLICE):
+                if single:
+                    part = part.filter(pa.array(~may_hold(shared.value, part.column("digest").to_numpy().view(np.uint64))))
                 for lang, raw, digest in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "digest"))):
-                    if not copied or digest != last:
+                    if single or digest != last:
                         last = digest
                         words[lang].update(raw.lower().split())
                         chars[lang] += np.bincount(table[code_points(raw)], minlength=CLASSES)
@@ -165,7 +157,8 @@ def partial_counts(docs: DataFrame, flush: int = 150_000) -> DataFrame:
         release()
 
     schema = "lang string, kind string, key binary, n long"
-    return single.mapInArrow(run, schema).unionByName(copied.mapInArrow(lambda batches: run(batches, True), schema))
+    again = texts.mapInArrow(copied, texts.schema).repartition("digest").sortWithinPartitions("digest")
+    return texts.mapInArrow(lambda batches: run(batches, True), schema).unionByName(again.mapInArrow(lambda batches: run(batches, False), schema))
 
 
 def references(docs: DataFrame, rules: DivergenceRules = DivergenceRules()) -> dict[str, tuple[list[float], dict[bytes, float]]]:
@@ -243,7 +236,7 @@ def judge(docs: DataFrame, refs: dict, rules: DivergenceRules = DivergenceRules(
                 "n_repeat_words": repeat, "base_failed": failed, "kept": ~failed & ~far, "char_distance": d_char, "word_distance": d_word, "nearest": names}
 
     df = text_bytes(docs, carry, "lang")
-    return map_chunks(df, schema, run, df.columns[0], limit=SLICE, after=release)
+    return map_chunks(df, schema, run, df.columns[0], limit=SLICE)
 
 
 def restricted(q: np.ndarray, ref: np.ndarray) -> np.ndarray:
